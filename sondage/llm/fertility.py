@@ -16,9 +16,9 @@ from .shared import SPACE, before, gather, mix, run_starts, steps, strings, utf8
 SYMBOLS = "#*$%&|<>"
 #: Texts with fewer words are judged by the base rules alone.
 LEAST_WORDS = 20
-#: Robust standard deviations from a group's median at which a band ends, and the least half width of each band.
-SPREAD = 8.0
-LEAST_HALF = {"chars_per_token": 1.0, "byte_share": 0.08, "token_entropy": 2.0}
+#: Robust standard deviations from a group's median at which a band ends, and the least that counts as one.
+SPREAD = 6.0
+LEAST_SD = {"chars_per_token": 0.06, "byte_share": 0.02, "entropy_gap": 0.25}
 #: Groups with fewer judged texts than this take the band of the whole corpus.
 LEAST_GROUP = 50
 #: Distinct words that one Python worker remembers; the memory is emptied when it is full.
@@ -180,11 +180,11 @@ def judged(docs: DataFrame, model: str) -> DataFrame:
     """Every document with its measures, its group's bands and the verdict ``kept``.
 
     A group is the language, or the script where the language is null. A band is the median of the group's
-    texts of at least ``LEAST_WORDS`` words plus and minus ``SPREAD`` robust standard deviations (1.4826 times
-    the median absolute deviation, never less than ``LEAST_HALF``), over all documents; entropy is held against
-    the logarithm of the number of tokens, as short texts have less of it. Groups of fewer than ``LEAST_GROUP``
-    texts take the corpus's band, and an empty corpus rejects by the base rules alone. Texts outside a band are
-    rejected; so are those that fail the base rules (fewer than 20 words; over 30 % of words in repeated windows).
+    texts that pass the base rules, plus and minus ``SPREAD`` robust standard deviations (the quartiles' distance over
+    1.349, never less than ``LEAST_SD``), over all documents; entropy is held against the logarithm of the
+    number of tokens, as short texts have less of it. Groups of fewer than ``LEAST_GROUP`` texts take the corpus's
+    band, and a corpus without such texts rejects by the base rules alone. Texts outside a band are rejected; so are
+    those that fail the base rules (fewer than 20 words; over 30 % of words in repeated windows).
     """
     table = written(measures(docs, model), "fertility")
     table = (
@@ -192,25 +192,18 @@ def judged(docs: DataFrame, model: str) -> DataFrame:
         .withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
         .withColumn("entropy_gap", F.log2(F.greatest(F.col("n_tokens"), F.lit(1))) - F.col("token_entropy"))
     )
-    rules = {"chars_per_token": "chars_per_token", "byte_share": "byte_share", "token_entropy": "entropy_gap"}
-    sound = table.where(~F.col("base_failed"))
-
-    def bands(keys: list[str], tag: str) -> DataFrame:
-        mid = sound.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{tag}n"), *[F.percentile_approx(c, 0.5, 10_000).alias(f"{tag}mid_{k}") for k, c in rules.items()])
-        off = [F.percentile_approx(F.abs(F.col(c) - F.col(f"{tag}mid_{k}")), 0.5, 10_000).alias(f"{tag}mad_{k}") for k, c in rules.items()]
-        # one row a group: languages and scripts are few, so this side is small whatever the corpus holds
-        spread = (sound.join(mid, keys) if keys else sound.withColumn("_one", F.lit(1)).join(mid.withColumn("_one", F.lit(1)), "_one")).groupBy(*keys).agg(*off)
-        return mid.join(spread, keys) if keys else mid.withColumn("_one", F.lit(1)).join(spread.withColumn("_one", F.lit(1)), "_one")
-
-    own = written(bands(["grp"], "own_").where(F.col("own_n") >= LEAST_GROUP), "bands")
-    whole = written(bands([], "all_"), "band")
-    out = table.join(own, "grp", "left").withColumn("_one", F.lit(1)).join(whole, "_one", "left")
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(f"q_{c}") for c in LEAST_SD]
+    bands = table.where(~F.col("base_failed")).rollup("grp").agg(F.grouping("grp").alias("of_all"), F.count(F.lit(1)).alias("n"), *quartiles)
+    bands = written(bands, "bands")
+    own = bands.where((F.col("of_all") == 0) & (F.col("n") >= LEAST_GROUP)).drop("of_all", "n")
+    whole = bands.where("of_all = 1").select(F.lit("*").alias("_all"), *[F.col(f"q_{c}").alias(f"all_{c}") for c in LEAST_SD])
+    first = next(iter(LEAST_SD))
+    out = table.join(own, "grp", "left").withColumn("_all", F.when(F.col(f"q_{first}").isNull(), F.lit("*"))).join(whole, "_all", "left")
     odd = F.lit(False)
-    for k, c in rules.items():
-        mid, mad = (F.when(F.col("own_n").isNotNull(), F.col(f"own_{x}_{k}")).otherwise(F.col(f"all_{x}_{k}")) for x in ("mid", "mad"))
-        half = F.greatest(SPREAD * 1.4826 * mad, F.lit(LEAST_HALF[k]))
-        high = F.coalesce(F.col(c) > mid + half, F.lit(False))
-        low = F.coalesce(F.col(c) < mid - half, F.lit(False))
+    for c, least in LEAST_SD.items():
+        q = F.coalesce(F.col(f"q_{c}"), F.col(f"all_{c}"))
+        half = SPREAD * F.greatest((q[2] - q[0]) / 1.349, F.lit(least))
+        high, low = F.coalesce(F.col(c) > q[1] + half, F.lit(False)), F.coalesce(F.col(c) < q[1] - half, F.lit(False))
         # more bytes or less variety than usual is odd, fewer bytes and more variety are not
-        odd = odd | {"chars_per_token": high | low}.get(k, high)
+        odd = odd | (high | low if c == "chars_per_token" else high)
     return out.withColumn("odd", odd).withColumn("kept", ~F.col("base_failed") & ~F.col("odd"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, sentencepieces, wavelet
+from . import fertility, fingerprint, langid, mixing, pii, sentencepieces, urlfilter, warc, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -23,14 +23,90 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_index(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+#: The key of the queries' surrogates; a deployment passes its own.
+PII_KEY = "rotate-me"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compared(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archived(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "block_ok", "payload_ok", "error")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.balanced(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+#: Fixed values of the query: rules (verdict, host, path), and host words whose pages' canonical URLs are listed.
+URL_RULES = [
+    urlfilter.Rule("allow", "org", "/"),
+    urlfilter.Rule("block", "example.org", "/es/"),
+    urlfilter.Rule("block", "example.org", "/en/1"),
+    urlfilter.Rule("allow", "com", "/fr/"),
+    urlfilter.Rule("block", "com", "/de/"),
+]
+LISTED_HOST_WORDS = "adult|ads|bets|casino|pills|spam"
+
+
+def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list is of the canonical URLs of all pages on hosts that have one of the listed words as part of a label."""
+    pages = table(spark, sf_dir, "pages")
+    url = F.col("url")
+    listed = pages.where(urlfilter.host_of(url).rlike(rf"(^|[.-])({LISTED_HOST_WORDS})([.-]|$)")).select(urlfilter.canonical(url).alias("canonical"))
+    return urlfilter.judged(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP7_SQL = rf"""
+WITH parts AS (
+  SELECT page_id, url,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: length(p) > 0 AND NOT starts_with(p, 'utm_') AND split_part(p, '=', 1) NOT IN ('ref', 'fbclid', 'gclid'))) AS kept
+  FROM pages
+), canon AS (
+  SELECT page_id, host, path, CASE WHEN contains(url, '://') THEN
+      regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+      || CASE WHEN coalesce(array_to_string(kept, '&'), '') <> '' THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
+  FROM parts
+), listed AS (
+  SELECT DISTINCT canonical FROM canon WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|[.-])({LISTED_HOST_WORDS})([.-]|$)')
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM canon
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN listed.canonical IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN listed ON ruled.canonical = listed.canonical
+"""
+
+
 def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fertility.judged(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "grp")
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op6_sentencepiece, op9_fertility)}
-ORACLES: dict[str, str] = {}
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predicted(docs, langid.train(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_wavelet, op2_pii, op3_fingerprint, op4_warc, op5_mixing, op6_sentencepiece, op7_urlfilter, op9_fertility, op10_langid)}
+ORACLES: dict[str, str] = {"op7_urlfilter": OP7_SQL}
