@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -301,3 +302,29 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
 
     rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
     return rows.select("doc_id", F.coalesce(_fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` without the texts that are rejected or undetermined (null, no letters); a null lang gets the prediction.
+
+    All columns pass through, under their own names; no shuffle. Without a model nothing is rejected.
+    """
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for rb in steps(batches):
+            key, ends, letters = _letters(rb)
+            n = np.diff(ends)
+            mean = model.totals(key, ends) / np.maximum(n, 1)[:, None]
+            best = mean.argmax(axis=1)
+            keep = pa.array((letters > 0) & (model.z(-mean.max(axis=1), n, best) <= model.limit[best]))
+            at = rb.schema.get_field_index("lang")
+            if at >= 0:
+                rb = rb.set_column(at, rb.schema.field(at), pc.coalesce(rb.column(at), pa.array([model.langs[b] for b in best], pa.string()).cast(rb.schema.field(at).type)))
+            yield rb.filter(keep)
+
+    return docs.mapInArrow(run, schema)

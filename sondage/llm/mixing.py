@@ -16,9 +16,10 @@ from .shared import written
 CAP = 3
 WORDS = r"[^\x20\x09-\x0D]+"
 STEPS = 60
-TOLERANCE = 1e-10
-#: Bins of each of the two passes that find the rounding offset.
+TOLERANCE = 1e-6
+#: Bins of each pass that finds a rounding offset, and passes that fill up what is left of a target.
 BINS = 4096
+FILLS = 3
 
 
 def size_of(text: Column) -> Column:
@@ -103,38 +104,59 @@ def _rated(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return out.withColumn("rank", F.when((F.col("whole") < CAP) & (F.col("rate") > 0), _coin(F.col("doc_id"), F.col("size")) - (F.col("rate") - F.col("whole"))))
 
 
+def _offsets(plan: DataFrame, taken: DataFrame, lo: Column, span: Column) -> DataFrame:
+    """The plan with ``edge``: the rank up to which (sid, rank, size) rows, in bins of the span, fit into ``need``, and
+    ``got``, their words."""
+    bin_ = F.floor((F.col("rank") - F.col("_lo")) / F.col("_span") * BINS).cast("long")
+    at = plan.select("sid", "need", lo.alias("_lo"), span.alias("_span"))
+    sums = taken.join(at, "sid").where((bin_ >= 0) & (bin_ < BINS)).groupBy("sid", bin_.alias("bin")).agg(F.sum("size").alias("words"), F.first("need").alias("need"))
+    upto = Window.partitionBy("sid").orderBy("bin")  # at most BINS rows for each source
+    sums = sums.withColumn("total", F.sum("words").over(upto))
+    fits = F.col("total") <= F.col("need")
+    sums = sums.groupBy("sid").agg(F.min(F.when(~fits, F.col("bin"))).alias("over"), F.max(F.when(fits, F.col("total"))).alias("got"))
+    return plan.join(sums, "sid", "left").withColumn("edge", lo + span * F.coalesce("over", F.lit(BINS)) / BINS).withColumn("got", F.coalesce("got", F.lit(0))).drop("over")
+
+
 def planned(sizes: DataFrame) -> DataFrame:
-    """The plan of every source: rates (``mean, lam``) and ``offset``, below which a document's rank earns one more copy.
+    """The plan of every source: rates (``mean, lam``) and the ``extras`` that round them, (offset, limit) pairs.
 
-    A document is ranked by a hash of its id less the fraction of its rate, so an offset of 0 rounds without bias; the
-    offset that brings the words taken nearest the target is found over all documents in two passes of ``BINS`` bins.
+    A document is ranked by a hash of its id less the fraction of its rate, so an offset of 0 rounds without bias. It
+    gets one more copy for each pair whose offset its rank lies below and whose limit its size does not exceed, up to
+    ``CAP`` copies. The first offset is the last at which the words taken stay within the target, found in two passes of
+    ``BINS`` bins; the other pairs fill what is left with documents no larger than that, so a source ends within a small
+    document of its target. Every pass sees all documents.
     """
     plan = solved(sizes)
     rated = _rated(sizes, plan)
     base = rated.groupBy("sid").agg(F.sum(F.col("whole") * F.col("size")).alias("base"))
-    plan = plan.join(base, "sid", "left").withColumn("need", F.col("target") - F.coalesce("base", F.lit(0))).drop("base")
-    plan = written(plan.withColumn("lo", F.lit(-1.0)).withColumn("span", F.lit(2.0)).withColumn("offset", F.lit(-1.0)), "plan")
-    for _ in range(2):
-        fine = _rated(sizes, plan).where("rank is not null")
-        bin_ = F.floor((F.col("rank") - F.col("lo")) / F.col("span") * BINS).cast("long")
-        sums = fine.where((bin_ >= 0) & (bin_ < BINS)).groupBy("sid", bin_.alias("bin")).agg(F.sum("size").alias("words"))
-        upto = Window.partitionBy("sid").orderBy("bin")  # at most BINS rows for each source
-        sums = sums.withColumn("taken", F.sum("words").over(upto)).join(plan.select("sid", "need"), "sid")
-        full = sums.where(F.col("taken") <= F.col("need")).groupBy("sid").agg(F.max("bin").alias("last"), F.max("taken").alias("got"))
-        after = plan.join(full, "sid", "left")
-        nextbin = F.coalesce(F.col("last") + 1, F.lit(0))
-        # the first bin that would go beyond the need may lie after empty ones
-        over = sums.where(F.col("taken") > F.col("need")).groupBy("sid").agg(F.min("bin").alias("first_over"))
-        after = after.join(over, "sid", "left")
-        edge = F.col("lo") + F.col("span") * F.coalesce("first_over", nextbin) / BINS
-        plan = written(after.select("sid", "source", "source_size", "target", "mean", "lam", (F.col("need") - F.coalesce("got", F.lit(0))).alias("need"), edge.alias("lo"), (F.col("span") / BINS).alias("span"), edge.alias("offset")), "plan")
-    return plan.drop("need", "lo", "span")
+    none = F.array().cast("array<struct<offset:double,limit:double>>")
+    plan = written(plan.join(base, "sid", "left").withColumn("need", F.col("target") - F.coalesce("base", F.lit(0))).drop("base").withColumn("extras", none), "plan")
+    kept = ["sid", "source", "source_size", "target", "mean", "lam", "need", "extras"]
+    everything, unlimited = (F.lit(-1.0), F.lit(float(2 + FILLS))), F.lit(float("inf"))
+    for turn in range(1 + FILLS):
+        free = _rated(sizes, plan).where("rank is not null").withColumn("_n", _extra()).where(F.col("whole") + F.col("_n") < CAP)
+        free = free.select("sid", (F.col("rank") + F.col("_n")).alias("rank"), "size", "need")
+        limit = unlimited if turn == 0 else F.greatest("need", F.lit(0.0))
+        free = free.where(F.col("size") <= limit).drop("need")
+        at = written(_offsets(plan, free, *everything), "plan")
+        if turn == 0:
+            at = at.withColumn("need", F.col("need") - F.col("got")).withColumn("lo", F.col("edge")).drop("got", "edge")
+            at = written(_offsets(at, free, F.col("lo"), F.lit((2.0 + FILLS) / BINS)), "plan")
+        extra = F.array(F.struct(F.col("edge").alias("offset"), limit.alias("limit")))
+        plan = written(at.withColumn("extras", F.concat("extras", extra)).withColumn("need", F.col("need") - F.col("got")).select(*kept), "plan")
+    return plan.drop("need")
+
+
+def _extra() -> Column:
+    """How many more copies a rated row gets; each one taken moves its rank up by one, behind rows without."""
+    fits = lambda n, e: (F.col("rank") + n < e["offset"]) & (F.col("size") <= e["limit"]) & (F.col("whole") + n < CAP)
+    return F.aggregate("extras", F.lit(0), lambda n, e: n + F.when(fits(n, e), F.lit(1)).otherwise(F.lit(0)))
 
 
 def mixed(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows with ``doc_id, source, size`` and any others, each with its copies (0 to ``CAP``) and ``taken`` words."""
     out = _rated(rows, plan)
-    copies = F.col("whole") + F.when(F.col("rank") < F.col("offset"), 1).otherwise(0)
+    copies = F.col("whole") + F.when(F.col("rank").isNotNull(), _extra()).otherwise(0)
     return out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, fingerprint, langid, mixing, pii, sentencepieces, urlfilter, warc, wavelet
+from . import bagminhash, fertility, fingerprint, langid, mixing, pii, sentencepieces, urlfilter, warc, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -48,6 +48,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op8_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classed(table(spark, sf_dir, "documents"))
+
+
 #: Fixed values of the query: rules (verdict, host, path), and host words whose pages' canonical URLs are listed.
 URL_RULES = [
     urlfilter.Rule("allow", "org", "/"),
@@ -108,5 +112,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted(docs, langid.train(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op2_pii, op3_fingerprint, op4_warc, op5_mixing, op6_sentencepiece, op7_urlfilter, op9_fertility, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_wavelet, op2_pii, op3_fingerprint, op4_warc, op5_mixing, op6_sentencepiece, op7_urlfilter, op8_bagminhash, op9_fertility, op10_langid)}
 ORACLES: dict[str, str] = {"op7_urlfilter": OP7_SQL}
