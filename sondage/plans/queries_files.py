@@ -1 +1,217 @@
-"""Queries."""
+"""Queries of sources, run logs and incremental processing. Text profiles, CSV and parts are rendered from the driver's
+tables by Spark, in the shared folder where the session names one."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from sondage.operators import incremental as J
+from sondage.sources import files as A
+
+from .registry import query, rounded
+
+
+def folder(df: DataFrame) -> str:
+    """A new folder: under ``spark.checkpoint.dir``, or a local one where that is unset (tests)."""
+    root = df.sparkSession.conf.get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+#: Every order is a profile in text: its lines are samples, and lines with number 7 are damaged.
+TEXT_COLUMNS = ["prsm", "t090c", "sal00"]
+
+
+def rendered(read) -> DataFrame:
+    line = F.concat_ws("  ", F.col("l_quantity").cast("string"), F.when(F.col("l_linenumber") == 7, "oops").otherwise(F.col("l_tax").cast("string")), F.col("l_discount").cast("string"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", line.alias("t")))), lambda s: s["t"]), "\n")
+    text = F.concat(F.lit("* header\n# name 0 = prSM: Pressure\n# name 1 = t090C: T\n# name 2 = sal00: S\n*END*\n"), body)
+    return read("lineitem").groupBy(F.col("l_orderkey").alias("path")).agg(text.alias("content"))
+
+
+@query("a1_read_profiles_text", "SELECT l_orderkey AS path, count(*) AS n, round(sum(l_quantity), 4) AS prsm, round(sum(l_tax), 4) AS t090c, round(sum(l_discount), 4) AS sal00 FROM lineitem WHERE l_linenumber <> 7 GROUP BY ALL")
+def _(read):
+    rows, _ = A.parse_profiles(rendered(read), F.col("content"))
+    wide = A.widened(rows, TEXT_COLUMNS)
+    return wide.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *[F.round(F.sum(c), 4).alias(c) for c in TEXT_COLUMNS])
+
+
+@query("a1_ingest_errors", "SELECT l_orderkey AS path, 'no_valid_rows' AS error FROM lineitem GROUP BY ALL HAVING bool_and(l_linenumber = 7)")
+def _(read):
+    return A.parse_profiles(rendered(read), F.col("content"))[1]
+
+
+@query("a2_list_sources")
+def _(read):
+    df = read("orders").select(F.col("o_orderkey"), "o_orderstatus")
+    at = folder(df)
+    df.write.partitionBy("o_orderstatus").parquet(at)
+    return A.list_sources(df.sparkSession, at, "*.parquet").groupBy(F.regexp_extract("path", r"o_orderstatus=(\w+)", 1).alias("status")).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+
+
+@query("a3_read_csv_resilient", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS c_nationkey, 'semicolon' AS strategy FROM customer")
+def _(read):
+    df = read("customer").select("c_custkey", "c_name", F.when(F.col("c_nationkey") == 3, "NA").otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"))
+    at = folder(df)
+    df.write.option("header", True).option("sep", ";").csv(at)
+    out, strategy = A.read_csv_resilient(df.sparkSession, at)
+    return out.withColumn("strategy", F.lit(strategy))
+
+
+@query("a4_read_delimited_any", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part")
+def _(read):
+    df = read("part").select("p_partkey", "p_name")
+    at = folder(df)
+    df.write.option("header", True).option("sep", "\t").csv(at)
+    return A.read_delimited_any(df.sparkSession, at)[0]
+
+
+@query("a5_read_radial_csv", "SELECT CAST(s_suppkey AS VARCHAR) AS n, 'rcan2025E2GIcast' || CAST(s_suppkey AS VARCHAR) AS cast_key, CAST('1999-06-15' AS TIMESTAMP) AS fecha, 'gijon' AS radial_id FROM supplier")
+def _(read):
+    df = read("supplier").select(F.col("s_suppkey").alias("N"), F.concat(F.lit("rcan2025E2GIcast"), F.col("s_suppkey").cast("string")).alias("Acronimo"), F.lit(1999).alias("Year"))
+    at = folder(df)
+    df.write.option("header", True).csv(at)
+    return A.read_radial_csv(df.sparkSession, at, "part.csv").select("n", "cast_key", "fecha", "radial_id")
+
+
+@query("a6_read_parquet_checked", "SELECT o_orderkey, o_totalprice FROM orders")
+def _(read):
+    from sondage.operators.canonical import require_columns
+
+    return require_columns(read("orders"), ["o_orderkey", "o_totalprice"]).select("o_orderkey", "o_totalprice")
+
+
+@query("a7_read_run_parts", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus FROM orders")
+def _(read):
+    o = read("orders")
+    at = folder(o)
+    o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus").write.parquet(f"{at}/a")
+    o.where("o_orderkey % 2 = 1").select("o_orderkey").write.parquet(f"{at}/b")
+    return A.read_run_parts(o.sparkSession, [f"{at}/a", f"{at}/b"])
+
+
+@query("a8_write_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def _(read):
+    o = read("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    at = folder(o)
+    A.write_table(o, at, ["o_orderstatus"])
+    return o.sparkSession.read.parquet(at)
+
+
+@query("a9_write_qc_triplet", "SELECT event_id, value, value > 100 AS is_anomaly FROM events")
+def _(read):
+    e = read("events").select("event_id", "value", (F.col("value") > 100).alias("is_anomaly"))
+    at = folder(e)
+    A.write_qc_triplet(e, at)
+    return e.sparkSession.read.parquet(f"{at}/rows").withColumn("is_anomaly", F.col("is_anomaly").cast("boolean"))
+
+
+@query("a10_consolidate", "SELECT n_nationkey AS k, n_name AS name, NULL::VARCHAR AS extra FROM nation UNION ALL SELECT r_regionkey, r_name, 'region' FROM region")
+def _(read):
+    return A.consolidate(read("nation").select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("name")), read("region").select(F.col("r_regionkey").cast("long").alias("k"), F.col("r_name").alias("name"), F.lit("region").alias("extra")))
+
+
+@query("a11_quarantine_sink", "SELECT page_id, 'http' AS reasons, CAST('2020-01-01' AS DATE) AS day FROM pages WHERE starts_with(url, 'http:')")
+def _(read):
+    p = read("pages").where(F.col("url").startswith("http:")).select("page_id", F.array(F.lit("http")).alias("reasons"))
+    at = folder(p)
+    A.quarantine_sink(p, at, F.lit("2020-01-01 10:00:00").cast("timestamp_ntz"))
+    return p.sparkSession.read.parquet(at).select("page_id", F.array_join("reasons", ",").alias("reasons"), F.col("day").cast("date").alias("day"))
+
+
+@query("a12_read_write_csv", "SELECT c_custkey, c_acctbal FROM customer")
+def _(read):
+    c = read("customer").select("c_custkey", "c_acctbal")
+    at = folder(c)
+    A.write_csv(c, at)
+    return A.read_csv(c.sparkSession, at, "c_custkey long, c_acctbal double")
+
+
+@query("a13_run_log", "SELECT o_orderkey AS run_id, o_orderpriority AS step, o_orderstatus AS status FROM orders")
+def _(read):
+    runs = read("orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_orderpriority").alias("step"), F.col("o_orderstatus").alias("status"))
+    at = folder(runs)
+    A.run_log_sink(runs, at)
+    return A.read_run_log(runs.sparkSession, at, "run_id long, step string, status string")
+
+
+@query("a14_latest_run", "SELECT o_orderkey AS run_id, o_orderdate AS generated_at FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1")
+def _(read):
+    return A.latest_run(read("orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("generated_at")))
+
+
+@query("a15_row_counts", "SELECT source, count(*) AS n FROM documents GROUP BY ALL")
+def _(read):
+    return A.row_counts(read("documents"), F.col("source"))
+
+
+@query("a16_read_run_log", "SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY ALL")
+def _(read):
+    runs = read("orders").select(F.to_json(F.struct(F.col("o_orderkey").alias("run_id"), F.col("o_orderstatus").alias("status"))).alias("value"))
+    at = folder(runs)
+    runs.unionByName(read("region").select(F.lit("{broken").alias("value"))).write.text(at)
+    return A.read_run_log(runs.sparkSession, at, "run_id long, status string").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Files are orders, the manifest knows two thirds of them, some with another length.
+MANIFEST_SQL = "f AS (SELECT o_orderkey AS path, o_custkey AS length, o_orderdate AS mtime FROM orders), changed AS (SELECT * FROM f WHERE path % 3 = 0 OR path % 7 = 0)"
+
+
+def manifest(read):
+    f = read("orders").select(F.col("o_orderkey").alias("path"), F.col("o_custkey").alias("length"), F.col("o_orderdate").alias("mtime"))
+    known = f.where("path % 3 <> 0").withColumn("length", F.col("length") + F.when(F.col("path") % 7 == 0, 1).otherwise(0)).withColumn("version", F.lit(2))
+    return f, known
+
+
+@query("j1_changed_files", f"WITH {MANIFEST_SQL} SELECT path, length FROM changed")
+def _(read):
+    return J.changed_files(*manifest(read), 2).select("path", "length")
+
+
+@query("j2_reuse_unchanged", f"WITH {MANIFEST_SQL} SELECT path, 'old' AS made FROM f WHERE path NOT IN (SELECT path FROM changed) UNION ALL SELECT path, 'new' FROM changed")
+def _(read):
+    f, known = manifest(read)
+    changed = J.changed_files(f, known, 2)
+    return J.reuse_unchanged(f.select("path", F.lit("old").alias("made")), changed.select("path", F.lit("new").alias("made")), changed)
+
+
+@query("j3_publish_manifest", "SELECT DISTINCT ON (o_custkey) o_custkey AS path, o_orderdate AS published_at, o_orderkey AS entry FROM orders ORDER BY o_custkey, o_orderdate DESC, o_orderkey")
+def _(read):
+    o = read("orders").select(F.col("o_custkey").alias("path"), F.col("o_orderdate").alias("published_at"), F.col("o_orderkey").alias("entry"))
+    return J.publish_manifest(o.where("entry % 2 = 0"), o.where("entry % 2 <> 0"))
+
+
+@query("j4_outputs_fresh", "SELECT o_orderkey AS path, (SELECT count(*) >= 3 AND min(l_shipdate) >= o_orderdate FROM lineitem WHERE l_orderkey = o_orderkey) AS is_fresh FROM orders")
+def _(read):
+    inputs = read("orders").select(F.col("o_orderkey").alias("path"), F.col("o_orderdate").alias("mtime"))
+    outputs = read("lineitem").select(F.col("l_orderkey").alias("path"), F.col("l_shipdate").alias("mtime"))
+    return J.outputs_fresh(inputs, outputs, "path", 3).select("path", "is_fresh")
+
+
+@query("j5_tree_fingerprint", "SELECT CAST(count(*) AS VARCHAR) || ':' || CAST(max(epoch_us(o_orderdate)) AS VARCHAR) || ':' || CAST(CAST(sum(o_custkey) AS BIGINT) AS VARCHAR) AS fingerprint FROM orders")
+def _(read):
+    return J.tree_fingerprint(manifest(read)[0])
+
+
+@query("j6_provenance", "SELECT page_id AS path, sha256(html) AS sha256, length(html) AS length, 'run-1' AS run_id FROM pages")
+def _(read):
+    p = read("pages").select(F.col("page_id").alias("path"), F.encode("html", "UTF-8").alias("content"), F.length("html").alias("length"), F.lit(0).alias("mtime"))
+    return J.provenance(p, "run-1", F.current_timestamp(), {"years": "1970-2035"}).select("path", "sha256", "length", "run_id")
+
+
+@query("j7_key_collisions", "SELECT split_part(url, '/', 3) AS stem, count(*) AS n, max(url) AS wins FROM pages GROUP BY ALL HAVING count(*) > 1")
+def _(read):
+    return J.key_collisions(read("pages").select(F.col("url").alias("path")), F.split_part(F.col("path"), F.lit("/"), F.lit(3)))
+
+
+@query("d13_load_class_profiles", "SELECT l_orderkey AS path, l_suppkey % 4 + 1 AS estacion_canonica, count(*) AS n, round(avg(l_quantity), 6) AS depth FROM lineitem WHERE l_linenumber <> 7 AND l_orderkey % 2 = 0 GROUP BY ALL")
+def _(read):
+    """Text profiles of one class, parsed and joined with each sample's station by its place in the profile."""
+    rows = A.widened(A.parse_profiles(rendered(read).where("path % 2 = 0"), F.col("content"))[0], ["prsm"])
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")) - 1
+    stations = read("lineitem").select(F.col("l_orderkey").alias("path"), place.alias("line_no"), (F.col("l_suppkey") % 4 + 1).alias("estacion_canonica"))
+    rows = rows.withColumn("line_no", F.col("line_no") - F.lit(1))
+    return rounded(rows.join(stations, ["path", "line_no"]).groupBy("path", "estacion_canonica").agg(F.count(F.lit(1)).alias("n"), F.avg("prsm").alias("depth")))

@@ -1 +1,130 @@
-"""Queries."""
+"""Queries of anomaly detection."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sondage.operators import anomaly as A
+from sondage.operators import canonical as N
+from sondage.operators import forest as T
+
+from .registry import query, rounded
+
+FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+BAND_SQL = "CASE WHEN l_quantity IS NULL THEN 'unk' WHEN l_quantity >= 0 AND l_quantity < 20 THEN '0-20' WHEN l_quantity >= 20 AND l_quantity < 100 THEN '20-100' ELSE 'deep' END"
+SCORED_SQL = f"""m AS (SELECT l_returnflag, median(l_extendedprice) AS mid FROM lineitem GROUP BY ALL),
+ s AS (SELECT l.*, abs(l.l_extendedprice - mid) AS score, l.l_returnflag || '/' || {BAND_SQL} AS stratum FROM lineitem l JOIN m USING (l_returnflag)),
+ q AS (SELECT stratum, quantile_cont(score, 0.95) AS threshold FROM s GROUP BY ALL),
+ f AS (SELECT s.*, threshold, score >= threshold AS is_anomaly FROM s JOIN q USING (stratum))"""
+
+
+def stratified(read):
+    return read("lineitem").withColumn("stratum", A.stratify(F.col("l_returnflag"), F.col("l_quantity")))
+
+
+def flagged(read):
+    """A score that SQL can follow: distance from the flag's median price."""
+    df = stratified(read)
+    mid = df.groupBy("l_returnflag").agg(F.median("l_extendedprice").alias("mid"))
+    return A.score_threshold(df.join(mid, "l_returnflag").withColumn("score", F.abs(F.col("l_extendedprice") - F.col("mid"))).drop("mid"), "score", 0.95, ["stratum"])
+
+
+@query("g1_select_features", "SELECT unnest(['l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature")
+def _(read):
+    df = read("lineitem")
+    ids = (*A.IDS, "l_orderkey", "l_partkey", "l_suppkey")
+    return df.sparkSession.createDataFrame([(f,) for f in A.select_features(df, ids)], "feature string")
+
+
+@query("g2_stratify", f"SELECT l_returnflag || '/' || {BAND_SQL} AS stratum, count(*) AS n FROM lineitem GROUP BY ALL")
+def _(read):
+    return stratified(read).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("g3_isolation_forest")
+def _(read):
+    df = A.detect(stratified(read), FEATURES, ["stratum"], KEY, T.Forest(trees=100))
+    return rounded(df.select(*KEY, "stratum", "anomaly_score", "threshold", "is_anomaly", "reason"))
+
+
+@query("g4_extended_isolation_forest")
+def _(read):
+    df = N.impute_median(read("lineitem").select(*KEY, *FEATURES).withColumn("stratum", F.lit("all")), FEATURES)
+    out = T.isolation_scores(df, FEATURES, "stratum", KEY, T.Forest(trees=100, ndim=2, max_depth=8))
+    return rounded(A.score_threshold(out, "iso_score", 0.95).drop("stratum", *FEATURES))
+
+
+@query("g5_score_threshold", f"WITH {SCORED_SQL} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(score, 6) AS score, round(threshold, 6) AS threshold, is_anomaly FROM f")
+def _(read):
+    return rounded(flagged(read).select(*KEY, "score", "threshold", "is_anomaly"))
+
+
+@query("g6_split_outputs", f"WITH {SCORED_SQL} SELECT 'clean' AS part, count(*) AS n FROM f WHERE NOT is_anomaly UNION ALL SELECT 'anomalies', count(*) FROM f WHERE is_anomaly UNION ALL SELECT 'audit', count(*) FROM f")
+def _(read):
+    clean, bad, audit = A.split_outputs(flagged(read))
+    n = lambda df, tag: df.agg(F.lit(tag).alias("part"), F.count(F.lit(1)).alias("n"))
+    return n(clean, "clean").unionByName(n(bad, "anomalies")).unionByName(n(audit, "audit"))
+
+
+MEDIANS = ", ".join(f"median({c}) AS m_{c}" for c in FEATURES)
+MADS = ", ".join(f"median(abs(f.{c} - m_{c})) AS d_{c}" for c in FEATURES)
+ZS = " UNION ALL ".join(f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, '{c}' AS name, abs((f.{c} - m_{c}) / CASE WHEN d_{c} < 1e-12 THEN 1 ELSE d_{c} END) AS z FROM f JOIN mid USING (stratum) JOIN dev USING (stratum) WHERE is_anomaly" for c in FEATURES)
+
+
+@query("g7_explain_topk", f"""WITH {SCORED_SQL}, mid AS (SELECT stratum, {MEDIANS} FROM f GROUP BY ALL), dev AS (SELECT stratum, {MADS} FROM f JOIN mid USING (stratum) GROUP BY ALL), z AS ({ZS}),
+ r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey ORDER BY z DESC, name) AS rn FROM z)
+ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, string_agg(name, ',' ORDER BY rn) AS top_features FROM r WHERE rn <= 3 GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey""")
+def _(read):
+    out = A.explain_topk(flagged(read), FEATURES, strata=["stratum"], k=3)
+    return out.select(*KEY, F.array_join("top_features", ",").alias("top_features"))
+
+
+@query("g8_insufficient_features", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(0 AS DOUBLE) AS anomaly_score, false AS is_anomaly, 'insufficient_features' AS reason FROM lineitem")
+def _(read):
+    return A.detect(read("lineitem"), ["l_quantity"], ["l_returnflag"], KEY).select(*KEY, "anomaly_score", "is_anomaly", "reason")
+
+
+@query("g9_evaluate", """WITH j AS (SELECT toxic = 1 AS t, n_chars FROM labels JOIN documents USING (doc_id)), q AS (SELECT quantile_cont(n_chars, 0.95) AS q FROM j),
+ c AS (SELECT count(*) FILTER (p AND t) AS tp, count(*) FILTER (p AND NOT t) AS fp, count(*) FILTER (NOT p AND t) AS fn, count(*) FILTER (NOT p AND NOT t) AS tn FROM (SELECT t, n_chars >= q AS p FROM j, q))
+ SELECT tp, fp, fn, tn, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall, round(2 * (tp / nullif(tp + fp, 0)) * (tp / nullif(tp + fn, 0)) / nullif(tp / nullif(tp + fp, 0) + tp / nullif(tp + fn, 0), 0), 6) AS f1 FROM c""")
+def _(read):
+    df = A.score_threshold(read("labels").join(read("documents"), "doc_id"), "n_chars", 0.95)
+    return rounded(A.evaluate(df, F.col("toxic") == 1, F.col("is_anomaly")))
+
+
+@query("g10_tree_budget", "SELECT l_returnflag, l_linenumber, count(*) AS n, greatest(48, least(200, count(*))) AS n_trees FROM lineitem GROUP BY ALL")
+def _(read):
+    return A.tree_budget(read("lineitem"), ["l_returnflag", "l_linenumber"])
+
+
+@query("g11_qc_batch")
+def _(read):
+    """Contract and forest of every source in one job: sources are shipping years."""
+    df = stratified(read).withColumn("source_file", F.year("l_shipdate").cast("string"))
+    out = A.detect(df, FEATURES, ["source_file", "stratum"], KEY, T.Forest(trees=48), budget=False)
+    rows = out.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_anomaly").alias("n_anomalies"))
+    bad = df.groupBy("source_file").agg(F.count_if((F.col("l_extendedprice") / 3000 < -2) | (F.col("l_extendedprice") / 3000 > 32)).alias("n_out_of_range"))
+    return rows.join(bad, "source_file")
+
+
+@query("g12_detection_metrics", f"WITH {SCORED_SQL} SELECT count(*) AS n_rows, 4 AS n_features, count(*) FILTER (is_anomaly) AS n_anomalies, round(median(threshold), 6) AS median_threshold, count(DISTINCT stratum) AS n_strata FROM f")
+def _(read):
+    return rounded(A.detection_metrics(flagged(read), len(FEATURES), ["stratum"]))
+
+
+@query("g13_score_stats", f"WITH {SCORED_SQL} SELECT round(min(score), 6) AS low, round(median(score), 6) AS mid, round(max(score), 6) AS high, count(*) FILTER (is_anomaly) AS n_flagged, round(avg(CAST(is_anomaly AS INTEGER)), 6) AS rate FROM f")
+def _(read):
+    return rounded(A.score_stats(flagged(read), "score", "is_anomaly"))
+
+
+@query("g14_anomalies_by_station", f"WITH {SCORED_SQL} SELECT l_returnflag, l_suppkey % 8 + 1 AS estacion, count(*) AS n FROM f WHERE is_anomaly GROUP BY ALL")
+def _(read):
+    return A.anomalies_by_station(flagged(read).withColumn("estacion", F.col("l_suppkey") % 8 + 1), ["l_returnflag", "estacion"])
+
+
+@query("d10_impute_median", """WITH n AS (SELECT *, CASE WHEN l_discount >= 0.05 THEN l_discount END AS d FROM lineitem), m AS (SELECT l_returnflag, median(d) AS m FROM n GROUP BY ALL)
+ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(coalesce(d, m, 0), 6) AS d FROM n JOIN m USING (l_returnflag)""")
+def _(read):
+    df = read("lineitem").withColumn("d", F.when(F.col("l_discount") >= 0.05, F.col("l_discount")))
+    return rounded(N.impute_median(df, ["d"], ["l_returnflag"]).select(*KEY, "d"))
