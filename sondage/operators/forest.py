@@ -88,25 +88,35 @@ def grown(samples: DataFrame, forest: Forest) -> DataFrame:
     return samples.groupBy("stratum", F.floor(F.col("tree") / TOGETHER).alias("_g")).applyInPandas(several, NODES)
 
 
+def _packed(own: pd.DataFrame, p: int, ndim: int) -> tuple:
+    """One tree as arrays by node: its features and their weights, the cut, both children (a leaf's are itself), the path
+    length, and the tree's depth."""
+    n = len(own)
+    leaf = own["left"].isna().to_numpy()
+    coef = np.array([c if c is not None else np.zeros(p) for c in own["coef"]], float)
+    order = np.argsort(-np.abs(coef), axis=1, kind="stable")[:, : min(ndim, p)]
+    pick = [np.ascontiguousarray(order[:, j]) for j in range(order.shape[1])]
+    weight = [coef[np.arange(n), k] for k in pick]
+    child = np.repeat(np.arange(n), 2)
+    for side, column in enumerate(("left", "right")):
+        child[2 * np.flatnonzero(~leaf) + side] = own[column].to_numpy(float, na_value=-1)[~leaf].astype(np.intp)
+    length = np.array([d + path_length(m) for d, m in zip(own["depth"], own["size"], strict=True)])
+    return pick, weight, own["threshold"].fillna(0).to_numpy(float), child, length, int(own["depth"].max())
+
+
 def scored(df: DataFrame, nodes: DataFrame, features: list[str], stratum: str, forest: Forest) -> DataFrame:
     """``df`` with ``iso_score`` in (0, 1), higher for rows that are isolated sooner; null in strata without a forest.
 
     The forest's size depends on strata, trees and ``psi``, not on rows; it is collected and broadcast as arrays.
     """
-    packs: dict[str, list[tuple]] = {}
-    psi: dict[str, int] = {}
+    packs, psi = {}, {}
     for (s, _), own in nodes.toPandas().groupby(["stratum", "tree"]):
-        own = own.sort_values("node")
-        p = len(features)
-        leaf = own["left"].isna().to_numpy()
-        coef = np.array([c if c is not None else np.zeros(p) for c in own["coef"]], float)
-        lead = np.abs(coef).argmax(axis=1)
-        packs.setdefault(s, []).append(
-            (lead, coef, own["threshold"].fillna(0).to_numpy(float), own["left"].fillna(0).to_numpy(np.int32), own["right"].fillna(0).to_numpy(np.int32), leaf, np.array([d + path_length(n) for d, n in zip(own["depth"], own["size"], strict=True)]))
-        )
-        psi[s] = max(psi.get(s, 0), int(own["size"].iloc[0]))
-    shared = df.sparkSession.sparkContext.broadcast((packs, psi))
-    axis = forest.ndim == 1
+        packs.setdefault(s, []).append(_packed(own.sort_values("node"), len(features), forest.ndim))
+        psi[s] = max(psi.get(s, 0), int(own["size"].max()))
+    sc = df.sparkSession.sparkContext
+    shared = sc.broadcast((packs, psi))
+    if df.rdd.getNumPartitions() < sc.defaultParallelism:  # a few large partitions would leave cores idle for the whole scoring
+        df = df.repartition(sc.defaultParallelism)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packs, psi = shared.value
@@ -115,17 +125,14 @@ def scored(df: DataFrame, nodes: DataFrame, features: list[str], stratum: str, f
             for s, place in pdf.groupby(stratum, sort=False).indices.items():
                 if s not in packs:
                     continue
-                x, total = pdf[features].to_numpy(float)[place], np.zeros(len(place))
-                rows = np.arange(len(place))
-                for lead, coef, cut, left, right, leaf, length in packs[s]:
-                    at = np.zeros(len(place), np.int32)
-                    go = rows[~leaf[at]]
-                    while len(go):
-                        node = at[go]
-                        value = x[go, lead[node]] * coef[node, lead[node]] if axis else np.einsum("ij,ij->i", x[go], coef[node])
-                        at[go] = np.where(value <= cut[node], left[node], right[node])
-                        go = go[~leaf[at[go]]]
-                    total += length[at]
+                x = np.ascontiguousarray(pdf[features].to_numpy(float)[place])
+                flat, base, total = x.ravel(), np.arange(len(place)) * x.shape[1], np.zeros(len(place))
+                for pick, weight, cut, child, length, depth in packs[s]:
+                    at = np.zeros(len(place), np.intp)
+                    for _ in range(depth):
+                        value = sum((flat.take(base + p.take(at)) * w.take(at) for p, w in zip(pick[1:], weight[1:], strict=True)), flat.take(base + pick[0].take(at)) * weight[0].take(at))
+                        at = child.take(2 * at + (value > cut.take(at)))
+                    total += length.take(at)
                 score[place] = 2.0 ** (-total / len(packs[s]) / max(path_length(psi[s]), 1e-12))
             yield pdf.assign(iso_score=score)
 
