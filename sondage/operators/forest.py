@@ -37,14 +37,17 @@ def path_length(n: float) -> float:
 def subsamples(df: DataFrame, features: list[str], stratum: str, key: list[str], forest: Forest, budget: bool = False) -> DataFrame:
     """``stratum, tree, x`` rows: of every stratum with enough rows at most ``psi`` rows a tree, drawn by hashes.
 
-    A row enters a tree with a probability of 1.2 psi / n, so the draw is some psi rows a tree before its exact cut.
+    In each round a row falls into one of n / (1.2 psi) pools by a hash, and each pool is a tree: a large stratum takes one
+    hash a row, a small one as many rounds as its trees need. The draw is some 1.2 psi rows a tree before its exact cut.
     """
     sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= forest.least_rows)
     rows = df.select(stratum, F.xxhash64(*key).alias("_k"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
     rows = rows.join(sizes, stratum)
     trees = F.greatest(F.lit(48), F.least(F.lit(forest.trees), F.col("_n"))).cast("int") if budget else F.lit(forest.trees)
-    share = F.least(F.lit(1.0), 1.2 * F.least(F.lit(forest.psi), F.col("_n")) / F.col("_n")) * (1 << 30)
-    hit = F.filter(F.sequence(F.lit(1), trees), lambda t: F.pmod(F.xxhash64(F.col("_k"), t, F.lit(forest.seed)), F.lit(1 << 30)) < share)
+    pools = F.greatest(F.lit(1), F.floor(F.col("_n") / (1.2 * F.least(F.lit(forest.psi), F.col("_n")))))
+    rounds = F.sequence(F.lit(0), (F.ceil(trees / pools) - 1).cast("int"))
+    own = F.transform(rounds, lambda r: (r * pools + F.pmod(F.xxhash64(F.col("_k"), r, F.lit(forest.seed)), pools) + 1).cast("int"))
+    hit = F.filter(own, lambda t: t <= trees)
     rows = rows.select(F.col(stratum).alias("stratum"), F.explode(hit).alias("tree"), "_k", "x")
     order = Window.partitionBy("stratum", "tree").orderBy(F.xxhash64("_k", "tree", F.lit(forest.seed)), "_k")
     return rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= forest.psi).drop("_r")
