@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, before, gather, mix, run_starts, steps, strings, utf8, words, written
+from .shared import SPACE, before, coded, gather, mix, run_starts, steps, strings, utf8, words, written
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -137,9 +137,8 @@ def _measured(rb: pa.RecordBatch, vocabulary: WordTokens) -> pa.RecordBatch:
     n_symbols = marks[ends[1:]] - marks[ends[:-1]]
 
     packed = data[~SPACE[data]]
-    coded = strings(packed, np.cumsum(stops - starts) - (stops - starts)).dictionary_encode()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    flat, first, lengths = vocabulary.of(coded.dictionary.to_pylist())
+    distinct, codes = coded(packed, np.cumsum(stops - starts) - (stops - starts))
+    flat, first, lengths = vocabulary.of(distinct)
     tokens, token_at = gather(flat, first, lengths, codes)
     token_at = token_at[at]
     n_tokens = np.diff(token_at)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import gather, steps, strings, utf8
+from .shared import coded, gather, steps, utf8
 
 MARK = "▁"
 #: Distinct words whose pieces one Python worker remembers; the memory is emptied when it is full.
@@ -137,9 +137,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
             data, ends = utf8(col, before=" ")  # the mark of the first word
             lengths = np.diff(plain_ends)
             starts = _units(data, ends, lex)
-            coded = strings(data, starts).dictionary_encode()
-            codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            distinct = coded.dictionary.to_pylist()
+            distinct, codes = coded(data, starts)
             new = [w for w in distinct if w not in known]
             if len(known) + len(new) > REMEMBERED:
                 known.clear()

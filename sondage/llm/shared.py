@@ -66,6 +66,12 @@ def strings(data: np.ndarray, starts: np.ndarray) -> pa.StringArray:
     return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
 
 
+def coded(data: np.ndarray, starts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The distinct pieces of ``strings(data, starts)``, and each piece's place among them."""
+    out = strings(data, starts).dictionary_encode()
+    return out.dictionary.to_numpy(zero_copy_only=False).tolist(), out.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64) of every element."""
     x = x.astype(np.uint64, copy=True)

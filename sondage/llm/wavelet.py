@@ -8,6 +8,7 @@ Access, counting and occurrence lookup (``Shard``) read these planes and nothing
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -16,12 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import SPACE, gather, shared_dir, steps, strings, utf8
+from .shared import SPACE, coded, gather, shared_dir, steps, utf8
 
 #: Tokens after which a shard is closed; a single longer document makes a larger one.
 SHARD_TOKENS = 1_500_000
 BLOCK = 512
-REMEMBERED = 400_000
+#: Bytes of text that are encoded at a time.
+STEP = 4 << 20
+#: Distinct pieces that one Python worker remembers; the memory is emptied when it is full.
+REMEMBERED = 700_000
+#: Letters below this code point are the same to all versions of Unicode.
+PLAIN = "\u0250"
+#: How a byte-level vocabulary shows bytes: printable ones as themselves, the others in order from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SHOWN = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+LEAD = chr(SHOWN[0x20])
 SHARD = (
     "part int, seq int, n_tokens long, doc_ids binary, null_ids binary, doc_ends binary, alphabet binary, "
     "zeros binary, planes array<binary>, ranks array<binary>"
@@ -34,7 +44,8 @@ class ChunkIds:
 
     A text is cut only before a space or line feed that stands alone between other characters; there the
     vocabulary's own splitting cuts too, so the ids of the pieces are those of the whole text. Each distinct piece
-    is encoded once and remembered.
+    is encoded once and remembered. A piece of plain letters, which that splitting leaves whole but for stops and commas
+    at its end, goes to the library's merges directly; any other piece goes through the library's whole encoding.
     """
 
     def __init__(self, model: str) -> None:
@@ -45,8 +56,20 @@ class ChunkIds:
 
         self.tokenizer = Tokenizer.from_file(model)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
+    def _one(self, word: str) -> bytes:
+        """Ids of one word of the vocabulary's own splitting, from its merges alone."""
+        ids = self.known.get(word)
+        if ids is None:
+            if word.isascii():  # letters show as themselves, the space before them as one character
+                shown = LEAD + word[1:] if word[0] == " " else word
+            else:
+                shown = word.encode().decode("latin-1").translate(SHOWN)
+            ids = self.known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
     def of(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets by text)."""
         cut = np.zeros(len(data) + 1, bool)
@@ -56,16 +79,22 @@ class ChunkIds:
             cut[1 : len(data) - 1] = single[1:-1] & ~space[:-2] & ~space[2:]
         cut[ends] = True
         starts = np.flatnonzero(cut[:-1])
-        coded = strings(data, starts).dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        distinct = coded.dictionary.to_pylist()
+        distinct, codes = coded(data, starts)
         known = self.known
         new = [w for w in distinct if w not in known]
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = distinct
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        rest = []
+        for w in new:
+            word = w.rstrip(".,")
+            letters = word[1:] if word[:1] == " " else word
+            if letters.isalpha() and max(letters) < PLAIN:
+                known[w] = self._one(word) + (self._one(w[len(word) :]) if len(word) < len(w) else b"")
+            else:
+                rest.append(w)
+        for at in range(0, len(rest), 20_000):
+            part = rest[at : at + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = np.array(e.ids, np.uint32).tobytes()
         own = [known[w] for w in distinct]
@@ -152,7 +181,8 @@ class Shard:
         """Occurrences of an id at places lo to hi."""
         if token not in self.code:
             return 0
-        a, b = self._range(self.code[token], lo, self.n if hi is None else hi)
+        hi = self.n if hi is None else hi
+        a, b = self._range(self.code[token], min(lo, hi), hi)
         return b - a
 
     def find(self, token: int, nth: int) -> int:
@@ -202,7 +232,7 @@ def write_shards(docs: DataFrame, model: str, path: str, end: int = 0, parts: in
             names = [x.strip().split(" ")[0] for x in SHARD.split(",")]
             return pa.RecordBatch.from_pydict({k: pa.array([row[k]], kinds.get(k, pa.binary())) for k in names})
 
-        for rb in steps(batches):
+        for rb in steps(batches, most=STEP):
             part = rb.column("part")[0].as_py()
             ids, at = chunks.of(*utf8(rb.column("text")))
             with_end = np.insert(ids, at[1:], end)
