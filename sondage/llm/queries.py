@@ -113,4 +113,13 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_wavelet, op2_pii, op3_fingerprint, op4_warc, op5_mixing, op6_sentencepiece, op7_urlfilter, op8_bagminhash, op9_fertility, op10_langid)}
-ORACLES: dict[str, str] = {"op7_urlfilter": OP7_SQL}
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+ g AS (SELECT html, max(page_id) AS stored FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT p.page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN g.stored IS NOT NULL AND p.page_id IS DISTINCT FROM g.stored THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id IS DISTINCT FROM g.stored THEN g.stored END AS refers_to, true AS block_ok, true AS payload_ok, CAST(NULL AS VARCHAR) AS error
+FROM p LEFT JOIN g ON p.html = g.html
+"""
+
+ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op7_urlfilter": OP7_SQL}
