@@ -172,11 +172,12 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, parts: int | None = None) -> DataFrame:
     """Writes ``page_id, url, html, refers_to`` rows as archives under ``path``; returns the table of archives.
 
-    A task writes its archives under names of its own and renames each once it is whole; a task that runs again writes
-    the same bytes to the same names, as its rows are sorted.
+    The rows are written where they lie, without another shuffle, or dealt to ``parts`` partitions. A task writes its
+    archives under names of its own and renames each once it is whole; a task that runs again writes the same bytes to
+    the same names, as its rows are sorted.
     """
-    parts = parts or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = pages.repartition(parts, F.xxhash64("page_id", "url")).sortWithinPartitions("page_id", "url", "html").withColumn("part", F.spark_partition_id())
+    rows = pages.repartition(parts, F.xxhash64("page_id", "url")) if parts else pages
+    rows = rows.sortWithinPartitions("page_id", "url", "html").withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(path)
