@@ -22,8 +22,12 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: At similarity 0.8 a pair shares no band with probability (1 - 0.8 ** 7) ** 48, about 1 in 80,000.
 BANDS, ROWS = 48, 7
-#: Rounds in which buckets compare with one member before the rest is compared pair by pair.
+#: Rounds in which buckets compare with one member before the rest is compared in blocks.
 STARS = 2
+#: Members of a block, and the share of equal registers below which a pair can't overlap by the threshold: four and a half
+#: standard errors below it, so a pair at the threshold is passed over once in 300,000 times.
+BLOCK = 256
+LEAST_EQUAL = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * ROWS)) ** 0.5
 
 
 def shingles(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,21 +96,24 @@ def bands(reg: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, n_shingles, bands`` for every document; bands are null for texts without words."""
+    """``doc_id, text_key, n_shingles, bands, sketch`` for every document; bands and sketch (a byte of each register) are
+    null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in steps(batches):
             data, ends = utf8(rb.column("text"))
             keys, n = shingles(data, ends)
-            found = bands(signatures(keys, len(n)))
-            some = n > 0
+            reg = signatures(keys, len(n))
+            found, some = bands(reg), n > 0
+            sketch = (mix(reg.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+            sketches = pa.array([x.tobytes() if y else None for x, y in zip(sketch, some, strict=True)], pa.binary())
             at = np.zeros(len(n) + 1, np.int32)
             np.cumsum(some * BANDS, out=at[1:])
             lists = pa.ListArray.from_arrays(pa.array(at, mask=np.append(~some, False)), pa.array(found[some].ravel()))
-            yield pa.RecordBatch.from_pydict({"doc_id": rb.column("doc_id"), "text_key": rb.column("text_key"), "n_shingles": pa.array(n), "bands": lists})
+            yield pa.RecordBatch.from_pydict({"doc_id": rb.column("doc_id"), "text_key": rb.column("text_key"), "n_shingles": pa.array(n), "bands": lists, "sketch": sketches})
 
     rows = docs.select("doc_id", "text", F.coalesce(F.sha2("text", 256), F.lit("null")).alias("text_key"))
-    return rows.mapInArrow(run, "doc_id long, text_key string, n_shingles long, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_key string, n_shingles long, bands array<long>, sketch binary")
 
 
 def _overlaps(pairs: DataFrame) -> DataFrame:
@@ -133,6 +140,58 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(_overlaps(pairs.join(a, "a").join(b, "b")).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "links")
 
 
+def _likely(members: DataFrame) -> DataFrame:
+    """``a, b``: the pairs of different classes within buckets whose sketches allow an overlap of ``THRESHOLD``.
+
+    ``members``: bucket, node, n, class_id, bands, sketch. A bucket is dealt into blocks of about ``BLOCK`` members by
+    hashes, and every two blocks are compared in one step, so neither a task nor the result holds all pairs of a large bucket. A pair that shares
+    several buckets comes from the first of its bands alone.
+    """
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(size, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "class_id", "bands", "sketch")
+    rows = rows.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
+    floor = LEAST_EQUAL - 1 / 256
+
+    def compare(t: pa.Table) -> list[tuple[int, int]]:
+        own, low, high = (t[c].to_numpy() for c in ("own", "low", "high"))
+        left, right = np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0])
+        node, n, label = (t[c].to_numpy() for c in ("node", "n", "class_id"))
+        if not len(left) or not len(right) or label.min() == label.max():
+            return []
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        band = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        out = []
+        for i in left:
+            ok = right[(label[right] != label[i]) & (np.minimum(n[right], n[i]) >= THRESHOLD * np.maximum(n[right], n[i]))]
+            ok = ok[node[ok] > node[i]] if low[0] == high[0] else ok[node[ok] != node[i]]
+            if len(ok):
+                ok = ok[(sketch[ok] == sketch[i]).mean(axis=1) >= floor]
+                first = (band[ok] == band[i]).argmax(axis=1)
+                out += [(min(node[i], node[j]), max(node[i], node[j])) for j, k in zip(ok, first, strict=True) if band[i, k] == t["bucket"][0].as_py()]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # the rows of a group that the next batch may go on with
+        for rb in batches:
+            t = pa.Table.from_batches([rb]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([rb])]).combine_chunks()
+            keys = [t[c].to_numpy() for c in ("bucket", "low", "high")]
+            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            begins = np.concatenate([[0], cut])
+            found = [p for x, y in zip(begins[:-1], begins[1:], strict=True) if y - x > 1 for p in compare(t.slice(x, y - x))]
+            rest = t.slice(begins[-1])
+            yield pairs_of(found)
+        if rest is not None and len(rest) > 1:
+            yield pairs_of(compare(rest))
+
+    def pairs_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, class_id`` for every node of ``a, b`` links: the smallest node it is connected to.
 
@@ -163,13 +222,13 @@ def classed(docs: DataFrame) -> DataFrame:
     to, through equal texts and through pairs of texts whose shingle multisets overlap by ``THRESHOLD`` or more.
 
     Equal texts are one node, the smallest of their doc_ids. Texts that share a band meet in its bucket; a bucket's members
-    are compared with one of them, and then, pair by pair, only those of a bucket that are not yet in one class, so a large
-    group of copies costs one comparison for each member, and no link between different texts is left out. Texts without
+    are compared with one of them, and then, in blocks, only those of a bucket that are not yet in one class and whose sketches
+    allow a link, so a large group of copies costs one comparison for each member and no bucket becomes a list of pairs. Texts without
     words (null ones too) are alike only if they are equal. A null doc_id takes no part in links, and has the class of an equal
     text or null. Rows that share a doc_id share a node. Only doc_id and text are read.
     """
     signs = written(signed(docs), "signatures")
-    nodes = signs.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    nodes = signs.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = written(nodes, "nodes")
     linked = nodes.where("node is not null and bands is not null")
     members = linked.select(F.explode("bands").alias("bucket"), "node", "n")
@@ -195,10 +254,10 @@ def classed(docs: DataFrame) -> DataFrame:
                 rest = labels.join(mixed, "bucket").where(F.col("c.class_id") != F.col("class_id"))
                 pairs = rest.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"), F.col("n").alias("n_a"), F.col("c.n").alias("n_b"))
             else:
-                rest = labels.join(mixed.select("bucket"), "bucket")
-                left, right = (rest.select("bucket", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("class_id").alias(f"class_{x}")) for x in "ab")
-                pairs = left.join(right, "bucket").where("class_a <> class_b and a < b")
-        pairs = pairs.where(close).select("a", "b").distinct()
+                rest = written(labels.join(mixed.select("bucket"), "bucket"), "mixed")
+                drawn = nodes.select("node", "bands", "sketch").join(rest.select("node").distinct(), "node", "left_semi")
+                pairs = _likely(rest.join(drawn, "node"))
+        pairs = (pairs.where(close) if star < STARS else pairs).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
