@@ -24,9 +24,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 48, 7
 #: Rounds in which buckets compare with one member before the rest is compared in blocks.
 STARS = 2
-#: Members of a block, and the share of equal registers below which a pair can't overlap by the threshold: four and a half
+#: Members and shingles of a block at most (about), and the share of equal registers below which a pair can't overlap by the threshold: four and a half
 #: standard errors below it, so a pair at the threshold is passed over once in 300,000 times.
 BLOCK = 256
+BLOCK_SHINGLES = 256_000
 LEAST_EQUAL = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / (BANDS * ROWS)) ** 0.5
 
 
@@ -140,18 +141,35 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(_overlaps(pairs.join(a, "a").join(b, "b")).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "links")
 
 
-def _likely(members: DataFrame) -> DataFrame:
-    """``a, b``: the pairs of different classes within buckets whose sketches allow an overlap of ``THRESHOLD``.
+def _multiset(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of a text, sorted, and how often each occurs."""
+    keys, _ = shingles(*utf8(pa.array([text])))
+    runs = run_starts(keys)
+    return keys[runs], np.diff(np.append(runs, len(keys)))
+
+
+def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """The Jaccard similarity of two multisets."""
+    if not len(a[0]) or not len(b[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    inter = np.minimum(a[1], b[1][at])[b[0][at] == a[0]].sum()
+    return float(inter / (a[1].sum() + b[1].sum() - inter))
+
 
-    ``members``: bucket, node, n, class_id, bands, sketch. A bucket is dealt into blocks of about ``BLOCK`` members by
-    hashes, and every two blocks are compared in one step, so neither a task nor the result holds all pairs of a large bucket. A pair that shares
-    several buckets comes from the first of its bands alone.
+def _linked(members: DataFrame) -> DataFrame:
+    """``a, b``: the links (overlap of ``THRESHOLD`` or more) between different classes within buckets.
+
+    ``members``: bucket, node, n, class_id, bands, sketch, text. A bucket is dealt by hashes into blocks of about ``BLOCK``
+    members and ``BLOCK_SHINGLES`` shingles, and every two blocks are compared in one step: sketches leave the pairs that can
+    overlap enough, and the multisets themselves decide those. Only links come out, so neither a task nor the result
+    holds all pairs of a large bucket. A pair that shares several buckets is compared in the first of its bands alone.
     """
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    size = members.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     rows = members.join(size, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "class_id", "bands", "sketch")
+    rows = rows.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "class_id", "bands", "sketch", "text")
     rows = rows.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
     floor = LEAST_EQUAL - 1 / 256
 
@@ -162,15 +180,19 @@ def _likely(members: DataFrame) -> DataFrame:
         if not len(left) or not len(right) or label.min() == label.max():
             return []
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        bucket = t["bucket"][0].as_py()
         band = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        out = []
+        out, sets = [], None
         for i in left:
             ok = right[(label[right] != label[i]) & (np.minimum(n[right], n[i]) >= THRESHOLD * np.maximum(n[right], n[i]))]
             ok = ok[node[ok] > node[i]] if low[0] == high[0] else ok[node[ok] != node[i]]
             if len(ok):
                 ok = ok[(sketch[ok] == sketch[i]).mean(axis=1) >= floor]
                 first = (band[ok] == band[i]).argmax(axis=1)
-                out += [(min(node[i], node[j]), max(node[i], node[j])) for j, k in zip(ok, first, strict=True) if band[i, k] == t["bucket"][0].as_py()]
+                ok = ok[band[i, first] == bucket]
+            if len(ok):
+                sets = sets or [_multiset(x) for x in t["text"].combine_chunks().to_pylist()]
+                out += [(min(node[i], node[j]), max(node[i], node[j])) for j in ok if _similarity(sets[i], sets[j]) >= THRESHOLD]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,16 +277,16 @@ def classed(docs: DataFrame) -> DataFrame:
                 pairs = rest.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"), F.col("n").alias("n_a"), F.col("c.n").alias("n_b"))
             else:
                 rest = written(labels.join(mixed.select("bucket"), "bucket"), "mixed")
-                drawn = nodes.select("node", "bands", "sketch").join(rest.select("node").distinct(), "node", "left_semi")
-                pairs = _likely(rest.join(drawn, "node"))
-        pairs = (pairs.where(close) if star < STARS else pairs).select("a", "b").distinct()
+                drawn = nodes.select("node", "bands", "sketch").join(rest.select("node").distinct(), "node", "left_semi").join(texts, "node")
+                found = written(_linked(rest.join(drawn, "node")).distinct(), "links")
+                classes = components(found if links is None else links.unionByName(found))
+                break
+        pairs = pairs.where(close).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         if star and not pairs.limit(1).count():
-            if star == STARS:
-                break
             continue
         found = _verified(pairs, texts)
         links = found if links is None else links.unionByName(found)

@@ -348,11 +348,12 @@ def test_buckets_in_blocks(spark, monkeypatch):
     rows = [(i, edited(base, i, 1 + i % 9)) for i in range(40)]
     want = {(a, b) for a, b in combinations(range(40), 2) if jaccard(shingled(rows[a][1]), shingled(rows[b][1])) >= 0.8}
     monkeypatch.setattr(bagminhash, "BLOCK", 7)
-    signs = bagminhash.signed(spark.createDataFrame(rows, "doc_id long, text string"))
-    members = signs.select(F.lit(5).cast("long").alias("bucket"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.col("doc_id").alias("class_id"), F.transform("bands", lambda b: F.lit(5).cast("long")).alias("bands"), "sketch")
-    got = [(r.a, r.b) for r in bagminhash._likely(members).collect()]
-    assert want and want <= set(got) and len(got) == len(set(got))
-    assert not bagminhash._likely(members.withColumn("class_id", F.lit(1).cast("long"))).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    signs = bagminhash.signed(df).join(df, "doc_id")
+    members = signs.select(F.lit(5).cast("long").alias("bucket"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.col("doc_id").alias("class_id"), F.transform("bands", lambda b: F.lit(5).cast("long")).alias("bands"), "sketch", "text")
+    got = [(r.a, r.b) for r in bagminhash._linked(members).collect()]
+    assert want and want == set(got) and len(got) == len(set(got))
+    assert not bagminhash._linked(members.withColumn("class_id", F.lit(1).cast("long"))).collect()
 
 
 # op9
