@@ -132,14 +132,16 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), F.length(digits)), one), F.lit(0), lambda s, x: s + x) % 10
 
 
-def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
-    """An entity's surrogate under a key: of its type and format, and for names of its gender and script.
+def drawn(state: DataFrame, key: str) -> DataFrame:
+    """``type, value, attempt`` rows with their ``surrogate``: of its type and format, and for names of its gender and script.
 
     E-mail addresses keep their shape under a reserved domain, phone numbers their first digit, cards the validity of
     their check digit, IBANs their country, IP addresses are valid ones; the number of digits and letters stays.
     """
-    s = _stream(key, kind, value, attempt)
-    free = _shaped(value, s, kind == "secret")
+    kind, value, s, free = (F.col(c) for c in ("type", "value", "_stream", "_free"))
+    # columns of their own, so that the digest isn't taken anew for every character
+    state = state.withColumn("_stream", _stream(key, kind, value, F.col("attempt")))
+    state = state.withColumn("_free", _shaped(value, s, kind == "secret"))
     local, domain = F.substring_index(free, "@", 1), F.substring_index(free, "@", -1)
     labels = F.split(domain, r"\.")
     sub = F.array_join(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(1))), ".")
@@ -163,7 +165,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "iban", iban)
     for script in SYLLABLES:
         out = out.when(kind.endswith(f"_{script}"), name(script))
-    return out.otherwise(free)
+    return state.withColumn("surrogate", out.otherwise(free)).drop("_stream", "_free")
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -174,15 +176,16 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """
     real = entities.select("type", "value").distinct()
     real = written(real, "entities")
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     state = real.withColumn("attempt", F.lit(0))
     for _ in range(ROUNDS):
-        drawn = written(state.withColumn("surrogate", surrogate(key, F.col("type"), F.col("value"), F.col("attempt"))), "surrogates")
-        first = drawn.groupBy("type", "surrogate").agg(F.min(F.struct("attempt", "value"))["value"].alias("holder"))
+        table = written(drawn(state.repartition(parts, "type", "value"), key), "surrogates")
+        first = table.groupBy("type", "surrogate").agg(F.min(F.struct("attempt", "value"))["value"].alias("holder"))
         clash = real.select("type", F.col("value").alias("surrogate"), F.lit(True).alias("is_real"))
-        tried = drawn.join(first, ["type", "surrogate"]).join(clash, ["type", "surrogate"], "left")
+        tried = table.join(first, ["type", "surrogate"]).join(clash, ["type", "surrogate"], "left")
         bad = (F.col("holder") != F.col("value")) | F.coalesce("is_real", F.lit(False))
         if tried.where(bad).limit(1).count() == 0:
-            return drawn.drop("attempt")
+            return table.drop("attempt")
         state = tried.select("type", "value", (F.col("attempt") + F.when(bad, 1).otherwise(0)).alias("attempt"))
     raise RuntimeError("surrogates still meet; the value space of a type is too small for its entities")
 
