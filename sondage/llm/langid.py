@@ -197,9 +197,12 @@ def _fold(doc_id: Column) -> Column:
 
 def _sampled(learn: DataFrame, most: int) -> DataFrame:
     """Whole documents of each language, with probability ``most`` over the language's characters, by a hash of their ids."""
-    share = learn.groupBy("lang").agg(F.least(F.lit(1.0), most / F.greatest(F.sum(F.length("text")), F.lit(1))).alias("share"))
+    total = learn.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).collect()  # one row a language, as the model has
+    share = F.lit(0.0)
+    for row in total:
+        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, most / max(row["chars"] or 0, 1)))).otherwise(share)
     coin = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / (1 << 30)
-    return learn.join(share, "lang").where(coin < F.col("share")).select("doc_id", "lang", "text")
+    return learn.where(coin < share).select("doc_id", "lang", "text")
 
 
 def _counts(sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
