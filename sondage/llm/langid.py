@@ -68,6 +68,15 @@ def _letters(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key, kept, np.diff(letters)
 
 
+def _sums(rows: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of the rows of every text; a text that keeps no character has 0, wherever in a step it stands."""
+    out = np.zeros((len(ends) - 1, *rows.shape[1:]))
+    some = np.flatnonzero(np.diff(ends))
+    if len(some):
+        out[some] = np.add.reduceat(rows, ends[some], axis=0, dtype=np.float64)
+    return out
+
+
 class HashArray:
     """Sorted hashes of n-grams with a directory over their leading bits; ``find`` gives places or -1."""
 
@@ -125,9 +134,7 @@ class Model:
 
     def totals(self, key: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Summed log probabilities of texts, one column a language."""
-        if not len(key):
-            return np.zeros((len(ends) - 1, len(self.langs)))
-        return np.add.reduceat(self.rows(key), ends[:-1], axis=0, dtype=np.float64)
+        return _sums(self.rows(key), ends)
 
     def z(self, entropy: np.ndarray, n: np.ndarray, best: np.ndarray) -> np.ndarray:
         return (entropy - self.mean[best]) / np.sqrt(self.between[best] ** 2 + self.within[best] ** 2 / np.maximum(n, 1))
@@ -238,7 +245,7 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
             lang = np.array([model.langs.index(x) if x in model.langs else -1 for x in rb.column("lang").to_pylist()])
             n = np.diff(ends)
             own = rows[np.arange(len(rows)), np.repeat(lang, n)].astype(np.float64)
-            total, square = (np.add.reduceat(v, ends[:-1]) if len(v) else np.zeros(len(n)) for v in (own, own**2))
+            total, square = _sums(own, ends), _sums(own**2, ends)
             some = (letters > 0) & (lang >= 0)
             yield pa.RecordBatch.from_pydict({"lang": pa.array(lang[some], pa.int32()), "n": pa.array(n[some]), "total": pa.array(total[some]), "square": pa.array(square[some])})
 

@@ -424,6 +424,22 @@ def test_language_without_training_rows(docs):
     assert {r.lang_pred for r in langid.predicted(docs, None).collect()} == {"und"}
 
 
+def test_texts_that_keep_no_character(spark):
+    said = ["the cat sat on the mat and looked at the rain", "le chat est assis sur le tapis et regarde la pluie"]
+    schema = "doc_id long, text string, lang string"
+    learn = [(i, f"{said[i % 2]} {'abcdefghij'[i % 10]}", ["en", "fr"][i % 2]) for i in range(200)]
+    # the letterless rows come last in the calibrating fold too
+    train = learn + [(i, t, "en") for i in range(1000, 1040) for t in ["", "123"]]
+    model = langid.train(spark.createDataFrame(train, schema).coalesce(1))
+    alone = langid.predicted(spark.createDataFrame([(0, "abc", "en")], schema), model).first()
+    for case in (["abc", None], [None, None], ["abc", "123"], ["abc", ""], ["abc", None, "abc", " \n"]):
+        docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(case)], schema).coalesce(1)
+        got = langid.predicted(docs, model).orderBy("doc_id").collect()
+        assert [r.lang_pred for r in got] == [alone.lang_pred if t == "abc" else "und" for t in case]
+        assert all(r.cross_entropy == alone.cross_entropy for r, t in zip(got, case, strict=True) if t == "abc")
+        assert [r.doc_id for r in langid.accepted(docs, model).collect()] == [i for i, t in enumerate(case) if t == "abc" and not alone.rejected]
+
+
 # pipeline and queries
 
 
