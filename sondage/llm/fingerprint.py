@@ -1,8 +1,9 @@
 """Homomorphic multiset fingerprints of documents. Built-ins only.
 
-A paragraph (a line with a character that is no white space) hashes to a wide vector of ``LANES`` 16-bit values; a text's
-fingerprint is the sum of its paragraphs' vectors modulo 2**32, with their number as one more lane. So the order of
-paragraphs doesn't matter, and inserting or deleting one is adding or subtracting its vector.
+A passage (a sentence of a line, with a character that is no white space) hashes to a wide vector of ``LANES`` 16-bit
+values; a text's fingerprint is the sum of its passages' vectors, with their number as one more lane. So the order of
+passages doesn't matter, and inserting or deleting one, or a paragraph of them, is adding or subtracting its vector. Sums
+are exact (of fewer than 2**47 passages); printed, they are modulo 2**32.
 """
 
 from __future__ import annotations
@@ -10,24 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LANES = 64
-#: Mean of a 16-bit value: lanes less so much for each paragraph are centred.
+LANES = 128
+#: Mean of a 16-bit value: lanes less so much for each passage are centred.
 MEAN = 65535 / 2
 MODULUS = 1 << 32
-#: Estimates below two standard errors can't be told from unrelated texts and count as 0.
-NOISE = 2 / LANES**0.5
-#: With more paragraphs a lane can wrap, so only equality is told.
-MOST_PARAGRAPHS = MODULUS // 65536
+#: Where passages part: at line feeds, and after the stop of a sentence.
+PARTED = r"\n|(?<=[.!?…])(?=[ \t])|(?<=[。！？])"
 
 
-def paragraphs(text: Column) -> Column:
-    """The lines of a text that have a character other than white space; null has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda p: F.length(F.trim(F.translate(p, "\t\r\x0b\x0c", "    "))) > 0)
+def passages(text: Column) -> Column:
+    """The sentences of a text's lines that have a character other than white space; null has none."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), PARTED), lambda p: F.length(F.trim(F.translate(p, "\t\r\x0b\x0c", "    "))) > 0)
 
 
-def _vector(paragraph: Column) -> Column:
-    """A paragraph's lanes: four from each 64-bit hash of its SHA-256 digest under a seed of its own, and a one."""
-    digest = F.sha2(paragraph, 256)
+def _vector(passage: Column) -> Column:
+    """A passage's lanes: four from each 64-bit hash of its SHA-256 digest under a seed of its own, and a one."""
+    digest = F.sha2(passage, 256)
     seeds = F.sequence(F.lit(0), F.lit(LANES // 4 - 1))
     words = F.transform(seeds, lambda i: F.xxhash64(digest, i))
     lanes = F.flatten(F.transform(words, lambda w: F.array(*[F.shiftrightunsigned(w, 16 * k).bitwiseAND(F.lit(0xFFFF).cast("long")) for k in range(4)])))
@@ -35,31 +34,32 @@ def _vector(paragraph: Column) -> Column:
 
 
 def add(a: Column, b: Column) -> Column:
-    """The fingerprint of two texts' paragraphs together."""
-    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(MODULUS - 1)))
+    """The fingerprint of two texts' passages together."""
+    return F.zip_with(a, b, lambda x, y: x + y)
 
 
 def remove(a: Column, b: Column) -> Column:
-    """The fingerprint of a's paragraphs without b's."""
-    return F.zip_with(a, b, lambda x, y: (x - y).bitwiseAND(F.lit(MODULUS - 1)))
+    """The fingerprint of a's passages without b's."""
+    return F.zip_with(a, b, lambda x, y: x - y)
 
 
 def lanes(text: Column) -> Column:
     """The fingerprint of a text as an array of longs; null and blank texts have all zeros."""
     zero = F.array_repeat(F.lit(0).cast("long"), LANES + 1)
-    return F.aggregate(F.transform(paragraphs(text), _vector), zero, add)
+    return F.aggregate(F.transform(passages(text), _vector), zero, add)
 
 
 def printed(fingerprint: Column) -> Column:
     """A fingerprint as lower-case hexadecimal, eight digits a lane."""
-    return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.lpad(F.hex(x.bitwiseAND(F.lit(MODULUS - 1))), 8, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """How alike two texts' paragraphs are, 0 to 1, from their fingerprints alone.
+    """How alike two texts' passages are, 0 to 1, from their fingerprints alone.
 
-    The cosine of the centred lanes estimates the cosine of the paragraph multisets with a standard error of
-    1/sqrt(LANES). Equal fingerprints give 1, a blank text against another 0, as do estimates below ``NOISE``.
+    The cosine of the centred lanes estimates the cosine of the passage multisets with a standard error of
+    1/sqrt(LANES), whatever their number. Equal fingerprints give 1, a blank text against another 0; negative estimates
+    are of unrelated texts and count as 0.
     """
     na, nb = F.element_at(a, LANES + 1), F.element_at(b, LANES + 1)
 
@@ -71,7 +71,7 @@ def likeness(a: Column, b: Column) -> Column:
 
     ca, cb = centred(a, na), centred(b, nb)
     cosine = dot(ca, cb) / F.sqrt(dot(ca, ca) * dot(cb, cb))
-    told = F.when((na == 0) | (nb == 0) | (na > MOST_PARAGRAPHS) | (nb > MOST_PARAGRAPHS), F.lit(0.0)).otherwise(F.when(cosine >= NOISE, F.least(cosine, F.lit(1.0))).otherwise(F.lit(0.0)))
+    told = F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(F.greatest(F.least(cosine, F.lit(1.0)), F.lit(0.0)))
     return F.when(a == b, F.lit(1.0)).otherwise(told)
 
 

@@ -129,6 +129,21 @@ def test_multiset_hash(spark):
     assert list(r) == [True, False, True, True, 1.0, 0.0, 1.0]
 
 
+def test_likeness_of_half_equal_and_of_very_long_texts(spark):
+    line = lambda k, n: " ".join(f"Sentence {k} has the number {i}." for i in range(n))
+    lines = lambda k, n: "\n".join(f"{k}{i}" for i in range(n))
+    shares = [(line("a", 40), line("a", 20) + " " + line("b", 20), 0.5), (line("a", 40), line("b", 40), 0), (line("a", 40), line("a", 6) + " " + line("b", 34), 0.15)]
+    shares += [(lines("x", 66_000), lines("x", 33_000) + "\n" + lines("y", 33_000), 0.5), ("z\n" * 66_000, "z\n" * 67_000, 1)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y, _) in enumerate(shares)], "i int, x string, y string").repartition(4)
+    held = df.select("i", fingerprint.lanes(F.col("x")).alias("x"), fingerprint.lanes(F.col("y")).alias("y")).cache()
+    for r in held.select("i", fingerprint.likeness(F.col("x"), F.col("y")).alias("got")).collect():
+        assert abs(r.got - shares[r.i][2]) < 0.25
+    # small shares count on the mean too, as they aren't cut off
+    many = spark.createDataFrame([(line(f"p{i}", 20), line(f"p{i}", 3) + " " + line(f"q{i}", 17)) for i in range(100)], "x string, y string")
+    mean = many.select(fingerprint.likeness(fingerprint.lanes(F.col("x")), fingerprint.lanes(F.col("y"))).alias("got")).agg(F.avg("got")).first()[0]
+    assert abs(mean - 0.15) < 0.05
+
+
 # op4
 
 
