@@ -136,7 +136,8 @@ def drawn(state: DataFrame, key: str) -> DataFrame:
     """``type, value, attempt`` rows with their ``surrogate``: of its type and format, and for names of its gender and script.
 
     E-mail addresses keep their shape under a reserved domain, phone numbers their first digit, cards the validity of
-    their check digit, IBANs their country, IP addresses are valid ones; the number of digits and letters stays.
+    their check digit, IBANs their country, IP addresses are valid ones; the number of digits and letters stays. A name has a
+    syllable more with every attempt, so that the space of names outgrows any number of entities.
     """
     kind, value, s, free = (F.col(c) for c in ("type", "value", "_stream", "_free"))
     # columns of their own, so that the digest isn't taken anew for every character
@@ -157,7 +158,7 @@ def drawn(state: DataFrame, key: str) -> DataFrame:
 
     def name(script: str) -> Column:
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
-        body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.element_at(syllables, _number(s, i, len(SYLLABLES[script])) + 1)), "")
+        body = F.array_join(F.transform(F.sequence(F.lit(1), F.col("attempt") + 4), lambda i: F.element_at(syllables, _number(s, i, len(SYLLABLES[script])) + 1)), "")
         ends = ENDINGS[script]
         gender = F.when(kind.startswith("given_f"), F.lit(ends["f"])).when(kind.startswith("given_m"), F.lit(ends["m"])).otherwise(F.lit(ends["n"]))
         return F.initcap(F.concat(body, gender))
@@ -176,8 +177,16 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """
     real = entities.select("type", "value").distinct()
     real = written(real, "entities")
+    # one row a type of name: where more names than a sixteenth of the space are known, drawing begins with more syllables
+    named = real.where(F.col("type").rlike("^(surname|given)_")).groupBy("type").count().collect()
+    begin = F.lit(0)
+    for row in named:
+        at, size = 0, len(SYLLABLES[row["type"].rsplit("_", 1)[1]])
+        while size ** (4 + at) < 16 * row["count"]:
+            at += 1
+        begin = F.when(F.col("type") == row["type"], F.lit(at)).otherwise(begin) if at else begin
     parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    state = real.withColumn("attempt", F.lit(0))
+    state = real.withColumn("attempt", begin)
     for _ in range(ROUNDS):
         table = written(drawn(state.repartition(parts, "type", "value"), key), "surrogates")
         first = table.groupBy("type", "surrogate").agg(F.min(F.struct("attempt", "value"))["value"].alias("holder"))

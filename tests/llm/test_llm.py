@@ -105,6 +105,15 @@ def test_surrogates_stay_distinct(spark):
     assert out.count() == 30_000 == out.select("surrogate").distinct().count() and out.join(df.select(F.col("value").alias("surrogate")), "surrogate").count() == 0
 
 
+def test_surrogates_of_more_names_than_four_syllables_make(spark):
+    df = spark.range(170_000).selectExpr("'surname_latin' AS type", "concat('Q', id) AS value")
+    out = pii.surrogates(df, "key").cache()
+    assert out.count() == 170_000 == out.select("surrogate").distinct().count() and out.where(r"surrogate rlike '^\\p{Lu}\\p{Ll}+$'").count() == 170_000
+    few = spark.createDataFrame([("surname_greek", "Παππάς"), ("given_f_latin", "Mary")], "type string, value string")
+    want = pii.drawn(few.withColumn("attempt", F.lit(0)), "key").drop("attempt")
+    assert set(pii.surrogates(few, "key").collect()) == set(want.select("type", "value", "surrogate").collect())
+
+
 # op3
 
 
