@@ -48,14 +48,15 @@ class ChunkIds:
     at its end, goes to the library's merges directly; any other piece goes through the library's whole encoding.
     """
 
-    def __init__(self, model: str) -> None:
+    def __init__(self, model: str, literal: bool = True) -> None:
+        """``literal``: the text of a special token is encoded as any other text, not as that token."""
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(model)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
@@ -220,7 +221,7 @@ def write_shards(docs: DataFrame, model: str, path: str, end: int = 0, parts: in
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, held, n, seq, part = ChunkIds(model), [], 0, 0, None
+        chunks, held, n, seq, part = ChunkIds(model, literal=False), [], 0, 0, None
 
         def shard() -> pa.RecordBatch:
             ids = np.concatenate([h[1] for h in held])

@@ -54,6 +54,16 @@ def test_token_index(docs, tokenizer):
     assert wavelet.token_index(empty(docs), BPE).count() == 0
 
 
+def test_special_tokens_in_texts_are_the_librarys(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(BPE)
+    texts = ["end of page <|endoftext|> next", "<|endoftext|>", "a<|endoftext|>b", "x\n<|endoftext|>\n y", "  <|endoftext|>  z <|endoftext|>.", "<|endoftext| >"]
+    got = wavelet.token_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), BPE).orderBy("doc_id").collect()
+    want = [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert 50256 in want[0] and [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in want]
+
+
 def test_chunks_are_encoded_like_whole_texts(tokenizer):
     cases = ["a   b", " a \n b", "a\n\n b  ", "x\t y's 's <|endoftext|> q", "", "  lead", "tab\t\n x \r\n y", "ünï 中文 🎉 a\x0b b", "\n\n\na \n\n", " ", "\n", "don't.. stop,. A.B,c 12.5", "é.,é"]
     ids, at = wavelet.ChunkIds(BPE).of(*utf8(pa.array(cases)))
