@@ -202,14 +202,24 @@ def _fold(doc_id: Column) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4
 
 
-def _sampled(learn: DataFrame, most: int) -> DataFrame:
-    """Whole documents of each language, with probability ``most`` over the language's characters, by a hash of their ids."""
-    total = learn.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).collect()  # one row a language, as the model has
-    share = F.lit(0.0)
-    for row in total:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, most / max(row["chars"] or 0, 1)))).otherwise(share)
-    coin = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / (1 << 30)
-    return learn.where(coin < share).select("doc_id", "lang", "text")
+def _coin() -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / (1 << 30)
+
+
+def _shares(learn: DataFrame) -> dict[tuple[str, bool], tuple[int, float]]:
+    """(characters, least coin of a document) by language and whether the fold sets rejection, of documents with a letter."""
+    some = learn.where(F.col("text").rlike(r"\p{L}")).groupBy("lang", (_fold(F.col("doc_id")) == 3).alias("sets"))
+    rows = some.agg(F.sum(F.length("text")).alias("chars"), F.min(_coin()).alias("least")).collect()  # two rows a language, as the model has
+    return {(r["lang"], r["sets"]): (r["chars"], r["least"]) for r in rows}
+
+
+def _sampled(learn: DataFrame, shares: dict[str, tuple[int, float]], most: int) -> DataFrame:
+    """Whole documents of each language, with probability ``most`` over the language's characters, by a hash of their
+    ids; the one of the least hash at least, so that no language is lost."""
+    share = F.lit(-1.0)
+    for lang, (chars, least) in shares.items():
+        share = F.when(F.col("lang") == lang, F.lit(max(min(1.0, most / max(chars, 1)), least))).otherwise(share)
+    return learn.where(_coin() <= share).select("doc_id", "lang", "text")
 
 
 def _counts(sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -267,18 +277,24 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
 def train(docs: DataFrame) -> Model | None:
     """A model from the text and lang of labelled documents outside the held-out fold; None without any.
 
-    Folds are crc32(doc_id as text) mod 4: 2 is held out, 3 sets rejection, 0 and 1 train. Rows whose doc_id, lang
+    Folds are crc32(doc_id as text) mod 4: 2 is held out, 3 sets rejection, 0 and 1 train; a language that has rows in fold 3 only trains on these. Rows whose doc_id, lang
     or text is null, and texts without letters, teach nothing.
     """
-    learn = docs.select("doc_id", "lang", "text").where("lang is not null and text is not null and doc_id is not null")
-    fold = _fold(F.col("doc_id"))
-    counts = _counts(_sampled(learn.where(fold.isin(0, 1)), SAMPLE_CHARS))
-    if not counts:
-        counts = _counts(_sampled(learn.where(fold == 3), SAMPLE_CHARS))
+    learn = docs.select("doc_id", "lang", "text").where("lang is not null and text is not null and doc_id is not null").where(_fold(F.col("doc_id")) != 2)
+    shares = _shares(learn)
+    if not shares:
+        return None
+    sets = _fold(F.col("doc_id")) == 3
+    trains = {x: v for (x, third), v in shares.items() if not third}
+    rejects = {x: v for (x, third), v in shares.items() if third}
+    sample = _sampled(learn.where(~sets), trains, SAMPLE_CHARS)
+    if rest := {x: v for x, v in rejects.items() if x not in trains}:
+        sample = sample.unionByName(_sampled(learn.where(sets), rest, SAMPLE_CHARS))
+    counts = _counts(sample)
     if not counts:
         return None
     model = fit(counts)
-    _calibrate(model, _sampled(learn.where(fold == 3), SAMPLE_CHARS // 2))
+    _calibrate(model, _sampled(learn.where(sets), rejects, SAMPLE_CHARS // 2))
     return model
 
 

@@ -474,6 +474,20 @@ def test_texts_that_keep_no_character(spark):
         assert [r.doc_id for r in langid.accepted(docs, model).collect()] == [i for i, t in enumerate(case) if t == "abc" and not alone.rejected]
 
 
+def test_no_language_is_lost_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 1000)
+    fold = lambda k: zlib.crc32(str(k).encode()) % 4
+    third = [k for k in range(2000, 2100) if fold(k) == 3][:5]
+    said = {"en": "the cat sat on the mat and looked at the rain. ", "fr": "le chat est assis sur le tapis et regarde la pluie. ", "de": "die katze sitzt auf der matte und sieht den regen. "}
+    rows = [(k, said["en"], "en") for k in range(100)]
+    rows += [(k, said["fr"] * 20_000, "fr") for k in range(1000, 1010)] + [(k, said["de"], "de") for k in third]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    assert model.langs == ["de", "en", "fr"]
+    got = langid.predicted(df.where("lang <> 'fr'").unionByName(df.where("lang = 'fr'").limit(1)), model).join(df.select("doc_id", "lang"), "doc_id").distinct()
+    assert got.where("lang <> lang_pred").count() == 0
+
+
 # pipeline and queries
 
 
