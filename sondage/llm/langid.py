@@ -29,6 +29,8 @@ SAMPLE_CHARS = 3_000_000
 EVIDENCE_CHARS = 50
 #: Least standard deviations above the usual cross-entropy at which a text is rejected.
 LEAST_Z = 6.0
+#: Rejection begins at so many times the 90 % quantile of z, which for an exponential tail is 1.5 times the 99.9 % one.
+TAIL = 4.5
 
 
 @lru_cache(maxsize=1)
@@ -244,7 +246,8 @@ def _counts(sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
 
 def _calibrate(model: Model, sample: DataFrame) -> None:
     """Sets the usual cross-entropy of each language, its spread, and where rejection begins, from documents that the
-    model has not seen: 1.5 times the 99.9 % quantile of their standardised cross-entropies, ``LEAST_Z`` at least."""
+    model has not seen and whose best language is their label: ``TAIL`` times the 90 % quantile of their standardised
+    cross-entropies, ``LEAST_Z`` at least. Up to a tenth of junk among them can't carry the limit beyond itself."""
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +259,7 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
             n = np.diff(ends)
             own = rows[np.arange(len(rows)), np.repeat(lang, n)].astype(np.float64)
             total, square = _sums(own, ends), _sums(own**2, ends)
-            some = (letters > 0) & (lang >= 0)
+            some = (letters > 0) & (lang >= 0) & (lang == _sums(rows, ends).argmax(axis=1))
             yield pa.RecordBatch.from_pydict({"lang": pa.array(lang[some], pa.int32()), "n": pa.array(n[some]), "total": pa.array(total[some]), "square": pa.array(square[some])})
 
     rows = sample.mapInArrow(run, "lang int, n long, total double, square double").toPandas()
@@ -268,10 +271,12 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
             continue
         entropy, n = -(own["total"] / own["n"]).to_numpy(), own["n"].to_numpy()
         model.mean[j] = np.median(entropy)
-        model.within[j] = np.sqrt(max(own["square"].sum() / n.sum() - (own["total"].sum() / n.sum()) ** 2, 0.01))
+        usual = (entropy <= np.quantile(entropy, 0.9)).nonzero()[0]
+        total, square = own["total"].to_numpy()[usual].sum(), own["square"].to_numpy()[usual].sum()
+        model.within[j] = np.sqrt(max(square / n[usual].sum() - (total / n[usual].sum()) ** 2, 0.01))
         model.between[j] = max(0.05, 1.4826 * np.median(np.abs(entropy - model.mean[j])))
         z = model.z(entropy, n, np.full(len(n), j))
-        model.limit[j] = max(LEAST_Z, 1.5 * np.quantile(z, 0.999))
+        model.limit[j] = max(LEAST_Z, TAIL * np.quantile(z, 0.9))
 
 
 def train(docs: DataFrame) -> Model | None:

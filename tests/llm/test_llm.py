@@ -488,6 +488,18 @@ def test_no_language_is_lost_in_the_sample(spark, monkeypatch):
     assert got.where("lang <> lang_pred").count() == 0
 
 
+def test_junk_does_not_lift_the_limit(spark):
+    rng = np.random.default_rng(5)
+    words = ["the", "an", "er", "on", "in", "ing", "ti", "re", "at", "es", "ou", "ha"]
+    prose = lambda: " ".join("".join(rng.choice(words, 3)) for _ in range(40))
+    junk = lambda: "".join(chr(0x3041 + int(c)) for c in rng.integers(0, 80, 200))
+    schema = "doc_id long, text string, lang string"
+    third = [k for k in range(5000, 5400) if zlib.crc32(str(k).encode()) % 4 == 3][:10]
+    model = langid.train(spark.createDataFrame([(k, prose(), "en") for k in range(1200)] + [(k, junk(), "en") for k in third], schema))
+    got = langid.predicted(spark.createDataFrame([(k, junk() if k < 5 else prose(), "en") for k in range(105)], schema), model).collect()
+    assert [r.rejected for r in sorted(got, key=lambda r: r.doc_id)] == [True] * 5 + [False] * 100
+
+
 # pipeline and queries
 
 
