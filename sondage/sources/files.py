@@ -91,19 +91,23 @@ def _csv(spark: SparkSession, path: str, plan: CsvPlan) -> DataFrame:
     return df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(*NULLS), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def plan_csv(spark: SparkSession, path: str, probe: int = 50) -> CsvPlan:
-    """A strategy from the first ``probe`` lines (the header and a few rows): the separator that makes columns, strict if all these
-    lines have as many fields, without quotes if they don't pair."""
-    lines = [r.value for r in spark.read.text(path).limit(probe).collect()]
-    if not lines:
+def plan_csv(spark: SparkSession, path: str) -> CsvPlan:
+    """A strategy from all lines, in one aggregation: the separator that makes columns of the header, strict if all lines
+    have as many fields, without quotes if they don't pair in every line."""
+    text = spark.read.text(path)
+    head = text.first()
+    if head is None:
         raise ValueError("empty file")
-    if lines[0].count(";") > lines[0].count(","):
+    if head.value.count(";") > head.value.count(","):
         return STRATEGIES[2]
-    if lines[0].count(",") == 0:
+    if head.value.count(",") == 0:
         raise ValueError("at most one column")
-    if any(x.count('"') % 2 for x in lines):
+    count = lambda c: F.length("value") - F.length(F.replace(F.col("value"), F.lit(c)))
+    fields = F.when(F.trim("value") != "", count(","))
+    found = text.agg(F.min(fields).alias("least"), F.max(fields).alias("most"), F.max(count('"') % 2).alias("odd")).first()
+    if found["odd"]:
         return STRATEGIES[3]
-    return STRATEGIES[0] if len({x.count(",") for x in lines if x.strip()}) == 1 else STRATEGIES[1]
+    return STRATEGIES[0] if found["least"] == found["most"] else STRATEGIES[1]
 
 
 def read_csv_resilient(spark: SparkSession, path: str) -> tuple[DataFrame, str]:

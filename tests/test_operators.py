@@ -185,3 +185,14 @@ def test_manifest(spark):
     assert sorted(r.path for r in incremental.changed_files(now, known, 1).collect()) == ["b", "c"]
     assert incremental.changed_files(now, known, 1, rebuild=True).count() == 3
     assert incremental.tree_fingerprint(now.limit(0)).first()[0] == "empty"
+
+
+def test_csv_plan_reads_all_lines(spark, tmp_path):
+    from sondage.sources import files
+
+    good = ["a,b"] + [f"{i},x" for i in range(100)]
+    for name, last, strategy in (("even", "7,y", "comma_strict"), ("ragged", "7,y,z", "comma_ignore_errors"), ("quote", '7,"y', "comma_no_quote")):
+        path = tmp_path / f"{name}.csv"
+        path.write_text("\n".join([*good, last]) + "\n")
+        df, got = files.read_csv_resilient(spark, str(path))
+        assert got == strategy and len(df.collect()) == (100 if name == "ragged" else 101)
