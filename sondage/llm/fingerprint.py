@@ -15,6 +15,8 @@ LANES = 128
 #: Mean of a 16-bit value: lanes less so much for each passage are centred.
 MEAN = 65535 / 2
 MODULUS = 1 << 32
+#: Passages whose packed sums stay apart: of 2**15, a half of 64 bits less the sign holds 16-bit values.
+CHUNK_BITS = 15
 #: Where passages part: at line feeds, and after the stop of a sentence.
 PARTED = r"\n|(?<=[.!?…])(?=[ \t])|(?<=[。！？])"
 
@@ -50,7 +52,7 @@ def lanes(text: Column) -> Column:
 
 
 def printed(fingerprint: Column) -> Column:
-    """A fingerprint as lower-case hexadecimal, eight digits a lane."""
+    """A fingerprint as lower-case hexadecimal, eight digits a lane, each modulo 2**32."""
     return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.lpad(F.hex(x.bitwiseAND(F.lit(MODULUS - 1))), 8, "0"))), "")
 
 
@@ -75,13 +77,36 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(told)
 
 
-def with_next(docs: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
-    """Every row with ``next_<column>`` of the row after it in ascending order of ``key`` (nulls first, ties by
-    ``order``); the first follows the last.
+def vectors(rows: DataFrame, keys: list[str], texts: dict[str, Column]) -> DataFrame:
+    """``keys`` and, for each named text, its fingerprint (as ``lanes`` gives it); ``keys`` tell the rows apart.
 
-    Rows go to buckets between quantiles of the key, a few for each shuffle partition, and each bucket is a window. The
-    quantiles are keys that occur, so the row after a bucket's last is the first at the next quantile: those rows go
-    to both buckets. One shuffle; no bucket holds more than its share unless one key repeats as often.
+    Passages become rows and lanes columns of plain sums, two lanes to a 64-bit number whose halves can't overflow
+    within ``CHUNK`` passages; longer texts are sums of chunks. Rows that are partitioned by some of the keys stay where they are.
+    """
+    names = list(texts)
+    each = F.array(*[F.struct(F.lit(i).alias("_which"), F.coalesce(t, F.lit("")).alias("_text")) for i, t in enumerate(texts.values())])
+    rows = rows.select(*keys, F.inline(each)).select(*keys, "_which", F.posexplode(F.split("_text", PARTED)).alias("_pos", "_passage"))
+    solid = F.length(F.trim(F.translate("_passage", "\t\r\x0b\x0c", "    "))) > 0
+    rows = rows.select(*keys, "_which", F.shiftright("_pos", CHUNK_BITS).alias("_chunk"), F.sha2("_passage", 256).alias("_digest"), solid.alias("_solid"))
+    rows = rows.withColumn("_halves", F.when(F.col("_solid"), F.lit(0x0000FFFF0000FFFF)).otherwise(F.lit(0).cast("long")))
+    words = [F.xxhash64("_digest", F.lit(i)) for i in range(LANES // 4)]
+    sums = [F.sum(F.shiftrightunsigned(w, s).bitwiseAND(F.col("_halves"))).alias(f"_s{i}_{s}") for i, w in enumerate(words) for s in (0, 16)]
+    chunks = rows.groupBy(*keys, "_which", "_chunk").agg(F.count_if("_solid").alias("_n"), *sums)
+    low, high = lambda c: F.col(c).bitwiseAND(F.lit(MODULUS - 1)), lambda c: F.shiftrightunsigned(c, 32)
+    own = F.array(*[x(f"_s{i}_{s}") for i in range(LANES // 4) for x in (low, high) for s in (0, 16)], F.col("_n"))
+    chunks = chunks.select(*keys, "_which", own.alias("_lanes"))
+    whole = chunks.groupBy(*keys).agg(*[F.collect_list(F.when(F.col("_which") == i, F.col("_lanes"))).alias(n) for i, n in enumerate(names)])
+    total = lambda n: F.aggregate(F.slice(n, 2, F.greatest(F.size(n) - 1, F.lit(1))), F.get(F.col(n), F.lit(0)), add)
+    return whole.select(*keys, *[total(n).alias(n) for n in names])
+
+
+def placed(docs: DataFrame, key: str) -> DataFrame:
+    """Rows in buckets (``_bucket``) of ascending ``key``, nulls first; rows at the head of a bucket once more, with ``_extra``
+    1, at the end of the one before (the first rows at the end of the last).
+
+    Buckets lie between quantiles of the key, a few for each shuffle partition. The quantiles are keys that occur, so the row
+    after a bucket's last is the first at the next quantile. No bucket holds more than its share unless one key
+    repeats as often.
     """
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = docs.agg(F.percentile_approx(key, [i / n for i in range(n)], 50 * n).alias("q"), F.min(key).alias("least"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
@@ -108,9 +133,7 @@ def with_next(docs: DataFrame, key: str, order: str, columns: list[str]) -> Data
     rows = docs.withColumn("_b", bucket)
     places = F.concat(place(F.col("_b"), 0), F.when(head, place(F.col("_b") - 1, 1)).otherwise(none), F.when(first, place(F.lit(len(bounds)), 1)).otherwise(none))
     rows = rows.withColumn("_p", F.explode(places)).select("*", F.col("_p.bucket").alias("_bucket"), F.col("_p.extra").alias("_extra")).drop("_p", "_b")
-    w = Window.partitionBy("_bucket").orderBy("_extra", F.col(key).asc_nulls_first(), order)
-    rows = rows.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
-    return rows.where("_extra = 0").drop("_bucket", "_extra")
+    return rows
 
 
 def compared(docs: DataFrame) -> DataFrame:
@@ -120,15 +143,16 @@ def compared(docs: DataFrame) -> DataFrame:
     from the start of the next document by doc_id. Null texts are empty; null doc_ids come first; rows with equal
     doc_ids are ordered by text; a single document is its own next. Only doc_id and text are read.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("lanes", lanes(F.col("text")))
-    rows = with_next(rows, "doc_id", "text", ["text", "lanes"])
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "lanes", "next_lanes", edited.alias("edited"))
-    rows = rows.select("doc_id", "n_chars", "lanes", "next_lanes", F.sha2("edited", 256).alias("edited_sha256"), lanes(F.col("edited")).alias("edited_lanes"))
-    return rows.select(
+    text, half = F.col("text"), F.floor(F.length("text") / 2).cast("int")
+    rows = placed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id")
+    order = Window.partitionBy("_bucket").orderBy("_extra", F.col("doc_id").asc_nulls_first(), "text")
+    rows = rows.select("_bucket", "_extra", "doc_id", "text", F.row_number().over(order).alias("_rank"), F.lead("text").over(order).alias("next_text"))
+    edited = F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(F.col("next_text"), F.lit(1), half))
+    rows = rows.select("_bucket", "_rank", "_extra", "doc_id", F.length(text).cast("long").alias("n_chars"), "text", F.when(F.col("_extra") == 0, edited).alias("edited"))
+    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
+    told = vectors(rows, ["_bucket", "_rank", "_extra", "doc_id", "n_chars", "edited_sha256"], {"lanes": text, "edited_lanes": F.col("edited")})
+    told = told.withColumn("next_lanes", F.lead("lanes").over(Window.partitionBy("_bucket").orderBy("_rank"))).where("_extra = 0")
+    return told.select(
         "doc_id", "n_chars", "edited_sha256", printed(F.col("lanes")).alias("fingerprint"), printed(F.col("edited_lanes")).alias("edited_fingerprint"),
         likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"), likeness(F.col("lanes"), F.col("next_lanes")).alias("near_next"),
     )
