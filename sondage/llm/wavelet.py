@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -48,15 +49,13 @@ class ChunkIds:
     at its end, goes to the library's merges directly; any other piece goes through the library's whole encoding.
     """
 
-    def __init__(self, model: str, literal: bool = True) -> None:
-        """``literal``: the text of a special token is encoded as any other text, not as that token."""
+    def __init__(self, model: str) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(model)
-        self.tokenizer.encode_special_tokens = literal
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
@@ -105,6 +104,12 @@ class ChunkIds:
         return ids, at[np.searchsorted(starts, ends)]
 
 
+@lru_cache(maxsize=1)
+def chunk_ids(model: str) -> ChunkIds:
+    """The encoder of a Python worker, kept for its next tasks."""
+    return ChunkIds(model)
+
+
 def build(ids: np.ndarray) -> dict:
     """The wavelet matrix of an array of ids."""
     counts = np.bincount(ids) if len(ids) else np.zeros(1, np.int64)
@@ -221,7 +226,7 @@ def write_shards(docs: DataFrame, model: str, path: str, end: int = 0, parts: in
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, held, n, seq, part = ChunkIds(model, literal=False), [], 0, 0, None
+        chunks, held, n, seq, part = chunk_ids(model), [], 0, 0, None
 
         def shard() -> pa.RecordBatch:
             ids = np.concatenate([h[1] for h in held])
