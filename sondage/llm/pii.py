@@ -1,6 +1,6 @@
 """Personal data replaced by keyed surrogates of the same type, gender, script and format. Built-ins only.
 
-Every entity (an e-mail address, a number by its digits, a name by its parts) gets one surrogate over the whole corpus,
+Every entity (a mailbox, its domain, a number by its digits, a name by its parts) gets one surrogate over the whole corpus,
 from a keyed hash; surrogates that meet each other or a real entity are drawn again, so distinct entities stay distinct.
 """
 
@@ -13,16 +13,25 @@ from pyspark.sql import functions as F
 
 from .shared import written
 
-# Words that announce a name, with the gender they tell, and common given names.
+# Titles, with the gender they tell, common given names, and phrases that a full name follows.
 TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Sra", "Señora", "Signora"],
     "m": ["Mr", "Herr", "Monsieur", "Sr", "Señor", "Signor"],
     "n": ["Dr", "Prof"],
 }
 GIVEN = {
-    "f": ["Mary", "Anna", "Emma", "Julia", "Laura", "Sarah", "Elena", "Sophie", "Claire", "Lucia", "Carmen", "Ingrid", "Alice", "Linda", "Susan", "Анна", "Мария", "Ольга", "Μαρία", "Ελένη"],
-    "m": ["John", "James", "Robert", "Michael", "David", "Thomas", "Peter", "Paul", "Pierre", "Jean", "Carlos", "Hans", "Karl", "Luis", "William", "Иван", "Пётр", "Сергей", "Γιώργος", "Νίκος"],
-}
+    "f": [
+        "Mary", "Anna", "Emma", "Julia", "Laura", "Sarah", "Elena", "Sophie", "Claire", "Lucia", "Carmen", "Ingrid", "Alice", "Linda", "Susan", "Maria", "María", "Elizabeth", "Jennifer", "Patricia", "Jessica", "Karen", "Nancy",
+        "Helen", "Emily", "Olivia", "Hannah", "Charlotte", "Ursula", "Monika", "Petra", "Sabine", "Katrin", "Greta", "Camille", "Chloé", "Manon", "Juliette", "Isabelle", "Nathalie", "Pilar", "Isabel", "Rosa", "Sofía", "Giulia", "Chiara",
+        "Francesca", "Анна", "Мария", "Ольга", "Елена", "Наталья", "Μαρία", "Ελένη", "Κατερίνα",
+    ],
+    "m": [
+        "John", "James", "Robert", "Michael", "David", "Thomas", "Peter", "Paul", "Pierre", "Jean", "Carlos", "Hans", "Karl", "Luis", "William", "Tom", "Richard", "Joseph", "Charles", "Daniel", "Matthew", "Anthony", "Andrew", "George",
+        "Steven", "Edward", "Henry", "Jürgen", "Klaus", "Wolfgang", "Stefan", "Andreas", "Dieter", "Jacques", "François", "Antoine", "Nicolas", "Julien", "Olivier", "José", "Juan", "Miguel", "Javier", "Pedro", "Antonio", "Giovanni",
+        "Marco", "Luca", "Francesco", "Иван", "Пётр", "Сергей", "Алексей", "Дмитрий", "Γιώργος", "Νίκος", "Δημήτρης",
+    ],
+}
+ANNOUNCING = ["my name is", "My name is", "Name:", "name:", "Contact:", "Patient:", "Dear", "Best regards,", "Kind regards,", "Sincerely,", "signed by", "Signed by", "Ich heiße", "ich heiße", "Mein Name ist", "Je m'appelle", "je m'appelle", "Me llamo", "me llamo"]
 #: Syllables of surrogate names by script, and the endings that mark a gender there.
 SYLLABLES = {
     "latin": ["ba", "cor", "dan", "el", "fi", "gan", "hel", "is", "jo", "kal", "lin", "mor", "nes", "or", "pel", "rin", "sol", "tar", "ul", "ven"],
@@ -45,13 +54,15 @@ PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w-])",
     "secret": r"(?<!\w)(?=[a-f]{0,63}\d)[0-9a-f]{32,64}(?!\w)",
-    "name": rf"(?<!\w)(?:(?:{'|'.join(t for g in TITLES.values() for t in g)})\.? {NAME}(?: {NAME})?|(?:{'|'.join(n for g in GIVEN.values() for n in g)}) {NAME})(?!\w)",
+    "name": rf"(?<!\w)(?=\p{{Lu}})(?:(?:{'|'.join(t for g in TITLES.values() for t in g)})\.? {NAME}(?: {NAME})?|(?:{'|'.join(n for g in GIVEN.values() for n in g)}) {NAME}|(?<=(?:{'|'.join(ANNOUNCING)}) ){NAME} {NAME})(?!\w)",
 }
 MENTION = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What a text with a mention has: a digit, an @, or a word that announces a name. Texts without are passed by.
-HINT = rf"[0-9@]|(?<!\w)(?:{'|'.join([t for g in TITLES.values() for t in g] + [n for g in GIVEN.values() for n in g])})(?!\w)"
-#: Rounds of drawing again; each draws anew for the few that met.
-ROUNDS = 20
+HINT = rf"[0-9@]|(?<!\w)(?:(?=\p{{Lu}})(?:{'|'.join([t for g in TITLES.values() for t in g] + [n for g in GIVEN.values() for n in g])})(?!\w)|(?:{'|'.join(ANNOUNCING)}) )"
+#: What begins the type of a mailbox; its domain follows.
+MAILBOX = "mailbox@"
+#: Rounds of drawing again; each draws anew for the few that met, from a space that grows with the attempts.
+ROUNDS = 40
 
 
 def _is(pattern: str) -> str:
@@ -59,8 +70,9 @@ def _is(pattern: str) -> str:
 
 
 def kind_of(mention: Column) -> Column:
-    """The type of a mention: that of the first pattern that fits it whole."""
-    return F.coalesce(*[F.when(mention.rlike(_is(p)), F.lit(k)) for k, p in PATTERNS.items()], F.lit("card"))
+    """The type of a mention: that of the first pattern that fits it whole; an announced name stands without what announces it."""
+    fits = [F.when(mention.rlike(_is(p)), F.lit(k)) for k, p in PATTERNS.items()]
+    return F.coalesce(*fits, F.when(mention.rlike(rf"^{NAME} {NAME}$"), F.lit("name")), F.lit("card"))
 
 
 def _digits(x: Column) -> Column:
@@ -73,7 +85,8 @@ def _script(x: Column) -> Column:
 
 def _parts(mention: Column, kind: Column) -> Column:
     """The entities of a mention: ``(type, value)`` structs. Names give one for each part, so that a person keeps the
-    surname with and without a given name; numbers are their digits, so that punctuation doesn't matter."""
+    surname with and without a given name; an address gives its mailbox (of a type of its domain's own) and its domain, which
+    so stays common to its mailboxes; numbers are their digits, so that punctuation doesn't matter."""
     titles = {g: [*t, *[x + "." for x in t]] for g, t in TITLES.items()}
     tokens = F.split(mention, " ")
     lead = F.element_at(tokens, 1)
@@ -86,10 +99,12 @@ def _parts(mention: Column, kind: Column) -> Column:
     pair = lambda k, v: F.struct(k.alias("type"), v.alias("value"))
     surname = pair(F.concat(F.lit("surname_"), _script(F.element_at(rest, -1))), F.element_at(rest, -1))
     first = pair(F.concat(F.lit("given_"), gender, F.lit("_"), _script(given)), given)
-    name = F.when(F.size(rest) == 2, F.array(first, surname)).otherwise(F.array(surname))
+    name = F.when(F.size(rest) == 2, F.array(first, surname)).when(known["f"] | known["m"], F.array(first)).otherwise(F.array(surname))
     number = F.array(pair(kind, F.when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(_digits(mention))))
-    plain = F.array(pair(kind, F.when(kind == "email", F.lower(mention)).otherwise(mention)))
-    return F.when(kind == "name", name).when(kind.isin("phone", "card", "ssn", "iban"), number).otherwise(plain)
+    low = F.lower(mention)
+    domain = F.substring_index(low, "@", -1)
+    address = F.array(pair(F.concat(F.lit(MAILBOX), domain), F.substring_index(low, "@", 1)), pair(F.lit("domain"), domain))
+    return F.when(kind == "name", name).when(kind.isin("phone", "card", "ssn", "iban"), number).when(kind == "email", address).otherwise(F.array(pair(kind, mention)))
 
 
 def _stream(key: str, kind: Column, value: Column, attempt: Column) -> Column:
@@ -132,29 +147,48 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), F.length(digits)), one), F.lit(0), lambda s, x: s + x) % 10
 
 
+def _mod97(iban: Column) -> Column:
+    """An IBAN modulo 97, its first four characters moved to the end and letters read as 10 to 35; 1 where it is valid."""
+    moved = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 4))
+
+    def add(sum_: Column, i: Column) -> Column:
+        code = F.ascii(F.substring(moved, i, F.lit(1)))
+        return F.when(code >= 65, (sum_ * 100 + code - 55) % 97).otherwise((sum_ * 10 + code - 48) % 97)
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
+
+
 def drawn(state: DataFrame, key: str) -> DataFrame:
     """``type, value, attempt`` rows with their ``surrogate``: of its type and format, and for names of its gender and script.
 
-    E-mail addresses keep their shape under a reserved domain, phone numbers their first digit, cards the validity of
-    their check digit, IBANs their country, IP addresses are valid ones; the number of digits and letters stays. A name has a
-    syllable more with every attempt, so that the space of names outgrows any number of entities.
+    Mailboxes keep their shape, domains theirs under a reserved one, phone numbers their first digit, cards and IBANs the
+    validity of their check digits, IBANs their country, IP addresses are valid ones; the number of digits and letters stays.
+    With every attempt a name has a syllable more, after a second one a mailbox or domain a letter more and after a fourth one a
+    number a digit more, so that the space outgrows any number of entities; IP addresses stay within theirs.
     """
-    kind, value, s, free = (F.col(c) for c in ("type", "value", "_stream", "_free"))
+    kind, value, s, free, attempt = (F.col(c) for c in ("type", "value", "_stream", "_free", "attempt"))
     # columns of their own, so that the digest isn't taken anew for every character
     state = state.withColumn("_stream", _stream(key, kind, value, F.col("attempt")))
     state = state.withColumn("_free", _shaped(value, s, kind == "secret"))
-    local, domain = F.substring_index(free, "@", 1), F.substring_index(free, "@", -1)
-    labels = F.split(domain, r"\.")
+
+    def more(after: int, signs: str) -> Column:
+        pick = lambda i: F.substring(F.lit(signs), _number(s, F.lit(200) + i, len(signs)) + 1, F.lit(1))
+        return F.when(attempt <= after, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(attempt - after, F.lit(1))), pick), ""))
+
+    letters, digits = more(2, "abcdefghijklmnopqrstuvwxyz"), more(4, "0123456789")
+    labels = F.split(free, r"\.")
     sub = F.array_join(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(1))), ".")
-    email = F.concat(local, F.lit("@"), sub, F.lit(".example."), F.element_at(F.array(*map(F.lit, ["com", "net", "org"])), _number(s, F.lit(290), 3) + 1))
+    domain = F.concat(sub, letters, F.lit(".example."), F.element_at(F.array(*map(F.lit, ["com", "net", "org"])), _number(s, F.lit(290), 3) + 1))
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_number(s, i, 254) + 1).cast("string")), ".")
-    head = F.substring(value, 1, 2)
-    phone = F.concat(F.substring(value, 1, 1), F.substring(free, F.lit(2), F.length(free)))
-    stem = F.substring(free, F.lit(1), F.length(free) - 1)
+    phone = F.concat(F.substring(value, 1, 1), F.substring(free, F.lit(2), F.length(free)), digits)
+    stem = F.concat(F.substring(free, F.lit(1), F.length(free) - 1), digits)
     check = F.pmod(10 - _luhn(F.concat(stem, F.lit("0"))), F.lit(10))
     valid = _luhn(value) == 0
     card = F.concat(stem, F.when(valid, check).otherwise(F.pmod(check + 1 + F.pmod(_number(s, F.lit(291), 250), F.lit(9)), F.lit(10))).cast("string"))
-    iban = F.concat(head, F.substring(free, F.lit(3), F.length(free)))
+    country, account = F.substring(value, 1, 2), F.substring(free, F.lit(5), F.length(free))
+    right = 98 - _mod97(F.concat(country, F.lit("00"), account))
+    shown = F.when(_mod97(value) == 1, right).when(right == 98, F.lit(3)).otherwise(right + 1)
+    iban = F.concat(country, F.lpad(shown.cast("string"), 2, "0"), account)
 
     def name(script: str) -> Column:
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
@@ -163,7 +197,8 @@ def drawn(state: DataFrame, key: str) -> DataFrame:
         gender = F.when(kind.startswith("given_f"), F.lit(ends["f"])).when(kind.startswith("given_m"), F.lit(ends["m"])).otherwise(F.lit(ends["n"]))
         return F.initcap(F.concat(body, gender))
 
-    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", card).when(kind == "iban", iban)
+    out = F.when(kind.startswith(MAILBOX), F.concat(free, letters)).when(kind == "domain", domain).when(kind == "ip", ip)
+    out = out.when(kind == "phone", phone).when(kind == "ssn", F.concat(free, digits)).when(kind == "card", card).when(kind == "iban", iban)
     for script in SYLLABLES:
         out = out.when(kind.endswith(f"_{script}"), name(script))
     return state.withColumn("surrogate", out.otherwise(free)).drop("_stream", "_free")
@@ -207,24 +242,27 @@ def _render(mention: Column, kind: Column, parts: Column) -> Column:
     refill = F.array_join(
         F.transform(F.sequence(F.lit(1), F.length(mention)), lambda i: F.when(F.regexp_like(F.substring(mention, i, F.lit(1)), marks), F.substring(one, place(i), F.lit(1))).otherwise(F.substring(mention, i, F.lit(1)))), ""
     )
+    marked = F.length(F.when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(_digits(mention)))
+    refill = F.concat(refill, F.substring(one, marked + 1, F.length(one)))  # a surrogate that has grown
     tokens = F.split(mention, " ")
     name = F.array_join(F.concat(F.slice(tokens, F.lit(1), F.size(tokens) - F.size(parts)), parts), " ")
-    return F.when(kind == "name", name).when(kind.isin("phone", "card", "ssn", "iban"), refill).otherwise(one)
+    return F.when(kind == "name", name).when(kind.isin("phone", "card", "ssn", "iban"), refill).when(kind == "email", F.array_join(parts, "@")).otherwise(one)
 
 
-def replaced(docs: DataFrame, key: str) -> DataFrame:
-    """``docs`` with ``text`` rewritten and one more column ``n_entities`` (mentions replaced); other columns stay.
+def replaced(docs: DataFrame, key: str, count: str | None = "n_entities") -> DataFrame:
+    """``docs`` with ``text`` rewritten and one more column ``count`` (mentions replaced; none if None); other columns stay.
 
-    Texts without a hint of a mention, null and empty ones pass by untouched. For the others, each distinct text is
-    taken apart once whatever its copies, so repeated rows are rewritten alike. An entity in many texts is one row of
-    the surrogates' table; its mentions meet it in a join that can be split. Column names starting with ``_pii_`` are
-    reserved.
+    A column of ``docs`` that has the count's name stays as it is, and the count is left out. Null and empty texts and those
+    without a mention pass untouched. Texts are searched once, and written with what was found; of those with mentions each
+    distinct one is taken apart once whatever its copies, so repeated rows are rewritten alike. An entity in many texts is one
+    row of the surrogates' table; its mentions meet it in a join that can be split. Names starting with ``_pii_`` are reserved.
     """
-    hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
-    plain = docs.where(~hinted).withColumn("n_entities", F.lit(0).cast("long"))
-    some = docs.where(hinted).withColumn("_pii_key", F.sha2("text", 256))
-    found = F.regexp_extract_all(F.col("text"), F.lit(MENTION), F.lit(0))
-    mentions = some.select("_pii_key", F.posexplode(found).alias("place", "mention")).distinct()
+    text, none = F.col("text"), F.array().cast("array<string>")
+    found = F.when(F.coalesce(text.rlike(HINT), F.lit(False)), F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))).otherwise(none)
+    marked = docs.withColumn("_pii_found", found)
+    marked = written(marked.withColumn("_pii_key", F.when(F.size("_pii_found") > 0, F.sha2("text", 256))), "marked")
+    plain, some = marked.where("_pii_key is null"), marked.where("_pii_key is not null")
+    mentions = some.select("_pii_key", F.posexplode("_pii_found").alias("place", "mention")).distinct()
     mentions = mentions.withColumn("kind", kind_of(F.col("mention")))
     mentions = mentions.select("_pii_key", "place", "mention", "kind", F.posexplode(_parts(F.col("mention"), F.col("kind"))).alias("nth", "part"))
     mentions = written(mentions.select("_pii_key", "place", "mention", "kind", "nth", "part.type", "part.value"), "mentions")
@@ -233,8 +271,7 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     shown = parts.select("_pii_key", "place", _render(F.col("mention"), F.col("kind"), F.col("parts")).alias("shown"))
     # one row for each distinct text with mentions: as many surrogates as the text has mentions
     texts = shown.groupBy("_pii_key").agg(F.sort_array(F.collect_list(F.struct("place", "shown")))["shown"].alias("_pii_shown"))
-    joined = some.join(texts, "_pii_key", "left")
-    pieces = F.split(F.col("text"), MENTION, -1)
-    woven = F.array_join(F.zip_with(pieces, F.col("_pii_shown"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    rewritten = joined.withColumn("n_entities", F.coalesce(F.size("_pii_shown"), F.lit(0)).cast("long")).withColumn("text", F.when(F.col("_pii_shown").isNotNull(), woven).otherwise(F.col("text")))
-    return plain.unionByName(rewritten.drop("_pii_key", "_pii_shown"))
+    woven = F.array_join(F.zip_with(F.split(text, MENTION, -1), F.col("_pii_shown"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    out = plain.unionByName(some.join(texts, "_pii_key").withColumn("text", woven).select(*marked.columns))
+    extra = [F.size("_pii_found").cast("long").alias(count)] if count and count not in docs.columns else []
+    return out.select(*docs.columns, *extra)
