@@ -2,11 +2,13 @@
 
 Each source gets a target number of words. Of all document rates that meet it, those closest to one copy each (in
 relative entropy, none above ``CAP``) are min(CAP, exp(lambda * size)); the convex dual's one unknown for each source is
-found by Newton steps for all sources at once, over the counts of (source, size), and the rates are then rounded to copies.
+found by Newton steps for all sources side by side, over the counts of (source, size), and the rates are then rounded to copies.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,41 +56,44 @@ def _rate(size: Column, mean: Column, lam: Column) -> Column:
     return F.when(lam.isNull(), F.lit(float(CAP))).otherwise(F.least(F.lit(float(CAP)), F.exp(F.least(lam * size / mean, F.lit(50.0)))))
 
 
+def newton(size: np.ndarray, n: np.ndarray, target: float) -> tuple[float, float]:
+    """(mean size, lam) at which ``n`` documents of each ``size`` give ``target`` words, by Newton's method on the dual's
+    gradient, guarded by a bracket."""
+    mean = float((size * n).sum() / n.sum())
+    words, ratio = (n * size).astype(float), size / mean
+    lam, lo, hi = 0.0, -1e6, 1e6
+    for _ in range(STEPS):
+        rate = np.minimum(float(CAP), np.exp(np.minimum(lam * ratio, 50.0)))
+        gap = float((words * rate).sum()) - target
+        if abs(gap) <= TOLERANCE * target:
+            break
+        lo, hi = (lam, hi) if gap < 0 else (lo, lam)
+        slope = float((words * rate * ratio)[rate < CAP].sum())
+        step = lam - min(max(gap / slope, -2.0), 2.0) if slope > 0 else lo  # the exponential is steep: short steps
+        lam = step if lo < step < hi else (max(lo, lam - 4) + min(hi, lam + 4)) / 2
+    return mean, lam
+
+
 def solved(sizes: DataFrame) -> DataFrame:
-    """``source, source_size, target, mean, lam`` by Newton's method on the dual, guarded by a bracket.
+    """``source, source_size, target, mean, lam`` for every source, its dual solved where its counts are.
 
-    Each step is one aggregation of the (source, size, documents) counts, joined with one row for each source; the
-    counts come from a partial aggregation, so a hot source is spread over all tasks.
+    The dual has one unknown for each source, so the sources' Newton iterations run side by side, each over its source's
+    (size, documents) counts. These come from an aggregation that combines map-side, so a source with most of the rows is no
+    single task before it is a histogram, whose length is bounded by the words of the longest document.
     """
     wanted = written(targets(sizes), "targets")
-    counts = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")).where("size > 0")
-    counts = written(counts.join(wanted.select("sid", "source"), counts["source"].eqNullSafe(wanted["source"])).select("sid", "size", "n"), "sizes")
-    mean = counts.groupBy("sid").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
-    state = wanted.join(mean, "sid", "left").withColumn("mean", F.coalesce("mean", F.lit(1.0)))
     free = (F.col("target") > 0) & (F.col("target") < CAP * F.col("source_size") * (1 - 1e-12))
-    state = state.select("*", free.alias("free"), F.when(free, F.lit(0.0)).alias("lam"), F.lit(-1e6).alias("lo"), F.lit(1e6).alias("hi"))
-    state = written(state.withColumn("error", F.when(F.col("free"), F.lit(1.0)).otherwise(F.lit(0.0))), "state")
-    for _ in range(STEPS):
-        rate = _rate(F.col("size"), F.col("mean"), F.col("lam"))
-        words = (F.col("n") * F.col("size")).cast("double")
-        slope = F.when(rate < CAP, words * rate * F.col("size") / F.col("mean")).otherwise(F.lit(0.0))
-        sums = counts.join(state.where("free").select("sid", "mean", "lam"), "sid").groupBy("sid").agg(F.sum(words * rate).alias("value"), F.sum(slope).alias("slope"))
-        at = state.join(sums, "sid", "left")
-        gap = F.col("value") - F.col("target")
-        lo, hi = F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")), F.when(gap > 0, F.col("lam")).otherwise(F.col("hi"))
-        newton = F.col("lam") - gap / F.col("slope")
-        newton = F.least(F.greatest(newton, F.col("lam") - 2.0), F.col("lam") + 2.0)  # the exponential is steep: short steps
-        at = at.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_new", F.when(F.col("slope") > 0, newton))
-        inside = (F.col("_new") > F.col("_lo")) & (F.col("_new") < F.col("_hi"))
-        step = F.when(gap == 0, F.col("lam")).when(inside, F.col("_new")).otherwise((F.greatest(F.col("_lo"), F.col("lam") - 4) + F.least(F.col("_hi"), F.col("lam") + 4)) / 2)
-        error = F.abs(gap) / F.col("target")
-        state = written(
-            at.select("sid", "source", "source_size", "target", "mean", "free", F.when(F.col("free"), step).alias("lam"), F.coalesce("_lo", "lo").alias("lo"), F.coalesce("_hi", "hi").alias("hi"), F.when(F.col("free"), error).otherwise(F.lit(0.0)).alias("error")),
-            "state",
-        )
-        if (state.agg(F.max("error")).first()[0] or 0.0) < TOLERANCE:
-            break
-    return state.select("sid", "source", "source_size", "target", "mean", "lam")
+    counts = sizes.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(wanted.select("sid", "source", "target", free.alias("free")), counts["source"].eqNullSafe(wanted["source"])).select("sid", "size", "n", "target", "free")
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("size")
+        mean, lam = newton(pdf["size"].to_numpy(), pdf["n"].to_numpy(), float(pdf["target"].iloc[0]))
+        return pd.DataFrame({"sid": [pdf["sid"].iloc[0]], "mean": [mean], "lam": [lam if pdf["free"].iloc[0] else None]}).astype({"lam": "Float64"})
+
+    state = counts.groupBy("sid").applyInPandas(solve, "sid int, mean double, lam double")
+    state = wanted.join(state, "sid", "left").withColumn("mean", F.coalesce("mean", F.lit(1.0)))
+    return written(state.select("sid", "source", "source_size", "target", "mean", "lam"), "state")
 
 
 def _coin(doc_id: Column, text_key: Column) -> Column:
@@ -127,14 +132,15 @@ def planned(sizes: DataFrame) -> DataFrame:
     document of its target. Every pass sees all documents.
     """
     plan = solved(sizes)
-    rated = _rated(sizes, plan)
+    # what each pass needs of a document, worked out once
+    rated = written(_rated(sizes, plan).select("sid", "size", "whole", "rank"), "rated")
     base = rated.groupBy("sid").agg(F.sum(F.col("whole") * F.col("size")).alias("base"))
     none = F.array().cast("array<struct<offset:double,limit:double>>")
     plan = written(plan.join(base, "sid", "left").withColumn("need", F.col("target") - F.coalesce("base", F.lit(0))).drop("base").withColumn("extras", none), "plan")
     kept = ["sid", "source", "source_size", "target", "mean", "lam", "need", "extras"]
     everything, unlimited = (F.lit(-1.0), F.lit(float(2 + FILLS))), F.lit(float("inf"))
     for turn in range(1 + FILLS):
-        free = _rated(sizes, plan).where("rank is not null").withColumn("_n", _extra()).where(F.col("whole") + F.col("_n") < CAP)
+        free = rated.where("rank is not null").join(plan.select("sid", "need", "extras"), "sid").withColumn("_n", _extra()).where(F.col("whole") + F.col("_n") < CAP)
         free = free.select("sid", (F.col("rank") + F.col("_n")).alias("rank"), "size", "need")
         limit = unlimited if turn == 0 else F.greatest("need", F.lit(0.0))
         free = free.where(F.col("size") <= limit).drop("need")
@@ -171,7 +177,12 @@ def balanced(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """The mix itself: each document as often as it was taken, with the columns of ``docs``. Documents without words go."""
-    sizes = written(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "doc-sizes")
-    out = mixed(docs.withColumn("size", size_of(F.col("text"))), planned(sizes)).where("copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """The mix itself: each document as often as it was taken, with the columns of ``docs``. Documents without words go.
+
+    A row travels as one struct beside what the mix needs, so columns of any name (``size``, ``target``, ``mean``) keep their
+    values; ``_mix_row`` and ``_mix_copy`` are names of the operator's own.
+    """
+    rows = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mix_row"))
+    sizes = written(rows.drop("_mix_row"), "doc-sizes")
+    out = mixed(rows, planned(sizes)).where("copies > 0").select("copies", "_mix_row")
+    return out.select(F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_mix_copy"), "_mix_row").select("_mix_row.*")
