@@ -52,7 +52,7 @@ def op8_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classed(table(spark, sf_dir, "documents"))
 
 
-#: Fixed values of the query: rules (verdict, host, path), and host words whose pages' canonical URLs are listed.
+#: Fixed values of the query: rules (verdict, host, path).
 URL_RULES = [
     urlfilter.Rule("allow", "org", "/"),
     urlfilter.Rule("block", "example.org", "/es/"),
@@ -60,32 +60,39 @@ URL_RULES = [
     urlfilter.Rule("allow", "com", "/fr/"),
     urlfilter.Rule("block", "com", "/de/"),
 ]
-LISTED_HOST_WORDS = "adult|ads|bets|casino|pills|spam"
+
+
+def mirrored(pages: DataFrame) -> DataFrame:
+    """``canonical``: where a page body of 1000 bytes or more was served that another host has too. Bodies are told by their
+    digests, and a digest's hosts by the least and the greatest, so a body with any number of copies is one small row."""
+    rows = pages.where(F.octet_length("html") >= 1000).select(F.sha2("html", 256).alias("body"), urlfilter.host_of(F.col("url")).alias("host"), urlfilter.canonical(F.col("url")).alias("canonical"))
+    several = rows.groupBy("body").agg(F.min("host").alias("a"), F.max("host").alias("b")).where("a < b").select("body")
+    return rows.join(several, "body", "left_semi").select("canonical")
 
 
 def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list is of the canonical URLs of all pages on hosts that have one of the listed words as part of a label."""
+    """The list comes from what pages hold, not from their urls: canonical URLs of bodies mirrored by another host."""
     pages = table(spark, sf_dir, "pages")
-    url = F.col("url")
-    listed = pages.where(urlfilter.host_of(url).rlike(rf"(^|[.-])({LISTED_HOST_WORDS})([.-]|$)")).select(urlfilter.canonical(url).alias("canonical"))
+    listed = mirrored(pages)
     return urlfilter.judged(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
-OP7_SQL = rf"""
+OP7_SQL = r"""
 WITH parts AS (
-  SELECT page_id, url,
+  SELECT page_id, url, html,
     translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
     list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'),
       lambda p: length(p) > 0 AND NOT starts_with(p, 'utm_') AND split_part(p, '=', 1) NOT IN ('ref', 'fbclid', 'gclid'))) AS kept
   FROM pages
 ), canon AS (
-  SELECT page_id, host, path, CASE WHEN contains(url, '://') THEN
+  SELECT page_id, html, host, path, CASE WHEN contains(url, '://') THEN
       regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
       || CASE WHEN coalesce(array_to_string(kept, '&'), '') <> '' THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
   FROM parts
 ), listed AS (
-  SELECT DISTINCT canonical FROM canon WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|[.-])({LISTED_HOST_WORDS})([.-]|$)')
+  SELECT DISTINCT canonical FROM canon WHERE canonical IS NOT NULL
+    AND html IN (SELECT html FROM canon WHERE strlen(html) >= 1000 GROUP BY html HAVING count(DISTINCT host) > 1)
 ), ruled AS (
   SELECT *, CASE
     WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'

@@ -8,10 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Blocks of 256 bits; bounds the broadcast side to so many rows of 40 bytes, whatever the list holds. A longer list
-#: only lets more false positives through to the exact join.
-BLOCKS = 1 << 14
+from .shared import written
+
+#: Listed URLs for each block of 256 bits, and bits set for each: about one unlisted URL in a thousand passes.
+PER_BLOCK = 16
 BITS = 8
+#: Blocks (40 bytes a row) up to which the filter is broadcast; a larger one meets the pages in a join by block.
+BROADCAST_BLOCKS = 1 << 18
 #: Query parameters that don't change a page: a prefix, and whole names.
 TRACKING_PREFIX = "utm_"
 TRACKING = ("ref", "fbclid", "gclid")
@@ -80,22 +83,31 @@ def _block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(2)), F.lit(blocks)).cast("int")
 
 
-def bloom(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(n: int) -> int:
+    """Blocks of the filter of a list of ``n``: a power of two with at most ``PER_BLOCK`` of them in each on average."""
+    return 1 << max(0, -(-n // PER_BLOCK) - 1).bit_length()
+
+
+def bloom(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     """The non-empty blocks of the filter of a list: ``block, w0 .. w3``; at most ``blocks`` rows."""
     each = listed.where(F.col(key).isNotNull()).select(_block(F.col(key), blocks).alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(_masks(F.col(key)))])
     return each.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(4)])
 
 
-def judged(pages: DataFrame, rules: list[Rule], listed: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def judged(pages: DataFrame, rules: list[Rule], listed: DataFrame, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """``page_id, host, path, rule, verdict, maybe_listed, listed`` for every page.
 
     ``listed`` is a table of canonical URLs (column ``canonical``; repeats and nulls are harmless). A page without a
     rule is blocked if its canonical URL is listed, else allowed. Pages that the Bloom filter passes, and only those,
-    meet the list in an exact hash join, which removes the false positives. Null urls have empty host and path and are
-    never listed. Repeated rows are each judged. Only page_id and url are read, so other columns can't clash.
+    meet the list in an exact hash join, which removes the false positives. The filter grows with the list; up to
+    ``broadcast_blocks`` blocks it is broadcast, beyond that filter and pages are partitioned by block, with the same rows. Null
+    urls have empty host and path and are never listed. Repeated rows are each judged. Only page_id and url are read, so
+    other columns can't clash.
     """
-    listed = listed.select(F.col("canonical").alias("_canon")).where("_canon is not null").distinct()
-    blocks_table = F.broadcast(bloom(listed, "_canon", blocks))
+    listed = written(listed.select(F.col("canonical").alias("_canon")).where("_canon is not null").distinct(), "listed")
+    blocks = blocks_for(listed.count())
+    filter_ = bloom(listed, "_canon", blocks)
+    blocks_table = F.broadcast(filter_) if blocks <= broadcast_blocks else filter_.hint("merge")
     url = F.col("url")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), canonical(url).alias("_canon"))
     text, verdict = rule_for(F.col("host"), F.col("path"), rules)
