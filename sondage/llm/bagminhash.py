@@ -4,7 +4,8 @@ A text is the multiset of its 5-word shingles. Every unit of weight of a shingle
 register; a register keeps its earliest point, and two texts agree in one with the probability of their weighted Jaccard
 similarity. Weights are discretised in dyadic layers [0,1), [1,2), [2,4), ...: a layer that lies inside the weight is one
 process of its whole rate; in the layer that the weight ends in, a point counts if its place in the hierarchy of halved
-intervals lies below the weight. A process stops once its next point is later than all of its text's registers.
+intervals lies below the weight: the binary digits of one uniform number are the halves that the point falls into, so all
+texts see the same path. A process stops once its next point is later than all of its text's registers.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import mix, run_starts, steps, utf8, word_hashes, words, written
@@ -22,8 +23,12 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: At similarity 0.8 a pair shares no band with probability (1 - 0.8 ** 7) ** 48, about 1 in 80,000.
 BANDS, ROWS = 48, 7
-#: Rounds in which buckets compare with one member before the rest is compared in blocks.
+#: Rounds in which buckets compare with one member before the rest is compared in blocks, and members for each copy of
+#: that one's text.
 STARS = 2
+TOGETHER = 256
+#: Rounds of star steps at most; a graph of 2**64 nodes needs fewer.
+MOST_ROUNDS = 200
 #: Members and shingles of a block at most (about), and the share of equal registers below which a pair can't overlap by the threshold: four and a half
 #: standard errors below it, so a pair at the threshold is passed over once in 300,000 times.
 BLOCK = 256
@@ -117,35 +122,60 @@ def signed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_key string, n_shingles long, bands array<long>, sketch binary")
 
 
-def _overlaps(pairs: DataFrame) -> DataFrame:
-    """``a, b, similarity``: the multiset Jaccard similarity of ``text_a`` and ``text_b``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in steps(batches, "text_a"):
-            (ka, na), (kb, nb) = (shingles(*utf8(rb.column(c))) for c in ("text_a", "text_b"))
-            # of equal shingles on either side, the smaller number counts
-            ra, rb_ = run_starts(ka), run_starts(kb)
-            ca, cb = np.diff(np.append(ra, len(ka))), np.diff(np.append(rb_, len(kb)))
-            at = np.minimum(np.searchsorted(kb[rb_], ka[ra]), max(len(rb_) - 1, 0))
-            same = kb[rb_][at] == ka[ra] if len(rb_) else np.zeros(len(ra), bool)
-            common = np.where(same, np.minimum(ca, cb[at] if len(cb) else 0), 0)
-            inter = np.bincount((ka[ra] >> np.uint64(52)).astype(np.int64), weights=common, minlength=len(na))
-            yield pa.RecordBatch.from_pydict({"a": rb.column("a"), "b": rb.column("b"), "similarity": pa.array(inter / np.maximum(na + nb - inter, 1))})
-
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group of equal keys, which lie together, as a table; a group may span batches."""
+    rest = None
+    for rb in batches:
+        if not rb.num_rows:
+            continue
+        t = pa.Table.from_batches([rb])
+        t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
+        columns = [t[k].to_numpy() for k in keys]
+        begins = np.concatenate([[0], np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1])
+        for x, y in zip(begins[:-1], begins[1:], strict=True):
+            yield t.slice(x, y - x).combine_chunks()
+        rest = t.slice(begins[-1])
+    if rest is not None:
+        yield rest.combine_chunks()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (``a, b``) whose texts overlap by ``THRESHOLD`` or more."""
-    a, b = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    return written(_overlaps(pairs.join(a, "a").join(b, "b")).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "links")
+    """``a, b``: the pairs (``centre, node, size``) whose texts overlap by ``THRESHOLD`` or more.
 
+    A centre's members are dealt by a hash into parts of about ``TOGETHER`` (``size`` is the number of its bucket's
+    members); each part gets the centre's text once, ahead of its members', and goes through a task as a stream.
+    So neither a join nor a task meets a centre with all of its members.
+    """
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / TOGETHER)).cast("int"))
+    heads = dealt.select("centre", "part").distinct().join(texts.withColumnRenamed("node", "centre"), "centre").withColumn("node", F.lit(None).cast("long"))
+    rows = heads.unionByName(dealt.select("centre", "part", "node").join(texts, "node")).select("centre", "part", "node", "text")
+    rows = rows.repartition(parts, "centre", "part").sortWithinPartitions("centre", "part", F.col("node").asc_nulls_first())
 
-def _multiset(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of a text, sorted, and how often each occurs."""
-    keys, _ = shingles(*utf8(pa.array([text])))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
+        for rb in steps(batches):
+            sets = _multisets(rb.column("text"))
+            a, b = [], []
+            for centre, node, own in zip(rb.column("centre").to_pylist(), rb.column("node").to_pylist(), sets, strict=True):
+                if node is None:
+                    head = own
+                elif _similarity(head, own) >= THRESHOLD:
+                    a.append(min(centre, node))
+                    b.append(max(centre, node))
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return written(rows.mapInArrow(run, "a long, b long"), "links")
+
+
+def _multisets(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each of a step's texts the distinct shingles, sorted, and how often each occurs."""
+    keys, n = shingles(*utf8(texts))
     runs = run_starts(keys)
-    return keys[runs], np.diff(np.append(runs, len(keys)))
+    counts, own = np.diff(np.append(runs, len(keys))), keys[runs]
+    cut = np.searchsorted(own, np.arange(len(n) + 1, dtype=np.uint64) << np.uint64(52))
+    plain = own & np.uint64((1 << 52) - 1)
+    return [(plain[x:y], counts[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
 
 
 def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -157,32 +187,53 @@ def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarra
     return float(inter / (a[1].sum() + b[1].sum() - inter))
 
 
-def _linked(members: DataFrame) -> DataFrame:
-    """``a, b``: the links (overlap of ``THRESHOLD`` or more) between different classes within buckets.
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members (bucket, node, n, class_id) of buckets, once for each pair of blocks that they are compared in:
+    ``bucket, low, high, own, node, n, class_id``.
 
-    ``members``: bucket, node, n, class_id, bands, sketch, text. A bucket is dealt by hashes into blocks of about ``BLOCK``
-    members and ``BLOCK_SHINGLES`` shingles, and every two blocks are compared in one step: sketches leave the pairs that can
-    overlap enough, and the multisets themselves decide those. Only links come out, so neither a task nor the result
-    holds all pairs of a large bucket. A pair that shares several buckets is compared in the first of its bands alone.
+    A block has about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles. A class that fills half a block or more has blocks of
+    its own, which are never paired with each other; the members of smaller classes share the other blocks by a hash. So a
+    large class costs one pair of blocks for each block of the others, not its square.
+    """
+    blocks = lambda n, sh: F.greatest(F.ceil(n / BLOCK), F.ceil(sh / BLOCK_SHINGLES)).cast("int")
+    per = members.groupBy("bucket", "class_id").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("sh"))
+    per = per.withColumn("own_blocks", F.when((F.col("c") * 2 >= BLOCK) | (F.col("sh") * 2 >= BLOCK_SHINGLES), blocks(F.col("c"), F.col("sh"))))
+    before = Window.partitionBy("bucket").orderBy("class_id").rowsBetween(Window.unboundedPreceding, -1)
+    large = per.where("own_blocks is not null").select("bucket", "class_id", "own_blocks", F.coalesce(F.sum("own_blocks").over(before), F.lit(0)).cast("int").alias("first"))
+    small = F.col("own_blocks").isNull()
+    total = per.groupBy("bucket").agg(
+        F.coalesce(F.sum("own_blocks"), F.lit(0)).cast("int").alias("taken"), F.coalesce(blocks(F.sum(F.when(small, F.col("c"))), F.sum(F.when(small, F.col("sh")))), F.lit(0)).alias("shared")
+    )
+    rows = members.join(total, "bucket").join(large, ["bucket", "class_id"], "left")
+    place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    rows = rows.withColumn("own", F.when(F.col("first").isNull(), F.col("taken") + place(F.greatest("shared", F.lit(1)))).otherwise(F.col("first") + place(F.col("own_blocks"))))
+    every = F.sequence(F.lit(0), F.col("taken") + F.col("shared") - 1)
+    others = F.filter(every, lambda x: F.coalesce((x < F.col("first")) | (x >= F.col("first") + F.col("own_blocks")), F.lit(True)))
+    rows = rows.withColumn("other", F.explode(others))
+    return rows.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "class_id")
+
+
+def _candidates(members: DataFrame, signs: DataFrame) -> DataFrame:
+    """``bucket, low, high, node, partners``: within each pair of blocks the members of different classes whose sketches and
+    numbers of shingles allow a link, with those they are held against; a partner that has none of its own has an empty list.
+
+    Ids and sketches alone are shuffled. A pair that shares several buckets is compared in the first of its bands.
     """
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = members.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    rows = members.join(size, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "class_id", "bands", "sketch", "text")
+    rows = _in_blocks(members).join(signs, "node").select("bucket", "low", "high", "own", "node", "n", "class_id", "bands", "sketch")
     rows = rows.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
     floor = LEAST_EQUAL - 1 / 256
 
-    def compare(t: pa.Table) -> list[tuple[int, int]]:
+    def compare(t: pa.Table) -> dict[int, list[int]]:
         own, low, high = (t[c].to_numpy() for c in ("own", "low", "high"))
         left, right = np.flatnonzero(own == low[0]), np.flatnonzero(own == high[0])
         node, n, label = (t[c].to_numpy() for c in ("node", "n", "class_id"))
+        found: dict[int, list[int]] = {}
         if not len(left) or not len(right) or label.min() == label.max():
-            return []
+            return found
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
         bucket = t["bucket"][0].as_py()
         band = t["bands"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        out, sets = [], None
         for i in left:
             ok = right[(label[right] != label[i]) & (np.minimum(n[right], n[i]) >= THRESHOLD * np.maximum(n[right], n[i]))]
             ok = ok[node[ok] > node[i]] if low[0] == high[0] else ok[node[ok] != node[i]]
@@ -191,25 +242,46 @@ def _linked(members: DataFrame) -> DataFrame:
                 first = (band[ok] == band[i]).argmax(axis=1)
                 ok = ok[band[i, first] == bucket]
             if len(ok):
-                sets = sets or [_multiset(x) for x in t["text"].combine_chunks().to_pylist()]
-                out += [(min(node[i], node[j]), max(node[i], node[j])) for j in ok if _similarity(sets[i], sets[j]) >= THRESHOLD]
-        return out
+                found.setdefault(int(node[i]), []).extend(node[ok].tolist())
+                for k in node[ok].tolist():
+                    found.setdefault(k, [])
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None  # the rows of a group that the next batch may go on with
-        for rb in batches:
-            t = pa.Table.from_batches([rb]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([rb])]).combine_chunks()
-            keys = [t[c].to_numpy() for c in ("bucket", "low", "high")]
-            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            begins = np.concatenate([[0], cut])
-            found = [p for x, y in zip(begins[:-1], begins[1:], strict=True) if y - x > 1 for p in compare(t.slice(x, y - x))]
-            rest = t.slice(begins[-1])
-            yield pairs_of(found)
-        if rest is not None and len(rest) > 1:
-            yield pairs_of(compare(rest))
-
-    def pairs_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+        for t in _groups(batches, ["bucket", "low", "high"]):
+            found = compare(t) if len(t) > 1 else {}
+            if found:
+                k = len(found)
+                same = {c: pa.array([t[c][0].as_py()] * k, t.schema.field(c).type) for c in ("bucket", "low", "high")}
+                yield pa.RecordBatch.from_pydict(same | {"node": pa.array(list(found), pa.int64()), "partners": pa.array(list(found.values()), pa.list_(pa.int64()))})
+
+    return rows.mapInArrow(run, "bucket long, low int, high int, node long, partners array<long>")
+
+
+def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, b``: the links (overlap of ``THRESHOLD`` or more) between different classes within buckets.
+
+    ``members``: bucket, node, n, class_id; ``signs``: node, bands, sketch; ``texts``: node, text. Pairs of blocks are compared
+    by sketches first; the texts of those that can overlap enough, and only theirs, then go to their pair of blocks, where
+    the multisets decide. Only links come out, so neither a task nor the result holds all pairs of a large bucket.
+    """
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(_candidates(members, signs), "candidates").join(texts, "node").select("bucket", "low", "high", "node", "partners", "text")
+    rows = rows.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, ["bucket", "low", "high"]):
+            node = t["node"].to_pylist()
+            sets, a, b = {}, [], []
+            for rb in steps(t.select(["text"]).to_batches()):
+                for own in _multisets(rb.column("text")):
+                    sets[node[len(sets)]] = own
+            for i, partners in zip(node, t["partners"].to_pylist(), strict=True):
+                for j in partners:
+                    if _similarity(sets[i], sets[j]) >= THRESHOLD:
+                        a.append(min(i, j))
+                        b.append(max(i, j))
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -221,7 +293,7 @@ def components(links: DataFrame) -> DataFrame:
     links of a node with many of them are spread, and the number of rounds grows with the logarithm of the graph.
     """
     now = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "star")
-    while True:
+    for _ in range(MOST_ROUNDS):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct(), "star")
@@ -235,10 +307,19 @@ def components(links: DataFrame) -> DataFrame:
         now = after
         if state == old:
             break
+    else:
+        raise RuntimeError("components haven't settled")
     out = now.select(F.col("u").alias("node"), F.col("v").alias("class_id"))
     return written(out.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("class_id")).distinct()), "classes")
 
 
+def _mixed(labels: DataFrame, star: int) -> DataFrame:
+    """``bucket, size, c``: the buckets whose members (bucket, node, n, class_id) are of several classes, with one of them by a hash."""
+    centre = F.min_by(F.struct("node", "class_id", "n"), F.struct(F.xxhash64("node", F.lit(star)), F.col("node")))
+    per = labels.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("class_id").alias("least"), F.max("class_id").alias("most"), centre.alias("c"))
+    return per.where("least < most").select("bucket", "size", "c")
+
+
 def classed(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, n_shingles`` for every row: the class is the smallest doc_id that the row's text is linked
     to, through equal texts and through pairs of texts whose shingle multisets overlap by ``THRESHOLD`` or more.
@@ -254,43 +335,35 @@ def classed(docs: DataFrame) -> DataFrame:
     nodes = written(nodes, "nodes")
     linked = nodes.where("node is not null and bands is not null")
     members = linked.select(F.explode("bands").alias("bucket"), "node", "n")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")).where("size > 1").select("bucket", "centre")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")).where("size > 1")
     members = written(members.join(shared, "bucket"), "members")
 
     need = members.select("node").distinct()
     # one row for each node: repeated rows are left out by the group, which the join's partitioning serves
     texts = docs.select(F.col("doc_id").alias("node"), "text").where("node is not null").join(need, "node", "left_semi")
     texts = written(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
-    close = F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b")
 
-    links = tested = None
-    classes = None
-    for star in range(STARS + 1):
+    links = tested = classes = None
+    for star in range(STARS):
         if star == 0:
-            own = members.where("node <> centre").join(nodes.select(F.col("node").alias("centre"), F.col("n").alias("n_b")), "centre")
-            pairs = own.select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("n").alias("n_a"), "n_b")
+            met = members.where("node <> centre")
         else:
             labels = members.select("bucket", "node", "n").join(classes, "node", "left").withColumn("class_id", F.coalesce("class_id", "node"))
-            mixed = labels.groupBy("bucket").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.min_by(F.struct("node", "class_id", "n"), F.xxhash64("node", F.lit(star))).alias("c")).where("low < high")
-            if star < STARS:
-                rest = labels.join(mixed, "bucket").where(F.col("c.class_id") != F.col("class_id"))
-                pairs = rest.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"), F.col("n").alias("n_a"), F.col("c.n").alias("n_b"))
-            else:
-                rest = written(labels.join(mixed.select("bucket"), "bucket"), "mixed")
-                drawn = nodes.select("node", "bands", "sketch").join(rest.select("node").distinct(), "node", "left_semi").join(texts, "node")
-                found = written(_linked(rest.join(drawn, "node")).distinct(), "links")
-                classes = components(found if links is None else links.unionByName(found))
-                break
-        pairs = pairs.where(close).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+            met = labels.join(_mixed(labels, star), "bucket").where("c.class_id <> class_id")
+            met = met.where(F.least("n", "c.n") >= THRESHOLD * F.greatest("n", "c.n")).withColumn("centre", F.col("c.node"))
+        pairs = met.select("centre", "node", "size")
+        pairs = pairs.groupBy("centre", "node").agg(F.max("size").alias("size")).select("*", F.least("centre", "node").alias("x"), F.greatest("centre", "node").alias("y"))
+        pairs = written(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
+        tested = pairs.select("x", "y") if tested is None else tested.unionByName(pairs.select("x", "y"))
         if star and not pairs.limit(1).count():
             continue
         found = _verified(pairs, texts)
         links = found if links is None else links.unionByName(found)
         classes = components(links)
+    labels = members.select("bucket", "node", "n").join(classes, "node", "left").withColumn("class_id", F.coalesce("class_id", "node"))
+    rest = written(labels.join(_mixed(labels, STARS).select("bucket"), "bucket"), "mixed")
+    if rest.limit(1).count():
+        classes = components(links.unionByName(written(_linked(rest, linked.select("node", "bands", "sketch"), texts), "links")))
     out = nodes.join(classes, "node", "left").select("text_key", F.coalesce("class_id", "node").alias("class_id"), "copies", F.col("class_id").isNotNull().alias("in_links"))
     several = out.where("copies > 1 or in_links").select("text_key", "class_id")
     alone = signs.select("doc_id", "text_key", "n_shingles").join(several, "text_key", "left")
@@ -299,10 +372,12 @@ def classed(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest doc_id (of rows that share it, the one whose text is
-    least). Rows without a doc_id stay, as nothing tells them apart."""
+    least, then whose other columns are by their JSON, so columns of any type may stand beside). Rows without a doc_id stay, as
+    nothing tells them apart."""
     keep = classed(docs).where("doc_id = class_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    named = named.groupBy("doc_id").agg(F.min(F.struct(*[F.col(c) for c in (["text"] + [x for x in rest if x != "text"])])).alias("_row"))
-    named = named.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.struct("text", F.to_json(F.struct(*rest)) if rest else F.lit(""))
+    named = named.groupBy("doc_id").agg(F.min_by(every, order).alias("_row")).select("_row.*")
     return named.unionByName(docs.where("doc_id is null"))
