@@ -37,9 +37,7 @@ def empty(docs):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(BPE)
 
 
 def test_token_index(docs, tokenizer):
@@ -109,6 +107,96 @@ def test_surrogates(spark):
     assert pii.replaced(df.limit(0), "key").count() == 0
 
 
+def luhn(digits):
+    return sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))) % 10
+
+
+def mod97(iban):
+    x = re.sub(r"\s", "", iban)
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+
+
+def test_names_domains_and_ibans(spark):
+    texts = [
+        "Yesterday Anna Lopez met Maria Garcia and Tom Hanks.", "bob@x.com wrote to eve@x.com and bob@y.org", "Pay GB82 WEST 1234 5698 7654 32 or GB83WEST12345698765432.", "my name is Ravi Shankar; Dear Mrs Anna, thanks",
+        "Mr. Garcia and Lopez came", "mail a@x.com b@x.com c@x.com",
+    ]
+    df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, n_entities int")
+    got = {r.doc_id: r.text for r in pii.replaced(df, "key").collect()}
+    m = re.fullmatch(r"Yesterday (\w+a) (\w+) met (\w+a) (\w+) and (\w+o) (\w+)\.", got[0])
+    assert m and len(set(m.groups())) == 6 and not set(m.groups()) & {"Anna", "Lopez", "Maria", "Garcia", "Tom", "Hanks"}
+    assert got[4] == f"Mr. {m[4]} and Lopez came"  # a surname alone is no mention
+    one, two, three = re.fullmatch(r"(\S+) wrote to (\S+) and (\S+)", got[1]).groups()
+    domain = lambda a: a.split("@")[1]
+    assert domain(one) == domain(two) != domain(three) and one != two and domain(got[5].split(" ")[1]) == domain(one)
+    assert len({a for a in got[5].split(" ")[1:]}) == 3
+    right, wrong = re.fullmatch(r"Pay (GB\d\d [A-Z]{4}(?: \d{4}){3} \d\d) or (GB\d\d[A-Z]{4}\d{14})\.", got[2]).groups()
+    assert mod97(right) == 1 != mod97(wrong)
+    assert re.fullmatch(r"my name is \w+ \w+; Dear Mrs (\w+), thanks", got[3]) and "Ravi" not in got[3] and m[1] in got[3]
+    assert {r.n_entities for r in pii.replaced(df, "key").collect()} == {7}  # a column of the count's name keeps its values
+    assert pii.replaced(df.drop("n_entities"), "key", count=None).columns == ["doc_id", "text"]
+
+
+def test_short_spaces_outgrow_their_entities(spark):
+    boxes = spark.range(200).selectExpr("'mailbox@x.com' AS type", "CASE WHEN id < 26 THEN chr(97 + id) ELSE concat(chr(97 + id % 26), chr(97 + id div 26)) END AS value")
+    domains = spark.range(26).selectExpr("'domain' AS type", "concat(chr(97 + id), '.com') AS value")
+    phones = spark.range(900).selectExpr("'phone' AS type", "concat('1', lpad(id, 3, '0')) AS value")  # nine tenths of all numbers of this shape are taken
+    df = boxes.unionByName(domains).unionByName(phones)
+    out = pii.surrogates(df, "key").collect()
+    assert len(out) == df.count() == len({(r.type, r.surrogate) for r in out})
+    assert not {(r.type, r.surrogate) for r in out} & {(r.type, r.value) for r in df.collect()}
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables")
+def test_replacement_against_brute_force(spark):
+    """All documents: texts change at their mentions alone, entities and surrogates match one to one, and none is real."""
+    import regex
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    after = {r.doc_id: r for r in pii.replaced(docs, "key").collect()}
+    assert len(after) == docs.count()
+    java = lambda p: p.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}")
+    mention = regex.compile(java(pii.MENTION))
+    forward, back, real = {}, {}, set()
+    for r in docs.collect():
+        text, new = r.text or "", after[r.doc_id].text or ""
+        found = list(mention.finditer(text))
+        assert after[r.doc_id].n_entities == len(found)
+        at, begin = 0, 0
+        for i, f in enumerate(found):
+            kept = text[begin : f.start()]
+            assert new[at:].startswith(kept)
+            at += len(kept)
+            after_it = text[f.end() : found[i + 1].start()] if i + 1 < len(found) else text[f.end() :]
+            end = new.index(after_it, at) if after_it else (at + len(f[0]) if i + 1 < len(found) else len(new))
+            shown, old = new[at:end], f[0]
+            at, begin = end, f.end()
+            kind = next((k for k, p in pii.PATTERNS.items() if regex.fullmatch(java(p), old)), "name")
+            if kind in ("phone", "card", "ssn", "iban"):
+                pairs = [(kind, regex.sub(r"[^0-9A-Z]" if kind == "iban" else r"\D", "", old), regex.sub(r"[^0-9A-Z]" if kind == "iban" else r"\D", "", shown))]
+                assert regex.sub(r"[0-9A-Z]", "", shown) == regex.sub(r"[0-9A-Z]", "", old)
+                assert kind != "card" or (luhn(pairs[0][1]) == 0) == (luhn(pairs[0][2]) == 0)
+                assert kind != "iban" or (mod97(old) == 1) == (mod97(shown) == 1)
+            elif kind == "email":
+                (a, b), (c, d) = old.lower().split("@"), shown.split("@")
+                pairs = [("domain", b, d), ("mailbox@" + b, a, c)]
+            elif kind == "name":
+                tokens, others = old.split(" "), shown.split(" ")
+                assert len(tokens) == len(others)
+                lead = tokens[0].rstrip(".") in {t for g in pii.TITLES.values() for t in g}
+                assert not lead or tokens[0] == others[0]
+                own, new_ = tokens[lead:], others[lead:]
+                given = len(own) == 2 or own[0] in {n for g in pii.GIVEN.values() for n in g}
+                pairs = [("surname", own[-1], new_[-1])] if not given else [(("given", tokens[0] if lead else ""), own[0], new_[0])][:0] + ([("surname", own[1], new_[1])] if len(own) == 2 else [])
+            else:
+                pairs = [(kind, old, shown)]
+            for k, old_, new_ in pairs:
+                assert forward.setdefault((k, old_), new_) == new_ and back.setdefault((k, new_), old_) == old_
+                real.add((k, old_))
+        assert new[at:] == text[begin:]
+    assert len(real) > 20 and not real & set(back)
+
+
 def test_surrogates_stay_distinct(spark):
     df = spark.range(30_000).selectExpr("'ip' AS type", "concat('10.', id div 60000, '.', id div 250, '.', id % 250) AS value")
     out = pii.surrogates(df, "key")
@@ -148,6 +236,16 @@ def test_multiset_hash(spark):
     assert list(r) == [True, False, True, True, 1.0, 0.0, 1.0]
 
 
+def test_sums_by_columns_are_those_by_arrays(spark, monkeypatch):
+    texts = ["One. Two. One.\nThree", "", None, " \n\t", "x\n" * 40, "A. B! C? D… E", "\n".join(f"line {i}." for i in range(100))]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, a string").withColumn("b", F.reverse("a"))
+    want = {r.k: (r.a, r.b) for r in df.select("k", fingerprint.lanes(F.col("a")).alias("a"), fingerprint.lanes(F.col("b")).alias("b")).collect()}
+    for bits in (15, 3):
+        monkeypatch.setattr(fingerprint, "CHUNK_BITS", bits)
+        got = {r.k: (r.a, r.b) for r in fingerprint.vectors(df, ["k"], {"a": F.col("a"), "b": F.col("b")}).collect()}
+        assert got == want
+
+
 def test_likeness_of_half_equal_and_of_very_long_texts(spark):
     line = lambda k, n: " ".join(f"Sentence {k} has the number {i}." for i in range(n))
     lines = lambda k, n: "\n".join(f"{k}{i}" for i in range(n))
@@ -227,10 +325,19 @@ def test_mixing(spark, docs):
     assert all(r.target == pytest.approx(want[r.source]) and r.source_size == sizes[r.source] for r in got)
     assert sum(want.values()) == pytest.approx(sum(sizes.values()))
     assert Counter((r.doc_id, r.taken) for r in got) == Counter((r.doc_id, r.taken) for r in mixing.balanced(docs).collect())
-    assert mixing.repeated(docs).count() == sum(r.copies for r in got) and mixing.repeated(docs).columns == docs.columns
+    mix = mixing.repeated(docs)
+    assert mix.count() == sum(r.copies for r in got) and mix.columns == docs.columns
     assert mixing.balanced(empty(docs)).count() == 0
 
 
+def test_mix_keeps_columns_of_its_own_names(spark):
+    names = ["target", "size", "mean", "lam", "sid", "source_size", "extras", "copies", "rank", "n"]
+    rows = spark.range(60).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "repeat('w ', cast(5 + id AS int)) AS text", *[f"concat('{c}', id) AS `{c}`" for c in names], "map('k', id) AS tags")
+    got = mixing.repeated(rows)
+    assert got.columns == rows.columns and got.count() > 0
+    assert all(r[c] == f"{c}{r.doc_id}" for r in got.collect() for c in names)
+
+
 def test_mixing_comes_near_targets(spark):
     rows = spark.range(6000).selectExpr("id AS doc_id", "concat('s', id % 7) AS source", "repeat('w ', cast(1 + id * id % 97 AS int)) AS text")
     out = mixing.balanced(rows).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.sum(F.col("rate") * F.col("size")).alias("expected")).collect()
@@ -298,8 +405,8 @@ def test_url_rules(spark):
     }
     df = spark.createDataFrame([(i, u, "x", True) for i, u in enumerate(cases)], "page_id long, url string, verdict string, listed boolean")
     listed = spark.createDataFrame([("bad.net/p?a=1&b=2",), ("bad.net/p?a=1&b=2",), (None,)], "canonical string")
-    for blocks in (1 << 14, 1):
-        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judged(df, URL_RULES, listed, blocks).collect()}
+    for most in (1 << 14, 0):  # broadcast, and joined by block
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judged(df, URL_RULES, listed, most).collect()}
         assert [got[i] for i in range(len(cases))] == list(cases.values())
     assert all(r.verdict in ("allow", "block") for r in urlfilter.judged(df, URL_RULES, listed.limit(0)).collect())
 
@@ -307,7 +414,10 @@ def test_url_rules(spark):
 def test_bloom_filter_has_no_false_negatives(spark):
     listed = spark.range(5000).selectExpr("concat('h', id, '.net/x') AS canonical")
     df = spark.range(10_000).selectExpr("id AS page_id", "concat('http://h', id, '.net/x') AS url")
+    assert [urlfilter.blocks_for(n) for n in (0, 1, 16, 17, 33, 5000)] == [1, 1, 1, 2, 4, 512]
     out = urlfilter.judged(df, [], listed)
+    joined = urlfilter.judged(df, [], listed, 0)
+    assert Counter(joined.collect()) == Counter(out.collect())
     assert out.where("page_id < 5000 and not (maybe_listed and listed)").count() == 0 and out.where("page_id >= 5000 and listed").count() == 0
     assert out.where("page_id >= 5000 and maybe_listed").count() < 100
 
@@ -383,11 +493,37 @@ def test_buckets_in_blocks(spark, monkeypatch):
     want = {(a, b) for a, b in combinations(range(40), 2) if jaccard(shingled(rows[a][1]), shingled(rows[b][1])) >= 0.8}
     monkeypatch.setattr(bagminhash, "BLOCK", 7)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    signs = bagminhash.signed(df).join(df, "doc_id")
-    members = signs.select(F.lit(5).cast("long").alias("bucket"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.col("doc_id").alias("class_id"), F.transform("bands", lambda b: F.lit(5).cast("long")).alias("bands"), "sketch", "text")
-    got = [(r.a, r.b) for r in bagminhash._linked(members).collect()]
+    signs = bagminhash.signed(df).select(F.col("doc_id").alias("node"), F.transform("bands", lambda b: F.lit(5).cast("long")).alias("bands"), "sketch", F.col("n_shingles").alias("n"))
+    texts = df.withColumnRenamed("doc_id", "node")
+    members, signs = signs.select(F.lit(5).cast("long").alias("bucket"), "node", "n", F.col("node").alias("class_id")), signs.drop("n")
+    got = [(r.a, r.b) for r in bagminhash._linked(members, signs, texts).collect()]
     assert want and want == set(got) and len(got) == len(set(got))
-    assert not bagminhash._linked(members.withColumn("class_id", F.lit(1).cast("long"))).collect()
+    assert not bagminhash._linked(members.withColumn("class_id", F.lit(1).cast("long")), signs, texts).collect()
+    # a class with blocks of its own meets all others, and is not held against itself
+    classes = lambda k: 0 if k < 25 else k
+    mixed = members.withColumn("class_id", F.when(F.col("node") < 25, F.lit(0)).otherwise(F.col("node")))
+    got = [(r.a, r.b) for r in bagminhash._linked(mixed, signs, texts).collect()]
+    assert set(got) == {(a, b) for a, b in want if classes(a) != classes(b)} and len(got) == len(set(got))
+    met = bagminhash._in_blocks(mixed).groupBy("low", "high").agg(F.count_distinct("class_id").alias("n")).collect()
+    assert all(r.n > 1 for r in met)
+
+
+def test_centres_are_dealt_in_parts(spark, monkeypatch):
+    from tests.llm.conftest import edited, prose
+
+    base = prose(12, 300)
+    rows = [(i, edited(base, i, i % 9)) for i in range(60)]
+    monkeypatch.setattr(bagminhash, "TOGETHER", 4)
+    df = spark.createDataFrame(rows, "node long, text string")
+    pairs = df.where("node <> 9").select(F.lit(9).cast("long").alias("centre"), "node", F.lit(60).alias("size"))
+    want = {(min(9, k), max(9, k)) for k, t in rows if k != 9 and jaccard(shingled(rows[9][1]), shingled(t)) >= 0.8}
+    assert 5 < len(want) < 55 and {(r.a, r.b) for r in bagminhash._verified(pairs, df).collect()} == want
+
+
+def test_rows_that_share_an_id_may_have_columns_of_any_type(spark):
+    df = spark.sql("SELECT * FROM VALUES (1L, 'a b c', map('k', 1), 'x'), (1L, 'a b c', map('k', 0), 'x'), (1L, NULL, map('k', 2), 'y'), (2L, 'a b c', NULL, 'z') AS t(doc_id, text, tags, class_id)")
+    got = bagminhash.one_of_each(df)
+    assert got.columns == df.columns and got.count() == 1
 
 
 # op9
