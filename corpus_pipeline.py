@@ -25,7 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by surrogates (operator 2)."""
-    out = pii.replaced(docs, PII_KEY).drop("n_entities")
+    out = pii.replaced(docs, PII_KEY, count=None)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
