@@ -43,9 +43,10 @@ def shingles(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     n = np.diff(at)
     doc = np.repeat(np.arange(len(n)), n)
     own = word_hashes(data, starts, stops)
-    h = np.zeros(max(len(own) - SHINGLE + 1, 0), np.uint64)
+    width = max(len(own) - SHINGLE + 1, 0)
+    h = np.zeros(width, np.uint64)
     for j in range(SHINGLE):
-        h = h * np.uint64(0xD1342543DE82EF95) + own[j : len(own) - SHINGLE + 1 + j]
+        h = h * np.uint64(0xD1342543DE82EF95) + own[j : j + width]
     inside = np.flatnonzero(doc[: len(h)] == doc[SHINGLE - 1 :]) if len(h) else np.zeros(0, np.int64)
     key_doc, key = doc[inside], h[inside]
     short = np.flatnonzero((n > 0) & (n < SHINGLE))
