@@ -236,6 +236,22 @@ def test_multiset_hash(spark):
     assert list(r) == [True, False, True, True, 1.0, 0.0, 1.0]
 
 
+def test_passages(spark):
+    texts = ["One. Two!\tThree? Four… five.six\n\n7. 8", "。一。二！ 三", " . ! ", "", "a.\n b", "..  ..", "x"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string").orderBy("k").select(fingerprint.passages(F.col("t"))).collect()]
+    assert got == [[p for p in re.split(r"\n|(?<=[.!?…])(?=[ \t])|(?<=[。！？])", t) if p.strip(" \t\r\x0b\x0c")] for t in texts]
+
+
+def test_likeness_is_the_cosine_of_centred_lanes(spark):
+    line = lambda k, n: " ".join(f"Sentence {k} has the number {i}." for i in range(n))
+    df = spark.createDataFrame([(line("a", 30), line("a", 15) + " " + line("b", 20)), (line("c", 3), line("d", 5)), ("", line("d", 5)), ("x. y", "y. x")], "a string, b string")
+    rows = df.select(fingerprint.lanes(F.col("a")).alias("a"), fingerprint.lanes(F.col("b")).alias("b")).select("a", "b", fingerprint.likeness(F.col("a"), F.col("b")).alias("got")).collect()
+    for r in rows:
+        a, b = (np.array(x[:-1], float) - x[-1] * 65535 / 2 for x in (r.a, r.b))
+        want = 1.0 if r.a == r.b else 0.0 if not r.a[-1] or not r.b[-1] else min(max(a @ b / np.sqrt((a @ a) * (b @ b)), 0), 1)
+        assert r.got == pytest.approx(want, abs=1e-9)
+
+
 def test_sums_by_columns_are_those_by_arrays(spark, monkeypatch):
     texts = ["One. Two. One.\nThree", "", None, " \n\t", "x\n" * 40, "A. B! C? D… E", "\n".join(f"line {i}." for i in range(100))]
     df = spark.createDataFrame(list(enumerate(texts)), "k int, a string").withColumn("b", F.reverse("a"))
