@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Months as headers name them, English and Spanish.
+# Months as headers name them, English and Spanish, and the patterns of header lines and names.
 MONTHS = {"jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12, "ene": 1, "abr": 4, "ago": 8, "dic": 12}
 START_TIME = r"(?im)^#\s*start_time\s*=\s*(\w+)\s+(\d+)\s+(\d{4})\s+(\d{1,2}):(\d{2}):(\d{2})"
 STATION = r"(?imu)^\*+\s*(?:Station|Estaci[oó]n|N[uú]mero\s+de\s+estaci[oó]n):[ \t]*(.+)$"
@@ -19,7 +21,41 @@ HINTS = {
     "nmea_longitude": r"(?im)^\*\s*NMEA Longitude\s*=[ \t]*(.*)$",
     "station_field": r"(?im)^\*{2,}\s*Station:[ \t]*(.*)$",
 }
-ACCENTED, PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ", "aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
+# Labels and units of variables.
+VARIABLES = {
+    "temperatura": ("Temperatura", "°C"),
+    "temperatura_c": ("Temperatura", "°C"),
+    "salinidad": ("Salinidad", "PSU"),
+    "salinidad_psu": ("Salinidad", "PSU"),
+    "fluorescencia": ("Fluorescencia", "μg/L"),
+    "fluorescencia_cdom": ("Fluorescencia CDOM", "ppb"),
+    "fluorescencia_afl": ("Fluorescencia AFL", "μg/L"),
+    "par": ("PAR", "μE/m²/s"),
+    "oxigeno": ("Oxígeno", "mL/L"),
+    "o_100": ("Oxígeno (100 m)", "mL/L"),
+    "turbidez_ntu": ("Turbidez", "NTU"),
+    "densidad00": ("Densidad", "kg/m³"),
+}
+# Names of the stations of a coordinate comment, by the number of stations in it.
+STATION_NAMES = {4: ["E1 · Costa", "E2 · Plataforma", "E3 · Talud", "E4 · Talud profundo"], 3: ["E1CU", "E2CU", "E3CU"]}
+PENDING = "<p>Texto de metodología pendiente"
+
+
+def _decomposed() -> tuple[str, str, dict[str, str]]:
+    """Characters that compatibility decomposition makes one other, those others, and letters that it makes several."""
+    one, other, several = [], [], {}
+    for cp in range(0x80, 0xFFFF):
+        c = chr(cp)
+        base = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if len(base) == 1 and base != c:
+            one.append(c)
+            other.append(base)
+        elif len(base) > 1 and unicodedata.name(c, "").startswith("LATIN"):
+            several[c] = base
+    return "".join(one), "".join(other), several
+
+
+COMPOSED, BASES, LIGATURES = _decomposed()
 
 
 def blank_to_null(x: Column) -> Column:
@@ -118,7 +154,11 @@ def dms_to_degrees(x: Column) -> Column:
 
 
 def strip_accents(x: Column) -> Column:
-    return F.translate(x, ACCENTED, PLAIN)
+    """Characters as their bases by compatibility decomposition, combining marks left out; Latin ligatures as their letters."""
+    plain = F.translate(F.regexp_replace(x, r"\p{Mn}+", ""), COMPOSED, BASES)
+    letters = F.create_map(*[F.lit(y) for pair in LIGATURES.items() for y in pair])
+    whole = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(letters, c), c)), "")
+    return F.when(plain.rlike("[" + "".join(LIGATURES) + "]"), whole).otherwise(plain)
 
 
 def normalize_text(x: Column) -> Column:
@@ -162,14 +202,14 @@ def normalize_column_name(name: Column) -> Column:
 
 def infer_kind(name: Column) -> Column:
     low = F.lower(name)
-    return F.when(low.rlike("temp"), "temperature").when(low.rlike("sal|psu"), "salinity").otherwise("other")
+    return F.when(low.rlike("temp"), "temperature").when(low.rlike("sal"), "salinity").otherwise("other")
 
 
 def var_meta(name: Column) -> Column:
-    """(label, unit) of a variable name; unknown names in title case, without a unit."""
-    kind = infer_kind(name)
-    label = F.when(kind == "temperature", "Temperatura").when(kind == "salinity", "Salinidad").otherwise(F.initcap(F.replace(name, F.lit("_"), F.lit(" "))))
-    return F.struct(label.alias("label"), F.when(kind == "temperature", "°C").when(kind == "salinity", "PSU").otherwise("").alias("unit"))
+    """(label, unit) of a variable name by ``VARIABLES``; unknown names in title case, without a unit."""
+    key = F.lower(F.trim(name))
+    pick = lambda i, other: F.coalesce(*[F.when(key == k, F.lit(v[i])) for k, v in VARIABLES.items()], other)
+    return F.struct(pick(0, F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))).alias("label"), pick(1, F.lit("")).alias("unit"))
 
 
 def reason_label(text: Column, labels: dict[str, str], most: int = 60) -> Column:
@@ -181,7 +221,25 @@ def reason_label(text: Column, labels: dict[str, str], most: int = 60) -> Column
 
 
 def coords_from_docs(text: Column) -> Column:
-    """Station coordinates written in documents as ``CODE: 43°34.5'N 5°37.0'W`` lines: ``code, lat_deg, lon_deg`` structs."""
-    line = r"(?m)^\W*(\w+)\s*[:|-]\s*(\d[^NS\n]*[NS])[ ,;|]+(\d[^EW\n]*[EW])"
-    part = lambda i: F.regexp_extract_all(text, F.lit(line), F.lit(i))
-    return F.transform(F.arrays_zip(part(1).alias("code"), part(2).alias("lat"), part(3).alias("lon")), lambda s: F.struct(s["code"].alias("code"), dms_to_degrees(s["lat"]).alias("lat_deg"), dms_to_degrees(s["lon"]).alias("lon_deg")))
+    """Station coordinates in a methodology text, ``station, lat_deg, lon_deg, name`` structs: a comment
+    ``<!-- E1 lat lon | E2 lat lon | ... -->`` of four stations, else of three, else points
+    ``**Estación N · name** (43°34.5' N, 5°37.0' W`` by number. A text that is still to be written, and a null one, has none."""
+    number = r"\s+([\d.]+)\s+([-\d.]+)\s*"
+
+    def comment(n: int) -> Column:
+        pattern = r"<!--\s*" + r"\|\s*".join(f"E{i}{number}" for i in range(1, n + 1)) + "-->"
+        part = lambda i: F.regexp_extract(text, pattern, i).try_cast("double")
+        rows = [F.struct(F.lit(i + 1).alias("station"), part(2 * i + 1).alias("lat_deg"), part(2 * i + 2).alias("lon_deg"), F.lit(STATION_NAMES[n][i]).alias("name")) for i in range(n)]
+        return F.when(text.rlike(pattern), F.array(*rows))
+
+    point = r"(?iu)\*\*Estación\s+(\d+)\s*·\s*([^*]+)\*\*\s*\(\s*(\d+)°\s*([\d.]+)\s*['′´]\s*N\s*,\s*(\d+)°\s*([\d.]+)\s*['′´]\s*W"
+    each = lambda i: F.regexp_extract_all(text, F.lit(point), F.lit(i))
+    points = F.transform(
+        F.arrays_zip(*[each(i).alias(f"p{i}") for i in range(1, 7)]),
+        lambda s: F.struct(
+            s["p1"].cast("int").alias("station"), (s["p3"].cast("double") + s["p4"].cast("double") / 60).alias("lat_deg"), (-(s["p5"].cast("double") + s["p6"].cast("double") / 60)).alias("lon_deg"),
+            F.concat(F.lit("E"), s["p1"].cast("int").cast("string"), F.lit(" · "), F.trim(s["p2"])).alias("name"),
+        ),
+    )
+    found = F.coalesce(comment(4), comment(3), F.array_sort(points, lambda a, b: a["station"] - b["station"]))
+    return F.when(~F.contains(text, F.lit(PENDING)), found)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sondage.scratch import written
+
+from . import contract
 from .canonical import impute_median
 from .contract import finite
 from .forest import Forest, isolation_scores
+from .quantiles import joined, key_of, quantiles
 
 # Columns that identify rows, and the edges of the depth bands.
 IDS = ("estacion", "acronimo", "cast", "source_file", "radial_id", "run_id", "row_id")
@@ -36,17 +42,15 @@ def stratify(radial: Column, depth: Column | None) -> Column:
 def score_threshold(df: DataFrame, score: str, q: float, strata: list[str] = (), high: bool = True, approximate: bool = False) -> DataFrame:
     """``threshold`` (linear-interpolated quantile of the stratum's scores) and ``is_anomaly`` (score at or beyond it).
 
-    The quantile is aggregated and joined back. Exact by default; approximate ones take bounded memory at any size.
+    The quantile is exact, counted out (see ``quantiles``), and joined back; ``approximate`` takes one pass instead of two.
     """
-    quantile = F.percentile_approx(score, q, 100_000).cast("double") if approximate else F.percentile(score, q)
-    beyond = (lambda s, t: s >= t) if high else (lambda s, t: s <= t)
-    if not strata:
-        cut = df.agg(quantile.alias("threshold")).first()["threshold"]
-        out = df.withColumn("threshold", F.lit(cut).cast("double"))
+    if approximate:
+        x = df.select(key_of(list(strata)).alias("_k"), F.col(score).alias("_x"))
+        cut = x.groupBy("_k").agg(F.percentile_approx("_x", q, 100_000).cast("double").alias("threshold"))
     else:
-        keys = [f"_k_{s}" for s in strata]
-        cut = df.groupBy(*[F.col(s).alias(k) for s, k in zip(strata, keys, strict=True)]).agg(quantile.alias("threshold"))
-        out = df.join(cut, [df[s].eqNullSafe(cut[k]) for s, k in zip(strata, keys, strict=True)], "left").drop(*keys)
+        cut = quantiles(df, list(strata), {"threshold": F.col(score)}, q)
+    beyond = (lambda s, t: s >= t) if high else (lambda s, t: s <= t)
+    out = joined(df.drop("threshold"), list(strata), cut)
     return out.withColumn("is_anomaly", F.coalesce(beyond(F.col(score), F.col("threshold")), F.lit(False)))
 
 
@@ -60,21 +64,12 @@ def explain_topk(df: DataFrame, features: list[str], flag: str = "is_anomaly", s
 
     The baseline is all rows of the stratum, or with ``baseline="anomalies"`` the flagged rows alone.
     """
+    strata = list(strata)
     base = df.where(flag) if baseline == "anomalies" else df
-    names = [f"_k{i}" for i in range(len(strata))]
-    keyed = base.select(*[F.col(s).alias(n) for s, n in zip(strata, names, strict=True)], *features)
-    mid = keyed.groupBy(*names).agg(*[F.median(f).alias(f"_m_{f}") for f in features])
-    dev = [F.median(F.abs(F.col(f) - F.col(f"_m_{f}"))).alias(f"_d_{f}") for f in features]
-    if names:
-        both = keyed.withColumnsRenamed({n: f"{n}_" for n in names})
-        both = both.join(mid, [both[f"{n}_"].eqNullSafe(mid[n]) for n in names]).groupBy(*names).agg(*dev)
-        stats = mid.withColumnsRenamed({n: f"{n}_" for n in names})
-        stats = stats.join(both, [stats[f"{n}_"].eqNullSafe(both[n]) for n in names]).drop(*[f"{n}_" for n in names])
-        rows = df.where(flag).join(stats, [df[s].eqNullSafe(stats[n]) for s, n in zip(strata, names, strict=True)]).drop(*names)
-    else:
-        m = mid.first()
-        d = base.agg(*[F.median(F.abs(F.col(f) - F.lit(m[f"_m_{f}"]))).alias(f"_d_{f}") for f in features]).first()
-        rows = df.where(flag).withColumns({f"_m_{f}": F.lit(m[f"_m_{f}"]).cast("double") for f in features} | {f"_d_{f}": F.lit(d[f"_d_{f}"]).cast("double") for f in features})
+    mid = quantiles(base, strata, {f"_m_{f}": F.col(f) for f in features}, 0.5)
+    far = joined(base.select(*strata, *[f for f in features if f not in strata]), strata, mid)
+    dev = quantiles(far, strata, {f"_d_{f}": F.abs(F.col(f) - F.col(f"_m_{f}")) for f in features}, 0.5)
+    rows = joined(df.where(flag), strata, mid.join(dev, "_k"))
     mad = lambda f: F.when(F.col(f"_d_{f}") < 1e-12, F.lit(1.0)).otherwise(F.col(f"_d_{f}"))
     each = F.array(*[F.struct((-F.coalesce(F.abs((F.col(f) - F.col(f"_m_{f}")) / mad(f)), F.lit(0.0))).alias("z"), F.lit(f).alias("name")) for f in features])
     out = rows.withColumn("top_features", F.transform(F.slice(F.sort_array(each), 1, k), lambda s: s["name"]))
@@ -98,7 +93,8 @@ def detect(df: DataFrame, features: list[str], strata: list[str], key: list[str]
     """Every row with ``anomaly_score`` (lower is more anomalous), ``threshold``, ``is_anomaly`` and ``reason``.
 
     The lowest ``contamination`` of each stratum's scores is flagged. Strata below ``forest.least_rows`` rows, and tables with
-    fewer than two features, are all clean with score 0.
+    fewer than two features, are all clean with score 0. The imputed table and the scores are written once each, so
+    nothing upstream runs again for subsamples, scores and thresholds.
     """
     if len(features) < 2:
         return df.withColumns({"anomaly_score": F.lit(0.0), "threshold": F.lit(None).cast("double"), "is_anomaly": F.lit(False), "reason": F.lit("insufficient_features")})
@@ -109,12 +105,43 @@ def detect(df: DataFrame, features: list[str], strata: list[str], key: list[str]
     return out.withColumn("reason", reason).withColumn("anomaly_score", F.coalesce("anomaly_score", F.lit(0.0))).drop("_stratum", "iso_score")
 
 
+def qc_batch(
+    df: DataFrame, source: str, features: list[str], strata: list[str], key: list[str], cast: list[str], order: list[str], forest: Forest = Forest(), limits: contract.ProfileLimits = contract.ProfileLimits(), row_id: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Contract and forest of every source in one job: (scored rows, one row for each source, one row of totals).
+
+    Of a source: ``n_rows, n_violations, n_contract_errors, has_contract_error, n_anomalies, error``. A source that can't be
+    judged (a row without ``row_id``, no feature with a number) is a row with its ``error`` and no scores, and the
+    others go on. Trees are budgeted by a stratum's rows. Strata lie within sources.
+    """
+    lacks = F.count_if(F.col(row_id).isNull()) if row_id else F.lit(0)
+    numbers = F.count_if(reduce(lambda a, b: a | b, [contract.finite(f).isNotNull() for f in features]))
+    per = df.groupBy(source).agg(F.count(F.lit(1)).alias("n_rows"), lacks.alias("_lacks"), numbers.alias("_numbers"))
+    error = F.when(F.col("_lacks") > 0, F.lit(f"ValueError: rows without {row_id}")).when(F.col("_numbers") == 0, "ValueError: no feature with a number")
+    per = written(per.select(source, "n_rows", error.alias("error")), "qc-sources")
+    good = df.join(per.where("error is null").select(F.col(source).alias("_source")), df[source].eqNullSafe(F.col("_source")), "left_semi")
+    counts = contract.contract_counts(contract.profile_contract_by(good, [source], cast, order, limits), source)
+    rows = detect(good, features, [source, *strata], key, forest, budget=True)
+    rows = written(rows, "qc-rows")
+    flagged = rows.groupBy(source).agg(F.count_if("is_anomaly").alias("n_anomalies"))
+    at = lambda t, name: t.withColumnRenamed(source, name)
+    out = per.join(at(counts, "_c"), per[source].eqNullSafe(F.col("_c")), "left").join(at(flagged, "_f"), per[source].eqNullSafe(F.col("_f")), "left")
+    zero = lambda c: F.when(F.col("error").isNull(), F.coalesce(c, F.lit(0))).alias(c)
+    out = out.select(source, "n_rows", zero("n_violations"), zero("n_errors").alias("n_contract_errors"), F.coalesce("has_error", F.lit(False)).alias("has_contract_error"), zero("n_anomalies"), "error")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    totals = out.agg(F.count(F.lit(1)).alias("n_sources"), F.count("error").alias("n_failed"), total("n_rows"), total("n_contract_errors"), total("n_anomalies"), F.count_if("has_contract_error").alias("n_sources_with_errors"))
+    return rows, out, totals
+
+
 def detection_metrics(df: DataFrame, n_features: int, strata: list[str], flag: str = "is_anomaly") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(n_features).alias("n_features"), F.count_if(flag).alias("n_anomalies"), F.median("threshold").alias("median_threshold"), F.count_distinct(*strata).alias("n_strata"))
 
 
 def score_stats(df: DataFrame, score: str, flag: str) -> DataFrame:
-    return df.agg(F.min(score).alias("low"), F.median(score).alias("mid"), F.max(score).alias("high"), F.count_if(flag).alias("n_flagged"), F.avg(F.col(flag).cast("int")).alias("rate"))
+    """Least, median and greatest score, flagged rows and their share: one row."""
+    mid = quantiles(df, [], {"mid": F.col(score)}, 0.5).select("mid")
+    stats = df.agg(F.min(score).alias("low"), F.max(score).alias("high"), F.count_if(flag).alias("n_flagged"), F.avg(F.col(flag).cast("int")).alias("rate"))
+    return stats.join(mid, how="left").select("low", "mid", "high", "n_flagged", "rate")
 
 
 def anomalies_by_station(df: DataFrame, by: list[str], flag: str = "is_anomaly") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sondage.scratch import written
+
+from .quantiles import joined, quantiles
+
 
 def inventory(files: DataFrame, rid: str = "radial_id", unknown: str = "desconocida") -> DataFrame:
     """Files by class with the total, most first."""
@@ -48,11 +50,15 @@ def run_duration(runs: DataFrame, run: str, start: str, end: str) -> DataFrame:
 
 
 def geo_index(files: DataFrame, rid: str, station: str, lat: str, lon: str, classes: list[str] | None = None) -> DataFrame:
-    """Median position and number of files for each class, and for each class and station, in one pass of grouping sets."""
+    """Median position and number of files for each class, and for each class and station."""
     rows = files.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & F.col(rid).isNotNull())
     rows = rows.where(F.col(rid).isin(*classes)) if classes else rows
-    out = rows.groupingSets([[F.col(rid)], [F.col(rid), F.col(station)]], F.col(rid), F.col(station))
-    return out.agg(F.grouping(station).cast("int").alias("of_class"), F.median(lat).alias("lat"), F.median(lon).alias("lon"), F.count(F.lit(1)).alias("n"))
+    rows = written(rows.select(rid, station, lat, lon), "positions")  # read by counts and medians alike
+    counts = rows.groupingSets([[F.col(rid)], [F.col(rid), F.col(station)]], F.col(rid), F.col(station)).agg(F.grouping(station).cast("int").alias("of_class"), F.count(F.lit(1)).alias("n"))
+    each = {"lat": F.col(lat), "lon": F.col(lon)}
+    of_class = joined(counts.where("of_class = 1"), [rid], quantiles(rows, [rid], each, 0.5))
+    of_station = joined(counts.where("of_class = 0"), [rid, station], quantiles(rows, [rid, station], each, 0.5))
+    return of_class.unionByName(of_station)
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
@@ -75,12 +81,6 @@ def columns_without_description(columns: DataFrame, glossary: DataFrame) -> Data
     return columns.join(known, F.lower(F.trim(columns["column"])) == F.col("_k"), "left_anti")
 
 
-def described(columns: DataFrame, glossary: DataFrame) -> DataFrame:
-    """Columns with their glossary description; of several the first by name."""
-    known = glossary.groupBy(F.lower(F.trim("column")).alias("_k")).agg(F.min("description").alias("description"))
-    return columns.join(known, F.lower(F.trim(columns["column"])) == F.col("_k"), "left").drop("_k")
-
-
 def dataset_metrics(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(df.columns)).alias("n_cols"), F.array_join(F.array(*map(F.lit, df.columns)), ",").alias("columns"))
 
@@ -99,7 +99,3 @@ def ingest_failures(failures: DataFrame, order: list[str], n: int = 25) -> DataF
 def null_fractions(df: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` columns with the largest share of nulls."""
     return profile_columns(df).select("column", (F.col("pct_null") / 100).alias("fraction")).orderBy(F.desc("fraction"), "column").limit(n)
-
-
-def union_all(*parts: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

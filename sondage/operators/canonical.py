@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .contract import finite
+from .quantiles import joined, quantiles
 
 # Column aliases in the order in which they are tried.
 DEPTH = ("profundidad_m", "profundidad", "depth", "deps", "depsm", "dep_sm", "dep_sm [m]", "dep", "prdm", "prdm [m]", "prsm", "prsm [db]", "press", "pr", "prse")
@@ -15,6 +16,7 @@ DATE = ("fecha", "date", "datetime", "timestamp", "time")
 STATION = ("estacion", "station", "est")
 CAST = ("cast", "acronimo")
 ALIASES = {"profundidad_m": DEPTH, "temperatura_c": TEMPERATURE, "salinidad_psu": SALINITY, "fecha": DATE, "estacion": STATION, "cast": CAST}
+YEAR = r"(?:19|20)\d{2}"
 KINDS = {"profundidad_m": "double", "temperatura_c": "double", "salinidad_psu": "double", "fecha": "timestamp_ntz", "estacion": "string", "cast": "string"}
 
 
@@ -77,7 +79,14 @@ def row_id(df: DataFrame, source: list[str], order: list[str]) -> DataFrame:
 
 
 def synthesize_date(df: DataFrame, date: str | None = None, year: str | None = None, month: str | None = None) -> DataFrame:
-    """``fecha``: the date itself; else year and month on the 15th; else the year on 15 June."""
+    """``fecha``: the date itself; else year and month on the 15th; else the year on 15 June; without any of these columns
+    15 June of the year that the first column with one holds (see ``probe_year``); null without such a column."""
+    if not (date or year):
+        found = probe_year(df)
+        if found is None:
+            return df.withColumn("fecha", F.lit(None).cast("timestamp_ntz"))
+        held = F.regexp_extract(F.col(f"`{found}`").cast("string"), YEAR, 0).try_cast("int")
+        return df.withColumn("fecha", F.make_date(held, F.lit(6), F.lit(15)).cast("timestamp_ntz"))
     parts = []
     if date:
         parts.append(F.try_to_timestamp(F.col(date).cast("string")).cast("timestamp_ntz"))
@@ -86,26 +95,28 @@ def synthesize_date(df: DataFrame, date: str | None = None, year: str | None = N
         parts.append(F.when(F.col(month).try_cast("int").between(1, 12), F.make_date(y, F.col(month).try_cast("int"), F.lit(15))).cast("timestamp_ntz"))
     if year:
         parts.append(F.make_date(y, F.lit(6), F.lit(15)).cast("timestamp_ntz"))
-    return df.withColumn("fecha", F.coalesce(*parts) if parts else F.lit(None).cast("timestamp_ntz"))
+    return df.withColumn("fecha", F.coalesce(*parts))
 
 
 def probe_year(df: DataFrame) -> str | None:
     """The first column with a value that holds a year from 1900 to 2099; one aggregation over all columns."""
-    hits = df.agg(*[F.count_if(F.col(f"`{c}`").cast("string").rlike(r"\b(19|20)\d{2}\b")).alias(c) for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "binary"))]).first()
-    return next((c for c in hits.__fields__ if hits[c]), None)
+    columns = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "binary"))]
+    if not columns:
+        return None
+    hits = df.agg(*[F.count_if(F.col(f"`{c}`").cast("string").rlike(YEAR)).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    return next((c for i, c in enumerate(columns) if hits[i]), None)
 
 
-def cast_key(df: DataFrame, hints: tuple[str, ...] = ("acronimo", "cast", "est", "estacion"), source: str = "source_file", row: str = "row_id") -> DataFrame:
-    """``cast_key``: the first hint with a value, else the source and row."""
+def cast_key(df: DataFrame, hints: tuple[str, ...] = ("acronimo", "cast", "est", "estacion"), source: str = "source_file", row: str = "row_id", day: str | None = None) -> DataFrame:
+    """``cast_key``: the first hint with a value, else the day of a date column (``day``), else the source and row."""
     found = [F.col(h).cast("string") for h in hints if h in df.columns]
+    if day:
+        found.append(F.date_format(day, "yyyy-MM-dd"))
+        if source not in df.columns or row not in df.columns:
+            return df.withColumn("cast_key", F.coalesce(*found))
     return df.withColumn("cast_key", F.coalesce(*found, F.concat_ws("_", F.col(source).cast("string"), F.col(row).cast("string"))))
 
 
-def day_key(df: DataFrame, date: str) -> DataFrame:
-    """``cast_key``: the day, where a table has no casts."""
-    return df.withColumn("cast_key", F.date_format(date, "yyyy-MM-dd"))
-
-
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     """The table itself; ValueError lists what it lacks."""
     missing = [c for c in required if c not in df.columns]
@@ -117,17 +128,11 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
 def impute_median(df: DataFrame, features: list[str], strata: list[str] = ()) -> DataFrame:
     """Nulls and NaN replaced by the stratum's median of the feature, by 0 where it has none.
 
-    Medians are aggregated before they meet the rows, so a stratum with most of the rows is no single task.
+    Medians are counted out (see ``quantiles``) before they meet the rows, so a stratum with most of the rows is no single task.
     """
-    agg = [F.median(finite(c)).alias(f"_m_{c}") for c in features]
-    if not strata:
-        mid = df.agg(*agg).first()
-        return df.withColumns({c: F.coalesce(finite(c), F.lit(mid[f"_m_{c}"]), F.lit(0.0)) for c in features})
-    keys = [f"_k_{s}" for s in strata]
-    mid = df.groupBy(*[F.col(s).alias(k) for s, k in zip(strata, keys, strict=True)]).agg(*agg)
-    cond = [df[s].eqNullSafe(mid[k]) for s, k in zip(strata, keys, strict=True)]
-    out = df.join(mid, cond, "left")
-    return out.withColumns({c: F.coalesce(finite(c), F.col(f"_m_{c}"), F.lit(0.0)) for c in features}).drop(*keys, *[f"_m_{c}" for c in features])
+    mid = quantiles(df, list(strata), {f"_m_{c}": finite(c) for c in features}, 0.5)
+    out = joined(df, list(strata), mid)
+    return out.withColumns({c: F.coalesce(finite(c), F.col(f"_m_{c}"), F.lit(0.0)) for c in features}).drop(*[f"_m_{c}" for c in features])
 
 
 def limit_sources(files: DataFrame, n: int, path: str = "path") -> DataFrame:

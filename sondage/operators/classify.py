@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sondage.functions.text import extract, normalize_text
+from sondage.functions.text import STATION_FOLDER, explain_year, extract, normalize_text
 
 UNKNOWN = "desconocida"
 # Station codes, keywords and prefixes of the sites.
@@ -18,10 +19,11 @@ CODES = {
     "gijon": ("E1GI", "E2GI", "E3GI", "E4GI"),
     "santander": ("E2SA", "E3SA", "E4SA", "E5SA", "E6SA", "E7SA", "E8SA", "AGL"),
 }
+LABELS = {"cudillero": "Cudillero", "gijon": "Gijón", "santander": "Santander", "coruna": "A Coruña", "vigo": "Vigo", "desconocida": "Sin clasificar"}
 ALIASES = {"cuideiru": "cudillero", "xixon": "gijon"}
 KEYWORDS = (
     ("cudillero", ("cudillero", "cuideiru", "radial cud", "rad. cud")),
-    ("gijon", ("gijon", "xixon", "radial gij", "radial de gij", "jureva")),
+    ("gijon", ("gijon", "gij\x95n", "xixon", "radial gij", "radial de gij", "jureva")),
     ("santander", ("santander", "santand", "sanatnder", "sanatander", "rad san", "radsan")),
     ("vigo", ("vigo", "radial vi", "rad vi")),
     ("coruna", ("coru", "coruna", "la coru", "a coru")),
@@ -46,7 +48,8 @@ def identify_by_code(text: Column, catalog: dict[str, tuple[str, ...]] = CODES)
 
 def identify_by_catalog(df: DataFrame, text: str, key: str, catalog: DataFrame) -> DataFrame:
     """``key, id`` by a catalog table (``code, id``) of any size: every substring as long as some code meets the codes in an
-    equi-join, and the longest match wins (of equally long ones the smallest id)."""
+    equi-join, and the longest match wins (of equally long ones the smallest id). For names and headers: a text gives as many
+    rows as it has characters, for each length of code."""
     lengths = sorted(r[0] for r in catalog.select(F.length("code")).distinct().collect())  # a few lengths, however many codes
     up = F.upper(F.trim(F.col(text)))
     grams = F.flatten(F.array(*[F.when(F.length(up) >= n, F.transform(F.sequence(F.lit(1), F.length(up) - n + 1), lambda i, n=n: F.substring(up, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in lengths]))
@@ -61,9 +64,9 @@ def classify_by_position(lat: Column, lon: Column) -> Column:
     return F.when(inside, band)
 
 
-def classify_by_keywords(text: Column, aliases: dict[str, str] = ALIASES, keywords: tuple = KEYWORDS) -> Column:
-    """The alias the normalised text contains, else the first list with a word in it."""
-    t = normalize_text(text)
+def classify_by_keywords(text: Column, aliases: dict[str, str] = ALIASES, keywords: tuple = KEYWORDS, normal: bool = False) -> Column:
+    """The alias the normalised text contains, else the first list with a word in it; ``normal``: the text is normalised already."""
+    t = text if normal else normalize_text(text)
     found = [F.when(F.contains(t, F.lit(a)), F.lit(k)) for a, k in aliases.items()]
     return F.coalesce(*found, *[F.when(reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in words]), F.lit(k)) for k, words in keywords])
 
@@ -100,8 +103,9 @@ def classify_detailed(df: DataFrame, path: str, cruise: str, lat: str, lon: str,
     position; the cruise unless it conflicts with the position, which then wins; file name; box; station prefix of
     campaigns; unknown. Each part is a column of its own first, so the cascade stays small."""
     stem = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
+    df = df.withColumn("_norm", normalize_text(F.col(cruise)))
     df = df.withColumns(
-        {"_cruise": classify_by_keywords(F.col(cruise)), "_geo": classify_by_position(F.col(lat), F.col(lon)), "_name": classify_by_filename(stem), "_folder": folder_rule(F.col(path)), "_blank": F.coalesce(F.trim(cruise) == "", F.lit(True)), "_like": F.coalesce(F.col(cruise).rlike(CAMPAIGN), F.lit(False))}
+        {"_cruise": classify_by_keywords(F.col("_norm"), normal=True), "_geo": classify_by_position(F.col(lat), F.col(lon)), "_name": classify_by_filename(stem), "_folder": folder_rule(F.col(path)), "_blank": F.coalesce(F.trim(cruise) == "", F.lit(True)), "_like": F.coalesce(F.col(cruise).rlike(CAMPAIGN), F.lit(False))}
     )
     df = df.withColumns({"_campaign": F.col("_like") & F.col("_cruise").isNull(), "_conflict": F.coalesce(F.col("_cruise") != F.col("_geo"), F.lit(False))})
     df = df.withColumn("_prefix", classify_by_station_prefix(F.col(station), F.col("_campaign")))
@@ -112,7 +116,7 @@ def classify_detailed(df: DataFrame, path: str, cruise: str, lat: str, lon: str,
     first = F.coalesce(*[F.when(cond, F.struct(value.alias("radial_id"), F.lit(tag).alias("rule"))) for cond, value, tag in steps], F.struct(F.lit(None).cast("string").alias("radial_id"), F.lit("unknown").alias("rule")))
     df = df.withColumn("_first", first)
     cls = F.struct("_first.radial_id", "_first.rule", F.col("_campaign").alias("campana"), F.col("_cruise").alias("cruise_radial"), F.col("_geo").alias("geo_radial"), F.col("_conflict").alias("conflict"))
-    return df.withColumn(out, cls).drop("_cruise", "_geo", "_name", "_folder", "_blank", "_like", "_campaign", "_conflict", "_prefix", "_first")
+    return df.withColumn(out, cls).drop("_norm", "_cruise", "_geo", "_name", "_folder", "_blank", "_like", "_campaign", "_conflict", "_prefix", "_first")
 
 
 def scope_files(files: DataFrame, target: str, rid: str = "radial_id") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -140,10 +144,16 @@ def first_matching(df: DataFrame, hints: list[str], found: dict[str, Column]) ->
     return next((h for h in present if counts[h]), None)
 
 
-def attach_class(df: DataFrame, hints: tuple[str, ...] = ("acronimo", "cast"), rid: str = "radial_id") -> DataFrame:
-    """Fills a missing or all-null id column by codes in the first hint column with any match."""
+def attach_class(df: DataFrame, hints: tuple[str, ...] = ("acronimo", "cast"), rid: str = "radial_id", files: DataFrame | None = None, source: str = "source_file") -> DataFrame:
+    """Fills a missing or all-null id column: by the row's source (see ``classify_by_reference``; ``files`` may be missing), and
+    only if that tells no row's class by codes in the first hint column with any match."""
     if rid in df.columns and df.where(F.col(rid).isNotNull()).limit(1).count():
         return df
+    if source in df.columns:
+        known = files if files is not None else df.sparkSession.createDataFrame([], "path string, radial_id string")
+        told = classify_by_reference(df.drop(rid), source, known).withColumnRenamed("radial_id", rid)
+        if told.where(F.col(rid).isNotNull()).limit(1).count():
+            return told
     found = {h: identify_by_code(F.col(h)) for h in hints if h in df.columns}
     best = first_matching(df, list(hints), found)
     return df.withColumn(rid, found[best] if best else F.lit(None).cast("string"))
@@ -196,17 +206,36 @@ def station_names(df: DataFrame, codes: tuple[str, ...], column: str = "estacion
     return df.withColumn("station_name", name)
 
 
-def conflict_audit(files: DataFrame, most: int = 15) -> tuple[DataFrame, DataFrame]:
-    """(files by id and cruise; the ``most`` most frequent unmatched cruises). ``files``: radial_id, cruise."""
-    by = files.groupBy("radial_id", "cruise").agg(F.count(F.lit(1)).alias("n"))
-    return by, by.where("radial_id is null").orderBy(F.desc("n"), "cruise").limit(most)
+def station_code(number: Column, codes: tuple[str, ...]) -> Column:
+    """The code of a header's station number: the first code ``E<number>`` and a letter, else the one at that position."""
+    named = [(int(m[1]), c.upper()) for c in codes if (m := re.match(r"(?i)E(\d+)[A-Z]", c.strip()))]
+    first = [F.when(number == n, F.lit(c)) for n, c in named]
+    return F.coalesce(*first, F.get(F.array(*[F.lit(c.upper()) for c in codes]), number.cast("int") - 1))
+
 
+def site_label(rid: Column) -> Column:
+    """The name of a site's id; ids without one as they are."""
+    return F.coalesce(*[F.when(rid == k, F.lit(v)) for k, v in LABELS.items()], rid)
 
-def sampled_station(path: Column) -> Column:
-    """A station's number in a cast name such as ``...cast018``."""
-    return extract(path, r"(?i)cast(\d+)").try_cast("int")
 
+def file_audit(files: DataFrame, path: str = "path", cruise: str = "cruise", station: str = "station", iso: str = "start_iso", cls: str = "cls") -> DataFrame:
+    """One row a file: path, name and folder, cruise raw and normalised, the class by cruise, alias, position and in all with its
+    rule and conflict, the station of the header and of the folder, and where its year comes from. ``files`` carries ``cls``
+    (see ``classify_detailed``)."""
+    p, c = F.col(path), F.col(cruise)
+    parts = F.split(p, "/")
+    folder = F.when(F.size(parts) >= 2, F.get(parts, F.size(parts) - 2))
+    normal = normalize_text(c)
+    alias = F.coalesce(*[F.when(F.contains(normal, F.lit(a)), F.lit(k)) for a, k in ALIASES.items()])
+    year = explain_year(F.col(iso), p)
+    return files.select(
+        path, F.element_at(parts, -1).alias("file"), folder.alias("parent_folder"), F.substring(c, 1, 200).alias("cruise_raw"), F.substring(normal, 1, 200).alias("cruise_normalized"), F.col(f"{cls}.cruise_radial").alias("cruise_radial"), alias.alias("alias_radial"),
+        F.col(f"{cls}.geo_radial").alias("geo_radial"), F.col(f"{cls}.radial_id").alias("radial_id"), F.col(f"{cls}.rule").alias("rule"), F.col(f"{cls}.campana").alias("campana"), F.col(f"{cls}.conflict").alias("conflict"), F.col(station).alias("station"),
+        extract(folder, STATION_FOLDER).try_cast("int").alias("station_folder"), year["header_year"].alias("header_year"), year["path_year"].alias("path_year"), year["file_year"].alias("file_year"), year["applied_year"].alias("applied_year"), year["rule"].alias("year_rule"),
+    )
 
-def ranked(df: DataFrame, by: list[str], n: int, order: list[Column]) -> DataFrame:
-    """The first ``n`` rows of every group in an order."""
-    return df.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= n).drop("_r")
+
+def conflict_audit(files: DataFrame, most: int = 15) -> tuple[DataFrame, DataFrame]:
+    """(files by id and cruise; the ``most`` most frequent unmatched cruises). ``files``: radial_id, cruise."""
+    by = files.groupBy("radial_id", "cruise").agg(F.count(F.lit(1)).alias("n"))
+    return by, by.where("radial_id is null").orderBy(F.desc("n"), "cruise").limit(most)

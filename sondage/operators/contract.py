@@ -75,22 +75,23 @@ def violation(when: Column, severity: str | Column, code: str | Column, n: Colum
     )
 
 
-def emitted(df: DataFrame, *rules: Column) -> DataFrame:
-    """The violations among ``rules``, each a struct or null, of every row."""
-    return df.select(F.explode(F.filter(F.array(*rules), lambda v: v.isNotNull())).alias("v")).select("v.*")
+def emitted(df: DataFrame, *rules: Column, by: list[str] = ()) -> DataFrame:
+    """The violations among ``rules``, each a struct or null, of every row, after its ``by`` columns."""
+    return df.select(*by, F.explode(F.filter(F.array(*rules), lambda v: v.isNotNull())).alias("v")).select(*by, "v.*")
 
 
-def check_dates(df: DataFrame, date: str, years: tuple[int, int] = ProfileLimits.years) -> DataFrame:
-    """All dates unparseable: ERROR; some: WARNING; any year outside the window: ERROR."""
+def check_dates(df: DataFrame, date: str, years: tuple[int, int] = ProfileLimits.years, by: list[str] = ()) -> DataFrame:
+    """All dates unparseable: ERROR; some: WARNING; any year outside the window: ERROR. With ``by`` for each group of rows."""
     day = F.try_to_timestamp(F.col(date).cast("string"))
     out = F.count_if((F.year(day) < years[0]) | (F.year(day) > years[1]))
-    agg = df.agg(F.count(F.lit(1)).alias("n"), F.count(day).alias("ok"), out.alias("out"), F.min(F.year(day)).alias("lo"), F.max(F.year(day)).alias("hi"))
+    agg = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count(day).alias("ok"), out.alias("out"), F.min(F.year(day)).alias("lo"), F.max(F.year(day)).alias("hi"))
     n, ok = F.col("n"), F.col("ok")
     return emitted(
         agg,
         violation((n > 0) & (ok == 0), ERROR, "sampling_date_unparseable", n),
         violation((ok > 0) & (ok < n), WARNING, "sampling_date_partially_missing", n - ok),
         violation(F.col("out") > 0, ERROR, "sampling_date_out_of_calendar_range", F.col("out"), F.when(F.col("hi") > years[1], F.col("hi")).otherwise(F.col("lo")), F.format_string("years %d to %d", "lo", "hi")),
+        by=by,
     )
 
 
@@ -106,15 +107,15 @@ def check_columns(df: DataFrame, required: list[str], numeric: list[str] = ()) -
     return out
 
 
-def check_range(df: DataFrame, value: str, low: float | None, high: float | None, code: str) -> DataFrame:
-    """Values outside the bounds (None: unbounded): one ERROR with their number and the furthest of them."""
+def check_range(df: DataFrame, value: str, low: float | None, high: float | None, code: str, by: list[str] = ()) -> DataFrame:
+    """Values outside the bounds (None: unbounded): one ERROR with their number and the furthest of them. With ``by`` for each group of rows."""
     x = finite(value)
     bad = F.lit(False)
     bad = bad | (x < low) if low is not None else bad
     bad = bad | (x > high) if high is not None else bad
-    agg = df.agg(F.count_if(bad).alias("n"), F.min(F.when(bad, x)).alias("lo"), F.max(F.when(bad, x)).alias("hi"))
+    agg = df.groupBy(*by).agg(F.count_if(bad).alias("n"), F.min(F.when(bad, x)).alias("lo"), F.max(F.when(bad, x)).alias("hi"))
     beyond = F.col("hi") > high if high is not None else F.lit(False)
-    return emitted(agg, violation(F.col("n") > 0, ERROR, code, F.col("n"), F.when(beyond, F.col("hi")).otherwise(F.col("lo"))))
+    return emitted(agg, violation(F.col("n") > 0, ERROR, code, F.col("n"), F.when(beyond, F.col("hi")).otherwise(F.col("lo"))), by=by)
 
 
 def depth_segments(df: DataFrame, cast: list[str], order: list[str], depth: str, drop: float = ProfileLimits.segment_drop) -> DataFrame:
@@ -145,14 +146,16 @@ def gradient_segments(df: DataFrame, cast: list[str], order: list[str], depth: s
     return out.select(*cast, "segment", "is_error", (F.col("is_warning") & ~F.col("is_error")).alias("is_warning"), F.coalesce("worst_error", "worst_warning").alias("worst"))
 
 
-def check_vertical_gradient(df: DataFrame, cast: list[str], order: list[str], depth: str, value: str, prefix: str = "temp", bands: tuple[Band, ...] = ProfileLimits.temperature_bands) -> DataFrame:
-    """``<prefix>_large_vertical_jump`` ERROR with the number of segments in error, else ``_moderate_`` WARNING."""
-    s = gradient_segments(df, cast, order, depth, value, bands)
-    agg = s.agg(F.count_if("is_error").alias("e"), F.count_if("is_warning").alias("w"), F.max(F.when(F.col("is_error"), F.col("worst"))).alias("we"), F.max(F.when(F.col("is_warning"), F.col("worst"))).alias("ww"))
+def check_vertical_gradient(df: DataFrame, cast: list[str], order: list[str], depth: str, value: str, prefix: str = "temp", bands: tuple[Band, ...] = ProfileLimits.temperature_bands, by: list[str] = ()) -> DataFrame:
+    """``<prefix>_large_vertical_jump`` ERROR with the number of segments in error, else ``_moderate_`` WARNING. With ``by`` for
+    each group of casts."""
+    s = gradient_segments(df, [*by, *cast], order, depth, value, bands)
+    agg = s.groupBy(*by).agg(F.count_if("is_error").alias("e"), F.count_if("is_warning").alias("w"), F.max(F.when(F.col("is_error"), F.col("worst"))).alias("we"), F.max(F.when(F.col("is_warning"), F.col("worst"))).alias("ww"))
     return emitted(
         agg,
         violation(F.col("e") > 0, ERROR, f"{prefix}_large_vertical_jump", F.col("e"), F.col("we")),
         violation((F.col("e") == 0) & (F.col("w") > 0), WARNING, f"{prefix}_moderate_vertical_jump", F.col("w"), F.col("ww")),
+        by=by,
     )
 
 
@@ -221,6 +224,16 @@ def profile_contract(df: DataFrame, cast: list[str], order: list[str], limits: P
     return sorted_violations(reduce(DataFrame.unionByName, parts))
 
 
+def profile_contract_by(df: DataFrame, by: list[str], cast: list[str], order: list[str], limits: ProfileLimits = ProfileLimits(), depth: str = "profundidad_m", temperature: str = "temperatura_c", date: str = "fecha") -> DataFrame:
+    """``profile_contract`` of every source at once: ``by`` columns before each violation. The table has the core columns."""
+    parts = [
+        check_range(df, temperature, *limits.temperature, "temp_out_of_absolute_range", by),
+        check_vertical_gradient(df, cast, order, depth, temperature, "temp", limits.temperature_bands, by),
+        check_dates(df, date, limits.years, by),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_duplicates(df: DataFrame, time: str, keys: list[str] = ()) -> DataFrame:
     """All rows that share time and keys with another: WARNING; a missing time column: ERROR. Null keys are a group."""
     if time not in df.columns:

@@ -15,7 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sondage.scratch import written
+
 TOGETHER = 16
+#: Nodes of a forest that is broadcast, and rows of a group that meets a larger forest.
+BROADCAST_NODES = 2_000_000
+GROUP_ROWS = 50_000
 NODES = "stratum string, tree int, node int, coef array<double>, threshold double, left int, right int, size int, depth int"
 
 
@@ -107,43 +112,67 @@ def _packed(own: pd.DataFrame, p: int, ndim: int) -> tuple:
     return pick, weight, own["threshold"].fillna(0).to_numpy(float), child, length, int(own["depth"].max())
 
 
-def scored(df: DataFrame, nodes: DataFrame, features: list[str], stratum: str, forest: Forest) -> DataFrame:
+def _packs(nodes: pd.DataFrame, p: int, ndim: int) -> tuple[list[tuple], int]:
+    """(trees as arrays, the largest tree's rows) of one stratum."""
+    packs = [_packed(own.sort_values("node"), p, ndim) for _, own in nodes.groupby("tree")]
+    return packs, int(nodes["size"].max())
+
+
+def _score(x: np.ndarray, packs: list[tuple], psi: int) -> np.ndarray:
+    """Scores of rows (n x features) under one stratum's trees."""
+    flat, base, total = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+    for pick, weight, cut, child, length, depth in packs:
+        at = np.zeros(len(x), np.intp)
+        for _ in range(depth):
+            value = sum((flat.take(base + p.take(at)) * w.take(at) for p, w in zip(pick[1:], weight[1:], strict=True)), flat.take(base + pick[0].take(at)) * weight[0].take(at))
+            at = child.take(2 * at + (value > cut.take(at)))
+        total += length.take(at)
+    return 2.0 ** (-total / len(packs) / max(path_length(psi), 1e-12))
+
+
+def scored(df: DataFrame, nodes: DataFrame, features: list[str], stratum: str, key: list[str], forest: Forest) -> DataFrame:
     """``df`` with ``iso_score`` in (0, 1), higher for rows that are isolated sooner; null in strata without a forest.
 
-    The forest's size depends on strata, trees and ``psi``, not on rows; it is collected and broadcast as arrays.
+    A forest of at most ``BROADCAST_NODES`` nodes goes to all tasks. A larger one (it grows with strata and trees) stays
+    distributed: rows meet their stratum's trees in groups of about ``GROUP_ROWS`` rows.
     """
-    packs, psi = {}, {}
-    for (s, _), own in nodes.toPandas().groupby(["stratum", "tree"]):
-        packs.setdefault(s, []).append(_packed(own.sort_values("node"), len(features), forest.ndim))
-        psi[s] = max(psi.get(s, 0), int(own["size"].max()))
-    sc = df.sparkSession.sparkContext
-    shared = sc.broadcast((packs, psi))
-    if df.rdd.getNumPartitions() < sc.defaultParallelism:  # a few large partitions would leave cores idle for the whole scoring
-        df = df.repartition(sc.defaultParallelism)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packs, psi = shared.value
-        for pdf in batches:
-            score = np.full(len(pdf), np.nan)
-            for s, place in pdf.groupby(stratum, sort=False).indices.items():
-                if s not in packs:
-                    continue
-                x = np.ascontiguousarray(pdf[features].to_numpy(float)[place])
-                flat, base, total = x.ravel(), np.arange(len(place)) * x.shape[1], np.zeros(len(place))
-                for pick, weight, cut, child, length, depth in packs[s]:
-                    at = np.zeros(len(place), np.intp)
-                    for _ in range(depth):
-                        value = sum((flat.take(base + p.take(at)) * w.take(at) for p, w in zip(pick[1:], weight[1:], strict=True)), flat.take(base + pick[0].take(at)) * weight[0].take(at))
-                        at = child.take(2 * at + (value > cut.take(at)))
-                    total += length.take(at)
-                score[place] = 2.0 ** (-total / len(packs[s]) / max(path_length(psi[s]), 1e-12))
-            yield pdf.assign(iso_score=score)
-
     schema = df.withColumn("iso_score", F.lit(None).cast("double")).schema
-    return df.mapInPandas(run, schema).withColumn("iso_score", F.nanvl("iso_score", F.lit(None).cast("double")))
+    if nodes.count() <= BROADCAST_NODES:
+        packs = {s: _packs(own, len(features), forest.ndim) for s, own in nodes.toPandas().groupby("stratum")}
+        shared = df.sparkSession.sparkContext.broadcast(packs)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            packs = shared.value
+            for pdf in batches:
+                score = np.full(len(pdf), np.nan)
+                for s, place in pdf.groupby(stratum, sort=False).indices.items():
+                    if s in packs:
+                        score[place] = _score(pdf[features].to_numpy(float)[place], *packs[s])
+                yield pdf.assign(iso_score=score)
+
+        out = df.mapInPandas(run, schema)
+    else:
+        names = [c for c in df.columns]
+        sizes = df.groupBy(stratum).agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("_groups"))
+        rows = df.join(sizes, stratum).withColumn("_group", F.pmod(F.xxhash64(*key), F.col("_groups")).cast("int")).drop("_groups")
+        trees = nodes.join(sizes.withColumnRenamed(stratum, "_s"), F.col("stratum") == F.col("_s")).withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).drop("_s", "_groups")
+
+        def meet(pdf: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            score = _score(pdf[features].to_numpy(float), *_packs(own, len(features), forest.ndim)) if len(own) and len(pdf) else np.full(len(pdf), np.nan)
+            return pdf[names].assign(iso_score=score)
+
+        out = rows.groupBy(stratum, "_group").cogroup(trees.groupBy("stratum", "_group")).applyInPandas(meet, schema)
+    return out.withColumn("iso_score", F.nanvl("iso_score", F.lit(None).cast("double")))
 
 
 def isolation_scores(df: DataFrame, features: list[str], stratum: str, key: list[str], forest: Forest = Forest(), budget: bool = False) -> DataFrame:
-    """``df`` with ``iso_score``; features must be complete (see ``impute_median``), ``key`` tells rows apart."""
-    nodes = grown(subsamples(df, features, stratum, key, forest, budget), forest)
-    return scored(df, nodes, features, stratum, forest)
+    """``df`` with ``iso_score``; features must be complete (see ``impute_median``), ``key`` tells rows apart.
+
+    The table is written once, dealt by its key, so that growing and scoring read it without running what made it again, and
+    scoring has rows for all cores; nodes and scores are written too.
+    """
+    sc = df.sparkSession.sparkContext
+    parts = max(sc.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    full = written(df.repartition(parts, *key), "imputed")
+    nodes = written(grown(subsamples(full, features, stratum, key, forest, budget), forest), "forest")
+    return written(scored(full, nodes, features, stratum, key, forest), "scores")

@@ -11,14 +11,30 @@ from pyspark.sql import functions as F
 
 
 def changed_files(files: DataFrame, manifest: DataFrame, version: int, rebuild: bool = False) -> DataFrame:
-    """Files that the manifest doesn't have with their length, time (to a microsecond) and version; all of them on a rebuild."""
+    """Files that the manifest doesn't have with their length, time (to a microsecond) and version; all of them on a rebuild.
+
+    Where both tables have a column ``sha256``, a file whose time alone differs counts as unchanged if its digest is the
+    manifest's.
+    """
     if rebuild:
         return files
-    known = manifest.where(F.col("version") == version).select(F.col("path").alias("_p"), F.col("length").alias("_l"), F.col("mtime").alias("_m")).distinct()
-    same = (files["path"] == F.col("_p")) & (files["length"] == F.col("_l")) & (F.abs(F.unix_micros(files["mtime"].cast("timestamp")) - F.unix_micros(F.col("_m").cast("timestamp"))) <= 1)
+    hashed = "sha256" in files.columns and "sha256" in manifest.columns
+    digest = [F.col("sha256").alias("_h")] if hashed else []
+    known = manifest.where(F.col("version") == version).select(F.col("path").alias("_p"), F.col("length").alias("_l"), F.col("mtime").alias("_m"), *digest).distinct()
+    on_time = F.abs(F.unix_micros(files["mtime"].cast("timestamp")) - F.unix_micros(F.col("_m").cast("timestamp"))) <= 1
+    on_time = on_time | (files["sha256"] == F.col("_h")) if hashed else on_time
+    same = (files["path"] == F.col("_p")) & (files["length"] == F.col("_l")) & on_time
     return files.join(known, same, "left_anti")
 
 
+def with_digests(files: DataFrame, manifest: DataFrame, contents: DataFrame) -> DataFrame:
+    """Files with ``sha256``: the manifest's where length and time are its own, else taken anew from ``contents`` (path, content)."""
+    known = manifest.select("path", "length", "mtime", "sha256").dropDuplicates(["path", "length", "mtime"])
+    out = files.drop("sha256").join(known, ["path", "length", "mtime"], "left")
+    fresh = contents.join(out.where("sha256 is null").select("path"), "path", "left_semi").select("path", F.sha2("content", 256).alias("_fresh"))
+    return out.join(fresh, "path", "left").withColumn("sha256", F.coalesce("sha256", "_fresh")).drop("_fresh")
+
+
 def reuse_unchanged(previous: DataFrame, fresh: DataFrame, changed: DataFrame, key: str = "path") -> DataFrame:
     """Earlier output of unchanged files with the new output of the others."""
     return previous.join(changed.select(key).distinct(), key, "left_anti").unionByName(fresh, allowMissingColumns=True)

@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 
 from .contract import finite
 
+#: What sums are taken in: exact, so that no order of rows or partitions changes a result.
+EXACT = "decimal(28,12)"
 #: Quantiles of the normal distribution for two-sided bands of 95, 75 and 50 %.
 Z = {"95": 1.959963984540054, "75": 1.1503493803760079, "50": 0.6744897501960817}
 
 
+def exact_sum(x: Column) -> Column:
+    """The sum of ``x``, its values rounded to 12 places, as an aggregate or window column to be cast or divided."""
+    return F.sum(x.try_cast(EXACT))
+
+
 def interp_at_depth(df: DataFrame, cast: list[str], depth: str, value: str, target: float) -> DataFrame:
     """``cast, value_at, z_max`` by linear interpolation; repeated depths are averaged; null outside the cast's depths."""
     z, v = finite(depth), finite(value)
@@ -47,8 +54,9 @@ def coverage_diag(casts: DataFrame, target: float) -> DataFrame:
 
 
 def monthly_mean(df: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
-    """``keys, month, value``: the mean of each month."""
-    return df.groupBy(*keys, F.trunc(time, "MONTH").alias("month")).agg(F.avg(finite(value)).alias("value"))
+    """``keys, month, value``: the mean of each month, from an exact sum divided once."""
+    x = finite(value)
+    return df.groupBy(*keys, F.trunc(time, "MONTH").alias("month")).agg(F.try_divide(exact_sum(x).cast("double"), F.count(x.try_cast(EXACT))).alias("value"))
 
 
 def month_grid(monthly: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,8 +67,9 @@ def month_grid(monthly: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def climatology_anomaly(grid: DataFrame, keys: list[str]) -> DataFrame:
-    """``climatology`` (mean of the calendar month's values of the series) and ``anomaly`` (value less it)."""
-    clim = F.avg("value").over(Window.partitionBy(*keys, F.month("month")))
+    """``climatology`` (mean of the calendar month's values of the series, from an exact sum) and ``anomaly`` (value less it)."""
+    own = Window.partitionBy(*keys, F.month("month"))
+    clim = F.try_divide(exact_sum(F.col("value")).over(own).cast("double"), F.count("value").over(own))
     return grid.withColumn("climatology", clim).withColumn("anomaly", F.col("value") - F.col("climatology"))
 
 
@@ -81,10 +90,11 @@ def design(t: Column, harmonics: int = 3, trend: bool = False) -> list[Column]:
 
 
 def gram_sums(df: DataFrame, keys: list[str], xs: list[Column], y: Column) -> DataFrame:
-    """``n``, the Gram matrix ``g`` (row by row) and ``r`` = X'y of each series, by plain sums with map-side combine."""
+    """``n``, the Gram matrix ``g`` (row by row) and ``r`` = X'y of each series, by exact sums with map-side combine."""
     p = len(xs)
-    upper = {(i, j): F.sum(xs[i] * xs[j]) for i in range(p) for j in range(i, p)}
-    rows = df.where(y.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[s.alias(f"g_{i}_{j}") for (i, j), s in upper.items()], *[F.sum(xs[i] * y).alias(f"r_{i}") for i in range(p)])
+    total = lambda x: exact_sum(x).cast("double")
+    upper = {(i, j): total(xs[i] * xs[j]) for i in range(p) for j in range(i, p)}
+    rows = df.where(y.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[s.alias(f"g_{i}_{j}") for (i, j), s in upper.items()], *[total(xs[i] * y).alias(f"r_{i}") for i in range(p)])
     g = F.array(*[F.col(f"g_{min(i, j)}_{max(i, j)}") for i in range(p) for j in range(p)])
     return rows.select(*keys, "n", g.alias("g"), F.array(*[F.col(f"r_{i}") for i in range(p)]).alias("r"))
 
@@ -187,6 +197,20 @@ def residual_bands(model: DataFrame, keys: list[str]) -> DataFrame:
     return sd.select(*keys, "sigma", *[(F.lit(z) * F.col("sigma")).alias(f"half_{p}") for p, z in Z.items()])
 
 
+def residual_band_rows(model: DataFrame, keys: list[str], months: int = 12) -> DataFrame:
+    """For every month of a series the residual bands ``low_p, high_p``, and the forecast's (``forecast`` 0, ``forecast_low_p,
+    forecast_high_p``), which are null outside the ``months`` months from the first held-out one on; null throughout for a series
+    without held-out months. Of rows of one month the residual bands count the last."""
+    last = model.groupBy(*keys, "month").agg(F.max_by(F.struct("residual", "is_holdout"), F.coalesce("t", F.lit(0)) if "t" in model.columns else F.lit(0)).alias("r"))
+    rows = last.select(*keys, "month", "r.residual", "r.is_holdout")
+    start = rows.groupBy(*keys).agg(F.min(F.when(F.col("is_holdout"), F.col("month"))).alias("cutoff"))
+    out = rows.select(*keys, "month").join(residual_bands(rows, keys), keys).join(start, keys)
+    ahead = month_number(F.col("month")) - month_number(F.col("cutoff"))
+    inside = (F.col("month") >= F.col("cutoff")) & (ahead < months)
+    sides = [(F.lit(sign) * F.col(f"half_{p}"), f"{name}_{p}") for p in Z for sign, name in ((-1.0, "low"), (1.0, "high"))]
+    return out.select(*keys, "month", *[c.alias(n) for c, n in sides], F.when(inside, F.lit(0.0)).alias("forecast"), *[F.when(inside, c).alias(f"forecast_{n}") for c, n in sides])
+
+
 def apply_bands(model: DataFrame, bands: DataFrame, keys: list[str]) -> DataFrame:
     """The model with ``lower_p, upper_p`` for each band; a missing band is the fitted value itself."""
     out = model.join(bands, keys, "left")

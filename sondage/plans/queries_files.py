@@ -3,22 +3,20 @@ tables by Spark, in the shared folder where the session names one."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sondage.operators import incremental as J
+from sondage.operators.profiles import load_class_profiles
+from sondage.scratch import new_folder
 from sondage.sources import files as A
 
 from .registry import query, rounded
 
 
 def folder(df: DataFrame) -> str:
-    """A new folder: under ``spark.checkpoint.dir``, or a local one where that is unset (tests)."""
-    root = df.sparkSession.conf.get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+    """A new folder under the cluster's shared one."""
+    return new_folder(df.sparkSession, "files")
 
 
 #: Every order is a profile in text: its lines are samples, and lines with number 7 are damaged.
@@ -44,12 +42,14 @@ def _(read):
     return A.parse_profiles(rendered(read), F.col("content"))[1]
 
 
-@query("a2_list_sources")
+@query("a2_list_sources", "SELECT o_orderstatus AS status, 1 AS n_files, true AS have_bytes, 0 AS others FROM orders GROUP BY ALL")
 def _(read):
+    """One file for each status, beside others of another suffix."""
     df = read("orders").select(F.col("o_orderkey"), "o_orderstatus")
     at = folder(df)
-    df.write.partitionBy("o_orderstatus").parquet(at)
-    return A.list_sources(df.sparkSession, at, "*.parquet").groupBy(F.regexp_extract("path", r"o_orderstatus=(\w+)", 1).alias("status")).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+    df.select("o_orderstatus").distinct().coalesce(1).write.text(f"{at}/notes")
+    df.repartition("o_orderstatus").write.mode("append").partitionBy("o_orderstatus").parquet(at)
+    return A.list_sources(df.sparkSession, at, "*.parquet").groupBy(F.regexp_extract("path", r"o_orderstatus=(\w+)", 1).alias("status")).agg(F.count(F.lit(1)).alias("n_files"), (F.min("length") > 0).alias("have_bytes"), F.count_if(~F.col("path").endswith(".parquet")).alias("others"))
 
 
 @query("a3_read_csv_resilient", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS c_nationkey, 'semicolon' AS strategy FROM customer")
@@ -93,6 +93,15 @@ def _(read):
     return A.read_run_parts(o.sparkSession, [f"{at}/a", f"{at}/b"])
 
 
+@query("a7_prefers_the_consolidated_file", "SELECT o_orderkey FROM orders")
+def _(read):
+    o = read("orders").select("o_orderkey")
+    at = folder(o)
+    o.write.parquet(f"{at}/all")
+    o.where("o_orderkey % 2 = 0").write.parquet(f"{at}/part")
+    return A.read_run_parts(o.sparkSession, [f"{at}/part"], f"{at}/all").unionByName(A.read_run_parts(o.sparkSession, [f"{at}/part"], f"{at}/none").where("false"))
+
+
 @query("a8_write_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def _(read):
     o = read("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -156,6 +165,13 @@ def _(read):
     return A.read_run_log(runs.sparkSession, at, "run_id long, status string").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("a16_failures_of_messages", "SELECT CAST(c_custkey AS VARCHAR) || '.cnv' AS file, CASE WHEN c_custkey % 2 = 0 THEN 'ValueError' ELSE 'broken' END AS error_type, CASE WHEN c_custkey % 2 = 0 THEN 'no: rows' ELSE 'broken' END AS reason FROM customer")
+def _(read):
+    k = F.col("c_custkey").cast("string")
+    message = F.when(F.col("c_custkey") % 2 == 0, F.concat(k, F.lit(".cnv: ValueError: no: rows"))).otherwise(F.concat(k, F.lit(".cnv: broken")))
+    return A.failures_of_messages(read("customer").select(F.array(message, F.lit("no colon")).alias("errors")))
+
+
 #: Files are orders, the manifest knows two thirds of them, some with another length.
 MANIFEST_SQL = "f AS (SELECT o_orderkey AS path, o_custkey AS length, o_orderdate AS mtime FROM orders), changed AS (SELECT * FROM f WHERE path % 3 = 0 OR path % 7 = 0)"
 
@@ -171,6 +187,15 @@ def _(read):
     return J.changed_files(*manifest(read), 2).select("path", "length")
 
 
+@query("j1_changed_files_by_digest", f"WITH {MANIFEST_SQL} SELECT path FROM f WHERE path % 3 = 0 OR path % 7 = 0 OR (path % 5 = 0 AND path % 11 = 0)")
+def _(read):
+    """The manifest's times are an hour late for every fifth file; digests tell which of these have changed."""
+    f, known = manifest(read)
+    at = lambda late: F.sha2(F.concat_ws("-", F.col("path"), F.when(F.lit(late) & (F.col("path") % 11 == 0), 1).otherwise(0)), 256)
+    known = known.withColumn("sha256", at(True)).withColumn("mtime", F.when(F.col("path") % 5 == 0, F.col("mtime") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("mtime")))
+    return J.changed_files(f.withColumn("sha256", at(False)), known, 2).select("path")
+
+
 @query("j2_reuse_unchanged", f"WITH {MANIFEST_SQL} SELECT path, 'old' AS made FROM f WHERE path NOT IN (SELECT path FROM changed) UNION ALL SELECT path, 'new' FROM changed")
 def _(read):
     f, known = manifest(read)
@@ -207,11 +232,35 @@ def _(read):
     return J.key_collisions(read("pages").select(F.col("url").alias("path")), F.split_part(F.col("path"), F.lit("/"), F.lit(3)))
 
 
-@query("d13_load_class_profiles", "SELECT l_orderkey AS path, l_suppkey % 4 + 1 AS estacion_canonica, count(*) AS n, round(avg(l_quantity), 6) AS depth FROM lineitem WHERE l_linenumber <> 7 AND l_orderkey % 2 = 0 GROUP BY ALL")
+def class_files(read) -> DataFrame:
+    """Every order as a text profile with its class, station and time in the header; some have no temperature."""
+    line = F.concat_ws("  ", F.col("l_quantity").cast("string"), F.when(F.col("l_linenumber") == 7, "oops").otherwise(F.col("l_tax").cast("string")), F.col("l_discount").cast("string"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", line.alias("t")))), lambda s: s["t"]), "\n")
+    bodies = read("lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(body.alias("body"))
+    o = read("orders").select(F.col("o_orderkey").alias("k"), "o_custkey", "o_orderstatus", "o_orderdate")
+    cruise = F.when(F.col("o_orderstatus") == "F", "Radial Gijón").when(F.col("o_orderstatus") == "O", "Santander").otherwise("RADCAN 2010")
+    second = F.when(F.col("o_custkey") % 5 == 0, "par: PAR").otherwise("t090C: T")
+    head = F.concat(
+        F.lit("* header\n** Cruise: "), cruise, F.lit("\n** Station: "), (F.col("o_custkey") % 6).cast("string"), F.lit("\n# name 0 = prSM: Pressure\n# name 1 = "), second, F.lit("\n# name 2 = sal00: S\n# start_time = "),
+        F.date_format("o_orderdate", "MMM dd yyyy HH:mm:ss"), F.lit("\n*END*\n"),
+    )
+    return bodies.join(o, "k").select(F.concat(F.lit("raw/p"), F.col("k").cast("string"), F.lit("x.cnv")).alias("path"), F.concat(head, "body").alias("content"))
+
+
+#: Profiles of the class whose temperature can be read: rows without the damaged lines.
+CLASS_FILES_SQL = """f AS (SELECT o_orderkey AS k, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+ r AS (SELECT f.*, l_quantity, l_tax, l_discount FROM f JOIN lineitem ON k = l_orderkey WHERE o_orderstatus = 'F' AND o_custkey % 5 <> 0 AND l_linenumber <> 7)"""
+
+
+@query("d13_load_class_profiles", f"WITH {CLASS_FILES_SQL} SELECT 'p' || CAST(k AS VARCHAR) || 'x.cnv' AS source_file, CAST(o_custkey % 6 AS INTEGER) AS estacion, CAST(CASE WHEN o_custkey % 6 BETWEEN 1 AND 4 THEN o_custkey % 6 END AS INTEGER) AS estacion_canonica, CAST(o_orderdate AS DATE) AS day, count(*) AS n, count(*) - 1 AS last_row, round(avg(l_quantity), 6) AS depth, round(avg(l_tax), 6) AS temperature, round(avg(l_discount), 6) AS salinity FROM r GROUP BY ALL")
+def _(read):
+    rows, _ = load_class_profiles(class_files(read), "gijon")
+    out = rows.groupBy("source_file", "estacion", "estacion_canonica", F.col("fecha").cast("date").alias("day"))
+    return rounded(out.agg(F.count(F.lit(1)).alias("n"), F.max("row_id").alias("last_row"), F.avg("profundidad_m").alias("depth"), F.avg("temperatura_c").alias("temperature"), F.avg("salinidad_psu").alias("salinity")))
+
+
+@query("d13_statistics", f"""WITH {CLASS_FILES_SQL} SELECT 'gijon' AS radial_id, (SELECT count(*) FROM f) AS n_files, (SELECT count(*) FROM f WHERE o_orderstatus = 'F') AS n_of_class, (SELECT count(*) FROM f WHERE o_orderstatus <> 'F') AS n_of_others, (SELECT count(*) FROM f WHERE o_orderstatus = 'F' AND o_custkey % 6 = 2) AS n_chosen,
+  (SELECT count(*) FROM f WHERE o_orderstatus = 'F' AND o_custkey % 6 = 2 AND o_custkey % 5 = 0) AS n_without_temperature, (SELECT count(*) FROM f WHERE o_orderstatus = 'F' AND o_custkey % 6 = 2 AND o_custkey % 5 <> 0) - count(DISTINCT k) AS n_errors, count(DISTINCT k) AS n_profiles,
+  count(*) FILTER (year(o_orderdate) <= 1994) AS n_rows, count(*) FILTER (year(o_orderdate) > 1994) AS n_out_of_years, CAST(min(o_orderdate) FILTER (year(o_orderdate) <= 1994) AS DATE) AS first_date, CAST(max(o_orderdate) FILTER (year(o_orderdate) <= 1994) AS DATE) AS last_date FROM r WHERE o_custkey % 6 = 2""")
 def _(read):
-    """Text profiles of one class, parsed and joined with each sample's station by its place in the profile."""
-    rows = A.widened(A.parse_profiles(rendered(read).where("path % 2 = 0"), F.col("content"))[0], ["prsm"])
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")) - 1
-    stations = read("lineitem").select(F.col("l_orderkey").alias("path"), place.alias("line_no"), (F.col("l_suppkey") % 4 + 1).alias("estacion_canonica"))
-    rows = rows.withColumn("line_no", F.col("line_no") - F.lit(1))
-    return rounded(rows.join(stations, ["path", "line_no"]).groupBy("path", "estacion_canonica").agg(F.count(F.lit(1)).alias("n"), F.avg("prsm").alias("depth")))
+    return load_class_profiles(class_files(read), "gijon", station=2, years=(1970, 1994))[1]

@@ -6,10 +6,19 @@ from pyspark.sql import functions as F
 
 from sondage.operators import anomaly as A
 from sondage.operators import canonical as N
+from sondage.operators import contract
 from sondage.operators import forest as T
 
-from .registry import query, rounded
+from .registry import PROFILES_SQL, SEQ, profiles, query, rounded
 
+#: Profiles by shipping year: segments and neighbours stay within a source.
+SOURCES_SQL = PROFILES_SQL + """, src AS (SELECT *, CAST(year(fecha) AS VARCHAR) AS source_file FROM profiles),
+ fell AS (SELECT *, CASE WHEN profundidad_m - lag(profundidad_m) OVER (PARTITION BY source_file, cast_key ORDER BY l_linenumber, l_partkey, l_suppkey) < -1.5 THEN 1 ELSE 0 END AS fell FROM src),
+ seg AS (SELECT *, sum(fell) OVER (PARTITION BY source_file, cast_key ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS segment FROM fell),
+ d AS (SELECT source_file, cast_key, segment, profundidad_m - lag(profundidad_m) OVER w AS dz, abs(temperatura_c - lag(temperatura_c) OVER w) AS dv FROM seg WINDOW w AS (PARTITION BY source_file, cast_key, segment ORDER BY l_linenumber, l_partkey, l_suppkey)),
+ f AS (SELECT *, coalesce((dz BETWEEN 2.5 AND 5 AND dv >= 23) OR (dz > 5 AND dz <= 15 AND dv >= 24), false) AS e, coalesce((dz BETWEEN 2.5 AND 5 AND dv >= 8) OR (dz > 5 AND dz <= 15 AND dv >= 10), false) AS w FROM d),
+ s AS (SELECT source_file, cast_key, segment, bool_or(e) AS e, bool_or(w) AND NOT bool_or(e) AS w, coalesce(max(dv) FILTER (e), max(dv) FILTER (w)) AS worst FROM f GROUP BY ALL),
+ g AS (SELECT source_file, count(*) FILTER (e) AS ne, count(*) FILTER (w) AS nw, max(worst) FILTER (e) AS we, max(worst) FILTER (w) AS ww FROM s GROUP BY ALL)"""
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 BAND_SQL = "CASE WHEN l_quantity IS NULL THEN 'unk' WHEN l_quantity >= 0 AND l_quantity < 20 THEN '0-20' WHEN l_quantity >= 20 AND l_quantity < 100 THEN '20-100' ELSE 'deep' END"
@@ -98,14 +107,25 @@ def _(read):
     return A.tree_budget(read("lineitem"), ["l_returnflag", "l_linenumber"])
 
 
+def yearly_sources(read):
+    """Order lines as profile rows; a source is a shipping year."""
+    p = profiles(read).withColumn("source_file", F.year("fecha").cast("string"))
+    return p.withColumn("stratum", A.stratify(F.lit("all"), F.col("profundidad_m")))
+
+
 @query("g11_qc_batch")
 def _(read):
-    """Contract and forest of every source in one job: sources are shipping years."""
-    df = stratified(read).withColumn("source_file", F.year("l_shipdate").cast("string"))
-    out = A.detect(df, FEATURES, ["source_file", "stratum"], KEY, T.Forest(trees=48), budget=False)
-    rows = out.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_anomaly").alias("n_anomalies"))
-    bad = df.groupBy("source_file").agg(F.count_if((F.col("l_extendedprice") / 3000 < -2) | (F.col("l_extendedprice") / 3000 > 32)).alias("n_out_of_range"))
-    return rows.join(bad, "source_file")
+    """Contract and forest of every source in one job."""
+    df = yearly_sources(read)
+    return A.qc_batch(df, "source_file", ["profundidad_m", "temperatura_c"], ["stratum"], ["cast_key", *SEQ], ["cast_key"], SEQ, T.Forest(trees=64))[1]
+
+
+@query("g11_contract_by_source", """WITH """ + SOURCES_SQL + """ SELECT source_file, 'error' AS severity, 'temp_out_of_absolute_range' AS code, count(*) AS n_rows, round(CASE WHEN max(temperatura_c) > 32 THEN max(temperatura_c) ELSE min(temperatura_c) END, 6) AS worst FROM src WHERE temperatura_c < -2 OR temperatura_c > 32 GROUP BY ALL
+ UNION ALL SELECT source_file, CASE WHEN ne > 0 THEN 'error' ELSE 'warning' END, CASE WHEN ne > 0 THEN 'temp_large_vertical_jump' ELSE 'temp_moderate_vertical_jump' END, CASE WHEN ne > 0 THEN ne ELSE nw END, round(CASE WHEN ne > 0 THEN we ELSE ww END, 6) FROM g WHERE ne > 0 OR nw > 0
+ UNION ALL SELECT source_file, 'error', 'sampling_date_out_of_calendar_range', count(*), CAST(max(year(fecha)) AS DOUBLE) FROM src WHERE year(fecha) > 1996 GROUP BY ALL""")
+def _(read):
+    out = contract.profile_contract_by(yearly_sources(read), ["source_file"], ["cast_key"], SEQ, contract.ProfileLimits(years=(1970, 1996)))
+    return rounded(out.select("source_file", "severity", "code", "n_rows", "worst"))
 
 
 @query("g12_detection_metrics", f"WITH {SCORED_SQL} SELECT count(*) AS n_rows, 4 AS n_features, count(*) FILTER (is_anomaly) AS n_anomalies, round(median(threshold), 6) AS median_threshold, count(DISTINCT stratum) AS n_strata FROM f")

@@ -129,7 +129,17 @@ def _(read):
     return read("part").select("p_partkey", T.normalize_column_name(F.concat(F.lit(" \""), F.upper("p_name"), F.lit("\" "))).alias("name"))
 
 
-@query("b18_infer_kind", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'temperature' WHEN 1 THEN 'salinity' ELSE 'other' END AS kind, CASE event_id % 3 WHEN 0 THEN 'Temperatura' WHEN 1 THEN 'Salinidad' ELSE 'Oxygen Mgl' END AS label, CASE event_id % 3 WHEN 0 THEN '°C' WHEN 1 THEN 'PSU' ELSE '' END AS unit FROM events")
+LABELS_SQL = "[" + ", ".join(f"{{'k': '{k}', 'label': '{v[0]}', 'unit': '{v[1]}'}}" for k, v in T.VARIABLES.items()) + "]"
+
+
+@query("b18_var_meta", f"WITH v AS (SELECT unnest({LABELS_SQL}) AS v), n AS (SELECT v.k AS k, v.label AS label, v.unit AS unit, row_number() OVER (ORDER BY v.k) - 1 AS i FROM v) SELECT event_id, label, unit FROM events JOIN n ON event_id % 12 = i")
+def _(read):
+    names = sorted(T.VARIABLES)
+    name = F.upper(F.element_at(F.array(*map(F.lit, names)), (F.col("event_id") % 12 + 1).cast("int")))
+    return read("events").select("event_id", T.var_meta(name).alias("m")).select("event_id", "m.*")
+
+
+@query("b18_infer_kind", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'temperature' WHEN 1 THEN 'salinity' ELSE 'other' END AS kind, CASE event_id % 3 WHEN 0 THEN 'Temp 5m' WHEN 1 THEN 'Salinidad' ELSE 'Oxygen Mgl' END AS label, CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'PSU' ELSE '' END AS unit FROM events")
 def _(read):
     name = F.element_at(F.array(*map(F.lit, ["temp_5m", "salinidad_psu", "oxygen_mgl"])), (F.col("event_id") % 3 + 1).cast("int"))
     e = read("events").select("event_id", name.alias("name"))
@@ -141,11 +151,18 @@ def _(read):
     return read("documents").select("doc_id", T.reason_label(F.col("text"), {"token =": "secret", "stupid": "abuse"}).alias("label"))
 
 
-@query("b20_coords_from_docs", "SELECT c_custkey AS k, 'E' || CAST(c_custkey % 8 AS VARCHAR) || 'GI' AS code, round(43 + (c_custkey % 60) / 60.0, 6) AS lat_deg, round(-(5 + (c_custkey % 59) / 60.0), 6) AS lon_deg FROM customer")
+@query("b20_coords_from_docs", """WITH c AS (SELECT c_custkey AS k, c_custkey % 4 AS form FROM customer)
+ SELECT k, i AS station, round(40 + i + (k % 60) / 60.0, 6) AS lat_deg, round(-(5 + (k % 59) / 60.0), 6) AS lon_deg, ['E1 · Costa', 'E2 · Plataforma', 'E3 · Talud', 'E4 · Talud profundo'][i] AS name FROM c, generate_series(1, 4) g(i) WHERE form = 0
+ UNION ALL SELECT k, i, round(40 + i + (k % 60) / 60.0, 6), round(-(5 + (k % 59) / 60.0), 6), 'E' || CAST(i AS VARCHAR) || 'CU' FROM c, generate_series(1, 3) g(i) WHERE form = 1
+ UNION ALL SELECT k, i, round(40 + i + (k % 60) / 60.0, 6), round(-(5 + (k % 59) / 60.0), 6), 'E' || CAST(i AS VARCHAR) || ' · Punta ' || CAST(i AS VARCHAR) FROM c, generate_series(1, 2) g(i) WHERE form = 2""")
 def _(read):
+    """A methodology text for every customer, in one of the three forms or still to be written."""
     k = F.col("c_custkey")
-    text = F.format_string("Stations\n# E%dGI: 43°%d'N, 5°%d'W\nend", k % 8, k % 60, k % 59)
-    return rounded(read("customer").select(k.alias("k"), F.inline(T.coords_from_docs(text))))
+    lat, lon = (k % 60) / 60, -(5 + (k % 59) / 60)
+    comment = lambda n: F.concat(F.lit("Estaciones <!-- "), *[x for i in range(1, n + 1) for x in (F.format_string(f"%sE{i} %.8f %.8f", F.lit(" | " if i > 1 else ""), lat + 40 + i, lon),)], F.lit(" -->"))
+    points = F.concat(*[F.format_string(f"- **Estación {i} · Punta {i}** ({40 + i}° %d.0' N, 5° %d.0′ W)\n", k % 60, k % 59) for i in (2, 1)])
+    text = F.when(k % 4 == 0, comment(4)).when(k % 4 == 1, comment(3)).when(k % 4 == 2, points).otherwise(F.concat(F.lit("<p>Texto de metodología pendiente</p>"), comment(4)))
+    return rounded(read("customer").select(k.alias("k"), F.inline(T.coords_from_docs(text))).withColumn("station", F.col("station").cast("long")))
 
 
 CASE_CODES = "CASE " + " ".join(f"WHEN contains(upper(text), '{c}') THEN '{k}'" for c, k in [("THE", "a"), ("UND", "b"), ("QUE", "c"), ("LA", "d")]) + " END"
@@ -251,6 +268,16 @@ def _(read):
     return C.attach_class(acronyms(read)).select("s_suppkey", "radial_id")
 
 
+@query("c11_attach_class_by_source", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'site' || CAST(s_nationkey AS VARCHAR) ELSE 'gijon' END AS radial_id FROM supplier")
+def _(read):
+    """The row's source tells the class before any code in its columns."""
+    k = F.col("s_suppkey")
+    s = read("supplier")
+    files = s.where(k % 3 == 0).select(F.concat(F.lit("a/Gnov"), k.cast("string"), F.lit(".cnv")).alias("path"), F.concat(F.lit("site"), F.col("s_nationkey").cast("string")).alias("radial_id"))
+    rows = acronyms(read).withColumn("source_file", F.concat(F.lit("z/gnov"), k.cast("string"), F.lit(".CNV"))).withColumn("radial_id", F.lit(None).cast("string"))
+    return C.attach_class(rows, files=files).select("s_suppkey", "radial_id")
+
+
 @query("c12_filter_to_class", f"WITH {CLASS_SQL} SELECT s_suppkey, (SELECT count(*) FROM a WHERE radial_id IS DISTINCT FROM 'gijon') AS dropped FROM a WHERE radial_id = 'gijon'")
 def _(read):
     kept, dropped = C.filter_to_class(acronyms(read), "gijon")
@@ -292,6 +319,24 @@ def _(read):
     return C.station_names(s, GIJON).select("s_suppkey", "station_name")
 
 
+@query("c17_station_code", "SELECT s_suppkey, CASE WHEN s_suppkey % 10 BETWEEN 2 AND 8 THEN 'E' || CAST(s_suppkey % 10 AS VARCHAR) || 'SA' WHEN s_suppkey % 10 = 1 THEN 'E2SA' END AS code, CASE WHEN s_suppkey % 2 = 0 THEN 'A Coruña' ELSE 'elsewhere' END AS label FROM supplier")
+def _(read):
+    n = F.col("s_suppkey") % 10
+    return read("supplier").select("s_suppkey", C.station_code(n, C.CODES["santander"]).alias("code"), C.site_label(F.when(F.col("s_suppkey") % 2 == 0, "coruna").otherwise("elsewhere")).alias("label"))
+
+
+@query("c18_file_audit", f"""WITH {DETAILED_SQL} SELECT e.k, split_part(e.path, '/', -1) AS file, split_part(e.path, '/', -2) AS parent_folder, h2.cruise AS cruise_raw, CASE e.k % 4 WHEN 0 THEN 'radial gijon' WHEN 1 THEN 'radcan 2010' WHEN 2 THEN 'santander' ELSE '' END AS cruise_normalized,
+  CASE e.k % 4 WHEN 0 THEN 'gijon' WHEN 2 THEN 'santander' END AS cruise_radial, e.radial_id, e.rule, e.campana, e.conflict, CASE WHEN e.k % 2 = 0 THEN CAST(e.k % 7 AS INTEGER) END AS station_folder, CASE WHEN e.k % 2 = 0 THEN 1994 END AS path_year
+  FROM e JOIN (SELECT k, cruise FROM hints) h2 USING (k)""")
+def _(read):
+    h = headers(read).join(positions(read), "k").withColumn("hints", T.header_hints(F.col("head")))
+    h = h.select("path", "k", F.col("hints.cruise").alias("cruise"), F.col("hints.station_field").alias("station_field"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), T.parse_start_time(F.col("head")).alias("start_iso"), T.station_number(F.col("head"), F.col("path")).alias("station"))
+    files = C.classify_detailed(h, "path", "cruise", "lat", "lon", "station_field")
+    files = files.withColumn("path", F.concat_ws("/", F.col("k").cast("string"), "path"))  # paths repeat among customers
+    shown = ["file", "parent_folder", "cruise_raw", "cruise_normalized", "cruise_radial", "radial_id", "rule", "campana", "conflict", "station_folder", "path_year"]
+    return C.file_audit(files).select(F.split_part("path", F.lit("/"), F.lit(1)).cast("long").alias("k"), *shown)
+
+
 @query("c18_conflict_audit", f"WITH {DETAILED_SQL} SELECT radial_id, cruise, count(*) AS n FROM e JOIN (SELECT k, cruise FROM hints) USING (k) GROUP BY ALL")
 def _(read):
     return C.conflict_audit(detailed(read))[0]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sondage.functions import text as T
-from sondage.operators.canonical import cast_key, require_columns, synthesize_date
+from sondage.operators.canonical import cast_key, probe_year, require_columns, synthesize_date
 from sondage.operators.classify import identify_by_code
 
 PROFILE_GLOB = "*.[cC][nN][vV]"
@@ -85,10 +86,22 @@ class CsvPlan:
 STRATEGIES = (CsvPlan("comma_strict", ",", '"', mode="FAILFAST"), CsvPlan("comma_ignore_errors", ",", '"', mode="DROPMALFORMED"), CsvPlan("semicolon", ";", '"'), CsvPlan("comma_no_quote", ",", ""))
 
 
-def _csv(spark: SparkSession, path: str, plan: CsvPlan) -> DataFrame:
+def _csv(spark: SparkSession, path: str, plan: CsvPlan, places: bool = False) -> DataFrame:
+    """The table of a delimited file, all strings; with ``places`` also ``_file`` and ``_block``, where a row was read."""
     reader = spark.read.option("header", True).option("sep", plan.sep).option("quote", plan.quote).option("encoding", plan.encoding).option("mode", plan.mode)
     df = reader.option("enforceSchema", False).csv(path)
-    return df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(*NULLS), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(*NULLS), F.col(f"`{c}`")).alias(c) for c in df.columns], *([F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")] if places else []))
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Rows of a file source (with ``_file`` and ``_block``) with their 0-based number in the files' own order, whatever
+    their splits: the place in a block, which one task reads, after the rows of the blocks before it."""
+    place = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_at"))
+    rows = df.withColumn("_at", F.monotonically_increasing_id()).withColumn("_place", place)
+    sizes = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))  # a row for each block of the files
+    before = F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_file", "_block", F.coalesce(before, F.lit(0)).alias("_start"))
+    return rows.join(starts, ["_file", "_block"]).withColumn(name, F.col("_start") + F.col("_place") - 1).drop("_file", "_block", "_at", "_place", "_start")
 
 
 def plan_csv(spark: SparkSession, path: str) -> CsvPlan:
@@ -110,37 +123,45 @@ def plan_csv(spark: SparkSession, path: str) -> CsvPlan:
     return STRATEGIES[0] if found["least"] == found["most"] else STRATEGIES[1]
 
 
-def read_csv_resilient(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+def read_csv_resilient(spark: SparkSession, path: str, places: bool = False) -> tuple[DataFrame, str]:
     """(table, strategy): the columns as strings, nulls of ``NULLS``; a table of one column is an error."""
     plan = plan_csv(spark, path)
-    df = _csv(spark, path, plan)
-    if len(df.columns) <= 1:
+    df = _csv(spark, path, plan, places)
+    if len(df.columns) <= 1 + 2 * places:
         raise ValueError("at most one column")
     return df, plan.strategy
 
 
 def read_delimited_any(spark: SparkSession, path: str) -> tuple[DataFrame | None, str]:
     """(table or None, what was chosen or why not): UTF-8 unless the text holds broken sequences, then ISO-8859-1; the separator
-    of comma, semicolon and tab that cuts the header into most columns. Errors are returned, not raised."""
+    of comma, semicolon and tab that cuts the header into most columns. What keeps a file from being read (no such path, no
+    columns) is returned, not raised; ISO-8859-1 reads any bytes, so no further encoding is tried, and odd lines are nulls."""
     try:
         broken = spark.read.text(path).where(F.contains("value", F.lit("�"))).limit(1).count() > 0
         encoding = "ISO-8859-1" if broken else "UTF-8"
-        head = spark.read.text(path).limit(1).collect()[0].value
+        first = spark.read.text(path).first()
+        if first is None:
+            return None, "empty file"
+        head = first.value
         sep = max(",;\t", key=lambda s: head.count(s))
         if not head.count(sep):
             return None, "at most one column"
         return _csv(spark, path, CsvPlan("any", sep, '"', encoding)), f"{encoding} {sep!r}"
-    except Exception as e:  # the operator's contract: any failure becomes its message
+    except PySparkException as e:
         return None, f"{type(e).__name__}: {e}"[:300]
 
 
 def read_radial_csv(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """A CSV with plain lower-case names, a date, a cast key and the class of its text codes."""
-    df, _ = read_csv_resilient(spark, path)
-    df = df.toDF(*[c.strip().strip("﻿\"'").lower() for c in df.columns])
-    df = df.withColumn("source_file", F.lit(source)).withColumn("row_id", F.monotonically_increasing_id())
+    """A CSV with plain lower-case names, a date, a cast key and the class of its text codes; ``row_id`` counts the rows in
+    the file's order. ValueError if no column tells a date or year."""
+    df, _ = read_csv_resilient(spark, path, places=True)
+    df = numbered(df.toDF(*[c.strip().strip("﻿\"'").lower() for c in df.columns]), "row_id").withColumn("source_file", F.lit(source))
     pick = lambda *names: next((n for n in names if n in df.columns), None)
-    df = synthesize_date(df, pick("fecha"), pick("year", "anio", "año"), pick("month", "mes"))
+    date, year = pick("fecha"), pick("year", "anio", "año")
+    if not (date or year) and probe_year(df.drop("row_id", "source_file")) is None:
+        raise ValueError(f"no column tells a date or year: {', '.join(df.columns)}")
+    own = ["row_id", "source_file"]
+    df = synthesize_date(df.select(*[c for c in df.columns if c not in own], *own), date, year, pick("month", "mes"))
     df = cast_key(df)
     return df.withColumn("radial_id", identify_by_code(F.coalesce(F.col("cast_key"), F.col("source_file"))))
 
@@ -149,8 +170,14 @@ def read_parquet_checked(spark: SparkSession, path: str, required: list[str]) ->
     return require_columns(spark.read.parquet(path), required)
 
 
-def read_run_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All parts of a run as one table, columns by name."""
+def read_run_parts(spark: SparkSession, paths: list[str], whole: str | None = None) -> DataFrame:
+    """A run's consolidated table (``whole``) where there is one, else all its parts as one table, columns by name."""
+    if whole:
+        try:
+            return spark.read.parquet(whole)
+        except PySparkException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
@@ -192,9 +219,28 @@ def run_log_sink(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").json(path)
 
 
-def read_run_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Run records; unreadable ones are skipped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+def read_run_log(spark: SparkSession, path: str, schema: str, *others: str) -> DataFrame:
+    """Run records of the first of the paths that exists and has a readable one, no rows without; unreadable records are skipped."""
+    for at in (path, *others):
+        try:
+            found = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(at)
+        except PySparkException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        if not others or found.limit(1).count():
+            return found
+    return spark.createDataFrame([], schema)
+
+
+def failures_of_messages(metrics: DataFrame, errors: str = "errors") -> DataFrame:
+    """``file, error_type, reason`` of the messages ``file: Type: reason`` that a step's metrics list (an array column), the form
+    that runs without a failure list have; messages without a colon are left out."""
+    rows = metrics.select(F.explode(errors).alias("m")).where(F.contains("m", F.lit(": ")))
+    rest = F.substring(F.col("m"), F.locate(": ", "m") + 2, F.length("m"))
+    kind = F.substring_index(rest, ": ", 1)
+    reason = F.when(F.contains(rest, F.lit(": ")), F.substring(rest, F.length(kind) + 3, F.length(rest))).otherwise(rest)
+    return rows.select(F.substring_index("m", ": ", 1).alias("file"), F.when(kind == "", "Error").otherwise(kind).alias("error_type"), reason.alias("reason"))
 
 
 def latest_run(runs: DataFrame, run: str = "run_id", at: str = "generated_at", wanted: str = "__latest__") -> DataFrame:

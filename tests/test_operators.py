@@ -196,3 +196,133 @@ def test_csv_plan_reads_all_lines(spark, tmp_path):
         path.write_text("\n".join([*good, last]) + "\n")
         df, got = files.read_csv_resilient(spark, str(path))
         assert got == strategy and len(df.collect()) == (100 if name == "ragged" else 101)
+
+
+def test_quantiles_are_exact(spark, monkeypatch):
+    from sondage.operators import quantiles as Q
+
+    rng = np.random.default_rng(11)
+    rows = [("hot" if i % 3 else None, float(x), None if i % 7 == 0 else float(y)) for i, (x, y) in enumerate(zip(rng.lognormal(3, 2, 9000), rng.integers(0, 5, 9000), strict=True))]
+    rows += [("one", 3.0, float("nan")), ("none", None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    for small in (50_000, 10):  # whole groups, and brackets
+        monkeypatch.setattr(Q, "SMALL", small)
+        for q in (0.0, 0.05, 0.5, 0.95, 1.0):
+            got = {r._k.k0: (r.a, r.b) for r in Q.quantiles(df, ["g"], {"a": F.col("x"), "b": F.col("y")}, q).collect()}
+            assert set(got) == {"hot", None, "one", "none"} and got["none"] == (None, None)
+            for g in ("hot", None, "one"):
+                for i, column in enumerate((1, 2)):
+                    v = [r[column] for r in rows if r[0] == g and r[column] is not None and not np.isnan(r[column])]
+                    assert got[g][i] == (pytest.approx(np.quantile(v, q), rel=1e-12) if v else None)
+    assert Q.quantiles(df, [], {"a": F.col("x")}, 0.5).first().a == pytest.approx(np.median([r[1] for r in rows if r[1] is not None]))
+    assert Q.quantiles(df.limit(0), ["g"], {"a": F.col("x")}, 0.5).count() == 0
+
+
+def plain_forest_scores(rows, nodes):
+    """Mean depths by walking every tree for every row."""
+    trees = {}
+    for n in nodes:
+        trees.setdefault((n.stratum, n.tree), {})[n.node] = n
+    out = {}
+    for key, g, x in rows:
+        own = [t for (s, _), t in trees.items() if s == g]
+        if not own:
+            continue
+        total, psi = 0.0, max(t[0].size for t in own)
+        for t in own:
+            at = t[0]
+            while at.left is not None:
+                at = t[at.left if sum(c * v for c, v in zip(at.coef, x, strict=True)) <= at.threshold else at.right]
+            total += at.depth + forest.path_length(at.size)
+        out[key] = 2 ** (-total / len(own) / forest.path_length(psi))
+    return out
+
+
+@pytest.mark.parametrize("ndim", [1, 2])
+def test_forest_against_walking_every_tree(spark, monkeypatch, ndim):
+    rng = np.random.default_rng(4)
+    rows = [(i, "ab"[i % 5 == 0] if i < 300 else "few", *map(float, rng.normal(size=3))) for i in range(305)]
+    df = spark.createDataFrame(rows, "id long, g string, a double, b double, c double")
+    shape = forest.Forest(trees=12, psi=32, ndim=ndim)
+    nodes = forest.grown(forest.subsamples(df, ["a", "b", "c"], "g", ["id"], shape), shape).persist()
+    own = nodes.groupBy("stratum", "tree").agg(F.max("size").alias("n")).collect()
+    assert {r.stratum for r in own} == {"a", "b"} and all(r.n <= 32 for r in own) and len(own) == 24
+    want = plain_forest_scores([(r[0], r[1], r[2:]) for r in rows], nodes.collect())
+    for most in (forest.BROADCAST_NODES, 0):  # a broadcast forest, and one that stays distributed
+        monkeypatch.setattr(forest, "BROADCAST_NODES", most)
+        monkeypatch.setattr(forest, "GROUP_ROWS", 50)
+        got = {r.id: r.iso_score for r in forest.scored(df, nodes, ["a", "b", "c"], "g", ["id"], shape).collect()}
+        assert len(got) == 305 and all(got[k] == pytest.approx(v, rel=1e-9) for k, v in want.items()) and all(got[k] is None for k in range(300, 305))
+    nodes.unpersist()
+
+
+def test_batch_goes_on_after_failures(spark):
+    from sondage.operators import contract
+
+    day = dt.datetime(2001, 5, 1)
+    rows = [("good", i, i, "c", float(i), 15.0 + i % 3, day) for i in range(60)] + [("hot", i, i, "c", float(i), 40.0 if i == 5 else 15.0, day) for i in range(60)]
+    rows += [("no_id", None if i == 3 else i, i, "c", 1.0, 2.0, day) for i in range(20)] + [("empty", i, i, "c", None, None, day) for i in range(20)] + [(None, i, i, "c", float(i), 15.0, day) for i in range(30)]
+    df = spark.createDataFrame(rows, "source_file string, row_id long, n int, cast_key string, profundidad_m double, temperatura_c double, fecha timestamp_ntz")
+    df = df.withColumn("stratum", F.lit("s"))
+    scored, per, totals = anomaly.qc_batch(df, "source_file", ["profundidad_m", "temperatura_c"], ["stratum"], ["source_file", "n"], ["cast_key"], ["n"], forest.Forest(trees=20), contract.ProfileLimits(), "row_id")
+    got = {r.source_file: r for r in per.collect()}
+    assert got["no_id"].error == "ValueError: rows without row_id" and got["empty"].error == "ValueError: no feature with a number"
+    assert got["no_id"].n_anomalies is None and {r.source_file for r in scored.select("source_file").distinct().collect()} == {"good", "hot", None}
+    assert got["good"].n_contract_errors == 0 and got["hot"].has_contract_error and got["hot"].n_contract_errors == 1 and got["good"].n_anomalies >= 3 and got[None].n_rows == 30
+    t = totals.first()
+    assert (t.n_sources, t.n_failed, t.n_rows, t.n_sources_with_errors) == (5, 2, 190, 1) and t.n_anomalies == sum(r.n_anomalies or 0 for r in got.values())
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = [("s", dt.date(2000, 1 + i % 2, 1 + i % 20), float(x)) for i, x in enumerate(rng.normal(size=500) * 10.0 ** rng.integers(-3, 5, 500))]
+    df = spark.createDataFrame(rows, "series string, day date, v double")
+    runs = [sorted(map(tuple, series.monthly_mean(df.orderBy(F.rand(k)).repartition(1 + k), ["series"], "day", "v").collect())) for k in range(4)]
+    assert all(r == runs[0] for r in runs)
+    assert runs[0][0][2] == pytest.approx(np.mean([v for _, d, v in rows if d.month == 1]))
+
+
+def test_rows_of_files_are_numbered_in_order(spark, tmp_path):
+    body = "\n".join(f"{i},{'x' * 40}" for i in range(3000))
+    (tmp_path / "t.csv").write_text(f"n,2019 text\n{body}\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        plain = files._csv(spark, str(tmp_path / "t.csv"), files.CsvPlan("any", ",", '"'), places=True)
+        got = files.numbered(plain, "k").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 3000 and all(int(r.n) == r.k for r in got)
+    (tmp_path / "y.csv").write_text("n,when\n1,in 2019\n2,none\n")
+    table = files.read_radial_csv(spark, str(tmp_path / "y.csv"), "y.csv").orderBy("row_id").collect()
+    assert [(r.fecha and r.fecha.year, r.cast_key) for r in table] == [(2019, "y.csv_0"), (None, "y.csv_1")]
+    (tmp_path / "z.csv").write_text("n,when\n1,now\n")
+    with pytest.raises(ValueError):
+        files.read_radial_csv(spark, str(tmp_path / "z.csv"), "z.csv")
+
+
+def test_run_logs_fall_back(spark, tmp_path):
+    (tmp_path / "b.json").write_text('{broken\n')
+    (tmp_path / "c.json").write_text('{"run_id": "r", "errors": ["f: E: r"]}\n')
+    at = [str(tmp_path / f"{x}.json") for x in "abc"]
+    assert [r.run_id for r in files.read_run_log(spark, at[0], "run_id string", *at[1:]).collect()] == ["r"]
+    assert files.read_run_log(spark, at[0], "run_id string").count() == 0
+
+
+def test_decompositions_and_labels(spark):
+    row = spark.createDataFrame([("Ａ Coruña ﬁn ĳ Ǆ é ½ Ωmega", "gij\u0095n", None)], "a string, b string, c string")
+    got = row.select(T.normalize_text(F.col("a")), classify.classify_by_keywords(F.col("b")), T.normalize_text(F.col("c")), T.var_meta(F.lit("PAR"))["label"], T.var_meta(F.lit("o_100"))["unit"], T.infer_kind(F.lit("psu"))).first()
+    assert list(got) == ["a coruna fin ij dz e ½ ωmega", "gijon", None, "PAR", "mL/L", "other"]
+
+
+def test_digests_are_taken_for_new_files_alone(spark):
+    t = dt.datetime(2020, 1, 1)
+    now = spark.createDataFrame([("a", 1, t), ("b", 2, t)], "path string, length long, mtime timestamp_ntz")
+    known = spark.createDataFrame([("a", 1, t, "told")], "path string, length long, mtime timestamp_ntz, sha256 string")
+    contents = spark.createDataFrame([("a", b"x"), ("b", b"y")], "path string, content binary")
+    got = {r.path: r.sha256 for r in incremental.with_digests(now, known, contents).collect()}
+    assert got["a"] == "told" and len(got["b"]) == 64
+
+
+def test_days_stand_in_for_casts(spark):
+    df = spark.createDataFrame([(dt.datetime(2001, 5, 1, 8), None), (dt.datetime(2001, 5, 2), "c")], "fecha timestamp_ntz, cast string")
+    assert sorted(r.cast_key for r in canonical.cast_key(df, day="fecha").collect()) == ["2001-05-01", "c"]

@@ -38,13 +38,16 @@ def alike(a, b):
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
     names = sorted(df.columns)
-    got = sorted((tuple(plain(r[c]) for c in names) for r in df.collect()), key=str)
+    # rows are paired by what isn't a floating number, so that its last place doesn't move a row
+    exact = [i for i, c in enumerate(names) if dict(df.dtypes)[c] not in ("double", "float")]
+    order = lambda row: (str([row[i] for i in exact]), str(row))
+    got = sorted((tuple(plain(r[c]) for c in names) for r in df.collect()), key=order)
     if name not in ORACLES:
         assert got
         return
     res = duck.execute(ORACLES[name])
     cols = [d[0] for d in res.description]
     assert sorted(cols) == names
-    want = sorted((tuple(plain(r[cols.index(c)]) for c in names) for r in res.fetchall()), key=str)
+    want = sorted((tuple(plain(r[cols.index(c)]) for c in names) for r in res.fetchall()), key=order)
     assert len(got) == len(want)
     assert all(alike(x, y) for a, b in zip(got, want, strict=True) for x, y in zip(a, b, strict=True))
