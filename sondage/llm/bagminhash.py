@@ -23,8 +23,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: At similarity 0.8 a pair shares no band with probability (1 - 0.8 ** 7) ** 48, about 1 in 80,000.
 BANDS, ROWS = 48, 7
-#: Rounds in which buckets compare with one member before the rest is compared in blocks, and members for each copy of
-#: that one's text.
+#: Rounds in which buckets (after the first, those of more than a block) compare with one member before the rest is compared
+#: in blocks, and members for each copy of that one's text.
 STARS = 2
 TOGETHER = 256
 #: Rounds of star steps at most; a graph of 2**64 nodes needs fewer.
@@ -302,11 +302,11 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
         after = written(small.distinct(), "star")
-        # settled when every node has one link and no centre has one
-        state = after.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("s")).first()
-        old = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("s")).first()
         now = after
-        if state == old:
+        # settled when every node has one link and no centre has one
+        several = now.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u").limit(1)
+        led = now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u").limit(1)
+        if not several.unionByName(led).count():
             break
     else:
         raise RuntimeError("components haven't settled")
@@ -350,7 +350,8 @@ def classed(docs: DataFrame) -> DataFrame:
             met = members.where("node <> centre")
         else:
             labels = members.select("bucket", "node", "n").join(classes, "node", "left").withColumn("class_id", F.coalesce("class_id", "node"))
-            met = labels.join(_mixed(labels, star), "bucket").where("c.class_id <> class_id")
+            large = _mixed(labels, star).where(F.col("size") > BLOCK)  # others are one or two blocks, which decide at once
+            met = labels.join(large, "bucket").where("c.class_id <> class_id")
             met = met.where(F.least("n", "c.n") >= THRESHOLD * F.greatest("n", "c.n")).withColumn("centre", F.col("c.node"))
         pairs = met.select("centre", "node", "size")
         pairs = pairs.groupBy("centre", "node").agg(F.max("size").alias("size")).select("*", F.least("centre", "node").alias("x"), F.greatest("centre", "node").alias("y"))
