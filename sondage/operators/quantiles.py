@@ -23,16 +23,18 @@ def key_of(strata: list[str]) -> Column:
     return F.struct(*[F.col(s).alias(f"k{i}") for i, s in enumerate(strata)]) if strata else F.struct(F.lit(0).alias("k0"))
 
 
-def quantiles(df: DataFrame, strata: list[str], values: dict[str, Column], q: float) -> DataFrame:
-    """``_k, <name>...``: for each group (``_k``, see ``key_of``) the quantile ``q`` of each named value, linearly interpolated
-    between neighbours as ``percentile`` does; null for a group without values. Null and NaN values don't count."""
+def quantiles(df: DataFrame, strata: list[str], values: dict[str, Column], q: float | list[float]) -> DataFrame:
+    """``_k, <name>...``: for each group (``_k``, see ``key_of``) the quantile ``q`` of each named value (or one of its own for
+    each), linearly interpolated between neighbours as ``percentile`` does; null for a group without values. Null and NaN
+    values don't count."""
     names = list(values)
+    qs = list(q) if isinstance(q, list) else [q] * len(names)
     number = lambda x: F.nanvl(x.cast("double"), F.lit(None).cast("double"))
     rows = df.select(key_of(strata).alias("_k"), *[number(v).alias(f"v{i}") for i, v in enumerate(values.values())])
-    edges, many = [max(0.0, q - MARGIN), min(1.0, q + MARGIN)], range(len(names))
+    edges, many = [[max(0.0, x - MARGIN), min(1.0, x + MARGIN)] for x in qs], range(len(names))
     sizes = written(rows.groupBy("_k").agg(*[x for i in many for x in (F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"a{i}"), F.max(f"v{i}").alias(f"b{i}"))]), "sizes")
     large = sizes.where(F.greatest(*[F.col(f"n{i}") for i in many], F.lit(0)) > SMALL).select("_k")
-    sketches = rows.join(large, "_k", "left_semi").groupBy("_k").agg(*[F.percentile_approx(f"v{i}", edges, ACCURACY).alias(f"e{i}") for i in many])
+    sketches = rows.join(large, "_k", "left_semi").groupBy("_k").agg(*[F.percentile_approx(f"v{i}", edges[i], ACCURACY).alias(f"e{i}") for i in many])
     edge = lambda i, at, whole: F.when(F.col(f"n{i}") <= SMALL, F.col(f"{whole}{i}")).otherwise(F.col(f"e{i}")[at])
     bracket = sizes.join(sketches, "_k", "left").select("_k", *[x for i in many for x in (f"n{i}", edge(i, 0, "a").alias(f"lo{i}"), edge(i, 1, "b").alias(f"hi{i}"))])
     # a value below its bracket counts as null, one above is left out
@@ -40,7 +42,7 @@ def quantiles(df: DataFrame, strata: list[str], values: dict[str, Column], q: fl
     counts = rows.join(bracket, "_k").select("_k", F.inline(each)).where("`in`").groupBy("_k", "i", "v").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
     # at most SMALL values, or twice the margin's share of a group, in one window
     upto = F.sum("c").over(Window.partitionBy("_k", "i").orderBy(F.col("v").asc_nulls_first()))
-    place = (F.col("n") - 1) * F.lit(q)
+    place = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, qs)), F.col("i") + 1)
     ranked = counts.select("_k", "i", "v", upto.alias("upto"), place.alias("place"))
     # the values at the two ranks round the place: the first of which more than so many are reached
     at = lambda r: F.min_by(F.struct("v"), F.when(F.col("upto") > r, F.col("upto")))

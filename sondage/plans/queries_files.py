@@ -93,13 +93,14 @@ def _(read):
     return A.read_run_parts(o.sparkSession, [f"{at}/a", f"{at}/b"])
 
 
-@query("a7_prefers_the_consolidated_file", "SELECT o_orderkey FROM orders")
+@query("a7_prefers_the_consolidated_file", "SELECT 'whole' AS found, count(*) AS n FROM orders UNION ALL SELECT 'parts', count(*) FROM orders WHERE o_orderkey % 2 = 0")
 def _(read):
     o = read("orders").select("o_orderkey")
     at = folder(o)
     o.write.parquet(f"{at}/all")
     o.where("o_orderkey % 2 = 0").write.parquet(f"{at}/part")
-    return A.read_run_parts(o.sparkSession, [f"{at}/part"], f"{at}/all").unionByName(A.read_run_parts(o.sparkSession, [f"{at}/part"], f"{at}/none").where("false"))
+    n = lambda whole, tag: A.read_run_parts(o.sparkSession, [f"{at}/part"], f"{at}/{whole}").agg(F.lit(tag).alias("found"), F.count(F.lit(1)).alias("n"))
+    return n("all", "whole").unionByName(n("none", "parts"))
 
 
 @query("a8_write_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
