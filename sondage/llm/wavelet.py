@@ -70,6 +70,21 @@ class ChunkIds:
             ids = self.known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
 
+    def learn(self, new: list[str]) -> None:
+        """Adds pieces to the memory."""
+        known, rest = self.known, []
+        for w in new:
+            word = w.rstrip(".,")
+            letters = word[1:] if word[:1] == " " else word
+            if letters.isalpha() and max(letters) < PLAIN:
+                known[w] = self._one(word) + (self._one(w[len(word) :]) if len(word) < len(w) else b"")
+            else:
+                rest.append(w)
+        for at in range(0, len(rest), 20_000):
+            part = rest[at : at + 20_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[w] = np.array(e.ids, np.uint32).tobytes()
+
     def of(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets by text)."""
         cut = np.zeros(len(data) + 1, bool)
@@ -85,18 +100,7 @@ class ChunkIds:
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = distinct
-        rest = []
-        for w in new:
-            word = w.rstrip(".,")
-            letters = word[1:] if word[:1] == " " else word
-            if letters.isalpha() and max(letters) < PLAIN:
-                known[w] = self._one(word) + (self._one(w[len(word) :]) if len(word) < len(w) else b"")
-            else:
-                rest.append(w)
-        for at in range(0, len(rest), 20_000):
-            part = rest[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, np.uint32).tobytes()
+        self.learn(new)
         own = [known[w] for w in distinct]
         lengths = np.fromiter(map(len, own), np.int64, len(own)) // 4
         flat = np.frombuffer(b"".join(own), np.uint32)
