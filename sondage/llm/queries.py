@@ -110,8 +110,8 @@ FROM ruled LEFT JOIN listed ON ruled.canonical = listed.canonical
 
 
 def op9_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = fertility.judged(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "grp")
+    out = fertility.judged(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), tokenizer_file("byte_bpe_50k.json"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "chars_per_token", "byte_share", "token_entropy", "n_tokens_2", "chars_per_token_2", "byte_share_2", "token_entropy_2", "grp")
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
