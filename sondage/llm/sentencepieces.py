@@ -7,7 +7,9 @@ computed. Documents are then put together from the words' pieces.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -19,6 +21,9 @@ from .shared import coded, gather, steps, utf8
 MARK = "▁"
 #: Distinct words whose pieces one Python worker remembers; the memory is emptied when it is full.
 REMEMBERED = 400_000
+#: Characters of a word from which on its scores are kept as plain numbers.
+LONG = 1 << 16
+ID_BITS = 24
 #: How far below the least piece score a character stands that no piece covers (SentencePiece's own figure).
 UNKNOWN_PENALTY = 10.0
 
@@ -68,10 +73,12 @@ class Lexicon:
         Of equal scores the segmentation with the longer last piece wins at every prefix.
         """
         pieces, longest, unknown_score = self.pieces, self.longest, self.unknown_score
-        best, back = [0.0], [(0, -1)]  # by prefix length: score, (where the last piece begins, its id)
+        best, back = [0.0], [0]  # by prefix length: score, where the last piece begins with its id + 1 in the low bits
         path = ""
         for word in sorted(distinct):
             text = word.replace(MARK, " ")
+            if len(text) > LONG and isinstance(best, list):  # numbers without objects: 16 bytes a character
+                best, back = array("d", best), array("q", back)
             same = 0
             for a, b in zip(path, text, strict=False):
                 if a != b:
@@ -79,21 +86,21 @@ class Lexicon:
                 same += 1
             del best[same + 1 :], back[same + 1 :]
             for end in range(same + 1, len(text) + 1):
-                top, where = -1e300, None
+                top, where = -1e300, -1
                 for begin in range(max(0, end - longest), end):
                     got = pieces.get(text[begin:end])
                     if got is not None:
                         score = best[begin] + got[0]
                         if score > top:
-                            top, where = score, (begin, got[1])
-                if where is None or text[end - 1] not in pieces and best[end - 1] + unknown_score > top:
-                    top, where = best[end - 1] + unknown_score, (end - 1, -1)
+                            top, where = score, begin << ID_BITS | got[1] + 1
+                if where < 0 or text[end - 1] not in pieces and best[end - 1] + unknown_score > top:
+                    top, where = best[end - 1] + unknown_score, end - 1 << ID_BITS
                 best.append(top)
                 back.append(where)
             path = text
             ids, end = [], len(text)
             while end:
-                begin, i = back[end]
+                begin, i = back[end] >> ID_BITS, (back[end] & (1 << ID_BITS) - 1) - 1
                 if i >= 0:
                     ids.append(i)
                 else:
@@ -107,6 +114,12 @@ class Lexicon:
         return flat[1:].tobytes() if len(flat) and flat[0] == 0x20 else flat.tobytes()
 
 
+@lru_cache(maxsize=1)
+def lexicon(model: str) -> tuple[Lexicon, dict[str, bytes]]:
+    """The lexicon of a Python worker and the words it remembers, kept for its next tasks."""
+    return Lexicon(model), {}
+
+
 def _units(data: np.ndarray, ends: np.ndarray, lex: Lexicon) -> np.ndarray:
     """Where the marked words begin; they cover the data without gaps and never span two texts."""
     cut = np.zeros(len(data) + 1, bool)
@@ -130,7 +143,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, known = Lexicon(model), {}
+        lex, known = lexicon(model)
         for rb in steps(batches):
             col = rb.column("text")
             plain, plain_ends = utf8(col)
@@ -175,7 +188,7 @@ def decoded(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """``doc_id, text`` from ``doc_id`` and a column of ids; null ids give a null text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex = Lexicon(model)
+        lex, _ = lexicon(model)
         for rb in batches:
             texts = [None if x is None else lex.decode(np.array(x, np.int64)).decode("utf-8", "replace") for x in rb.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": rb.column(0), "text": pa.array(texts, pa.string())})
