@@ -400,6 +400,17 @@ def test_unigram_search_of_the_library_is_never_better():
     assert sum(got[" " + w] == own.encode(w) for w in words) >= 0.95 * len(words)
 
 
+def test_long_words_and_their_neighbours(spark, monkeypatch):
+    lex = sentencepieces.Lexicon(PIECES)
+    words = [" the", " theory" * 3 + "x" * 300, " theory" * 3 + "y", " thesis"]
+    want = dict(lex.segment(words))
+    monkeypatch.setattr(sentencepieces, "LONG", 20)
+    assert dict(lex.segment(words)) == want
+    text = "a" + "xyé中" * 100_000 + " end"  # one word of 400,000 characters
+    row = sentencepieces.encoded(spark.createDataFrame([(1, text)], "doc_id long, text string"), PIECES).first()
+    assert row.exact and row.n_tokens == len(row.ids)
+
+
 def test_pieces_round_trip(docs):
     got = sentencepieces.encoded(docs, PIECES)
     rows = got.collect()
@@ -574,6 +585,35 @@ def test_odd_texts_fall_out_of_their_band(spark):
     assert not got[900] and sum(got.values()) >= 79
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables")
+def test_verdicts_against_brute_force(spark, tokenizer):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = fertility.judged(table, PIECES, BPE).collect()
+    texts = {r.doc_id: r.text for r in table.collect()}
+    shown = {chr(wavelet.SHOWN.get(b, b)) for b in range(128, 256)}
+    single = {i for p, i in tokenizer.get_vocab().items() if p.removeprefix(wavelet.LEAD) in shown}
+    for r in got[::25]:
+        ids = [i for w in split(texts[r.doc_id]) for i in tokenizer.encode(" " + w, add_special_tokens=False).ids]
+        p = np.array(list(Counter(ids).values())) / max(len(ids), 1)
+        assert r.n_tokens_2 == len(ids) and r.byte_share_2 == pytest.approx(sum(i in single for i in ids) / max(len(ids), 1)) and r.token_entropy_2 == pytest.approx(float(-(p * np.log2(p)).sum()), abs=1e-6)
+    value = lambda r, c, x: math.log2(max(r[f"n_tokens{x}"], 1)) - r[f"token_entropy{x}"] if c == "entropy_gap" else r[f"{c}{x}"]
+    good = [r for r in got if not r.base_failed]
+    groups = Counter(r.grp for r in good)
+    want = {}
+    for r in got:
+        base, odd = [g for g in good if g.grp == r.grp or groups[r.grp] < fertility.LEAST_GROUP], False
+        for x in ("", "_2"):
+            for c, least in fertility.LEAST_SD.items():
+                key = (r.grp if groups[r.grp] >= fertility.LEAST_GROUP else None, c, x)
+                if key not in want:
+                    want[key] = np.quantile([value(g, c, x) for g in base], [0.25, 0.5, 0.75])
+                q1, mid, q3 = want[key]
+                half, v = fertility.SPREAD * max((q3 - q1) / 1.349, least), value(r, c, x)
+                odd |= v > mid + half or (c == "chars_per_token" and v < mid - half)
+        assert r.kept == (not r.base_failed and not odd), r.doc_id
+    assert sum(r.kept for r in good) > 0.95 * len(good)
+
+
 # op10
 
 
