@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, fertility, fingerprint, langid, mixing, pii, sentencepieces, urlfilter, warc, wavelet
+from . import bagminhash, compression, fertility, filteraudit, fingerprint, langid, mixing, negatives, pii, sentencepieces, urlfilter, warc, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -119,7 +119,72 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted(docs, langid.train(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op2_pii, op3_fingerprint, op4_warc, op5_mixing, op6_sentencepiece, op7_urlfilter, op8_bagminhash, op9_fertility, op10_langid)}
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are changed where the id is divisible by 7, anchors are the ids divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    out = negatives.mined(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+    return out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank, other AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def op12_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents whose id's crc32, modulo 3, isn't 1; judges all."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = compression.train(docs, table(spark, sf_dir, "labels"), F.coalesce(~held, F.lit(False)))
+    return compression.scored(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted", "size_good", "size_bad")
+
+
+def op13_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(filteraudit.failure_sets(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), m AS (
+  SELECT part, coalesce(q, 0) AS q, coalesce(x, 0) AS x,
+    [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+     coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fail
+  FROM d LEFT JOIN (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS q, max(CAST(toxic = 1 AS INTEGER)) AS x FROM labels GROUP BY doc_id) USING (doc_id)
+), c AS (SELECT part, fail, count(*) AS n, sum(q) AS good, sum(x) AS toxic FROM m GROUP BY part, fail),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.i, b.i, e.i, f.i, g.i] AS ord FROM l a, l b, l e, l f, l g WHERE len(list_distinct([a.i, b.i, e.i, f.i, g.i])) = 5),
+s AS (SELECT ord, i AS step, ord[i] AS f, ord[1:i - 1] AS earlier FROM o, l),
+r AS (
+  SELECT part, ord, step, f, sum(CASE WHEN NOT before AND NOT own THEN n ELSE 0 END) AS kept, sum(CASE WHEN NOT before AND own THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN before AND own THEN n ELSE 0 END) AS redundant, sum(CASE WHEN own AND len(list_filter(fail, lambda z: z)) = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT before AND own THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN NOT before AND own THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT part, n, good, toxic, fail, ord, step, f, fail[f] AS own, len(list_filter(earlier, lambda k: fail[k])) > 0 AS before FROM c, s) GROUP BY part, ord, step, f
+)
+SELECT part, array_to_string(list_transform(ord, lambda k: substr('ABCDE', k, 1)), '') AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_wavelet, op2_pii, op3_fingerprint, op4_warc, op5_mixing, op6_sentencepiece, op7_urlfilter, op8_bagminhash, op9_fertility, op10_langid, op11_negatives, op12_compression, op13_filteraudit)
+}
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
  g AS (SELECT html, max(page_id) AS stored FROM p WHERE strlen(html) >= 1000 GROUP BY html)
@@ -129,4 +194,4 @@ SELECT p.page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_diges
 FROM p LEFT JOIN g ON p.html = g.html
 """
 
-ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op7_urlfilter": OP7_SQL}
+ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op7_urlfilter": OP7_SQL, "op11_negatives": OP11_SQL, "op13_filteraudit": OP13_SQL}

@@ -3,36 +3,17 @@ intermediate tables, and vectorised views of Arrow text columns."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
 
+from sondage.scratch import shared_dir, written  # noqa: F401
 #: Bytes of text that one vectorised step handles; a longer single text is a step of its own.
 STEP_BYTES = 2 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a folder of our own only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``most`` bytes of text (one row at least); rows are never cut."""
     for rb in batches:
