@@ -15,9 +15,11 @@ from __future__ import annotations
 from functools import reduce
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import written
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -62,6 +64,7 @@ def failure_sets(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     kind = ["digest", "part", "own", F.coalesce("q", F.lit(0)).alias("q"), F.coalesce("x", F.lit(0)).alias("x")]
     # of each text by part and labels: all rows, those without an id, the least id and its rows
     sums = marked.groupBy(*kind).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(0)).alias("bare"), F.min("id").alias("least"), F.min_by("n", "id").alias("at"))
+    sums = written(sums, "audit")  # narrow rows, read for the least ids and for the counts: texts are read once
     # the same id may stand in several parts: the rows at the text's least id, wherever they are, have no elder
     eldest = sums.groupBy("digest").agg(F.min("least").alias("eldest"))
     sums = sums.join(eldest, "digest")
@@ -74,23 +77,21 @@ def failure_sets(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 def audit(sets: DataFrame, filters: str = "ABCDE") -> DataFrame:
     """One row for each part, order of the filters and step; counts within the part (see the module).
 
-    ``sets`` has at most 2**n rows a part. Each meets the n * 2**(n - 1) edges as an array of its own row; orders pick edges.
+    ``sets`` has at most 2**n rows a part, each of which meets the n * 2**(n - 1) edges; the steps of the n! orders pick theirs
+    from a table that depends on n alone.
     """
-    n = len(filters)
-    edge = F.array(*[F.struct(F.lit(s).alias("state"), F.lit(f).alias("f"), F.lit(a * b).alias("paths")) for s, f, a, b in lattice(n)])
-    rows = sets.select("part", "mask", "n", "good", "toxic", F.inline(edge))
-    bit = F.expr("shiftleft(1, f)")
-    fails, passed = F.col("mask").bitwiseAND(bit) != 0, F.col("mask").bitwiseAND(F.col("state")) == 0
+    n, spark = len(filters), sets.sparkSession
+    rows = sets.select("part", "mask", "n", "good", "toxic", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("f"))
+    rows = rows.withColumn("state", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1)))).withColumn("bit", F.expr("shiftleft(1, f)")).where(F.col("state").bitwiseAND(F.col("bit")) == 0)
+    fails, passed = F.col("mask").bitwiseAND(F.col("bit")) != 0, F.col("mask").bitwiseAND(F.col("state")) == 0
     total = lambda cond, c="n": F.sum(F.when(cond, F.col(c)).otherwise(0)).cast("long")
-    edges = rows.groupBy("part", "state", "f", "paths").agg(
-        total(passed & ~fails).alias("kept"), total(passed & fails).alias("removed"), total(~passed & fails).alias("redundant"), total(F.col("mask") == bit).alias("unique_fails"),
+    edges = rows.groupBy("part", "f", "state").agg(
+        total(passed & ~fails).alias("kept"), total(passed & fails).alias("removed"), total(~passed & fails).alias("redundant"), total(F.col("mask") == F.col("bit")).alias("unique_fails"),
         total(passed & fails, "good").alias("good_lost"), total(passed & fails, "toxic").alias("toxic_lost"),
     )
-    shapley = F.aggregate("edges", F.lit(0).cast("long"), lambda a, e: a + e["removed"] * e["paths"])
-    # one row for each part and filter, with the filter's 2**(n - 1) edges in an array
-    own = edges.groupBy("part", "f").agg(F.collect_list(F.struct("state", "paths", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")).alias("edges"))
-    own = own.withColumn("shapley", shapley)
-    steps = F.array(*[F.struct(F.lit("".join(filters[i] for i in order)).alias("filter_order"), F.lit(k + 1).alias("step"), F.lit(sum(1 << i for i in order[:k])).alias("state"), F.lit(order[k]).alias("g")) for order in permutations(range(n)) for k in range(n)])
-    at = own.select("part", "f", "shapley", "edges", F.explode(steps).alias("s")).where("s.g = f")
-    at = at.withColumn("e", F.filter("edges", lambda e: e["state"] == F.col("s.state"))[0])
-    return at.select("part", "s.filter_order", "s.step", *[f"e.{c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")], "shapley")
+    paths = spark.createDataFrame([(s, f, a * b) for s, f, a, b in lattice(n)], "state int, f int, paths long")
+    own = Window.partitionBy("part", "f")  # the 2**(n - 1) edges of a filter
+    edges = edges.join(F.broadcast(paths), ["state", "f"]).withColumn("shapley", F.sum(F.col("removed") * F.col("paths")).over(own))
+    steps = [("".join(filters[i] for i in order), k + 1, sum(1 << i for i in order[:k]), order[k]) for order in permutations(range(n)) for k in range(n)]
+    orders = spark.createDataFrame(steps, "filter_order string, step int, state int, f int")
+    return edges.join(F.broadcast(orders), ["state", "f"]).select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
