@@ -62,19 +62,22 @@ URL_RULES = [
 ]
 
 
-def mirrored(pages: DataFrame) -> DataFrame:
-    """``canonical``: where a page body of 1000 bytes or more was served that another host has too. Bodies are told by their
-    digests, and a digest's hosts by the least and the greatest, so a body with any number of copies is one small row."""
-    rows = pages.where(F.octet_length("html") >= 1000).select(F.sha2("html", 256).alias("body"), urlfilter.host_of(F.col("url")).alias("host"), urlfilter.canonical(F.col("url")).alias("canonical"))
-    several = rows.groupBy("body").agg(F.min("host").alias("a"), F.max("host").alias("b")).where("a < b").select("body")
-    return rows.join(several, "body", "left_semi").select("canonical")
+#: Articles of fewer words are thin.
+THIN_WORDS = 100
+
+
+def thin(pages: DataFrame) -> DataFrame:
+    """``canonical``: where a page was served whose article has fewer than ``THIN_WORDS`` words outside its tags; pages without an
+    article, without html or without a URL list nothing."""
+    article = F.substring_index(F.regexp_extract("html", r"(?s)<article[^>]*>(.*)", 1), "</article>", 1)
+    words = F.regexp_count(F.regexp_replace(article, "<[^>]*>", " "), F.lit(r"[^\x20\x09-\x0D]+"))
+    return pages.where(F.contains("html", F.lit("<article")) & (words < THIN_WORDS)).select(urlfilter.canonical(F.col("url")).alias("canonical"))
 
 
 def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list comes from what pages hold, not from their urls: canonical URLs of bodies mirrored by another host."""
+    """The list comes from what pages hold, not from their urls: canonical URLs that served a thin article."""
     pages = table(spark, sf_dir, "pages")
-    listed = mirrored(pages)
-    return urlfilter.judged(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+    return urlfilter.judged(pages, URL_RULES, thin(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 OP7_SQL = r"""
@@ -91,8 +94,8 @@ WITH parts AS (
       || CASE WHEN coalesce(array_to_string(kept, '&'), '') <> '' THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical
   FROM parts
 ), listed AS (
-  SELECT DISTINCT canonical FROM canon WHERE canonical IS NOT NULL
-    AND html IN (SELECT html FROM canon WHERE strlen(html) >= 1000 GROUP BY html HAVING count(DISTINCT host) > 1)
+  SELECT DISTINCT canonical FROM canon WHERE canonical IS NOT NULL AND contains(html, '<article')
+    AND len(regexp_extract_all(regexp_replace(split_part(regexp_extract(html, '(?s)<article[^>]*>(.*)', 1), '</article>', 1), '<[^>]*>', ' ', 'g'), '[^\x20\x09-\x0D]+')) < 100
 ), ruled AS (
   SELECT *, CASE
     WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'

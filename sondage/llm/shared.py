@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from sondage.scratch import shared_dir, written  # noqa: F401
+
 #: Bytes of text that one vectorised step handles; a longer single text is a step of its own.
 STEP_BYTES = 2 << 20
 

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sondage.llm import bagminhash, fertility, fingerprint, langid, mixing, pii, sentencepieces, urlfilter, warc, wavelet
-from sondage.llm.queries import ORACLES, QUERIES, URL_RULES, tokenizer_file
+from sondage.llm.queries import ORACLES, QUERIES, URL_RULES, thin, tokenizer_file
 from sondage.llm.shared import utf8
 
 BPE, PIECES = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
@@ -438,6 +438,27 @@ def test_url_rules(spark):
     assert all(r.verdict in ("allow", "block") for r in urlfilter.judged(df, URL_RULES, listed.limit(0)).collect())
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_querys_list_decides(spark, sf, monkeypatch):
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+    monkeypatch.setattr(urlfilter, "PER_BLOCK", 200)  # a filter so full that unlisted URLs pass it
+    out = urlfilter.judged(pages, URL_RULES, thin(pages)).collect()
+    free = [r for r in out if r.rule is None]
+    blocked = [r for r in free if r.verdict == "block"]
+    assert 0 < len(blocked) < len(free) / 4 and all(r.listed for r in blocked)
+    assert any(r.maybe_listed and not r.listed and r.verdict == "allow" for r in free)  # what the exact join takes out
+    bodies = {r.page_id: r.html for r in pages.collect()}
+    own = {k: re.sub(r"<[^>]*>", " ", re.search(r"(?s)<article[^>]*>(.*)", h)[1].split("</article>")[0]) for k, h in bodies.items()}
+    assert {r.page_id for r in out if r.listed} >= {k for k, t in own.items() if len(split(t)) < 100}
+    monkeypatch.undo()
+    assert {(r.page_id, r.verdict) for r in urlfilter.judged(pages, URL_RULES, thin(pages)).collect()} == {(r.page_id, r.verdict) for r in out}
+
+
+def test_thin_articles(spark):
+    rows = [("http://a.net/1/", "<article>" + "w " * 99), ("http://a.net/2", "<article class=x><p>" + "w<b> " * 100), ("http://a.net/3", "w"), (None, "<article>w"), ("http://a.net/4", None), ("http://a.net/5", "<article></article>" + "w " * 500)]
+    assert {r.canonical for r in thin(spark.createDataFrame(rows, "url string, html string")).collect()} == {"a.net/1", "a.net/5", None}
+
+
 def test_bloom_filter_has_no_false_negatives(spark):
     listed = spark.range(5000).selectExpr("concat('h', id, '.net/x') AS canonical")
     df = spark.range(10_000).selectExpr("id AS page_id", "concat('http://h', id, '.net/x') AS url")
@@ -722,7 +743,8 @@ def test_queries_equal_their_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF}/pages.parquet')")
+    for t in ("pages", "documents", "embeddings", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(ORACLES[name])
     cols = [d[0] for d in res.description]
     got = QUERIES[name](spark, SF)
@@ -730,7 +752,7 @@ def test_queries_equal_their_sql(spark, name):
     assert Counter(tuple(r[c] for c in cols) for r in got.collect()) == Counter(res.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op8_bagminhash"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op8_bagminhash", "op11_negatives", "op13_filteraudit"}))
 def test_queries_run(spark, name):
     if not Path(SF).exists():
         pytest.skip("no test tables")
