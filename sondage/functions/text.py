@@ -141,16 +141,21 @@ def header_hints(head: Column) -> Column:
     last = lambda k: blank_to_null(F.try_element_at(F.regexp_extract_all(head, F.lit(HINTS[k]), F.lit(1)), F.lit(-1)))
     lat, lon = F.coalesce(last("latitude"), last("nmea_latitude")), F.coalesce(last("longitude"), last("nmea_longitude"))
     return F.struct(
-        F.coalesce(last("cruise"), F.lit("")).alias("cruise"), lat.alias("latitude"), lon.alias("longitude"), dms_to_degrees(lat).alias("lat_deg"), dms_to_degrees(lon).alias("lon_deg"), last("station_field").alias("station_field")
+        F.coalesce(last("cruise"), F.lit("")).alias("cruise"), lat.alias("latitude"), lon.alias("longitude"), dms_to_degrees(lat, "NS").alias("lat_deg"), dms_to_degrees(lon, "EW").alias("lon_deg"), last("station_field").alias("station_field")
     )
 
 
-def dms_to_degrees(x: Column) -> Column:
-    """Up to three numbers as degrees, minutes and seconds; S, W or a minus sign negate; null without a number."""
-    n = F.transform(F.regexp_extract_all(F.regexp_replace(x, ",", "."), F.lit(r"\d+(?:\.\d+)?"), F.lit(0)), lambda s: s.cast("double"))
+def dms_to_degrees(x: Column, axis: str = "NSEW") -> Column:
+    """Up to three numbers as degrees, minutes and seconds, summed with their signs; S or W negates the sum. Anything but letters,
+    digits, points, signs and blanks counts as a blank, a comma too, and the ``axis``' letters go; null if one of the first three
+    words is then no number, or there is none."""
+    up = F.regexp_replace(F.upper(F.trim(x)), r"[^0-9A-Z\s.+-]", " ")
+    words = F.slice(F.filter(F.split(F.translate(up, axis, ""), r"\s+"), lambda w: w != ""), 1, 3)
+    number = lambda w: F.when(w.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)(E[+-]?\d+)?$"), w.try_cast("double"))
+    n = F.transform(words, number)
     at = lambda i: F.coalesce(F.get(n, F.lit(i)), F.lit(0.0))
-    sign = F.when(x.rlike(r"(?i)[SW]|^\s*-"), -1.0).otherwise(1.0)
-    return F.when(F.size(n) > 0, sign * (at(0) + at(1) / 60 + at(2) / 3600))
+    sign = F.when(up.rlike("[" + "".join(c for c in axis if c in "SW") + "]"), -1.0).otherwise(1.0)
+    return F.when((F.size(n) > 0) & ~F.exists(n, lambda v: v.isNull()), sign * (at(0) + at(1) / 60 + at(2) / 3600))
 
 
 def strip_accents(x: Column) -> Column:
@@ -232,6 +237,7 @@ def coords_from_docs(text: Column) -> Column:
         rows = [F.struct(F.lit(i + 1).alias("station"), part(2 * i + 1).alias("lat_deg"), part(2 * i + 2).alias("lon_deg"), F.lit(STATION_NAMES[n][i]).alias("name")) for i in range(n)]
         return F.when(text.rlike(pattern), F.array(*rows))
 
+    # Fixed value: the form of a station's heading
     point = r"(?iu)\*\*Estación\s+(\d+)\s*·\s*([^*]+)\*\*\s*\(\s*(\d+)°\s*([\d.]+)\s*['′´]\s*N\s*,\s*(\d+)°\s*([\d.]+)\s*['′´]\s*W"
     each = lambda i: F.regexp_extract_all(text, F.lit(point), F.lit(i))
     points = F.transform(

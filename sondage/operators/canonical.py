@@ -10,19 +10,19 @@ from .quantiles import joined, quantiles
 
 # Column aliases in the order in which they are tried.
 DEPTH = ("profundidad_m", "profundidad", "depth", "deps", "depsm", "dep_sm", "dep_sm [m]", "dep", "prdm", "prdm [m]", "prsm", "prsm [db]", "press", "pr", "prse")
-TEMPERATURE = ("temperatura_c", "temperatura", "temp", "temperature", "t090c", "t068c", "t068", "tv290c", "ts068", "potemp068", "potemp068c")
-SALINITY = ("salinidad_psu", "salinidad", "salinity", "sal00", "sal", "psal")
-DATE = ("fecha", "date", "datetime", "timestamp", "time")
+TEMPERATURE = ("temperatura_c", "temperatura", "temp", "temperature", "t090c", "t068", "t068c", "tv290c", "ts068", "potemp068", "potemp068c")
+SALINITY = ("salinidad_psu", "salinidad", "salinity", "sal", "sal00")
+DATE = ("fecha", "date", "datetime", "timestamp")
 STATION = ("estacion", "station", "est")
-CAST = ("cast", "acronimo")
+CAST = ("cast",)
 ALIASES = {"profundidad_m": DEPTH, "temperatura_c": TEMPERATURE, "salinidad_psu": SALINITY, "fecha": DATE, "estacion": STATION, "cast": CAST}
 YEAR = r"(?:19|20)\d{2}"
 KINDS = {"profundidad_m": "double", "temperatura_c": "double", "salinidad_psu": "double", "fecha": "timestamp_ntz", "estacion": "string", "cast": "string"}
 
 
 def resolve_alias(columns: list[str], candidates: tuple[str, ...]) -> str | None:
-    """The first candidate among the columns, whatever its case."""
-    low = {c.lower(): c for c in reversed(columns)}
+    """The first candidate among the columns, whatever its case; of columns that differ by case alone the last."""
+    low = {c.lower(): c for c in columns}
     return next((low[c] for c in candidates if c in low), None)
 
 

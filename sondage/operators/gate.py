@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Column names that count as temperature, depth and time.
+# Column names that count as temperature, depth, time, auxiliary sensors, and salinity or conductivity.
 TEMPERATURE = ("temperatura_c", "temperatura", "temp", "temperature", "t090c", "t068", "t068c", "tv290c", "ts068", "potemp068", "potemp068c")
 DEPTH = ("profundidad_m", "profundidad", "depth", "dep", "depsm", "deps", "dep_sm", "prdm", "prdm [m]", "prsm", "prsm [db]", "prse", "press", "pr", "sigma0", "sigma-theta", "sigma_theta")
 TIME = ("fecha", "date", "datetime", "time", "timestamp", "timej", "timejv2", "time_s")
-AUXILIARY = ("par", "flsp", "flc", "v0", "v1", "v2", "v3", "xmiss", "turbwetntu0")
+AUXILIARY = ("par", "spar", "fls", "oxygen", "oxymg", "sbeoxymg", "sbeoxymol")
+SALINE = ("c0s/m", "c1s/m", "sal00", "salinity", "sal")
 
 
 def _any(names: Column, wanted: tuple[str, ...]) -> Column:
@@ -18,13 +19,14 @@ def _any(names: Column, wanted: tuple[str, ...]) -> Column:
 
 def gate(files: DataFrame, path: str = "path", length: str = "length", names: str = "names", start_time: str = "has_start_time") -> DataFrame:
     """``reasons`` (all that apply) and ``accepted``. Missing, extension and emptiness end the inspection, as does a header
-    without columns; then temperature, depth and time are asked for."""
+    without columns; then temperature, depth and time are asked for. A file without temperature is an auxiliary profile if it has
+    an auxiliary sensor and neither salinity nor conductivity."""
     n, cols = F.col(length), F.col(names)
     say = lambda cond, text: F.when(F.coalesce(cond, F.lit(False)), F.lit(text))
     first = [say(n.isNull(), "missing_file"), say(~F.lower(path).endswith(".cnv"), "bad_extension"), say(n == 0, "empty_file")]
-    no_temp = ~_any(cols, TEMPERATURE)
+    no_temp, auxiliary = ~_any(cols, TEMPERATURE), _any(cols, AUXILIARY) & ~_any(cols, SALINE)
     rest = [
-        say(no_temp & ~_any(cols, AUXILIARY), "no_temperature"), say(no_temp & _any(cols, AUXILIARY), "no_temperature_auxiliary_profile"), say(~_any(cols, DEPTH), "no_depth"),
+        say(no_temp & ~auxiliary, "no_temperature"), say(no_temp & auxiliary, "no_temperature_auxiliary_profile"), say(~_any(cols, DEPTH), "no_depth"),
         say(~_any(cols, TIME) & ~F.col(start_time), "no_time"),
     ]
     early = F.filter(F.array(*first), lambda r: r.isNotNull())

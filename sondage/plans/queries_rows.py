@@ -15,11 +15,14 @@ from .registry import query, rounded
 K3 = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-@query("d1_resolve_alias", "SELECT 'prDM' AS depth, 'T068' AS temperature, CAST(NULL AS VARCHAR) AS salinity, count(*) AS n FROM lineitem")
+@query("d1_resolve_alias", "SELECT 'depSM' AS depth, 'T068' AS temperature, 'SAL' AS salinity, CAST(NULL AS VARCHAR) AS date, count(*) AS n, round(sum(l_quantity), 4) AS depths, round(sum(l_tax), 4) AS temperatures, round(sum(l_discount), 4) AS salinities FROM lineitem")
 def _(read):
-    df = read("lineitem").select(F.col("l_quantity").alias("prDM"), F.col("l_tax").alias("T068"))
-    found = {k: N.resolve_alias(df.columns, a) for k, a in (("depth", N.DEPTH), ("temperature", N.TEMPERATURE), ("salinity", N.SALINITY))}
-    return df.agg(*[F.lit(v).cast("string").alias(k) for k, v in found.items()], F.count(F.lit(1)).alias("n"))
+    """Two candidates of each kind, and a time in seconds, which is no date."""
+    q = lambda c: F.col(c)
+    df = read("lineitem").select(q("l_linenumber").alias("prDM"), q("l_quantity").alias("depSM"), q("l_linenumber").alias("T068C"), q("l_tax").alias("T068"), q("l_linenumber").alias("SAL00"), q("l_discount").alias("SAL"), q("l_linenumber").alias("time"))
+    found = {k: N.resolve_alias(df.columns, a) for k, a in (("depth", N.DEPTH), ("temperature", N.TEMPERATURE), ("salinity", N.SALINITY), ("date", N.DATE))}
+    sums = [F.round(F.sum(found[k]), 4).alias(n) for k, n in (("depth", "depths"), ("temperature", "temperatures"), ("salinity", "salinities"))]
+    return df.agg(*[F.lit(v).cast("string").alias(k) for k, v in found.items()], F.count(F.lit(1)).alias("n"), *sums)
 
 
 def raw(read):
@@ -37,6 +40,14 @@ def _(read):
     return rounded(N.canonicalize(raw(read), (1996, 1999)))
 
 
+@query("d2_candidates", "SELECT l_quantity AS profundidad_m, l_tax AS temperatura_c, l_discount AS salinidad_psu, CAST(NULL AS TIMESTAMP) AS fecha, CAST(NULL AS VARCHAR) AS estacion, CAST(l_orderkey AS VARCHAR) AS \"cast\", l_linenumber AS t068c, l_linenumber AS sal00, l_linenumber AS time, 'x' AS acronimo FROM lineitem")
+def _(read):
+    """A file with two candidates of a kind, a time in seconds and an acronym: the first candidates count, the others are kept."""
+    n, q = F.col("l_linenumber"), F.col("l_orderkey").cast("string")
+    df = read("lineitem").select(n.alias("t068c"), F.col("l_tax").alias("t068"), F.col("l_quantity").alias("prsm"), n.alias("sal00"), F.col("l_discount").alias("sal"), n.alias("time"), F.lit("x").alias("acronimo"), q.alias("cast"))
+    return N.canonicalize(df)
+
+
 @query("d3_filter_year_window", "SELECT o_orderkey, o_orderdate FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998")
 def _(read):
     return N.filter_year_window(read("orders"), "o_orderdate", 1996, 1998, strict=True).select("o_orderkey", "o_orderdate")
@@ -91,7 +102,7 @@ FILES_SQL = f"""{DETAILED_SQL}, files AS (SELECT o_orderkey AS path_no, 'raw/' |
   CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE 100 END AS length, o_orderkey % 4 AS kind, o_orderkey % 2 = 0 AS has_start_time, o_custkey FROM orders),
  gated AS (SELECT *, CASE WHEN o.path_no % 11 = 0 AND length = 0 THEN 'bad_extension,empty_file' WHEN o.path_no % 11 = 0 THEN 'bad_extension' WHEN length = 0 THEN 'empty_file' WHEN kind = 0 THEN 'no_columns'
    WHEN kind = 1 THEN CASE WHEN has_start_time THEN '' ELSE 'no_time' END WHEN kind = 2 THEN 'no_temperature' || CASE WHEN has_start_time THEN '' ELSE ',no_time' END
-   ELSE 'no_temperature_auxiliary_profile,no_depth' || CASE WHEN has_start_time THEN '' ELSE ',no_time' END END AS reasons FROM files o)"""
+   ELSE CASE WHEN o.path_no % 3 = 2 THEN 'no_temperature_auxiliary_profile,no_depth' ELSE 'no_temperature,no_depth' END || CASE WHEN has_start_time THEN '' ELSE ',no_time' END END AS reasons FROM files o)"""
 
 
 def files(read):
@@ -99,7 +110,7 @@ def files(read):
     folder = F.when(F.col("o_custkey") % 3 == 0, "1994").otherwise(F.concat(F.lit("f"), (F.col("o_custkey") % 5).cast("string")))
     path = F.concat(F.lit("raw/"), folder, F.lit("/"), k.cast("string"), F.when(k % 11 == 0, ".txt").otherwise(".cnv"))
     none = F.lit(None).cast("array<string>")
-    names = F.when(k % 4 == 0, none).when(k % 4 == 1, F.array(F.lit("t090c"), F.lit("pr"))).when(k % 4 == 2, F.array(F.lit("sal00"), F.lit("depsm"))).otherwise(F.array(F.lit("par")))
+    names = F.when(k % 4 == 0, none).when(k % 4 == 1, F.array(F.lit("t090c"), F.lit("pr"))).when(k % 4 == 2, F.array(F.lit("sal00"), F.lit("depsm"))).when(k % 3 == 0, F.array(F.lit("par"), F.lit("c0s/m"))).when(k % 3 == 1, F.array(F.lit("v0"))).otherwise(F.array(F.lit("par")))
     df = read("orders").select(k.alias("path_no"), path.alias("path"), folder.alias("folder"), F.when(k % 13 == 0, 0).otherwise(100).alias("length"), names.alias("names"), (k % 2 == 0).alias("has_start_time"), "o_custkey")
     return G.gate(df)
 

@@ -72,7 +72,7 @@ def _(read):
 
 
 def _gram_sql(p: int, table: str) -> str:
-    total = lambda x: f"round(CAST(sum(CAST({x} AS DECIMAL(28, 12))) AS DOUBLE), 4)"
+    total = lambda x: r6(f"sum(CAST({x} AS DECIMAL(28, 12)))")
     sums = ", ".join(f"{total(f'x{i} * x{j}')} AS g_{i}_{j}" for i in range(p) for j in range(i, p))
     return f"SELECT series_id, count(*) AS n, {sums}, " + ", ".join(f"{total(f'x{i} * value')} AS r_{i}" for i in range(p)) + f" FROM {table} WHERE value IS NOT NULL GROUP BY series_id"
 
@@ -85,7 +85,7 @@ def _(read):
     xs = S.design(F.col("t"))
     g = S.gram_sums(S.month_index(grid(read), K), K, xs, F.col("value"))
     p = len(xs)
-    return g.select("series_id", "n", *[F.round(F.col("g")[i * p + j], 4).alias(f"g_{i}_{j}") for i in range(p) for j in range(i, p)], *[F.round(F.col("r")[i], 4).alias(f"r_{i}") for i in range(p)])
+    return settled(g.select("series_id", "n", *[F.col("g")[i * p + j].alias(f"g_{i}_{j}") for i in range(p) for j in range(i, p)], *[F.col("r")[i].alias(f"r_{i}") for i in range(p)]))
 
 
 def _solve_sql(p: int, rows: str, name: str) -> str:

@@ -90,11 +90,15 @@ def _(read):
     return rounded(headers(read).select("k", T.header_hints(F.col("head")).alias("x")).select("k", "x.cruise", "x.station_field", "x.lat_deg", "x.lon_deg"))
 
 
-@query("b11_dms_to_degrees", "SELECT c_custkey AS k, round(CASE WHEN c_custkey % 2 = 0 THEN -1 ELSE 1 END * (c_custkey % 90 + (c_custkey % 60) / 60.0 + 7.5 / 3600), 6) AS deg FROM customer")
+@query("b11_dms_to_degrees", """SELECT c_custkey AS k, round(CASE WHEN c_custkey % 2 = 0 THEN -1 ELSE 1 END * CASE WHEN c_custkey % 7 = 1 THEN (c_custkey % 90 + 1) + (c_custkey % 60) / 60.0
+  WHEN c_custkey % 7 = 2 THEN -(c_custkey % 90 + 1) + (c_custkey % 60) / 60.0 WHEN c_custkey % 7 > 3 OR c_custkey % 7 = 0 THEN (c_custkey % 90 + 1) + (c_custkey % 60) / 60.0 + 7.5 / 3600 END, 6) AS deg FROM customer""")
 def _(read):
+    """Degrees, minutes and seconds; with a comma, which parts numbers; with a sign; and with a word, which spoils them."""
     k = F.col("c_custkey")
-    text = F.format_string("%d° %d' 7.5\" %s", k % 90, k % 60, F.when(k % 2 == 0, "S").otherwise("N"))
-    return rounded(read("customer").select(k.alias("k"), T.dms_to_degrees(text).alias("deg")))
+    side, d, m = F.when(k % 2 == 0, "S").otherwise("N"), k % 90 + 1, k % 60
+    kinds = F.when(k % 7 == 1, F.format_string("%d,%d %s", d, m, side)).when(k % 7 == 2, F.format_string("-%d %d%s", d, m, side)).when(k % 7 == 3, F.format_string("%d deg %d %s", d, m, side))
+    text = kinds.otherwise(F.format_string("%d° %d' 7.5\" %s", d, m, side))
+    return rounded(read("customer").select(k.alias("k"), T.dms_to_degrees(text, "NS").alias("deg")))
 
 
 @query("b12_normalize_text", "SELECT doc_id, md5(trim(regexp_replace(lower(translate(text, 'áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ', 'aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY')), '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))) AS h FROM documents")

@@ -98,6 +98,25 @@ def test_canonical(spark):
         canonical.require_columns(df, ["cast"])
 
 
+def test_candidates_are_tried_in_order(spark):
+    df = spark.createDataFrame([(9.0, 1.0, 2.0, 8.0, 3.0, 77.5, "a")], "t068C double, T068 double, depS double, SAL00 double, Sal double, time double, acronimo string")
+    out = canonical.canonicalize(df).first()
+    assert (out.temperatura_c, out.profundidad_m, out.salinidad_psu, out.fecha, out.cast, out.time, out.acronimo) == (1.0, 2.0, 3.0, None, None, 77.5, "a")
+    assert canonical.resolve_alias(["prSE", "pr", "DEPTH"], canonical.DEPTH) == "DEPTH" and canonical.resolve_alias(["x"], canonical.DEPTH) is None
+
+
+@pytest.mark.parametrize("names, reason", [(["par", "pr"], "no_temperature_auxiliary_profile"), (["par", "c0s/m", "pr"], "no_temperature"), (["spar", "sal", "pr"], "no_temperature"), (["v0", "pr"], "no_temperature"), (["sbeoxymol", "pr"], "no_temperature_auxiliary_profile"), (["par", "t068", "pr"], None)])
+def test_auxiliary_profiles(spark, names, reason):
+    df = spark.createDataFrame([("a.cnv", 10, names, True)], "path string, length long, names array<string>, has_start_time boolean")
+    assert gate.gate(df).first().reasons == ([reason] if reason else [])
+
+
+@pytest.mark.parametrize("text, axis, want", [("43 34.5 N", "NS", 43.575), ("43,5 N", "NS", 43 + 5 / 60), ("5° 37' 30\" w", "EW", -5.625), ("-5 30", "EW", -4.5), ("43 deg", "NS", None), ("", "NS", None), (None, "NS", None), ("5 37 30 9 W", "EW", -5.625), ("43N", "EW", None)])
+def test_positions_in_text(spark, text, axis, want):
+    got = spark.createDataFrame([(text,)], "t string").select(T.dms_to_degrees(F.col("t"), axis)).first()[0]
+    assert got == (None if want is None else pytest.approx(want))
+
+
 def test_profile_files(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "a.CNV").write_text(HEAD + "*END*\n 1.0 14.5\n 2.0\nbad row\n3 13 99\n\n", encoding="latin-1")
