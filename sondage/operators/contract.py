@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import Layout, layout
+
 ERROR, WARNING = "error", "warning"
 SCHEMA = "severity string, code string, group_key string, n_rows bigint, worst double, message string"
 
@@ -118,25 +120,30 @@ def check_range(df: DataFrame, value: str, low: float | None, high: float | None
     return emitted(agg, violation(F.col("n") > 0, ERROR, code, F.col("n"), F.when(beyond, F.col("hi")).otherwise(F.col("lo"))), by=by)
 
 
-def depth_segments(df: DataFrame, cast: list[str], order: list[str], depth: str, drop: float = ProfileLimits.segment_drop) -> DataFrame:
-    """``segment``: the number of times, in acquisition order, that depth has dropped by more than ``drop`` so far."""
-    w = Window.partitionBy(*cast).orderBy(*order)
-    fell = F.coalesce((F.col(depth) - F.lag(depth).over(w) < -drop).cast("int"), F.lit(0))
-    df = df.withColumn("_fell", fell)
-    return df.withColumn("segment", F.sum("_fell").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_fell")
+def _segments(df: DataFrame, cast: list[str], order: list[str], depth: str, drop: float, lag: dict[str, str], piece_rows: int | None = None) -> Layout:
+    """Rows by cast with ``_fell`` (depth has dropped by more than ``drop``) and the row before's values of ``lag`` (name: column)."""
+    rows = layout(df, cast, order, piece_rows).windowed(lag={"_z": F.col(depth)} | {n: F.col(c) for n, c in lag.items()})
+    fell = F.coalesce((F.col(depth) - F.col("_z") < -drop).cast("int"), F.lit(0))
+    return rows.map(lambda t: t.withColumn("_fell", fell))
+
+
+def depth_segments(df: DataFrame, cast: list[str], order: list[str], depth: str, drop: float = ProfileLimits.segment_drop, piece_rows: int | None = None) -> DataFrame:
+    """``segment``: the number of times, in acquisition order, that depth has dropped by more than ``drop`` so far. A cast of any
+    size is cut into pieces (see ``scan``)."""
+    return _segments(df, cast, order, depth, drop, {}, piece_rows).windowed(total={"segment": F.col("_fell")}).table().drop("_z", "_fell")
 
 
 def gradient_segments(df: DataFrame, cast: list[str], order: list[str], depth: str, value: str, bands: tuple[Band, ...], drop: float = ProfileLimits.segment_drop) -> DataFrame:
     """For every segment of every cast: ``is_error``, ``is_warning`` and the largest flagged difference ``worst``.
 
     Rows without depth or value are left out first; acquisition order is never replaced by depth order. Within a band an
-    error masks a warning; a segment with an error in any band is an error. All windows share one partitioning and order.
+    error masks a warning; a segment with an error in any band is an error. A row that opens a segment has no neighbour in
+    it, so segments need no window of their own; a cast of any size is cut into pieces (see ``scan``).
     """
-    df = df.withColumn(depth, finite(depth)).withColumn(value, finite(value)).where(F.col(depth).isNotNull() & F.col(value).isNotNull())
-    df = depth_segments(df, cast, order, depth, drop)
-    w = Window.partitionBy(*cast, "segment").orderBy(*order)
-    dz, dv = F.col(depth) - F.lag(depth).over(w), F.abs(F.col(value) - F.lag(value).over(w))
-    df = df.select(*cast, "segment", dz.alias("dz"), dv.alias("dv"))
+    df = df.select(*cast, *[c for c in order if c not in cast], finite(depth).alias("_depth"), finite(value).alias("_value")).where("_depth is not null and _value is not null")
+    rows = _segments(df, cast, order, "_depth", drop, {"_v": "_value"}).windowed(total={"segment": F.col("_fell")})
+    near = lambda x: F.when(F.col("_fell") == 0, x)
+    df = rows.table().select(*cast, "segment", near(F.col("_depth") - F.col("_z")).alias("dz"), near(F.abs(F.col("_value") - F.col("_v"))).alias("dv"))
     inside = [((F.col("dz") > b.low) if b.open_low else (F.col("dz") >= b.low)) & (F.col("dz") <= b.high) for b in bands]
     err = reduce(lambda a, b: a | b, [i & (F.col("dv") >= b.error) for i, b in zip(inside, bands, strict=True)])
     warn = reduce(lambda a, b: a | b, [i & (F.col("dv") >= b.warn) for i, b in zip(inside, bands, strict=True)])
@@ -243,11 +250,12 @@ def check_duplicates(df: DataFrame, time: str, keys: list[str] = ()) -> DataFram
 
 
 def check_time_gaps(df: DataFrame, time: str, keys: list[str], max_gap_days: float) -> DataFrame:
-    """Steps of a series longer than ``max_gap_days``: one WARNING with their number and the longest. Null keys are a group."""
-    w = Window.partitionBy(*keys).orderBy(time)
+    """Steps of a series longer than ``max_gap_days``: one WARNING with their number and the longest. Null keys are a group; a
+    series of any length is cut into pieces (see ``scan``)."""
+    rows = layout(df.where(F.col(time).isNotNull()).select(*keys, F.col(time).alias("_t")), keys, ["_t"]).windowed(lag={"_before": F.col("_t")}).table()
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    gap = (micros(F.col(time)) - micros(F.lag(time).over(w))) / 86_400e6
-    agg = df.where(F.col(time).isNotNull()).select(gap.alias("g")).agg(F.count_if(F.col("g") > max_gap_days).alias("n"), F.max("g").alias("m"))
+    gap = (micros(F.col("_t")) - micros(F.col("_before"))) / 86_400e6
+    agg = rows.select(gap.alias("g")).agg(F.count_if(F.col("g") > max_gap_days).alias("n"), F.max("g").alias("m"))
     return emitted(agg, violation(F.col("n") > 0, WARNING, "time_gap_detected", F.col("n"), F.col("m")))
 
 

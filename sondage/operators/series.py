@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .contract import finite
+from .scan import layout
 
 #: What sums are taken in: exact, so that no order of rows or partitions changes a result.
 EXACT = "decimal(28,12)"
@@ -151,15 +152,14 @@ def fourier_extrapolate(fitted: DataFrame, keys: list[str], horizon: int = 60, h
 
 
 def fill_linear(grid: DataFrame, keys: list[str]) -> DataFrame:
-    """``filled``: gaps between observed months by a line; trailing gaps carry the last value, leading ones stay null."""
-    w = Window.partitionBy(*keys).orderBy("month")
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    """``filled``: gaps between observed months by a line; trailing gaps carry the last value, leading ones stay null. A series of
+    any length is cut into pieces (see ``scan``)."""
     n = month_number(F.col("month"))
-    at = F.when(F.col("value").isNotNull(), n)
-    v0, v1 = F.last("value", True).over(back), F.first("value", True).over(ahead)
-    n0, n1 = F.last(at, True).over(back), F.first(at, True).over(ahead)
-    line = v0 + (v1 - v0) * (n - n0) / (n1 - n0)
-    return grid.withColumn("filled", F.when(F.col("value").isNotNull(), F.col("value")).when(v1.isNull(), v0).when(v0.isNotNull(), line))
+    seen = F.when(F.col("value").isNotNull(), F.struct(n.alias("n"), F.col("value").alias("v")))
+    out = layout(grid, keys, ["month"]).windowed(last={"_a": seen}, ahead={"_b": seen}).table()
+    line = F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * (n - F.col("_a.n")) / (F.col("_b.n") - F.col("_a.n"))
+    filled = F.when(F.col("value").isNotNull(), F.col("value")).when(F.col("_b").isNull(), F.col("_a.v")).when(F.col("_a").isNotNull(), line)
+    return out.withColumn("filled", filled).drop("_a", "_b")
 
 
 def forecast_flat(monthly: DataFrame, keys: list[str], horizon: int = 60) -> DataFrame:

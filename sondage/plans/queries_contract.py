@@ -51,6 +51,15 @@ def _(read):
     return s.groupBy("cast_key", "segment").agg(F.count(F.lit(1)).alias("n"), F.min("profundidad_m").alias("z_min"), F.max("profundidad_m").alias("z_max"))
 
 
+@query("f4_segments_of_long_casts", """WITH x AS (SELECT *, CASE WHEN l_quantity - lag(l_quantity) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) < -1.5 THEN 1 ELSE 0 END AS fell FROM lineitem)
+ SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(sum(fell) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment FROM x""")
+def _(read):
+    """Three casts hold all rows: each is cut into pieces, which a small window over their sums connects."""
+    order = ["l_orderkey", *SEQ]
+    df = read("lineitem").select("l_returnflag", *order, "l_quantity")
+    return C.depth_segments(df, ["l_returnflag"], order, "l_quantity", piece_rows=10_000).drop("l_quantity")
+
+
 GRADIENT_SQL = SEGMENTS_SQL + """, d AS (SELECT cast_key, segment, profundidad_m - lag(profundidad_m) OVER w AS dz, abs(temperatura_c - lag(temperatura_c) OVER w) AS dv FROM seg
   WINDOW w AS (PARTITION BY cast_key, segment ORDER BY l_linenumber, l_partkey, l_suppkey)),
  f AS (SELECT *, coalesce((dz BETWEEN 2.5 AND 5 AND dv >= 23) OR (dz > 5 AND dz <= 15 AND dv >= 24), false) AS e, coalesce((dz BETWEEN 2.5 AND 5 AND dv >= 8) OR (dz > 5 AND dz <= 15 AND dv >= 10), false) AS w FROM d),
