@@ -61,6 +61,36 @@ def _(read):
     return out.withColumn("strategy", F.lit(strategy))
 
 
+def odd_lines(read) -> str:
+    """Customers as comma-separated lines, many of them odd: names with separators and line ends in quotes, stray quotes, short lines
+    and lines with a field too many."""
+    k, n, nation = F.col("c_custkey"), F.col("c_name"), F.col("c_nationkey").cast("string")
+    name = F.when(k % 5 == 0, F.concat(F.lit('"'), n, F.lit(', "" inc"'))).when(k % 7 == 0, F.concat(F.lit('"'), n, F.lit('\nsecond"'))).when(k % 3 == 0, F.concat(n, F.lit('" wide'))).otherwise(n)
+    line = F.when(k % 11 == 0, F.concat_ws(",", k, name)).when(k % 13 == 0, F.concat_ws(",", k, name, nation, F.lit("more"))).otherwise(F.concat_ws(",", k, name, nation))
+    df = read("customer")
+    at = folder(df)
+    rows = df.select(F.lit(1).alias("o"), k.alias("k"), line.alias("value"))
+    head = df.sparkSession.range(1).select(F.lit(0).alias("o"), F.lit(0).cast("long").alias("k"), F.lit("c_custkey,c_name,c_nationkey").alias("value"))
+    head.unionByName(rows).repartition(1).sortWithinPartitions("o", "k").select("value").write.text(at)
+    return at
+
+
+ODD_SQL = """odd AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN c_name || ', " inc' WHEN c_custkey % 7 = 0 THEN c_name || chr(10) || 'second' WHEN c_custkey % 3 = 0 THEN c_name || '" wide' ELSE c_name END AS name, CAST(c_nationkey AS VARCHAR) AS nation,
+   CASE WHEN c_custkey % 5 = 0 THEN '"' || c_name || ', "" inc"' WHEN c_custkey % 7 = 0 THEN '"' || c_name || chr(10) || 'second"' WHEN c_custkey % 3 = 0 THEN c_name || '" wide' ELSE c_name END AS shown FROM customer)"""
+
+
+@query("a3_odd_records", f"WITH {ODD_SQL} SELECT CAST(k AS VARCHAR) AS c_custkey, name AS c_name, CASE WHEN k % 11 <> 0 THEN nation END AS c_nationkey, 'comma_ignore_errors' AS strategy FROM odd")
+def _(read):
+    """Every record is a row, whatever its line looks like."""
+    out, strategy, _ = A.read_csv_with_issues(read("customer").sparkSession, odd_lines(read))
+    return out.withColumn("strategy", F.lit(strategy))
+
+
+@query("a3_issues", f"WITH {ODD_SQL} SELECT CAST(k AS VARCHAR) || ',' || shown || CASE WHEN k % 11 = 0 THEN '' ELSE ',' || nation || ',more' END AS record, CASE WHEN k % 11 = 0 THEN 'missing_fields' ELSE 'surplus_fields' END AS reason FROM odd WHERE k % 11 = 0 OR k % 13 = 0")
+def _(read):
+    return A.read_csv_with_issues(read("customer").sparkSession, odd_lines(read))[2].select("record", "reason")
+
+
 @query("a4_read_delimited_any", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part")
 def _(read):
     df = read("part").select("p_partkey", "p_name")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from sondage.functions import text as T
 from sondage.operators.canonical import cast_key, probe_year, require_columns, synthesize_date
 from sondage.operators.classify import identify_by_code
+from sondage.operators.scan import layout
+from sondage.scratch import written
 
 PROFILE_GLOB = "*.[cC][nN][vV]"
 NULLS = ("", "NA", "NaN", "null")
@@ -83,72 +85,182 @@ class CsvPlan:
     mode: str = "PERMISSIVE"
 
 
-STRATEGIES = (CsvPlan("comma_strict", ",", '"', mode="FAILFAST"), CsvPlan("comma_ignore_errors", ",", '"', mode="DROPMALFORMED"), CsvPlan("semicolon", ";", '"'), CsvPlan("comma_no_quote", ",", ""))
+STRATEGIES = (CsvPlan("comma_strict", ",", '"'), CsvPlan("comma_ignore_errors", ",", '"'), CsvPlan("semicolon", ";", '"'), CsvPlan("comma_no_quote", ",", ""))
 
 
 def _csv(spark: SparkSession, path: str, plan: CsvPlan, places: bool = False) -> DataFrame:
     """The table of a delimited file, all strings; with ``places`` also ``_file`` and ``_block``, where a row was read."""
     reader = spark.read.option("header", True).option("sep", plan.sep).option("quote", plan.quote).option("encoding", plan.encoding).option("mode", plan.mode)
-    df = reader.option("enforceSchema", False).csv(path)
-    return df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(*NULLS), F.col(f"`{c}`")).alias(c) for c in df.columns], *([F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")] if places else []))
+    df = (reader.option("escape", plan.quote) if plan.quote else reader).option("enforceSchema", False).csv(path)
+    return _nulled(df, df.columns, [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")] if places else [])
+
+
+def _nulled(df: DataFrame, columns: list[str], others: list[Column] = ()) -> DataFrame:
+    return df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(*NULLS), F.col(f"`{c}`")).alias(c) for c in columns], *others)
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """Rows of a file source (with ``_file`` and ``_block``) with their 0-based number in the files' own order, whatever
-    their splits: the place in a block, which one task reads, after the rows of the blocks before it."""
+    their splits: the place in a block, which one task reads (or by ``_at``), after the rows of the blocks before it."""
     place = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_at"))
-    rows = df.withColumn("_at", F.monotonically_increasing_id()).withColumn("_place", place)
+    rows = (df if "_at" in df.columns else df.withColumn("_at", F.monotonically_increasing_id())).withColumn("_place", place)
     sizes = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))  # a row for each block of the files
     before = F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("_file", "_block", F.coalesce(before, F.lit(0)).alias("_start"))
     return rows.join(starts, ["_file", "_block"]).withColumn(name, F.col("_start") + F.col("_place") - 1).drop("_file", "_block", "_at", "_place", "_start")
 
 
-def plan_csv(spark: SparkSession, path: str) -> CsvPlan:
-    """A strategy from all lines, in one aggregation: the separator that makes columns of the header, strict if all lines
-    have as many fields, without quotes if they don't pair in every line."""
-    text = spark.read.text(path)
-    head = text.first()
+def unquoted(value: Column, sep: str) -> Column:
+    """A line without its complete quoted fields. Quotes count at the start of a field alone, doubled ones inside are text; up to
+    2000 doubled quotes a field."""
+    return F.regexp_replace(value, f'(^|{sep})"[^"]*+(?:""[^"]*+){{0,2000}}+"', "$1")
+
+
+def left_open(value: Column, sep: str) -> Column:
+    """Does a line that starts outside quotes end inside a quoted field?"""
+    return unquoted(value, sep).rlike(f'(^|{sep})"')
+
+
+def n_fields(value: Column, plan: CsvPlan) -> Column:
+    rest = unquoted(value, plan.sep) if plan.quote else value
+    return F.length(rest) - F.length(F.replace(rest, F.lit(plan.sep))) + 1
+
+
+def _lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``value, _file`` of the lines of delimited files, without blank ones and each file's header: the CSV reader with a
+    separator that no text holds, so that files stay splittable."""
+    reader = spark.read.schema("value string, _bad string").option("header", True).option("sep", "\x01").option("quote", "").option("encoding", encoding)
+    df = reader.option("columnNameOfCorruptRecord", "_bad").csv(path)
+    return df.select(F.coalesce("_bad", "value").alias("value"), F.col("_metadata.file_path").alias("_file")).where(F.trim("value") != "")
+
+
+def records(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """``value, unclosed, _file, _record`` of the records of quoted files, where quoted fields may span lines; each file's first
+    record is its header and left out.
+
+    A line turns the state before it (inside or outside quotes) into the state after it, so lines are functions of two states
+    whose composition is a scan: it is taken by pieces (see ``scan``), and a file of any size is read by many tasks. Records of
+    one line are never gathered.
+    """
+    v = F.col("value")
+    rows = spark.read.text(path).select(v, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    rows = written(rows.withColumn("_f0", left_open(v, sep)).withColumn("_f1", left_open(F.concat(F.lit('"'), v), sep)), "lines")
+    at, swap, fixed = layout(rows, ["_file"], ["_block", "_at"]), F.col("_f0") & ~F.col("_f1"), F.col("_f0") == F.col("_f1")
+    at = at.windowed(total={"_swaps": swap.cast("long")})
+    at = at.windowed(last={"_fixed": F.when(fixed, F.struct(F.col("_f0").alias("v"), F.col("_swaps").alias("s")))})
+    odd = lambda n: n % 2 == 1
+    after = F.when(F.col("_fixed").isNull(), odd(F.col("_swaps"))).otherwise(F.col("_fixed.v") != odd(F.col("_swaps") - F.col("_fixed.s")))
+    at = at.map(lambda t: t.withColumn("_after", after)).windowed(lag={"_before": F.col("_after")})
+    at = at.map(lambda t: t.withColumn("_starts", ~F.coalesce("_before", F.lit(False)))).windowed(total={"_record": F.col("_starts").cast("long")})
+    t = written(at.table().select("_file", "_record", "_block", "_at", "value", "_starts", "_after"), "records")
+    whole = F.col("_starts") & ~F.col("_after")
+    one = t.where(whole & (F.trim("value") != "")).select("value", F.lit(False).alias("unclosed"), "_file", "_record")
+    place = F.struct("_block", "_at")
+    many = t.where(~whole).groupBy("_file", "_record").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_block", "_at", "value"))), lambda x: x["value"]), "\n").alias("value"), F.max_by("_after", place).alias("unclosed"))
+    out = one.unionByName(many)
+    heads = out.groupBy("_file").agg(F.min("_record").alias("_head"))
+    return out.join(heads, "_file").where("_record > _head").drop("_head")
+
+
+@dataclass(frozen=True)
+class CsvSurvey:
+    """What a strategy makes of a file: fields of the header, records that are short, that have surplus fields, lines lost to a
+    quote that never closes, and whether records span lines."""
+
+    plan: CsvPlan
+    width: int
+    short: int = 0
+    surplus: int = 0
+    runaway: int = 0
+    spans: bool = False
+
+    @property
+    def lost(self) -> int:
+        return self.surplus + self.runaway
+
+
+def survey(spark: SparkSession, path: str, plans: tuple[CsvPlan, ...] = STRATEGIES, encoding: str = "UTF-8") -> list[CsvSurvey]:
+    """Every strategy's view of all lines, from one aggregation; where quotes stay open at a line's end, from its records."""
+    head = spark.read.option("encoding", encoding).text(path).first()
     if head is None:
         raise ValueError("empty file")
-    if head.value.count(";") > head.value.count(","):
-        return STRATEGIES[2]
-    if head.value.count(",") == 0:
+    known, checks, v = {}, {}, F.col("value")
+    top = spark.range(1).select(*[n_fields(F.lit(head.value.removeprefix("\ufeff")), p).alias(str(i)) for i, p in enumerate(plans)]).first()
+    for i, p in enumerate(plans):
+        n = n_fields(v, p)
+        key = (p.sep, p.quote)
+        known.setdefault(key, top[i])
+        checks.setdefault(key, (F.count_if(n < top[i]), F.count_if(n > top[i]), F.count_if(left_open(v, p.sep)) if p.quote else F.lit(0)))
+    found = _lines(spark, path, encoding).agg(*[c.alias(f"{i}_{j}") for i, cs in enumerate(checks.values()) for j, c in enumerate(cs)]).first()
+    seen = {key: [found[f"{i}_{j}"] for j in range(3)] for i, key in enumerate(checks)}
+    out, spanning = [], {}
+    for p in plans:
+        key = (p.sep, p.quote)
+        short, surplus, opens = seen[key]
+        if not opens or known[key] <= 1:
+            out.append(CsvSurvey(p, known[key], short, surplus))
+            continue
+        if key not in spanning:
+            n, lines = n_fields(v, p), F.length(v) - F.length(F.replace(v, F.lit("\n"))) + 1
+            ok = ~F.col("unclosed")
+            spanning[key] = records(spark, path, p.sep).agg(F.count_if(ok & (n < known[key])), F.count_if(ok & (n > known[key])), F.coalesce(F.sum(F.when(~ok, lines)), F.lit(0))).first()
+        out.append(CsvSurvey(p, known[key], *spanning[key], spans=True))
+    return out
+
+
+def plan_csv(spark: SparkSession, path: str) -> CsvSurvey:
+    """The first strategy that loses nothing, among those that see more than one column; the strict one has no short record
+    either. If all lose something, the one that loses least."""
+    usable = [s for s in survey(spark, path) if s.width > 1 and not (s.plan.strategy == "comma_strict" and (s.lost or s.short))]
+    if not usable:
         raise ValueError("at most one column")
-    count = lambda c: F.length("value") - F.length(F.replace(F.col("value"), F.lit(c)))
-    fields = F.when(F.trim("value") != "", count(","))
-    found = text.agg(F.min(fields).alias("least"), F.max(fields).alias("most"), F.max(count('"') % 2).alias("odd")).first()
-    if found["odd"]:
-        return STRATEGIES[3]
-    return STRATEGIES[0] if found["least"] == found["most"] else STRATEGIES[1]
+    return min(usable, key=lambda s: s.lost)
+
+
+def read_csv_with_issues(spark: SparkSession, path: str, places: bool = False) -> tuple[DataFrame, str, DataFrame]:
+    """(table, strategy, issues) of delimited files with one header each: the columns as strings, nulls of ``NULLS``.
+
+    Every record is a row of the table: a short one has nulls, one with surplus fields its first ones. ``issues`` has these
+    records as they stand: ``file, record, reason`` (``missing_fields, surplus_fields, unclosed_quote``). A table of one column is an
+    error (ValueError).
+    """
+    found = plan_csv(spark, path)
+    plan, n = found.plan, n_fields(F.col("value"), found.plan)
+    columns = _csv(spark, path, plan).columns
+    if found.spans:
+        rows = records(spark, path, plan.sep)
+        fields = F.from_csv("value", ", ".join([f"c{i} string" for i in range(len(columns))]), {"sep": plan.sep, "quote": plan.quote, "escape": plan.quote, "multiLine": "true"})
+        flat = rows.select(fields.alias("r"), "_file", "_record").select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(columns)], "_file", (F.col("_record") / 65_536).cast("long").alias("_block"), F.col("_record").alias("_at"))
+        df = _nulled(flat, columns, [F.col(c) for c in ("_file", "_block", "_at")] if places else [])
+    else:
+        rows = _lines(spark, path, plan.encoding).withColumn("unclosed", F.lit(False))
+        df = _csv(spark, path, plan, places)
+    reason = F.when(F.col("unclosed"), "unclosed_quote").when(n < found.width, "missing_fields").when(n > found.width, "surplus_fields")
+    issues = rows.select(F.col("_file").alias("file"), F.col("value").alias("record"), reason.alias("reason")).where("reason is not null")
+    return df, plan.strategy, issues
 
 
 def read_csv_resilient(spark: SparkSession, path: str, places: bool = False) -> tuple[DataFrame, str]:
-    """(table, strategy): the columns as strings, nulls of ``NULLS``; a table of one column is an error."""
-    plan = plan_csv(spark, path)
-    df = _csv(spark, path, plan, places)
-    if len(df.columns) <= 1 + 2 * places:
-        raise ValueError("at most one column")
-    return df, plan.strategy
+    """(table, strategy) of ``read_csv_with_issues``."""
+    df, strategy, _ = read_csv_with_issues(spark, path, places)
+    return df, strategy
 
 
 def read_delimited_any(spark: SparkSession, path: str) -> tuple[DataFrame | None, str]:
     """(table or None, what was chosen or why not): UTF-8 unless the text holds broken sequences, then ISO-8859-1; the separator
     of comma, semicolon and tab that cuts the header into most columns. What keeps a file from being read (no such path, no
-    columns) is returned, not raised; ISO-8859-1 reads any bytes, so no further encoding is tried, and odd lines are nulls."""
+    columns) is returned, not raised; ISO-8859-1 reads any bytes, so no further encoding is tried. Odd lines are counted in what is
+    said: those that are short (nulls fill them) and those with surplus fields."""
     try:
-        broken = spark.read.text(path).where(F.contains("value", F.lit("�"))).limit(1).count() > 0
+        broken = spark.read.text(path).where(F.contains("value", F.lit("\ufffd"))).limit(1).count() > 0
         encoding = "ISO-8859-1" if broken else "UTF-8"
-        first = spark.read.text(path).first()
-        if first is None:
-            return None, "empty file"
-        head = first.value
-        sep = max(",;\t", key=lambda s: head.count(s))
-        if not head.count(sep):
+        found = max(survey(spark, path, tuple(CsvPlan("any", sep, '"', encoding) for sep in ",;\t"), encoding), key=lambda s: s.width)
+        if found.width <= 1:
             return None, "at most one column"
-        return _csv(spark, path, CsvPlan("any", sep, '"', encoding)), f"{encoding} {sep!r}"
-    except PySparkException as e:
-        return None, f"{type(e).__name__}: {e}"[:300]
+        odd = [f"{n} {what}" for n, what in ((found.short, "short"), (found.surplus, "with surplus fields"), (found.runaway, "after an open quote")) if n]
+        return _csv(spark, path, found.plan), "; ".join([f"{encoding} {found.plan.sep!r}", *odd])
+    except (PySparkException, ValueError) as e:
+        return None, f"{type(e).__name__}: {e}"[:300] if isinstance(e, PySparkException) else str(e)
 
 
 def read_radial_csv(spark: SparkSession, path: str, source: str) -> DataFrame:
