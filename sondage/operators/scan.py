@@ -46,24 +46,24 @@ class Layout:
         return replace(self, cold=self.cold.withColumns(_plain(w, lag, total, last, ahead)), hot=self.hot and self._by_pieces(lag, total, last, ahead))
 
     def _by_pieces(self, lag: dict, total: dict, last: dict, ahead: dict) -> DataFrame:
-        rows = self.hot.withColumn("_k", key_of(list(self.keys)))
+        rows = self.hot.withColumn("_scan_k", key_of(list(self.keys)))
         place = F.struct(*self.order)
         at = lambda f, v, when: f(F.struct(v.alias("v")), F.when(when, place))
-        edges = [at(F.max_by, v, F.lit(True)).alias(f"l_{n}") for n, v in lag.items()] + [F.sum(v).alias(f"t_{n}") for n, v in total.items()]
-        edges += [at(F.max_by, v, v.isNotNull()).alias(f"b_{n}") for n, v in last.items()] + [at(F.min_by, v, v.isNotNull()).alias(f"a_{n}") for n, v in ahead.items()]
-        pieces = rows.groupBy("_k", "_piece").agg(*edges)  # a row for PIECE_ROWS rows
-        by = Window.partitionBy("_k").orderBy("_piece")
+        edges = [at(F.max_by, v, F.lit(True)).alias(f"_scan_l_{n}") for n, v in lag.items()] + [F.sum(v).alias(f"_scan_t_{n}") for n, v in total.items()]
+        edges += [at(F.max_by, v, v.isNotNull()).alias(f"_scan_b_{n}") for n, v in last.items()] + [at(F.min_by, v, v.isNotNull()).alias(f"_scan_a_{n}") for n, v in ahead.items()]
+        pieces = rows.groupBy("_scan_k", "_piece").agg(*edges)  # a row for PIECE_ROWS rows
+        by = Window.partitionBy("_scan_k").orderBy("_piece")
         earlier, later = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
-        carry = [F.lag(f"l_{n}").over(by).alias(f"l_{n}") for n in lag] + [F.sum(f"t_{n}").over(earlier).alias(f"t_{n}") for n in total]
-        carry += [F.last(f"b_{n}", True).over(earlier).alias(f"b_{n}") for n in last] + [F.first(f"a_{n}", True).over(later).alias(f"a_{n}") for n in ahead]
-        carry = pieces.select("_k", F.col("_piece").alias("_p"), *carry).select(F.struct("_k", "_p").alias("_at"), *[c for x, d in (("l", lag), ("t", total), ("b", last), ("a", ahead)) for c in (f"{x}_{n}" for n in d)])
-        own = _plain(Window.partitionBy("_k", "_piece").orderBy(*self.order), lag, total, last, ahead)
-        first = F.row_number().over(Window.partitionBy("_k", "_piece").orderBy(*self.order)) == 1
-        rows = rows.withColumns(own | {"_first": first, "_at": F.struct("_k", "_piece")}).join(carry, "_at", "left")
-        merged = {n: F.when(F.col("_first"), F.col(f"l_{n}.v")).otherwise(F.col(n)) for n in lag}
-        merged |= {n: F.when(F.col(n).isNull(), F.col(f"t_{n}")).otherwise(F.col(n) + F.coalesce(F.col(f"t_{n}"), F.lit(0))) for n in total}
-        merged |= {n: F.coalesce(n, F.col(f"b_{n}.v")) for n in last} | {n: F.coalesce(n, F.col(f"a_{n}.v")) for n in ahead}
-        return rows.withColumns(merged).drop("_k", "_at", "_first", *carry.columns)
+        carry = [F.lag(f"_scan_l_{n}").over(by).alias(f"_scan_l_{n}") for n in lag] + [F.sum(f"_scan_t_{n}").over(earlier).alias(f"_scan_t_{n}") for n in total]
+        carry += [F.last(f"_scan_b_{n}", True).over(earlier).alias(f"_scan_b_{n}") for n in last] + [F.first(f"_scan_a_{n}", True).over(later).alias(f"_scan_a_{n}") for n in ahead]
+        carry = pieces.select("_scan_k", F.col("_piece").alias("_scan_p"), *carry).select(F.struct("_scan_k", "_scan_p").alias("_scan_at"), *[c for x, d in (("l", lag), ("t", total), ("b", last), ("a", ahead)) for c in (f"_scan_{x}_{n}" for n in d)])
+        own = _plain(Window.partitionBy("_scan_k", "_piece").orderBy(*self.order), lag, total, last, ahead)
+        first = F.row_number().over(Window.partitionBy("_scan_k", "_piece").orderBy(*self.order)) == 1
+        rows = rows.withColumns(own | {"_scan_first": first, "_scan_at": F.struct("_scan_k", "_piece")}).join(carry, "_scan_at", "left")
+        merged = {n: F.when(F.col("_scan_first"), F.col(f"_scan_l_{n}.v")).otherwise(F.col(n)) for n in lag}
+        merged |= {n: F.when(F.col(n).isNull(), F.col(f"_scan_t_{n}")).otherwise(F.col(n) + F.coalesce(F.col(f"_scan_t_{n}"), F.lit(0))) for n in total}
+        merged |= {n: F.coalesce(n, F.col(f"_scan_b_{n}.v")) for n in last} | {n: F.coalesce(n, F.col(f"_scan_a_{n}.v")) for n in ahead}
+        return rows.withColumns(merged).drop("_scan_k", "_scan_at", "_scan_first", *carry.columns)
 
 
 def _plain(w: Window, lag: dict, total: dict, last: dict, ahead: dict) -> dict[str, Column]:
@@ -76,13 +76,13 @@ def layout(df: DataFrame, keys: list[str], order: list[str], piece_rows: int | N
     """The table's rows by keys (null is a key like others). Keys are counted first, with map-side combine; where none has more
     than ``piece_rows`` (``PIECE_ROWS``) rows, nothing else changes."""
     most = piece_rows or PIECE_ROWS
-    sizes = df.groupBy(key_of(list(keys)).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    sizes = df.groupBy(key_of(list(keys)).alias("_scan_k")).agg(F.count(F.lit(1)).alias("_scan_n")).where(F.col("_scan_n") > most)
     hot = written(sizes, "hot-keys")  # at most a row for PIECE_ROWS rows
-    n = hot.agg(F.sum("_n")).first()[0]
+    n = hot.agg(F.sum("_scan_n")).first()[0]
     if not n:
         return Layout(tuple(keys), tuple(order), df, None)
-    rows, found = df.withColumn("_k", key_of(list(keys))), hot.select("_k")
-    dealt = rows.join(found, "_k", "left_semi").drop("_k").repartitionByRange(-(-n // most) + 1, *keys, *order)
+    rows, found = df.withColumn("_scan_k", key_of(list(keys))), hot.select("_scan_k")
+    dealt = rows.join(found, "_scan_k", "left_semi").drop("_scan_k").repartitionByRange(-(-n // most) + 1, *keys, *order)
     pieces = written(dealt.withColumn("_piece", F.spark_partition_id()), "pieces")
-    return Layout(tuple(keys), tuple(order), rows.join(found, "_k", "left_anti").drop("_k"), pieces)
+    return Layout(tuple(keys), tuple(order), rows.join(found, "_scan_k", "left_anti").drop("_scan_k"), pieces)
 
