@@ -15,6 +15,8 @@ from .scan import layout
 
 #: What sums are taken in: exact, so that no order of rows or partitions changes a result.
 EXACT = "decimal(28,12)"
+#: Steps of a series' order that one block of its factorisation spans.
+BLOCK_ROWS = 16_384
 #: Quantiles of the normal distribution for two-sided bands of 95, 75 and 50 %.
 Z = {"95": 1.959963984540054, "75": 1.1503493803760079, "50": 0.6744897501960817}
 
@@ -100,20 +102,62 @@ def gram_sums(df: DataFrame, keys: list[str], xs: list[Column], y: Column) -> Da
     return rows.select(*keys, "n", g.alias("g"), F.array(*[F.col(f"r_{i}") for i in range(p)]).alias("r"))
 
 
-def solved(grams: DataFrame, keys: list[str], p: int) -> DataFrame:
-    """``coef``: the least-squares coefficients of each series, of least norm where its matrix is singular."""
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all lists as rows of doubles, where each list begins and the last ends)."""
+    ends = column.offsets.to_numpy()
+    flat = column.values.slice(ends[0], ends[-1] - ends[0])
+    parts = [np.asarray(flat.field(i).to_numpy(zero_copy_only=False), float) for i in range(flat.type.num_fields)] if pa.types.is_struct(flat.type) else [np.asarray(flat.to_numpy(zero_copy_only=False), float)]
+    return np.stack(parts, axis=-1) if len(parts) > 1 else parts[0], ends - ends[0]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _triangles(rows: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The R of a QR factorisation of each consecutive run of rows; runs of like length are factored together, zeros below."""
+    size, width = np.diff(ends), rows.shape[1]
+    room = np.maximum(width, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(int))
+    out = np.zeros((len(size), width, width))
+    for n in np.unique(room):
+        own = np.flatnonzero(room == n)
+        for some in np.array_split(own, max(1, len(own) * n * width // 4_000_000)):
+            stack = np.zeros((len(some), n, width))
+            for k, i in enumerate(some):
+                stack[k, : size[i]] = rows[ends[i] : ends[i + 1]]
+            out[some] = np.linalg.qr(stack, mode="r")
+    return out
+
+
+def least_squares(df: DataFrame, keys: list[str], xs: list[Column], y: Column, order: Column) -> DataFrame:
+    """``n, coef``: rows with a ``y`` and the least-squares coefficients of each series, of least norm where its columns depend.
+
+    A tall-and-skinny QR: rows of a series are factored in blocks of ``BLOCK_ROWS`` steps of the whole number ``order``, and the
+    small triangles are stacked and factored again, so the columns' condition isn't squared as in normal equations, and a series
+    of any length is many tasks. Blocks depend on ``order`` alone, so partitions don't change a result.
+    """
+    width, kinds = len(xs) + 1, dict(df.dtypes)
+    place = order.cast("long")
+    block = F.floor(place / BLOCK_ROWS).alias("_block")
+    line = F.struct(place.cast("double").alias("at"), *[x.cast("double").alias(f"x{i}") for i, x in enumerate(xs)], y.cast("double").alias("y"))
+    blocks = df.where(y.isNotNull()).groupBy(*keys, block).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(line)).alias("rows"))
+
+    def factored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            rows, ends = _lists(rb.column("rows"))
+            r = _triangles(rows[:, 1:], ends).reshape(rb.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([*[rb.column(k) for k in (*keys, "_block", "n")], pa.array(r.tolist(), pa.list_(pa.float64()))], names=[*keys, "_block", "n", "r"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            g = np.array(rb.column("g").to_pylist(), float).reshape(-1, p, p)
-            r = np.array(rb.column("r").to_pylist(), float).reshape(-1, p, 1)
-            scale = 1 / np.sqrt(np.maximum(np.einsum("nii->ni", g), 1e-300))  # columns of like size, so small ones aren't cut
-            scaled = g * scale[:, :, None] * scale[:, None, :]
-            coef = (np.linalg.pinv(scaled, rcond=1e-12, hermitian=True) @ (r * scale[:, :, None]))[:, :, 0] * scale
+            flat, ends = _lists(rb.column("r"))
+            r = _triangles(flat.reshape(-1, width), ends // width)
+            a, b = r[:, :-1, :-1], r[:, :-1, -1:]
+            size = np.sqrt(np.einsum("nij,nij->nj", a, a))
+            scale = np.where(size > 1e-10 * size.max(axis=1, keepdims=True), 1 / np.maximum(size, 1e-300), 0)  # like size, so small columns aren't cut; empty ones are
+            coef = (np.linalg.pinv(a * scale[:, None, :], rcond=1e-10) @ b)[:, :, 0] * scale
             yield pa.RecordBatch.from_arrays([*[rb.column(k) for k in keys], rb.column("n"), pa.array(coef.tolist(), pa.list_(pa.float64()))], names=[*keys, "n", "coef"])
 
-    kinds = dict(grams.dtypes)
-    return grams.mapInArrow(run, ", ".join([*[f"{k} {kinds[k]}" for k in keys], "n long", "coef array<double>"]))
+    own = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    triangles = blocks.mapInArrow(factored, f"{own}, _block long, n long, r array<double>")
+    ordered = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_block", "r"))), lambda s: s["r"]))
+    return triangles.groupBy(*keys).agg(F.sum("n").alias("n"), ordered.alias("r")).mapInArrow(merged, f"{own}, n long, coef array<double>")
 
 
 def _fitted(xs: list[Column], skip: int = 0) -> Column:
@@ -125,7 +169,7 @@ def fourier_fit(grid: DataFrame, keys: list[str], harmonics: int = 3) -> DataFra
     than 2K + 1 have seasonal 0 and null coefficients."""
     grid = grid if "t" in grid.columns else month_index(grid, keys)
     xs = design(F.col("t"), harmonics)
-    coef = solved(gram_sums(grid, keys, xs, F.col("value")).where(F.col("n") >= 2 * harmonics + 1), keys, len(xs)).drop("n")
+    coef = least_squares(grid, keys, xs, F.col("value"), F.col("t")).where(F.col("n") >= 2 * harmonics + 1).drop("n")
     out = grid.join(coef, keys, "left")
     return out.withColumn("seasonal", F.when(F.col("coef").isNull(), F.lit(0.0)).otherwise(_fitted(xs, skip=1)))
 
@@ -184,7 +228,7 @@ def trend_fourier_holdout(monthly: DataFrame, keys: list[str], holdout: int = 12
     rows = rows.withColumn("status", F.when(ok, "ok").otherwise("too_short")).withColumn("is_holdout", ok & (F.col("_rank") <= F.col("_h")))
     xs = design(F.col("t"), harmonics, trend=True)
     train = rows.where("status = 'ok' and not is_holdout")
-    coef = solved(gram_sums(train, keys, xs, F.col("value")), keys, len(xs)).drop("n")
+    coef = least_squares(train, keys, xs, F.col("value"), F.col("t")).drop("n")
     out = rows.join(coef, keys, "left").withColumn("fitted", F.when(F.col("coef").isNotNull(), _fitted(xs)))
     return out.select(*keys, "month", "t", F.col("value").alias("observation"), "fitted", (F.col("value") - F.col("fitted")).alias("residual"), "is_holdout", "status")
 

@@ -6,9 +6,16 @@ from pyspark.sql import functions as F
 
 from sondage.operators import series as S
 
-from .registry import CUSTOMER_MONTHS_SQL, MONTHLY_SQL, PROFILES_SQL, SEQ, customer_months, monthly_orders, profiles, query, r6, rounded, settled
+from .registry import CUSTOMER_MONTHS_SQL, MONTHLY_SQL, PROFILES_SQL, SEQ, customer_months, monthly_orders, profiles, r6, settled, settled_sql
+from .registry import query as _query
 
 K = ["series_id"]
+
+
+def query(name: str, sql: str):
+    return _query(name, settled_sql(sql))
+
+
 CASTS_SQL = PROFILES_SQL + """, z AS (SELECT estacion, cast_key, profundidad_m AS z, avg(temperatura_c) AS v FROM profiles GROUP BY ALL),
  b AS (SELECT estacion, cast_key, max(z) FILTER (z <= 20) AS z0, arg_max(v, z) FILTER (z <= 20) AS v0, min(z) FILTER (z >= 20) AS z1, arg_min(v, z) FILTER (z >= 20) AS v1, max(z) AS z_max FROM z GROUP BY ALL),
  interp AS (SELECT estacion, cast_key, CASE WHEN z0 = z1 THEN v0 ELSE v0 + (v1 - v0) * (20 - z0) / (z1 - z0) END AS value_at, z_max FROM b),
@@ -22,13 +29,13 @@ def casts(read):
 
 @query("h1_interp_at_depth", "WITH " + CASTS_SQL + "SELECT estacion, cast_key, round(value_at, 6) AS value_at, z_max FROM interp")
 def _(read):
-    return rounded(S.interp_at_depth(profiles(read), ["estacion", "cast_key"], "profundidad_m", "temperatura_c", 20.0))
+    return settled(S.interp_at_depth(profiles(read), ["estacion", "cast_key"], "profundidad_m", "temperatura_c", 20.0))
 
 
 @query("h2_monthly_at_depth", "WITH " + CASTS_SQL + """SELECT DISTINCT ON (estacion, month) estacion, month, round(value_at, 6) AS value_at, z_max, cast_key FROM casts WHERE value_at IS NOT NULL
   ORDER BY estacion, month, z_max DESC, cast_key""")
 def _(read):
-    return rounded(S.monthly_at_depth(casts(read), "estacion", "cast_key"))
+    return settled(S.monthly_at_depth(casts(read), "estacion", "cast_key"))
 
 
 @query("h3_coverage_diag", "WITH " + CASTS_SQL + "SELECT count(*) AS n_casts, count(value_at) AS n_with_value, count(*) - count(value_at) AS n_without_coverage, CAST(20 AS DOUBLE) AS target_depth FROM casts")
@@ -109,12 +116,12 @@ DES_SQL = FIT_SQL + """, des AS (SELECT *, value - seasonal AS deseasonalized, v
 
 @query("h8_fourier_fit", "WITH " + FIT_SQL + "SELECT series_id, month, round(value, 6) AS value, t, round(seasonal, 6) AS seasonal FROM fit")
 def _(read):
-    return rounded(S.fourier_fit(S.month_grid(monthly_orders(read), K), K).drop("coef"))
+    return settled(S.fourier_fit(S.month_grid(monthly_orders(read), K), K).drop("coef"))
 
 
 @query("h9_deseasonalize", "WITH " + DES_SQL + "SELECT series_id, month, round(value, 6) AS value, t, round(seasonal, 6) AS seasonal, round(deseasonalized, 6) AS deseasonalized, round(deseasonalized_anomaly, 6) AS deseasonalized_anomaly FROM des")
 def _(read):
-    return rounded(S.deseasonalize(S.fourier_fit(S.month_grid(monthly_orders(read), K), K), K).drop("coef"))
+    return settled(S.deseasonalize(S.fourier_fit(S.month_grid(monthly_orders(read), K), K), K).drop("coef"))
 
 
 def _ahead_sql(h: int) -> str:
@@ -124,7 +131,7 @@ def _ahead_sql(h: int) -> str:
 
 @query("h10_fourier_extrapolate", "WITH " + FIT_SQL + _ahead_sql(12) + "SELECT series_id, month, CAST(t AS INTEGER) AS t, round(seasonal, 6) AS seasonal FROM ext")
 def _(read):
-    return rounded(S.fourier_extrapolate(S.fourier_fit(S.month_grid(monthly_orders(read), K), K), K, 12).drop("coef"))
+    return settled(S.fourier_extrapolate(S.fourier_fit(S.month_grid(monthly_orders(read), K), K), K, 12).drop("coef"))
 
 
 @query("h11_fill_linear", "WITH " + GRID_SQL + """, n AS (SELECT *, year(month) * 12 + month(month) AS n, CASE WHEN value IS NOT NULL THEN year(month) * 12 + month(month) END AS k FROM grid),
@@ -138,7 +145,7 @@ def _(read):
 @query("h12_forecast_flat", "WITH " + MONTHLY_SQL + """, s AS (SELECT series_id, max(month) AS last, max(year(month) * 12 + month(month)) - min(year(month) * 12 + month(month)) AS t, avg(value) AS forecast, coalesce(stddev_samp(value), 0.5) AS sd FROM monthly GROUP BY ALL)
  SELECT series_id, CAST(last + to_months(CAST(h AS INTEGER)) AS DATE) AS month, t + h AS t, round(forecast, 6) AS forecast, round(forecast - 1.96 * sd, 6) AS lower, round(forecast + 1.96 * sd, 6) AS upper FROM s, generate_series(1, 60) x(h)""")
 def _(read):
-    return rounded(S.forecast_flat(monthly_orders(read), K).withColumn("t", F.col("t").cast("long")))
+    return settled(S.forecast_flat(monthly_orders(read), K).withColumn("t", F.col("t").cast("long")))
 
 
 @query("h13_station_forecast", "WITH " + DES_SQL + _ahead_sql(12) + """, clim AS (SELECT des.*, avg(value) OVER (PARTITION BY series_id, month(month)) AS climatology FROM des),
@@ -149,7 +156,7 @@ def _(read):
   FROM ext JOIN flat USING (series_id) LEFT JOIN by_month b ON b.series_id = ext.series_id AND b.cm = month(ext.month)""")
 def _(read):
     o = read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("series_id"), "o_orderdate", (F.col("o_totalprice") / 10000).alias("v"))
-    return rounded(S.station_forecast(o, K, "o_orderdate", "v", 12))
+    return settled(S.station_forecast(o, K, "o_orderdate", "v", 12))
 
 
 TREND_XS_SQL = "1.0 AS x0, CAST(t AS DOUBLE) AS x1, " + ", ".join(f"{f}(2 * pi() * {k} / 12 * t) AS x{2 * k + (0 if f == 'sin' else 1)}" for k in (1, 2, 3) for f in ("sin", "cos"))
@@ -161,7 +168,7 @@ HOLDOUT_SQL = MONTHLY_SQL + f""", n AS (SELECT *, (year(month) * 12 + month(mont
 
 @query("h14_trend_fourier_holdout", "WITH " + HOLDOUT_SQL + "SELECT series_id, month, t, round(value, 6) AS observation, round(fitted, 6) AS fitted, round(value - fitted, 6) AS residual, is_holdout, CASE WHEN ok THEN 'ok' ELSE 'too_short' END AS status FROM hfit")
 def _(read):
-    return rounded(S.trend_fourier_holdout(monthly_orders(read), K))
+    return settled(S.trend_fourier_holdout(monthly_orders(read), K))
 
 
 #: A model that SQL can follow: the series' mean as the fit, the last 12 months held out.
@@ -183,7 +190,7 @@ def given(read):
 
 @query("h15_residual_bands", "WITH " + GIVEN_SQL + "SELECT series_id, round(sigma, 6) AS sigma, round(1.959963984540054 * sigma, 6) AS half_95, round(1.1503493803760079 * sigma, 6) AS half_75, round(0.6744897501960817 * sigma, 6) AS half_50 FROM bands")
 def _(read):
-    return rounded(S.residual_bands(given(read), K))
+    return settled(S.residual_bands(given(read), K))
 
 
 SIDES = [(sign, z, f"{name}_{p}") for p, z in S.Z.items() for sign, name in (("-", "low"), ("", "high"))]
@@ -194,7 +201,7 @@ INSIDE_SQL = "month >= cutoff AND (year(month) * 12 + month(month)) - (year(cuto
        + f", CASE WHEN {INSIDE_SQL} THEN CAST(0 AS DOUBLE) END AS forecast, " + ", ".join(f"CASE WHEN {INSIDE_SQL} THEN round({s}{z} * sigma, 6) END AS forecast_{n}" for s, z, n in SIDES) + " FROM model JOIN bands USING (series_id) JOIN cut USING (series_id)")
 def _(read):
     """Forecast bands of the first six of twelve held-out months."""
-    return rounded(S.residual_band_rows(given(read), K, 6))
+    return settled(S.residual_band_rows(given(read), K, 6))
 
 
 R = ", ".join(f"round({c}, 6) AS {c}" for c in ["observation", "fitted", "residual", *[f"{s}_{p}" for p in (95, 75, 50) for s in ("lower", "upper")]])
@@ -203,14 +210,14 @@ R = ", ".join(f"round({c}, 6) AS {c}" for c in ["observation", "fitted", "residu
 @query("h16_apply_bands", "WITH " + GIVEN_SQL + f"SELECT series_id, month, is_holdout, {R} FROM banded")
 def _(read):
     g = given(read)
-    return rounded(S.apply_bands(g, S.residual_bands(g, K), K))
+    return settled(S.apply_bands(g, S.residual_bands(g, K), K))
 
 
 @query("h17_band_guard", "WITH " + GIVEN_SQL + f"""SELECT series_id, month, is_holdout, {R}, round(upper_95 - lower_95, 6) AS width FROM banded b WHERE NOT is_holdout
   AND upper_95 - lower_95 <= 3 * (SELECT quantile_cont(x.upper_95 - x.lower_95, 0.95) FROM banded x WHERE x.series_id = b.series_id AND NOT x.is_holdout)""")
 def _(read):
     g = given(read)
-    return rounded(S.band_guard(S.apply_bands(g, S.residual_bands(g, K), K), K))
+    return settled(S.band_guard(S.apply_bands(g, S.residual_bands(g, K), K), K))
 
 
 GAPS_SQL = CUSTOMER_MONTHS_SQL + """, nx AS (SELECT series_id, month, lead(month) OVER (PARTITION BY series_id ORDER BY month) AS nxt FROM monthly),
@@ -231,14 +238,14 @@ def _(read):
 @query("h20_coverage_pct", "WITH " + GAPS_SQL + """SELECT m.series_id, count(*) AS observed, date_diff('month', min(month), max(month)) + 1 AS calendar, max(month) AS last_month,
   (SELECT count(*) FROM gaps g WHERE g.series_id = m.series_id) AS n_gaps, round(100.0 * count(*) / (date_diff('month', min(month), max(month)) + 1), 6) AS coverage_pct FROM monthly m GROUP BY m.series_id""")
 def _(read):
-    return rounded(S.coverage_pct(customer_months(read), K))
+    return settled(S.coverage_pct(customer_months(read), K))
 
 
 @query("h21_series_highlights", "WITH " + MONTHLY_SQL + """, i AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY month) AS i FROM monthly)
  SELECT series_id, count(*) AS n, round(min(value), 6) AS low, round(max(value), 6) AS high, CASE WHEN count(*) > 12 THEN round(max(value) - min(value), 6) END AS amplitude, CASE WHEN count(*) >= 24 THEN round(regr_slope(value, i) * 12, 6) END AS slope_per_year FROM i GROUP BY series_id""")
 def _(read):
     m = monthly_orders(read)
-    return rounded(S.series_highlights(m.select("series_id", "month", F.col("value").alias("observation"), F.col("value").alias("fitted")), K))
+    return settled(S.series_highlights(m.select("series_id", "month", F.col("value").alias("observation"), F.col("value").alias("fitted")), K))
 
 
 @query("h22_viewer_union", "SELECT event_id, user_id, value, value > 100 AS is_anomaly FROM events")

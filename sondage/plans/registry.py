@@ -42,6 +42,21 @@ def r6(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(28, 10)), 6) AS DOUBLE)"
 
 
+def settled_sql(sql: str) -> str:
+    """``sql`` with every ``round(x, 6)`` as ``r6(x)``."""
+    out, at = "", 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, end = 1, start + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = sql[start + 6 : end - 1]
+        plain = inner.endswith(", 6") and "DECIMAL(28, 10)" not in inner
+        out += sql[at:start] + (r6(inner.removesuffix(", 6")) if plain else sql[start:end])
+        at = end
+    return out + sql[at:]
+
+
 def profiles(read) -> DataFrame:
     """Order lines as casts: depth is the quantity, temperature a share of the price, sequence the line's own key."""
     return read("lineitem").select(

@@ -169,6 +169,27 @@ def test_fourier_against_lstsq(spark):
     assert all(r.seasonal == 0 and r.coef is None for r in short)
 
 
+@pytest.mark.parametrize("block", [16_384, 50])
+def test_coefficients_of_long_trends(spark, monkeypatch, block):
+    """Against lstsq: a trend of 600 months on a large offset, series of several lengths, one with dependent columns, in one or many blocks."""
+    monkeypatch.setattr(series, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(6)
+    data = {"long": (np.arange(600), 1e6 + 0.37 * np.arange(600) + np.sin(np.arange(600)) + rng.normal(size=600)), "late": (np.arange(4000, 4600), rng.normal(size=600)), "mid": (np.arange(0, 90, 3), rng.normal(size=30)), "short": (np.arange(5), rng.normal(size=5))}
+    rows = [(k, int(a), float(b)) for k, (t, y) in data.items() for a, b in zip(t, y, strict=True)] + [("long", 7, None)]
+    df = spark.createDataFrame(rows, "k string, t long, y double")
+    xs = series.design(F.col("t"), 3, trend=True)
+    runs = [{r.k: (r.n, r.coef) for r in series.least_squares(df.orderBy(F.rand(i)).repartition(i), ["k"], xs, F.col("y"), F.col("t")).collect()} for i in (1, 5)]
+    assert runs[0] == runs[1]
+    for k, (t, y) in data.items():
+        x = np.column_stack([np.ones(len(t)), t, *[f(2 * np.pi * h * t / 12) for h in (1, 2, 3) for f in (np.sin, np.cos)]])
+        n, coef = runs[0][k]
+        assert n == len(t)
+        if k in ("long", "late"):
+            want = np.linalg.lstsq(x, y, rcond=None)[0]
+            assert np.allclose(coef, want, rtol=1e-9, atol=1e-9)
+        assert np.allclose(x @ coef, x @ np.linalg.lstsq(x, y, rcond=1e-10)[0], atol=1e-6)  # the fit is one, whichever of dependent columns carry it
+
+
 def test_holdout_and_bands(spark):
     model = series.trend_fourier_holdout(monthly(spark, [15 + i % 3 for i in range(18)]), ["series"], 1)
     assert model.where("is_holdout").count() == 1 and model.where("status = 'ok'").count() == 18
