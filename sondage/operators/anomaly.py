@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from sondage.scratch import written
 
 from . import contract
-from .canonical import impute_median
 from .contract import finite
-from .forest import Forest, isolation_scores
-from .quantiles import joined, key_of, quantiles
+from .forest import Forest, narrow_features, narrow_scores, with_scores
+from .quantiles import joined, key_of, narrow, quantiles, quantiles_of
 
 # Columns that identify rows, and the edges of the depth bands.
 IDS = ("estacion", "acronimo", "cast", "source_file", "radial_id", "run_id", "row_id")
@@ -39,16 +38,17 @@ def stratify(radial: Column, depth: Column | None) -> Column:
     return F.concat_ws("/", F.coalesce(radial, F.lit("unk")), band)
 
 
-def score_threshold(df: DataFrame, score: str, q: float, strata: list[str] = (), high: bool = True, approximate: bool = False) -> DataFrame:
+def score_threshold(df: DataFrame, score: str, q: float, strata: list[str] = (), high: bool = True, approximate: bool = False, settled: bool = False) -> DataFrame:
     """``threshold`` (linear-interpolated quantile of the stratum's scores) and ``is_anomaly`` (score at or beyond it).
 
-    The quantile is exact, counted out (see ``quantiles``), and joined back; ``approximate`` takes one pass instead of two.
+    The quantile is exact, counted out (see ``quantiles``), and joined back; ``approximate`` takes one pass
+    instead of two. ``settled``: the table is no more than read.
     """
     if approximate:
         x = df.select(key_of(list(strata)).alias("_k"), F.col(score).alias("_x"))
         cut = x.groupBy("_k").agg(F.percentile_approx("_x", q, 100_000).cast("double").alias("threshold"))
     else:
-        cut = quantiles(df, list(strata), {"threshold": F.col(score)}, q)
+        cut = quantiles(df, list(strata), {"threshold": F.col(score)}, q, settled)
     beyond = (lambda s, t: s >= t) if high else (lambda s, t: s <= t)
     out = joined(df.drop("threshold"), list(strata), cut)
     return out.withColumn("is_anomaly", F.coalesce(beyond(F.col(score), F.col("threshold")), F.lit(False)))
@@ -62,13 +62,13 @@ def split_outputs(df: DataFrame, flag: str = "is_anomaly", audit: tuple[str, ...
 def explain_topk(df: DataFrame, features: list[str], flag: str = "is_anomaly", strata: list[str] = (), k: int = 5, baseline: str = "stratum") -> DataFrame:
     """``top_features`` of flagged rows: the k features with the largest robust z, |x - median| / MAD (a MAD below 1e-12 counts as 1).
 
-    The baseline is all rows of the stratum, or with ``baseline="anomalies"`` the flagged rows alone.
+    The baseline is all rows of the stratum, or with ``baseline="anomalies"`` the flagged rows alone. ``df`` runs twice: for the
+    baseline's values, which both medians read, and for its rows.
     """
     strata = list(strata)
-    base = df.where(flag) if baseline == "anomalies" else df
-    mid = quantiles(base, strata, {f"_m_{f}": F.col(f) for f in features}, 0.5)
-    far = joined(base.select(*strata, *[f for f in features if f not in strata]), strata, mid)
-    dev = quantiles(far, strata, {f"_d_{f}": F.abs(F.col(f) - F.col(f"_m_{f}")) for f in features}, 0.5)
+    base = narrow(df.where(flag) if baseline == "anomalies" else df, strata, {f"_x_{f}": F.col(f) for f in features})
+    mid = quantiles_of(base, {f"_m_{f}": F.col(f"_x_{f}") for f in features}, 0.5)
+    dev = quantiles_of(base.join(mid, "_k"), {f"_d_{f}": F.abs(F.col(f"_x_{f}") - F.col(f"_m_{f}")) for f in features}, 0.5)
     rows = joined(df.where(flag), strata, mid.join(dev, "_k"))
     mad = lambda f: F.when(F.col(f"_d_{f}") < 1e-12, F.lit(1.0)).otherwise(F.col(f"_d_{f}"))
     each = F.array(*[F.struct((-F.coalesce(F.abs((F.col(f) - F.col(f"_m_{f}")) / mad(f)), F.lit(0.0))).alias("z"), F.lit(f).alias("name")) for f in features])
@@ -93,16 +93,17 @@ def detect(df: DataFrame, features: list[str], strata: list[str], key: list[str]
     """Every row with ``anomaly_score`` (lower is more anomalous), ``threshold``, ``is_anomaly`` and ``reason``.
 
     The lowest ``contamination`` of each stratum's scores is flagged. Strata below ``forest.least_rows`` rows, and tables with
-    fewer than two features, are all clean with score 0. The imputed table and the scores are written once each, so
-    nothing upstream runs again for subsamples, scores and thresholds.
+    fewer than two features, are all clean with score 0. Key, stratum and features are written once, and all steps up to the
+    threshold read and write such narrow tables; scores join the rows by their key (see ``forest``).
     """
     if len(features) < 2:
         return df.withColumns({"anomaly_score": F.lit(0.0), "threshold": F.lit(None).cast("double"), "is_anomaly": F.lit(False), "reason": F.lit("insufficient_features")})
-    full = impute_median(df.withColumn("_stratum", F.concat_ws("|", *[F.coalesce(F.col(s).cast("string"), F.lit("unk")) for s in strata])), features, ["_stratum"])
-    out = isolation_scores(full, features, "_stratum", key, forest, budget).withColumn("anomaly_score", F.lit(0.5) - F.col("iso_score"))
-    out = score_threshold(out, "anomaly_score", contamination, ["_stratum"], high=False)
+    stratum = F.concat_ws("|", *[F.coalesce(F.col(s).cast("string"), F.lit("unk")) for s in strata])
+    scores = narrow_scores(narrow_features(df, features, stratum, key), len(features), forest, budget)
+    scores = score_threshold(scores.withColumn("anomaly_score", F.lit(0.5) - F.col("iso_score")), "anomaly_score", contamination, ["stratum"], high=False, settled=True)
+    out = with_scores(df, scores, key)
     reason = F.when(F.col("iso_score").isNull(), "small_stratum").when(F.col("is_anomaly"), "isolation_forest").otherwise("clean")
-    return out.withColumn("reason", reason).withColumn("anomaly_score", F.coalesce("anomaly_score", F.lit(0.0))).drop("_stratum", "iso_score")
+    return out.withColumn("reason", reason).withColumn("anomaly_score", F.coalesce("anomaly_score", F.lit(0.0))).drop("iso_score")
 
 
 def qc_batch(

@@ -23,20 +23,43 @@ def key_of(strata: list[str]) -> Column:
     return F.struct(*[F.col(s).alias(f"k{i}") for i, s in enumerate(strata)]) if strata else F.struct(F.lit(0).alias("k0"))
 
 
-def quantiles(df: DataFrame, strata: list[str], values: dict[str, Column], q: float | list[float]) -> DataFrame:
+def narrow(df: DataFrame, strata: list[str], values: dict[str, Column], settled: bool = False) -> DataFrame:
+    """``_k`` and the named values as doubles (NaN as null), written once: what quantiles read instead of ``df``. A ``settled``
+    table, which is no more than read, isn't written again."""
+    number = lambda x: F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+    rows = df.select(key_of(strata).alias("_k"), *[number(v).alias(n) for n, v in values.items()])
+    return rows if settled else written(rows, "values")
+
+
+def quantiles(df: DataFrame, strata: list[str], values: dict[str, Column], q: float | list[float], settled: bool = False) -> DataFrame:
     """``_k, <name>...``: for each group (``_k``, see ``key_of``) the quantile ``q`` of each named value (or one of its own for
     each), linearly interpolated between neighbours as ``percentile`` does; null for a group without values. Null and NaN
-    values don't count."""
+    values don't count. ``df`` runs once (twice if it is ``settled``); the result is a written table with a row a group."""
+    return quantiles_of(narrow(df, strata, values, settled), {n: F.col(n) for n in values}, q)
+
+
+def quantiles_of(df: DataFrame, values: dict[str, Column], q: float | list[float]) -> DataFrame:
+    """``quantiles`` of a table with ``_k`` that is cheap to read, and is read twice."""
     names = list(values)
     qs = list(q) if isinstance(q, list) else [q] * len(names)
-    number = lambda x: F.nanvl(x.cast("double"), F.lit(None).cast("double"))
-    rows = df.select(key_of(strata).alias("_k"), *[number(v).alias(f"v{i}") for i, v in enumerate(values.values())])
+    rows = df.select("_k", *[v.alias(f"v{i}") for i, v in enumerate(values.values())])
     edges, many = [[max(0.0, x - MARGIN), min(1.0, x + MARGIN)] for x in qs], range(len(names))
-    sizes = written(rows.groupBy("_k").agg(*[x for i in many for x in (F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"a{i}"), F.max(f"v{i}").alias(f"b{i}"))]), "sizes")
-    large = sizes.where(F.greatest(*[F.col(f"n{i}") for i in many], F.lit(0)) > SMALL).select("_k")
-    sketches = rows.join(large, "_k", "left_semi").groupBy("_k").agg(*[F.percentile_approx(f"v{i}", edges[i], ACCURACY).alias(f"e{i}") for i in many])
-    edge = lambda i, at, whole: F.when(F.col(f"n{i}") <= SMALL, F.col(f"{whole}{i}")).otherwise(F.col(f"e{i}")[at])
-    bracket = sizes.join(sketches, "_k", "left").select("_k", *[x for i in many for x in (f"n{i}", edge(i, 0, "a").alias(f"lo{i}"), edge(i, 1, "b").alias(f"hi{i}"))])
+    facts = [x for i in many for x in (F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"a{i}"), F.max(f"v{i}").alias(f"b{i}"), F.percentile_approx(f"v{i}", edges[i], ACCURACY).alias(f"e{i}"))]
+    sizes = written(rows.groupBy("_k").agg(*facts), "sizes")
+    found = written(_ranked(rows, sizes, names, qs, SMALL), "quantiles")
+    lost = found.where("lost")
+    if lost.limit(1).count():  # a bracket that missed its rank: these groups are counted whole
+        again = _ranked(rows.join(lost.select("_k"), "_k", "left_semi"), sizes.join(lost.select("_k"), "_k", "left_semi"), names, qs, None)
+        found = written(found.where("not lost").unionByName(again), "quantiles")
+    return found.drop("lost")
+
+
+def _ranked(rows: DataFrame, sizes: DataFrame, names: list[str], qs: list[float], small: int | None) -> DataFrame:
+    """``_k, <name>..., lost``: quantiles from the counts of the values inside each group's bracket; groups of at most ``small`` values
+    (None: all groups) are all bracket. ``lost``: a rank lies outside its bracket."""
+    many = range(len(names))
+    edge = lambda i, at, whole: F.when(F.col(f"n{i}") <= small, F.col(f"{whole}{i}")).otherwise(F.col(f"e{i}")[at]) if small is not None else F.col(f"{whole}{i}")
+    bracket = sizes.select("_k", *[x for i in many for x in (f"n{i}", edge(i, 0, "a").alias(f"lo{i}"), edge(i, 1, "b").alias(f"hi{i}"))])
     # a value below its bracket counts as null, one above is left out
     each = F.array(*[F.struct(F.lit(i).alias("i"), F.when(F.col(f"v{i}") >= F.col(f"lo{i}"), F.col(f"v{i}")).alias("v"), (F.col(f"v{i}") <= F.col(f"hi{i}")).alias("in"), F.col(f"n{i}").alias("n")) for i in many])
     counts = rows.join(bracket, "_k").select("_k", F.inline(each)).where("`in`").groupBy("_k", "i", "v").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
@@ -49,10 +72,9 @@ def quantiles(df: DataFrame, strata: list[str], values: dict[str, Column], q: fl
     pair = ranked.groupBy("_k", "i").agg(F.max("place").alias("place"), at(F.floor("place")).alias("x"), at(F.ceil("place")).alias("y"))
     lost = F.col("x").isNull() | F.col("y").isNull() | F.col("x.v").isNull()
     x, y, low, high = F.col("x.v"), F.col("y.v"), F.floor("place"), F.ceil("place")
-    line = F.when((low == high) | (x == y), x).otherwise((high - F.col("place")) * x + (F.col("place") - low) * y)
-    value = F.when(lost, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).otherwise(line)
-    wide = pair.groupBy("_k").agg(*[F.max(F.when(F.col("i") == i, value)).alias(n) for i, n in enumerate(names)])
-    return sizes.select("_k").join(wide, "_k", "left")
+    value = F.when((low == high) | (x == y), x).otherwise((high - F.col("place")) * x + (F.col("place") - low) * y)
+    wide = pair.groupBy("_k").agg(*[F.max(F.when(F.col("i") == i, value)).alias(n) for i, n in enumerate(names)], F.bool_or(lost).alias("lost"))
+    return sizes.select("_k").join(wide, "_k", "left").withColumn("lost", F.coalesce("lost", F.lit(False)))
 
 
 def joined(df: DataFrame, strata: list[str], stats: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from sondage.operators import anomaly as A
 from sondage.operators import canonical as N
 from sondage.operators import contract
 from sondage.operators import forest as T
+from sondage.operators.quantiles import joined, quantiles
 
 from .registry import PROFILES_SQL, SEQ, profiles, query, rounded
 
@@ -35,8 +36,8 @@ def stratified(read):
 def flagged(read):
     """A score that SQL can follow: distance from the flag's median price."""
     df = stratified(read)
-    mid = df.groupBy("l_returnflag").agg(F.median("l_extendedprice").alias("mid"))
-    return A.score_threshold(df.join(mid, "l_returnflag").withColumn("score", F.abs(F.col("l_extendedprice") - F.col("mid"))).drop("mid"), "score", 0.95, ["stratum"])
+    mid = quantiles(df, ["l_returnflag"], {"mid": F.col("l_extendedprice")}, 0.5, settled=True)
+    return A.score_threshold(joined(df, ["l_returnflag"], mid).withColumn("score", F.abs(F.col("l_extendedprice") - F.col("mid"))).drop("mid"), "score", 0.95, ["stratum"])
 
 
 @query("g1_select_features", "SELECT unnest(['l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature")
@@ -59,7 +60,7 @@ def _(read):
 
 @query("g4_extended_isolation_forest")
 def _(read):
-    df = N.impute_median(read("lineitem").select(*KEY, *FEATURES).withColumn("stratum", F.lit("all")), FEATURES)
+    df = read("lineitem").select(*KEY, *FEATURES).withColumn("stratum", F.lit("all"))
     out = T.isolation_scores(df, FEATURES, "stratum", KEY, T.Forest(trees=100, ndim=2, max_depth=8))
     return rounded(A.score_threshold(out, "iso_score", 0.95).drop("stratum", *FEATURES))
 

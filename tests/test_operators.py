@@ -281,18 +281,26 @@ def plain_forest_scores(rows, nodes):
 @pytest.mark.parametrize("ndim", [1, 2])
 def test_forest_against_walking_every_tree(spark, monkeypatch, ndim):
     rng = np.random.default_rng(4)
-    rows = [(i, "ab"[i % 5 == 0] if i < 300 else "few", *map(float, rng.normal(size=3))) for i in range(305)]
+    rows = [(i, "ab"[i % 5 == 0] if i < 300 else "few" if i < 305 else None, *map(float, rng.normal(size=3))) for i in range(325)]
     df = spark.createDataFrame(rows, "id long, g string, a double, b double, c double")
     shape = forest.Forest(trees=12, psi=32, ndim=ndim)
-    nodes = forest.grown(forest.subsamples(df, ["a", "b", "c"], "g", ["id"], shape), shape).persist()
+    narrow = forest.narrow_features(df, ["a", "b", "c"], F.col("g"), ["id"])
+    full = narrow.select("_key", "stratum", F.array("f0", "f1", "f2").alias("x"))
+    nodes = forest.grown(forest.subsamples(full, shape), shape).persist()
     own = nodes.groupBy("stratum", "tree").agg(F.max("size").alias("n")).collect()
     assert {r.stratum for r in own} == {"a", "b"} and all(r.n <= 32 for r in own) and len(own) == 24
+    for (s, k), tree in {(r.stratum, r.tree): [n for n in nodes.collect() if (n.stratum, n.tree) == (r.stratum, r.tree)] for r in own}.items():
+        at = {n.node: n for n in tree}
+        assert all(at[n.left].size + at[n.right].size == n.size and at[n.left].depth == n.depth + 1 for n in tree if n.left is not None), (s, k)
+        assert len({n.node for n in tree}) == len(tree) and all(n.size == 1 or n.depth == 5 for n in tree if n.left is None)
     want = plain_forest_scores([(r[0], r[1], r[2:]) for r in rows], nodes.collect())
-    for most in (forest.BROADCAST_NODES, 0):  # a broadcast forest, and one that stays distributed
-        monkeypatch.setattr(forest, "BROADCAST_NODES", most)
+    for most in (forest.BROADCAST_BYTES, 0):  # a broadcast forest, and one that stays distributed
+        monkeypatch.setattr(forest, "BROADCAST_BYTES", most)
         monkeypatch.setattr(forest, "GROUP_ROWS", 50)
-        got = {r.id: r.iso_score for r in forest.scored(df, nodes, ["a", "b", "c"], "g", ["id"], shape).collect()}
-        assert len(got) == 305 and all(got[k] == pytest.approx(v, rel=1e-9) for k, v in want.items()) and all(got[k] is None for k in range(300, 305))
+        got = {r._key.k0: r.iso_score for r in forest.scored(full, nodes, 3, shape).collect()}
+        assert len(got) == 325 and all(got[k] == pytest.approx(v, rel=1e-9) for k, v in want.items()) and all(got[k] is None for k in range(300, 325))
+    out = forest.isolation_scores(df, ["a", "b", "c"], "g", ["id"], shape)
+    assert out.columns == [*df.columns, "iso_score"] and {r.id: r.iso_score for r in out.collect()} == got
     nodes.unpersist()
 
 
