@@ -214,9 +214,11 @@ def scored(rows: DataFrame, nodes: DataFrame, p: int, forest: Forest) -> DataFra
 
 def narrow_features(df: DataFrame, features: list[str], stratum: Column, key: list[str]) -> DataFrame:
     """``_key`` (a struct of the key's columns), ``stratum`` and the features as doubles, NaN as null: the one table, written once, that
-    imputing, sampling, growing and scoring read instead of ``df``."""
+    imputing, sampling, growing and scoring read instead of ``df``. It is dealt by key, so that scoring has rows for all cores."""
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     number = lambda f: F.nanvl(F.col(f).try_cast("double"), F.lit(None).cast("double"))
-    return written(df.select(key_of(key).alias("_key"), stratum.cast("string").alias("stratum"), *[number(f).alias(f"f{i}") for i, f in enumerate(features)]), "narrow")
+    return written(df.select(key_of(key).alias("_key"), stratum.cast("string").alias("stratum"), *[number(f).alias(f"f{i}") for i, f in enumerate(features)]).repartition(parts, "_key"), "narrow")
 
 
 def narrow_scores(rows: DataFrame, p: int, forest: Forest = Forest(), budget: bool = False) -> DataFrame:

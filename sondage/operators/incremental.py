@@ -6,7 +6,7 @@ import platform
 import sys
 
 import pyspark
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,41 @@ def publish_manifest(manifest: DataFrame, entries: DataFrame, key: str = "path",
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(at), *rest))).where("_r = 1").drop("_r")
 
 
+def versions(spark: SparkSession, root: str) -> tuple[int, int]:
+    """(the newest complete version of a snapshot table, the highest number in use), 0 without one. A version is a folder
+    ``v=number`` under the root, complete once it has the mark that Spark's writers put there last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    number = lambda p: int(p.getName().removeprefix("v="))
+    found = [f.getPath() for f in (store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "v=*")) or [])]
+    whole = [p for p in found if store.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max(map(number, whole), default=0), max(map(number, found), default=0)
+
+
+def _folder(root: str, version: int) -> str:
+    return f"{root}/v={version:020d}"
+
+
+def commit_snapshot(table: DataFrame, root: str) -> int:
+    """``table`` as the root's next version; its number. Readers see the version before until this one is complete. Of writers at
+    the same time one finds the number taken and fails; what a failed writer leaves is never read."""
+    version = versions(table.sparkSession, root)[1] + 1
+    table.write.mode("errorifexists").parquet(_folder(root, version))
+    return version
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest complete version, None without one; later commits don't touch what was returned."""
+    version = versions(spark, root)[0]
+    return spark.read.parquet(_folder(root, version)) if version else None
+
+
+def commit_manifest(entries: DataFrame, root: str, key: str = "path", at: str = "published_at") -> int:
+    """``publish_manifest`` on the newest snapshot, committed as the next one."""
+    current = read_snapshot(entries.sparkSession, root)
+    return commit_snapshot(publish_manifest(entries.limit(0) if current is None else current, entries, key, at), root)
+
+
 def outputs_fresh(inputs: DataFrame, outputs: DataFrame, key: str, wanted: int, at: str = "mtime") -> DataFrame:
     """``is_fresh``: all ``wanted`` outputs exist and none is older than the input."""
     own = outputs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_oldest"))

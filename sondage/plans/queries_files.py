@@ -188,6 +188,27 @@ def _(read):
     return A.row_counts(read("documents"), F.col("source"))
 
 
+@query("a15_footer_counts", "SELECT o_orderstatus AS source, count(*) AS n FROM orders GROUP BY ALL")
+def _(read):
+    """Counts of a table by folder, from the footers of its files."""
+    o = read("orders").select("o_orderkey", "o_orderstatus")
+    at = folder(o)
+    A.write_table(o, at, ["o_orderstatus"])
+    return A.footer_counts(o.sparkSession, at, "o_orderstatus")
+
+
+@query("a1_read_profile_files", "SELECT split_part(o_orderpriority, '-', 1) AS path, count(*) AS n, CAST(sum(o_custkey) AS DOUBLE) AS prsm, round(sum(o_custkey % 7 + 0.5), 4) AS t090c FROM orders GROUP BY ALL")
+def _(read):
+    """Five large files, one for each priority, read by lines in blocks."""
+    o = read("orders").select(F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).alias("p"), F.concat_ws(" ", F.col("o_custkey").cast("string"), (F.col("o_custkey") % 7 + 0.5).cast("string")).alias("value"), F.lit(1).alias("o"))
+    at = folder(o)
+    heads = o.select("p").distinct().select("p", F.lit("# name 0 = prSM: P\n# name 1 = t090C: T\n*END*").alias("value"), F.lit(0).alias("o"))
+    heads.unionByName(o.select("p", "value", "o")).repartition("p").sortWithinPartitions("p", "o").select("p", "value").write.partitionBy("p").text(at)
+    rows, _ = A.read_profiles_text(o.sparkSession, at, "*.txt")
+    wide = A.widened(rows, ["prsm", "t090c"]).groupBy(F.regexp_extract("path", r"/p=([^/]+)/", 1).alias("p"))
+    return wide.agg(F.count(F.lit(1)).alias("n"), F.sum("prsm").alias("prsm"), F.round(F.sum("t090c"), 4).alias("t090c")).withColumnRenamed("p", "path")
+
+
 @query("a16_read_run_log", "SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY ALL")
 def _(read):
     runs = read("orders").select(F.to_json(F.struct(F.col("o_orderkey").alias("run_id"), F.col("o_orderstatus").alias("status"))).alias("value"))
@@ -240,6 +261,26 @@ def _(read):
     return J.publish_manifest(o.where("entry % 2 = 0"), o.where("entry % 2 <> 0"))
 
 
+@query("j3_commit_manifest", "SELECT DISTINCT ON (o_custkey) o_custkey AS path, o_orderdate AS published_at, o_orderkey AS entry FROM orders ORDER BY o_custkey, o_orderdate DESC, o_orderkey")
+def _(read):
+    """Three commits of a manifest, each a snapshot that readers see once it is whole."""
+    o = read("orders").select(F.col("o_custkey").alias("path"), F.col("o_orderdate").alias("published_at"), F.col("o_orderkey").alias("entry"))
+    at = folder(o)
+    for k in range(3):
+        J.commit_manifest(o.where(F.col("entry") % 3 == k), at)
+    return J.read_snapshot(o.sparkSession, at)
+
+
+@query("a13_repeated_runs", "SELECT o_orderstatus AS run_id, o_orderkey AS k, o_orderpriority AS step FROM orders")
+def _(read):
+    """Each status is a run that writes its records twice; they are there once."""
+    o = read("orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("step"), "o_orderstatus")
+    at = folder(o)
+    for run in ("F", "O", "P", "O", "F"):
+        A.run_log_sink(o.where(F.col("o_orderstatus") == run).drop("o_orderstatus"), at, run)
+    return A.read_run_log(o.sparkSession, at, "run_id string, k long, step string")
+
+
 @query("j4_outputs_fresh", "SELECT o_orderkey AS path, (SELECT count(*) >= 3 AND min(l_shipdate) >= o_orderdate FROM lineitem WHERE l_orderkey = o_orderkey) AS is_fresh FROM orders")
 def _(read):
     inputs = read("orders").select(F.col("o_orderkey").alias("path"), F.col("o_orderdate").alias("mtime"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sondage.functions import text as T
@@ -39,8 +39,20 @@ def file_table(spark: SparkSession, root: str, glob: str = PROFILE_GLOB) -> Data
     )
 
 
+def _values(lines: DataFrame) -> DataFrame:
+    """``path, line_no, values`` of body lines (``path, names, line_no, line``) that hold nothing but numbers."""
+    lines = lines.where((F.trim("line") != "") & ~F.ltrim("line").rlike(r"^[*#]"))
+    numbers = F.transform(F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " "), lambda x: x.try_cast("double"))
+    rows = lines.withColumn("x", numbers).where(~F.exists("x", lambda v: v.isNull()))
+    n = F.least(F.size("names"), F.size("x"))
+    # equal names: the last one stays, as earlier places of a name that comes again are left out
+    places = F.filter(F.sequence(F.lit(1), n), lambda i: ~F.array_contains(F.slice(F.col("names"), i + 1, F.greatest(n - i, F.lit(0))), F.element_at("names", i)))
+    entries = F.transform(places, lambda i: F.struct(F.element_at("names", i).alias("key"), F.nanvl(F.element_at("x", i), F.lit(None).cast("double")).alias("value")))
+    return rows.select("path", "line_no", F.map_from_entries(entries).alias("values"))
+
+
 def parse_profiles(files: DataFrame, content: Column) -> tuple[DataFrame, DataFrame]:
-    """(rows, errors) of header-and-body texts. Rows: ``path, line_no, values map<string,double>``.
+    """(rows, errors) of header-and-body texts, one a row. Rows: ``path, line_no, values map<string,double>``.
 
     Names come from the header in order, lower-case; a line with anything that is no number is dropped, as are blank lines and
     those that start with ``*`` or ``#``; short rows miss their last names, long ones are cut; of equal names the last counts. Errors: files
@@ -49,24 +61,41 @@ def parse_profiles(files: DataFrame, content: Column) -> tuple[DataFrame, DataFr
     whole = files.select("path", content.alias("_text"))
     parts = F.split("_text", r"(?im)^\*END\*[ \t]*\r?$", 2)
     whole = whole.select("path", T.header_columns(T.header_part(F.col("_text"))).alias("names"), F.element_at(parts, -1).alias("body"))
-    lines = whole.where("names is not null").select("path", "names", F.posexplode(F.split("body", r"\r?\n")).alias("line_no", "line"))
-    lines = lines.where((F.trim("line") != "") & ~F.ltrim("line").rlike(r"^[*#]"))
-    numbers = F.transform(F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " "), lambda x: x.try_cast("double"))
-    rows = lines.withColumn("x", numbers).where(~F.exists("x", lambda v: v.isNull()))
-    n = F.least(F.size("names"), F.size("x"))
-    # equal names: the last one stays, as earlier places of a name that comes again are left out
-    places = F.filter(F.sequence(F.lit(1), n), lambda i: ~F.array_contains(F.slice(F.col("names"), i + 1, F.greatest(n - i, F.lit(0))), F.element_at("names", i)))
-    entries = F.transform(places, lambda i: F.struct(F.element_at("names", i).alias("key"), F.nanvl(F.element_at("x", i), F.lit(None).cast("double")).alias("value")))
-    rows = rows.select("path", "line_no", F.map_from_entries(entries).alias("values"))
+    rows = _values(whole.where("names is not null").select("path", "names", F.posexplode(F.split("body", r"\r?\n")).alias("line_no", "line")))
     good = rows.select("path").distinct()
     bad = whole.join(good, "path", "left_anti").select("path", F.when(F.col("names").isNull(), "no_columns").when(F.col("body").rlike(r"^\s*$"), "no_data").otherwise("no_valid_rows").alias("error"))
     return rows, bad
 
 
 def read_profiles_text(spark: SparkSession, root: str, glob: str = PROFILE_GLOB) -> tuple[DataFrame, DataFrame]:
-    """(rows, errors) of all profile files under a root (see ``parse_profiles``); failures are rows, not exceptions."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    return parse_profiles(files, F.decode("content", "ISO-8859-1"))
+    """(rows, errors) of all profile files under a root, as ``parse_profiles`` has them; failures are rows, not exceptions.
+
+    Files are read by lines, so a large one is many tasks. A first pass finds in every block its first line's number, its lines
+    and its part of the header; what a file's blocks add up to (one row a file: names, and where the body begins) meets the lines of
+    the second pass. Lines are never shuffled by file.
+    """
+    reader = spark.read.option("encoding", "ISO-8859-1").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    # rows of a block are read one after the other, so their ids count its lines
+    lines = reader.text(root).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    end = F.when(F.col("value").rlike(r"(?i)^\*END\*[ \t]*$"), F.col("_id"))
+    head = F.when(F.col("value").rlike(r"(?i)^#\s+name\s+\d+\s*="), F.struct("_id", "value"))
+    blocks = lines.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"), F.min(end).alias("_end"), F.collect_list(head).alias("_head"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    blocks = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
+    shifted = F.transform("_head", lambda h: F.struct((h["_id"] + F.col("_start")).alias("at"), h["value"].alias("line")))
+    blocks = blocks.select("_file", "_block", "_start", (F.col("_end") + F.col("_start")).alias("_end"), shifted.alias("_head"))
+    facts = blocks.groupBy("_file").agg(F.min("_end").alias("_end"), F.sort_array(F.flatten(F.collect_list("_head"))).alias("_head"))
+    named = F.filter("_head", lambda h: F.col("_end").isNull() | (h["at"] < F.col("_end")))
+    facts = facts.select("_file", F.coalesce("_end", F.lit(-1)).alias("_stop"), T.header_columns(F.array_join(F.transform(named, lambda h: h["line"]), "\n")).alias("names"))
+    known = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path", F.col("_metadata.file_path").alias("_file"))
+    of_file = known.join(facts, "_file", "left")  # a file without a line has no facts
+    numbered = lines.join(blocks.select("_file", "_block", "_start"), ["_file", "_block"]).join(of_file, "_file").withColumn("_no", F.col("_id") + F.col("_start") - F.col("_stop"))
+    # without an end line the whole text is the body, whose first line is number 0; after one the first line is number 1
+    body = numbered.where("_no > 0").select("path", "names", F.when(F.col("_stop") < 0, F.col("_no") - 1).otherwise(F.col("_no")).cast("int").alias("line_no"), F.col("value").alias("line"))
+    rows = _values(body.where("names is not null"))
+    good, filled = rows.select("path").distinct(), body.where(F.trim("line") != "").select("path", F.lit(True).alias("_filled")).distinct()
+    bad = of_file.join(good, "path", "left_anti").join(filled, "path", "left")
+    return rows, bad.select("path", F.when(F.col("names").isNull(), "no_columns").when(F.col("_filled").isNull(), "no_data").otherwise("no_valid_rows").alias("error"))
 
 
 def widened(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -312,9 +341,18 @@ def consolidate(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def quarantine_sink(rejected: DataFrame, path: str, evaluated_at: Column) -> None:
-    """Appends rejected rows (with ``reasons``) under their day."""
-    rejected.withColumn("evaluated_at", evaluated_at).withColumn("day", F.to_date("evaluated_at")).write.mode("append").partitionBy("day").parquet(path)
+def quarantine_sink(rejected: DataFrame, path: str, evaluated_at: Column, run_id: str | None = None) -> None:
+    """Rejected rows (with ``reasons``) under their day; with ``run_id`` in the run's own folders, which a repeated run replaces."""
+    rows = rejected.withColumn("evaluated_at", evaluated_at).withColumn("day", F.to_date("evaluated_at"))
+    _committed(rows, run_id, ["day"]).parquet(path)
+
+
+def _committed(rows: DataFrame, run_id: str | None, by: list[str]) -> DataFrameWriter:
+    """A writer that appends, or, for a run, replaces the partitions of this run alone, so that a stage that runs again, after a
+    failure too, leaves each record once."""
+    if run_id is None:
+        return rows.write.mode("append").partitionBy(*by)
+    return rows.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", *by)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -326,9 +364,9 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
-def run_log_sink(entries: DataFrame, path: str) -> None:
-    """Appends run, step or failure records."""
-    entries.write.mode("append").json(path)
+def run_log_sink(entries: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Run, step or failure records, appended; with ``run_id`` as those of this run, which a repeated run replaces."""
+    _committed(entries, run_id, []).json(path)
 
 
 def read_run_log(spark: SparkSession, path: str, schema: str, *others: str) -> DataFrame:
@@ -363,3 +401,12 @@ def latest_run(runs: DataFrame, run: str = "run_id", at: str = "generated_at", w
 
 def row_counts(df: DataFrame, by: Column) -> DataFrame:
     return df.groupBy(by.alias("source")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def footer_counts(spark: SparkSession, root: str, folder: str) -> DataFrame:
+    """``source, n``: rows of Parquet files by the value of their partition ``folder`` (``root/folder=value/...``), from the files'
+    footers alone: the count is pushed into the scan, which reads no row group. The table is read in a session of its own."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(root).groupBy(folder).agg(F.count("*").alias("n")).withColumnRenamed(folder, "source")
