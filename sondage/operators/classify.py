@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sondage.functions.text import STATION_FOLDER, explain_year, extract, normalize_text
+from sondage.scratch import written
 
 UNKNOWN = "desconocida"
 # Station codes, keywords and prefixes of the sites.
@@ -32,6 +36,8 @@ CAMPAIGN = r"(?i)rcan|radcan|radial_can|radprof|radiales?\s+cant[aá]bric"
 MONTH_NAME = r"(?i)^([a-z]{0,2})(?:jan|feb|mar|apr|may|jun|jul|ago|sep|oct|nov|dic|ene)\d"
 MONTH_PREFIX = {"g": "gijon", "s": "santander"}
 STATION_PREFIX = (("CO", "coruna"), ("C", "cudillero"), ("G", "gijon"), ("S", "santander"), ("V", "vigo"))
+#: Bytes of the codes of one automaton (some fifty times as much in memory).
+CATALOG_BYTES = 4 << 20
 BBOX = ((43.2, 43.95), (-6.5, -3.0))
 
 
@@ -46,14 +52,49 @@ def identify_by_code(text: Column, catalog: dict[str, tuple[str, ...]] = CODES)
     return F.coalesce(*[F.when(F.contains(up, F.lit(code)), F.lit(k)) for code, k in pairs(catalog)])
 
 
+def longest_codes(df: DataFrame, text: str, key: str, codes: DataFrame) -> DataFrame:
+    """``key, code``: of every text the longest of the ``codes`` (upper case) that it contains, all of them if several are as long.
+
+    An Aho-Corasick automaton finds all codes in one pass over a text, whatever their number, and texts aren't shuffled. Codes
+    are dealt by a hash into automata of about ``CATALOG_BYTES``, one job each, so driver and tasks hold one of them.
+    """
+    size = codes.agg(F.sum(F.octet_length("code"))).first()[0] or 0
+    shards, kind, out = -(-size // CATALOG_BYTES), df.schema[key].dataType.simpleString(), []
+    rows = df.select(key, F.upper(F.trim(F.col(text))).alias("_text")).where("_text is not null")
+    for i in range(shards):
+        words = [r[0] for r in codes.where(F.pmod(F.xxhash64("code"), F.lit(shards)) == i).select("code").collect()]
+        shared = df.sparkSession.sparkContext.broadcast(words)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            automaton = ahocorasick.Automaton()
+            for word in shared.value:
+                automaton.add_word(word, word)
+            automaton.make_automaton()
+            for rb in batches:
+                at, best = [], []
+                for row, t in enumerate(rb.column("_text").to_pylist()):
+                    found, most = set(), 1
+                    for _, word in automaton.iter(t) if shared.value else ():
+                        if len(word) > most:
+                            found, most = {word}, len(word)
+                        elif len(word) == most:
+                            found.add(word)
+                    at += [row] * len(found)
+                    best += found
+                yield pa.RecordBatch.from_arrays([rb.column(key).take(pa.array(at, pa.int64())), pa.array(best, pa.string())], names=[key, "code"])
+
+        out.append(written(rows.mapInArrow(run, f"`{key}` {kind}, code string"), "codes"))
+        shared.unpersist()
+    if not out:
+        return rows.select(key, F.lit("").alias("code")).limit(0)
+    return reduce(DataFrame.unionByName, out)
+
+
 def identify_by_catalog(df: DataFrame, text: str, key: str, catalog: DataFrame) -> DataFrame:
-    """``key, id`` by a catalog table (``code, id``) of any size: every substring as long as some code meets the codes in an
-    equi-join, and the longest match wins (of equally long ones the smallest id). For names and headers: a text gives as many
-    rows as it has characters, for each length of code."""
-    lengths = sorted(r[0] for r in catalog.select(F.length("code")).distinct().collect())  # a few lengths, however many codes
-    up = F.upper(F.trim(F.col(text)))
-    grams = F.flatten(F.array(*[F.when(F.length(up) >= n, F.transform(F.sequence(F.lit(1), F.length(up) - n + 1), lambda i, n=n: F.substring(up, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in lengths]))
-    rows = df.select(key, F.explode(F.array_distinct(grams)).alias("code")).join(catalog.select(F.upper("code").alias("code"), "id"), "code")
+    """``key, id`` by a catalog table (``code, id``) of any size over texts of any length: the longest code that a text contains, whatever
+    its case, wins (of equally long ones the smallest id); texts without one, and empty codes, give nothing."""
+    known = catalog.select(F.upper("code").alias("code"), "id").where("code <> ''")
+    rows = longest_codes(df, text, key, known.select("code").distinct()).join(known, "code")
     return rows.groupBy(key).agg(F.min_by("id", F.struct((-F.length("code")).alias("a"), F.col("id"))).alias("id"))
 
 

@@ -186,6 +186,15 @@ def _(read):
     return C.identify_by_catalog(texts, "t", "s_suppkey", part.select("id", "code"))
 
 
+@query("c1_identify_in_documents", """WITH codes AS (SELECT item_id AS id, upper(substr(text, 1, 40)) AS code FROM benchmark WHERE NOT contains(substr(text, 1, 40), 'ß') AND length(text) >= 40)
+ SELECT doc_id, min(id) AS id FROM documents JOIN codes ON contains(upper(text), code) GROUP BY ALL""")
+def _(read):
+    """Whole documents against the beginnings of all benchmark texts."""
+    begin = F.substring("text", 1, 40)
+    codes = read("benchmark").where((F.length("text") >= 40) & ~F.contains(begin, F.lit("ß"))).select(F.col("item_id").alias("id"), begin.alias("code"))
+    return C.identify_by_catalog(read("documents"), "text", "doc_id", codes)
+
+
 POSITIONS_SQL = "p AS (SELECT c_custkey AS k, 42.5 + (c_custkey % 250) / 100.0 AS lat, -10 + (c_custkey * 7 % 800) / 100.0 AS lon FROM customer)"
 GEO_SQL = "CASE WHEN lat BETWEEN 43.15 AND 44.7 AND lon BETWEEN -9.5 AND -2.5 THEN CASE WHEN lon <= -7.5 AND lat BETWEEN 43.05 AND 44.35 THEN 'coruna' WHEN lon <= -6.0 THEN 'cudillero' WHEN lon <= -4.85 THEN 'gijon' ELSE 'santander' END END"
 

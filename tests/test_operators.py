@@ -75,6 +75,23 @@ def test_codes(spark, text, want):
     assert df.select(classify.identify_by_code(F.col("t"))).first()[0] == want
 
 
+@pytest.mark.parametrize("bytes_", [4 << 20, 40])
+def test_longest_codes_of_a_catalog(spark, monkeypatch, bytes_):
+    monkeypatch.setattr(classify, "CATALOG_BYTES", bytes_)  # one automaton, and several
+    rng = np.random.default_rng(7)
+    word = lambda n: "".join(rng.choice(list("abñ"), n))
+    codes = [(word(rng.integers(1, 6)), i) for i in range(40)] + [("", 99), ("ABN", 7), ("aa", 3), ("aa", 1)]
+    texts = [(i, word(rng.integers(0, 12))) for i in range(60)] + [(100, None), (101, ""), (102, "x"), (5, "abn")]
+    got = {r.k: r.id for r in classify.identify_by_catalog(spark.createDataFrame(texts, "k long, t string"), "t", "k", spark.createDataFrame(codes, "code string, id long")).collect()}
+    want = {}
+    for k, t in texts:
+        for c, i in codes:
+            if t and c and c.upper() in t.strip().upper():
+                want[k] = min(want.get(k, (0, 0)), (-len(c), i))
+    assert got == {k: v[1] for k, v in want.items()}
+    assert classify.identify_by_catalog(spark.createDataFrame(texts, "k long, t string"), "t", "k", spark.createDataFrame([], "code string, id long")).count() == 0
+
+
 def test_cascade(spark):
     rows = [("a/St.1 CNVs/x.cnv", "Santander", 43.5, -3.8, None, "cudillero", "folder"), ("a/x.cnv", "Radial Gijón", 43.5, -3.8, None, "santander", "geo"), ("a/gnov05.cnv", "", None, None, None, "gijon", "filename"), ("a/x.cnv", "RADCAN", None, None, "CO2", "coruna", "station_prefix"), ("a/x.cnv", "zz", None, None, None, None, "unknown")]
     df = spark.createDataFrame(rows, "p string, cruise string, lat double, lon double, st string, want string, rule string")
