@@ -62,7 +62,7 @@ def _ranked(rows: DataFrame, sizes: DataFrame, names: list[str], qs: list[float]
     bracket = sizes.select("_k", *[x for i in many for x in (f"n{i}", edge(i, 0, "a").alias(f"lo{i}"), edge(i, 1, "b").alias(f"hi{i}"))])
     # a value below its bracket counts as null, one above is left out
     each = F.array(*[F.struct(F.lit(i).alias("i"), F.when(F.col(f"v{i}") >= F.col(f"lo{i}"), F.col(f"v{i}")).alias("v"), (F.col(f"v{i}") <= F.col(f"hi{i}")).alias("in"), F.col(f"n{i}").alias("n")) for i in many])
-    counts = rows.join(bracket, "_k").select("_k", F.inline(each)).where("`in`").groupBy("_k", "i", "v").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+    counts = rows.join(bracket, "_k").select("_k", F.inline(F.filter(each, lambda s: s["in"]))).groupBy("_k", "i", "v").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
     # at most SMALL values, or twice the margin's share of a group, in one window
     upto = F.sum("c").over(Window.partitionBy("_k", "i").orderBy(F.col("v").asc_nulls_first()))
     place = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, qs)), F.col("i") + 1)
