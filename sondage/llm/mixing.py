@@ -2,13 +2,11 @@
 
 Each source gets a target number of words. Of all document rates that meet it, those closest to one copy each (in
 relative entropy, none above ``CAP``) are min(CAP, exp(lambda * size)); the convex dual's one unknown for each source is
-found by Newton steps for all sources side by side, over the counts of (source, size), and the rates are then rounded to copies.
+found by distributed Newton iterations over the counts of (source, size), and the rates are then rounded to copies.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +17,8 @@ CAP = 3
 WORDS = r"[^\x20\x09-\x0D]+"
 STEPS = 60
 TOLERANCE = 1e-6
+#: Values between the ends of a bracket that guard a Newton step, parts of a source's sizes, and where brackets end at most.
+GUARDS, PARTS, FURTHEST = 8, 32, 2.0**21
 #: Bins of each pass that finds a rounding offset, and passes that fill up what is left of a target.
 BINS = 4096
 FILLS = 3
@@ -56,43 +56,61 @@ def _rate(size: Column, mean: Column, lam: Column) -> Column:
     return F.when(lam.isNull(), F.lit(float(CAP))).otherwise(F.least(F.lit(float(CAP)), F.exp(F.least(lam * size / mean, F.lit(50.0)))))
 
 
-def newton(size: np.ndarray, n: np.ndarray, target: float) -> tuple[float, float]:
-    """(mean size, lam) at which ``n`` documents of each ``size`` give ``target`` words, by Newton's method on the dual's
-    gradient, guarded by a bracket."""
-    mean = float((size * n).sum() / n.sum())
-    words, ratio = (n * size).astype(float), size / mean
-    lam, lo, hi = 0.0, -1e6, 1e6
-    for _ in range(STEPS):
-        rate = np.minimum(float(CAP), np.exp(np.minimum(lam * ratio, 50.0)))
-        gap = float((words * rate).sum()) - target
-        if abs(gap) <= TOLERANCE * target:
-            break
-        lo, hi = (lam, hi) if gap < 0 else (lo, lam)
-        slope = float((words * rate * ratio)[rate < CAP].sum())
-        step = lam - min(max(gap / slope, -2.0), 2.0) if slope > 0 else lo  # the exponential is steep: short steps
-        lam = step if lo < step < hi else (max(lo, lam - 4) + min(hi, lam + 4)) / 2
-    return mean, lam
+def _summed(counts: DataFrame, tried: DataFrame) -> DataFrame:
+    """``sid, target, lam, words, slope``: the dual's gradient (words at ``lam``, less the target) and curvature for every source and
+    value tried. A source's counts are summed in parts of its sizes, map-side first; sums are exact, so no order changes them."""
+    parts = tried.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    rows = counts.join(parts, ["sid", "part"])
+    rate, exact = _rate(F.col("size"), F.col("mean"), F.col("lam")), lambda x: F.sum(x.cast("decimal(32,8)")).cast("double")
+    words = F.col("n") * F.col("size") * rate
+    bent = F.when(rate < CAP, words * F.col("size") / F.col("mean")).otherwise(0.0)
+    return rows.groupBy("sid", "target", "lam").agg(exact(words).alias("words"), exact(bent).alias("slope"))
+
+
+def _stepped(sums: DataFrame) -> DataFrame:
+    """``sid, target, lo, hi, lam, gap, step``: of each source's values the bracket round the root, the best one, its gap, and its
+    Newton step inside the bracket."""
+    gap = F.col("words") - F.col("target")
+    best = F.min_by(F.struct("lam", gap.alias("gap"), "slope"), F.struct(F.abs(gap).alias("g"), F.col("lam")))
+    out = sums.groupBy("sid", "target").agg(F.max(F.when(gap < 0, F.col("lam"))).alias("lo"), F.min(F.when(gap >= 0, F.col("lam"))).alias("hi"), best.alias("b")).select("sid", "target", "lo", "hi", "b.lam", "b.gap", "b.slope")
+    out = out.withColumn("lo", F.coalesce("lo", F.lit(-FURTHEST))).withColumn("hi", F.coalesce("hi", F.lit(FURTHEST)))
+    newton = F.when(F.col("slope") > 0, F.col("lam") - F.col("gap") / F.col("slope"))
+    return out.withColumn("step", F.greatest("lo", F.least("hi", F.coalesce(newton, (F.col("lo") + F.col("hi")) / 2)))).drop("slope")
 
 
 def solved(sizes: DataFrame) -> DataFrame:
-    """``source, source_size, target, mean, lam`` for every source, its dual solved where its counts are.
+    """``source, source_size, target, mean, lam`` for every source, its dual solved by distributed Newton iterations.
 
-    The dual has one unknown for each source, so the sources' Newton iterations run side by side, each over its source's
-    (size, documents) counts. These come from an aggregation that combines map-side, so a source with most of the rows is no
-    single task before it is a histogram, whose length is bounded by the words of the longest document.
+    The dual has one unknown for each source. An iteration is one job for all sources: it sums gradient and curvature at the
+    Newton step and at some guards inside the bracket, over the counts of (source, size), in parts, so that a source with most of
+    the documents is ``PARTS`` keys. The first one tries powers of two of both signs. Sources whose words are within
+    ``TOLERANCE`` of the target are done; the state is a row a source.
     """
     wanted = written(targets(sizes), "targets")
     free = (F.col("target") > 0) & (F.col("target") < CAP * F.col("source_size") * (1 - 1e-12))
     counts = sizes.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.join(wanted.select("sid", "source", "target", free.alias("free")), counts["source"].eqNullSafe(wanted["source"])).select("sid", "size", "n", "target", "free")
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("size")
-        mean, lam = newton(pdf["size"].to_numpy(), pdf["n"].to_numpy(), float(pdf["target"].iloc[0]))
-        return pd.DataFrame({"sid": [pdf["sid"].iloc[0]], "mean": [mean], "lam": [lam if pdf["free"].iloc[0] else None]}).astype({"lam": "Float64"})
-
-    state = counts.groupBy("sid").applyInPandas(solve, "sid int, mean double, lam double")
-    state = wanted.join(state, "sid", "left").withColumn("mean", F.coalesce("mean", F.lit(1.0)))
+    counts = counts.join(wanted.select("sid", F.col("source").alias("_source")), F.col("source").eqNullSafe(F.col("_source"))).select("sid", "size", "n", F.pmod(F.xxhash64("size"), F.lit(PARTS)).cast("int").alias("part"))
+    counts = written(counts, "size-counts")
+    means = counts.groupBy("sid").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
+    known = written(wanted.where(free).select("sid", "target").join(means, "sid"), "means")
+    powers = [0.0, *[s * 2.0**k for k in range(-3, 21) for s in (-1, 1)]]
+    tried = known.withColumn("lam", F.explode(F.array(*map(F.lit, powers))))
+    done = None
+    for _ in range(STEPS):
+        now = written(_stepped(_summed(counts, tried)), "newton")
+        # a bracket that rounding has closed is done too
+        ready = (F.abs("gap") <= TOLERANCE * F.col("target")) | (F.col("hi") - F.col("lo") <= 1e-14 * F.greatest(F.abs("lo"), F.abs("hi")))
+        own = now.where(ready).select("sid", "lam")
+        done = own if done is None else done.unionByName(own)
+        left = now.where(~ready)
+        if not left.limit(1).count():
+            break
+        guards = [F.col("lo") + (F.col("hi") - F.col("lo")) * k / GUARDS for k in range(1, GUARDS)]
+        near = [F.greatest("lo", F.least("hi", F.col("step") + s * (F.col("hi") - F.col("lo")) * 2.0**-k)) for k in (8, 14) for s in (-1, 1)]
+        tried = left.select("sid", "target", F.explode(F.array_distinct(F.array("lo", "hi", "step", *near, *guards))).alias("lam")).join(known.select("sid", "mean"), "sid")
+    else:
+        done = done.unionByName(left.select("sid", "lam"))
+    state = wanted.join(done, "sid", "left").join(means, "sid", "left").withColumn("mean", F.coalesce("mean", F.lit(1.0)))
     return written(state.select("sid", "source", "source_size", "target", "mean", "lam"), "state")
 
 
