@@ -233,7 +233,7 @@ def judged(docs: DataFrame, *models: str) -> DataFrame:
     base = table.where(~F.col("base_failed"))
     quartiles, qs = {f"{c}_q{i}": F.col(c) for c, _ in banded for i in (1, 2, 3)}, [0.25, 0.5, 0.75] * len(banded)
     enough = base.groupBy(key_of(["grp"]).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= LEAST_GROUP)
-    own = quantiles(base, ["grp"], quartiles, qs, settled=True).join(enough, "_k")
+    own = written(quantiles(base, ["grp"], quartiles, qs, settled=True).join(enough, "_k"), "bands")  # a small file, which joins without a shuffle of the texts' rows
     whole = quantiles(base, [], quartiles, qs, settled=True).select(*[F.col(q).alias(f"all_{q}") for q in quartiles])
     out = joined(table, ["grp"], own).join(F.broadcast(whole), F.lit(True), "left")  # one row
     odd = F.lit(False)
