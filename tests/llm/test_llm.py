@@ -137,6 +137,29 @@ def test_names_domains_and_ibans(spark):
     assert pii.replaced(df.drop("n_entities"), "key", count=None).columns == ["doc_id", "text"]
 
 
+def test_names_again_in_their_text(spark):
+    """Later mentions of a text's surnames: bare, possessive, with initials, in capitals; hyphens, IPv6, versions; none in other texts."""
+    texts = [
+        "John A. Smith came. Smith's wife Jane Smith saw JOHN SMITH, J. Smith and the smith; Smithson and Smith-Jones left.", "Smith alone, and the version 1.2.3.4 of it.", "Jean-Pierre Dupont and Dr. O'Brien met Mrs. MacDonald; O'BRIEN, DUPONT.",
+        "host 2001:db8:0:1::7 or 2001:DB8:0:1::7 at 12:30:45, std::dec", "Mr. Müller; MÜLLER, Müller's.", "Anna Lopez-Garcia, LOPEZ-GARCIA", "Mr. J. R. Reed and Reed",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replaced(df, "key").collect()}
+    m = re.fullmatch(r"(\w+o) ([A-Z])\. (\w+) came\. (\w+)'s wife Jane (\w+) saw ([A-Z]+) ([A-Z]+), [A-Z]\. (\w+) and the smith; Smithson and Smith-Jones left\.", got[0].text)
+    assert m and m[3] == m[4] == m[5] == m[8] and m[7] == m[3].upper() and m[6] == m[1].upper() and "Smith" not in m.groups() and got[0].n_entities == 5
+    assert got[1].text == texts[1] and got[1].n_entities == 0
+    m = re.fullmatch(r"(\w+o) (\w+) and Dr\. (\w+) met Mrs\. (\w+); ([A-Z]+), ([A-Z]+)\.", got[2].text)
+    assert m and m[5] == m[3].upper() and m[6] == m[2].upper() and not re.search("(?i)jean|pierre|dupont|brien|donald", got[2].text)
+    one, two = re.fullmatch(r"host (\S+) or (\S+) at 12:30:45, std::dec", got[3].text).groups()
+    assert one == two and re.fullmatch(r"[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]:[0-9a-f]::[0-9a-f]", one) and one != "2001:db8:0:1::7"
+    m = re.fullmatch(r"Mr\. (\w+); ([A-Z]+), (\w+)'s\.", got[4].text)
+    assert m and m[1] == m[3] and m[2] == m[1].upper() and "ller" not in got[4].text
+    m = re.fullmatch(r"(\w+a) (\w+), ([A-Z]+)", got[5].text)
+    assert m and m[3] == m[2].upper()
+    m = re.fullmatch(r"Mr\. [A-Z]\. [A-Z]\. (\w+) and (\w+)", got[6].text)
+    assert m and m[1] == m[2] != "Reed"
+
+
 def test_short_spaces_outgrow_their_entities(spark):
     boxes = spark.range(200).selectExpr("'mailbox@x.com' AS type", "CASE WHEN id < 26 THEN chr(97 + id) ELSE concat(chr(97 + id % 26), chr(97 + id div 26)) END AS value")
     domains = spark.range(26).selectExpr("'domain' AS type", "concat(chr(97 + id), '.com') AS value")
