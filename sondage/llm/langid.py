@@ -52,8 +52,9 @@ def _letters(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text_ends = before(data & 0xC0 != 0x80)[ends]
     x = _folded()[points]
     gap = x == 0x20
-    keep = np.ones(len(x), bool)
-    keep[1:] = ~(gap[1:] & gap[:-1])
+    # every text begins after a space, the first of a step like the others, which follow a line feed
+    keep = ~gap
+    keep[1:] |= ~gap[:-1]
     kept = before(keep)[text_ends]
     letters = before(~gap)[text_ends]
     x = x[keep].astype(np.uint64)

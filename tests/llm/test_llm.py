@@ -673,6 +673,62 @@ def test_kneser_ney_sums_to_one():
         assert total == pytest.approx(1, abs=1e-4)
 
 
+def kneser_ney(texts):
+    """Plain interpolated Kneser-Ney: a function from (context, character) to a probability, from a language's normalised texts."""
+    whole = Counter(("   " + t)[i : i + 4] for t in texts for i in range(len(t)))
+    levels = {4: whole}
+    for n in (3, 2, 1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])  # distinct left extensions
+    tables = {}
+    for n, grams in levels.items():
+        once, two = (sum(c == k for c in grams.values()) for k in (1, 2))
+        total, kinds = Counter(), Counter()
+        for g, c in grams.items():
+            total[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        tables[n] = grams, min(0.95, max(0.1, once / (once + 2 * two))) if once else 0.5, total, kinds
+
+    def p(context, c, n=4):
+        if n == 0:
+            return 1 / (len(levels[1]) + 1)
+        grams, d, total, kinds = tables[n]
+        context = context[len(context) - n + 1 :]
+        lower = p(context, c, n - 1)
+        if context not in total:
+            return lower
+        return max(grams[context + c] - d, 0) / total[context] + d * kinds[context] / total[context] * lower
+
+    return p
+
+
+def test_languages_against_brute_force(spark):
+    """Every cross-entropy, language and score of a plain model over dicts, wherever in a step a text lies."""
+    rng = np.random.default_rng(8)
+    parts = {"en": ["the", "ing", "on", "at", "er"], "fr": ["le", "é", "ai", "eux", "on"], "de": ["sch", "ü", "er", "ein", "at"]}
+    ends = [" ", ", ", "\n", " 12 ", "! ", "'"]
+    make = lambda x, n: "".join(str(rng.choice(["", "7 ", " "])) + "".join(rng.choice(parts[x], 2)).capitalize() + str(rng.choice(ends)) for _ in range(n))
+    rows = [(k, make(x, int(rng.integers(1, 30))), x) for k, x in enumerate(list(parts) * 60)] + [(900 + k, t, "en") for k, t in enumerate(["", "12 3", "  a", "日本語 Ωμέγα", "Zzz qq"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fold = lambda k: zlib.crc32(str(k).encode()) % 4
+    norm = lambda t: re.sub(" +", " ", "".join(c.lower()[0] if c.isalpha() else " " for c in t + "\n")).lstrip(" ")
+    plain = {x: kneser_ney([norm(t) for k, t, own in rows if own == x and fold(k) < 2]) for x in parts}
+    model = langid.train(df)
+    for cut in (1, 3):
+        got = {r.doc_id: r for r in langid.predicted(df.repartition(cut), model).collect()}
+        assert len(got) == len(rows)
+        for k, t, _ in rows:
+            t = norm(t)
+            if not t:
+                assert got[k].lang_pred == "und"
+                continue
+            padded = "   " + t
+            ce = {x: -sum(np.log(p(padded[i : i + 3], padded[i + 3])) for i in range(len(t))) / len(t) for x, p in plain.items()}
+            best = min(ce, key=ce.get)
+            assert got[k].lang_pred == best or ce[got[k].lang_pred] - ce[best] < 1e-4
+            assert got[k].cross_entropy == pytest.approx(ce[best], abs=1e-4)
+            assert got[k].score == pytest.approx(1 / sum(np.exp((ce[best] - v) * min(len(t), langid.EVIDENCE_CHARS)) for v in ce.values()), abs=2e-3)
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 def test_language_of_held_out_documents(spark, docs):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
