@@ -202,7 +202,8 @@ def measures(docs: DataFrame, *models: str) -> DataFrame:
     """One row of measures for every document: words, symbols, repeats, and what each vocabulary makes of its words.
 
     Null texts count as empty. The work is a scan without a shuffle; memory is bounded by ``STEP_BYTES`` or the
-    longest text. Of the input's columns only doc_id, lang and text are read, so others can't clash.
+    longest text. Of the input's columns only doc_id, lang and text are read, so others can't clash; without a column
+    lang it counts as null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +212,8 @@ def measures(docs: DataFrame, *models: str) -> DataFrame:
             out = _measured(rb, vocabularies)
             yield pa.RecordBatch.from_arrays([*out.columns, rb.column("lang")], names=[*out.schema.names, "lang"])
 
-    return docs.select("doc_id", "text", "lang").mapInArrow(run, ", ".join([MEASURES, *[PER_VOCABULARY.format(_suffix(k)) for k in range(len(models))], "lang string"]))
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
+    return docs.select("doc_id", "text", lang.cast("string").alias("lang")).mapInArrow(run, ", ".join([MEASURES, *[PER_VOCABULARY.format(_suffix(k)) for k in range(len(models))], "lang string"]))
 
 
 def judged(docs: DataFrame, *models: str) -> DataFrame:
