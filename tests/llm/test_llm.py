@@ -629,6 +629,27 @@ def test_odd_texts_fall_out_of_their_band(spark):
     assert not got[900] and sum(got.values()) >= 79
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables")
+def test_planted_odd_texts_are_caught(spark):
+    """Mis-encoded, damaged and meaningless texts among all documents of known language: at least 95 % of each kind fall out, and no more of the others."""
+    import base64
+    import random
+
+    rng = random.Random(3)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.collect() if r.text and len(r.text.split()) >= 60]
+    kinds = [
+        lambda w: w.replace("e", "é").encode().decode("latin-1"), lambda w: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in w), lambda w: base64.b64encode(rng.randbytes(max(3, len(w)))).decode(),
+        lambda w: rng.randbytes(4).hex(), lambda w: "".join("\ufffd" if rng.random() < 0.3 else c for c in w),
+    ]
+    plant = [(10**7 + 100 * j + i, " ".join(map(f, r.text.split())), r.lang) for j, f in enumerate(kinds) for i, r in enumerate(rng.sample(rows, 20))]
+    out = fertility.judged(docs.unionByName(spark.createDataFrame(plant, "doc_id long, text string, lang string")), PIECES, BPE).collect()
+    caught = Counter((r.doc_id - 10**7) // 100 for r in out if r.doc_id >= 10**7 and not r.kept)
+    assert all(caught[j] >= 19 for j in range(len(kinds)))
+    good = [r for r in out if r.doc_id < 10**7 and not r.base_failed]
+    assert sum(not r.kept for r in good) <= 0.005 * len(good)
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables")
 def test_verdicts_against_brute_force(spark, tokenizer):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
