@@ -107,31 +107,44 @@ def detect(df: DataFrame, features: list[str], strata: list[str], key: list[str]
 
 
 def qc_batch(
-    df: DataFrame, source: str, features: list[str], strata: list[str], key: list[str], cast: list[str], order: list[str], forest: Forest = Forest(), limits: contract.ProfileLimits = contract.ProfileLimits(), row_id: str | None = None
+    df: DataFrame, source: str, features: list[str], strata: list[str], key: list[str], cast: list[str], order: list[str], forest: Forest = Forest(), limits: contract.ProfileLimits = contract.ProfileLimits(), row_id: str | None = None,
+    fresh: DataFrame | None = None, earlier: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Contract and forest of every source in one job: (scored rows, one row for each source, one row of totals).
 
-    Of a source: ``n_rows, n_violations, n_contract_errors, has_contract_error, n_anomalies, error``. A source that can't be
+    Of a source: ``n_rows, n_violations, n_contract_errors, has_contract_error, n_anomalies, skipped, error``. A source that can't be
     judged (a row without ``row_id``, no feature with a number) is a row with its ``error`` and no scores, and the
     others go on. Trees are budgeted by a stratum's rows. Strata lie within sources.
-    """
+
+    Sources that ``fresh`` (``source, is_fresh``, see ``incremental.outputs_fresh``) tells fresh, and of which ``earlier``, the scored
+    rows of an earlier run, has rows, are ``skipped``: their rows and anomalies are the earlier ones, and only the contract reads
+    their input. A fresh source without earlier rows is done again.
+    """
     lacks = F.count_if(F.col(row_id).isNull()) if row_id else F.lit(0)
     numbers = F.count_if(reduce(lambda a, b: a | b, [contract.finite(f).isNotNull() for f in features]))
     per = df.groupBy(source).agg(F.count(F.lit(1)).alias("n_rows"), lacks.alias("_lacks"), numbers.alias("_numbers"))
     error = F.when(F.col("_lacks") > 0, F.lit(f"ValueError: rows without {row_id}")).when(F.col("_numbers") == 0, "ValueError: no feature with a number")
-    per = written(per.select(source, "n_rows", error.alias("error")), "qc-sources")
-    good = df.join(per.where("error is null").select(F.col(source).alias("_source")), df[source].eqNullSafe(F.col("_source")), "left_semi")
-    counts = contract.contract_counts(contract.profile_contract_by(good, [source], cast, order, limits), source)
-    rows = detect(good, features, [source, *strata], key, forest, budget=True)
+    per, again = per.withColumn("error", error).withColumn("_before", F.lit(None).cast("long")), fresh is not None and earlier is not None
+    if again:
+        done = fresh.where("is_fresh").select(F.col(source).alias("_done")).distinct()
+        before = earlier.groupBy(F.col(source).alias("_earlier")).agg(F.count_if("is_anomaly").alias("_before"))
+        before = before.join(done, F.col("_earlier").eqNullSafe(F.col("_done")), "left_semi")
+        per = per.drop("_before").join(before, per[source].eqNullSafe(F.col("_earlier")), "left")
+    skipped = F.col("_before").isNotNull()
+    per = written(per.select(source, "n_rows", skipped.alias("skipped"), "_before", F.when(~skipped, F.col("error")).alias("error")), "qc-sources")
+    of = lambda rows, which: rows.join(per.where(which).select(F.col(source).alias("_source")), rows[source].eqNullSafe(F.col("_source")), "left_semi")
+    counts = contract.contract_counts(contract.profile_contract_by(of(df, "error is null"), [source], cast, order, limits), source)
+    rows = detect(of(df, "error is null and not skipped"), features, [source, *strata], key, forest, budget=True)
     rows = written(rows, "qc-rows")
     flagged = rows.groupBy(source).agg(F.count_if("is_anomaly").alias("n_anomalies"))
     at = lambda t, name: t.withColumnRenamed(source, name)
     out = per.join(at(counts, "_c"), per[source].eqNullSafe(F.col("_c")), "left").join(at(flagged, "_f"), per[source].eqNullSafe(F.col("_f")), "left")
+    out = out.withColumn("n_anomalies", F.coalesce("_before", "n_anomalies"))
     zero = lambda c: F.when(F.col("error").isNull(), F.coalesce(c, F.lit(0))).alias(c)
-    out = out.select(source, "n_rows", zero("n_violations"), zero("n_errors").alias("n_contract_errors"), F.coalesce("has_error", F.lit(False)).alias("has_contract_error"), zero("n_anomalies"), "error")
+    out = out.select(source, "n_rows", zero("n_violations"), zero("n_errors").alias("n_contract_errors"), F.coalesce("has_error", F.lit(False)).alias("has_contract_error"), zero("n_anomalies"), "skipped", "error")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
-    totals = out.agg(F.count(F.lit(1)).alias("n_sources"), F.count("error").alias("n_failed"), total("n_rows"), total("n_contract_errors"), total("n_anomalies"), F.count_if("has_contract_error").alias("n_sources_with_errors"))
-    return rows, out, totals
+    totals = out.agg(F.count(F.lit(1)).alias("n_sources"), F.count("error").alias("n_failed"), F.count_if("skipped").alias("n_skipped"), total("n_rows"), total("n_contract_errors"), total("n_anomalies"), F.count_if("has_contract_error").alias("n_sources_with_errors"))
+    return rows.unionByName(of(earlier, "skipped"), allowMissingColumns=True) if again else rows, out, totals
 
 
 def detection_metrics(df: DataFrame, n_features: int, strata: list[str], flag: str = "is_anomaly") -> DataFrame:

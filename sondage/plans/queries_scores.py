@@ -8,6 +8,7 @@ from sondage.operators import anomaly as A
 from sondage.operators import canonical as N
 from sondage.operators import contract
 from sondage.operators import forest as T
+from sondage.operators import incremental as J
 from sondage.operators.quantiles import joined, quantiles
 
 from .registry import PROFILES_SQL, SEQ, profiles, query, rounded
@@ -40,9 +41,14 @@ def flagged(read):
     return A.score_threshold(joined(df, ["l_returnflag"], mid).withColumn("score", F.abs(F.col("l_extendedprice") - F.col("mid"))).drop("mid"), "score", 0.95, ["stratum"])
 
 
-@query("g1_select_features", "SELECT unnest(['l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature")
+#: Numeric columns that are no ids; two of them have gaps, of more and of less than the share that is too much.
+OFFERED = {"l_linenumber": "l_linenumber", "l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "l_discount": "l_discount", "l_tax": "l_tax", "often_null": "CASE WHEN l_discount >= 0.05 THEN l_discount END", "seldom_null": "CASE WHEN l_tax >= 0.03 THEN l_tax END"}
+SHARES_SQL = " UNION ALL ".join(f"SELECT '{name}' AS feature, avg(CASE WHEN {e} IS NULL THEN 1.0 ELSE 0.0 END) AS share FROM lineitem" for name, e in OFFERED.items())
+
+
+@query("g1_select_features", f"SELECT feature FROM ({SHARES_SQL}) WHERE share <= 0.4")
 def _(read):
-    df = read("lineitem")
+    df = read("lineitem").withColumns({name: F.expr(e) for name, e in OFFERED.items()})
     ids = (*A.IDS, "l_orderkey", "l_partkey", "l_suppkey")
     return df.sparkSession.createDataFrame([(f,) for f in A.select_features(df, ids)], "feature string")
 
@@ -129,6 +135,25 @@ def _(read):
     return rounded(out.select("source_file", "severity", "code", "n_rows", "worst"))
 
 
+@query("g11_reuse_fresh", """WITH """ + SOURCES_SQL + """, dated AS (SELECT CAST(year(l_shipdate) AS VARCHAR) AS source_file, l_returnflag, max(struct_pack(p := l_extendedprice, d := l_shipdate)).d AS d, max(l_extendedprice) AS p FROM lineitem GROUP BY ALL),
+ fresh AS (SELECT source_file FROM dated GROUP BY ALL HAVING count(*) >= 3 AND min(d) >= max(struct_pack(p := p, d := d)).d),
+ errors AS (SELECT source_file, CAST(bool_or(temperatura_c < -2 OR temperatura_c > 32) AS INTEGER) + CAST(bool_or(year(fecha) > 1996) AS INTEGER) AS n FROM src GROUP BY ALL),
+ jumps AS (SELECT source_file, sum(CAST(ne > 0 AS INTEGER)) AS n FROM g GROUP BY ALL)
+ SELECT source_file, count(*) AS n_rows, any_value(source_file IN (SELECT source_file FROM fresh)) AS skipped, CAST(any_value(coalesce(errors.n, 0) + coalesce(jumps.n, 0)) AS BIGINT) AS n_contract_errors,
+  CASE WHEN any_value(source_file IN (SELECT source_file FROM fresh)) THEN count(*) FILTER (temperatura_c >= 30) END AS earlier_anomalies
+ FROM src LEFT JOIN errors USING (source_file) LEFT JOIN jumps USING (source_file) GROUP BY source_file""")
+def _(read):
+    """A second batch: a source is fresh where the day of each flag's dearest line isn't before that of the dearest of all."""
+    df = yearly_sources(read)
+    day = read("lineitem").select(F.year("l_shipdate").cast("string").alias("source_file"), "l_returnflag", F.struct(F.col("l_extendedprice").alias("p"), F.col("l_shipdate").alias("mtime")).alias("top"))
+    outputs = day.groupBy("source_file", "l_returnflag").agg(F.max("top").alias("top")).select("source_file", "top", "top.mtime")
+    fresh = J.outputs_fresh(outputs.groupBy("source_file").agg(F.max("top")["mtime"].alias("mtime")), outputs, "source_file", 3)
+    earlier = df.withColumn("is_anomaly", F.col("temperatura_c") >= 30)
+    limits = contract.ProfileLimits(years=(1970, 1996))
+    per = A.qc_batch(df, "source_file", ["profundidad_m", "temperatura_c"], ["stratum"], ["cast_key", *SEQ], ["cast_key"], SEQ, T.Forest(trees=64), limits, fresh=fresh, earlier=earlier)[1]
+    return per.select("source_file", "n_rows", "skipped", "n_contract_errors", F.when(F.col("skipped"), F.col("n_anomalies")).alias("earlier_anomalies"))
+
+
 @query("g12_detection_metrics", f"WITH {SCORED_SQL} SELECT count(*) AS n_rows, 4 AS n_features, count(*) FILTER (is_anomaly) AS n_anomalies, round(median(threshold), 6) AS median_threshold, count(DISTINCT stratum) AS n_strata FROM f")
 def _(read):
     return rounded(A.detection_metrics(flagged(read), len(FEATURES), ["stratum"]))

@@ -338,6 +338,28 @@ def test_batch_goes_on_after_failures(spark):
     assert (t.n_sources, t.n_failed, t.n_rows, t.n_sources_with_errors) == (5, 2, 190, 1) and t.n_anomalies == sum(r.n_anomalies or 0 for r in got.values())
 
 
+def test_batch_takes_fresh_sources_from_an_earlier_run(spark):
+    day = dt.datetime(2001, 5, 1)
+    rows = [(s, i, i, "c", float(i), 40.0 if s == "hot" and i == 5 else 15.0 + i % 3, day) for s in ("hot", "old", "unseen", None) for i in range(60)]
+    rows += [("broken", None, i, "c", 1.0, 2.0, day) for i in range(20)]
+    df = spark.createDataFrame(rows, "source_file string, row_id long, n int, cast_key string, profundidad_m double, temperatura_c double, fecha timestamp_ntz")
+    df = df.withColumn("stratum", F.lit("s"))
+    run = lambda **more: anomaly.qc_batch(df, "source_file", ["profundidad_m", "temperatura_c"], ["stratum"], ["source_file", "n"], ["cast_key"], ["n"], forest.Forest(trees=20), row_id="row_id", **more)
+    first, per, _ = run()
+    assert not any(r.skipped for r in per.collect())
+    marked = first.withColumn("reason", F.lit("earlier")).where("source_file is null or source_file <> 'unseen'")
+    one = marked.where("source_file = 'old'").limit(1).withColumn("source_file", F.lit("broken")).withColumn("is_anomaly", F.lit(True))
+    earlier = marked.unionByName(one)
+    fresh = spark.createDataFrame([("hot", True), ("hot", True), ("old", False), ("unseen", True), (None, True), ("broken", True), ("gone", True)], "source_file string, is_fresh boolean")
+    scored, again, totals = run(fresh=fresh, earlier=earlier)
+    before, got = {r.source_file: r for r in per.collect()}, {r.source_file: r for r in again.collect()}
+    assert {s for s, r in got.items() if r.skipped} == {"hot", None, "broken"} and got["broken"].error is None and got["broken"].n_anomalies == 1
+    assert all(got[s][:6] == before[s][:6] for s in ("hot", "old", "unseen", None)) and got["hot"].n_contract_errors == 1
+    kinds = {(r.source_file, r.is_earlier): r.n for r in scored.groupBy("source_file", (F.col("reason") == "earlier").alias("is_earlier")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kinds == {("hot", True): 60, (None, True): 60, ("broken", True): 1, ("old", False): 60, ("unseen", False): 60}
+    assert totals.first().n_skipped == 3 and totals.first().n_sources == 5
+
+
 def test_sums_do_not_depend_on_the_order_of_rows(spark):
     rng = np.random.default_rng(8)
     rows = [("s", dt.date(2000, 1 + i % 2, 1 + i % 20), float(x)) for i, x in enumerate(rng.normal(size=500) * 10.0 ** rng.integers(-3, 5, 500))]
