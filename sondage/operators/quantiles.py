@@ -45,7 +45,8 @@ def quantiles_of(df: DataFrame, values: dict[str, Column], q: float | list[float
     rows = df.select("_k", *[v.alias(f"v{i}") for i, v in enumerate(values.values())])
     edges, many = [[max(0.0, x - MARGIN), min(1.0, x + MARGIN)] for x in qs], range(len(names))
     facts = [x for i in many for x in (F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"a{i}"), F.max(f"v{i}").alias(f"b{i}"), F.percentile_approx(f"v{i}", edges[i], ACCURACY).alias(f"e{i}"))]
-    sizes = rows.groupBy("_k").agg(*facts)  # used twice in one plan, which shares it
+    # written: of few groups it is a small file, which joins the rows without a shuffle by group, so a hot group stays spread
+    sizes = written(rows.groupBy("_k").agg(*facts), "sizes")
     found = written(_ranked(rows, sizes, names, qs, SMALL), "quantiles")
     lost = found.where("lost")
     if lost.limit(1).count():  # a bracket that missed its rank: these groups are counted whole
