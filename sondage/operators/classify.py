@@ -90,11 +90,17 @@ def longest_codes(df: DataFrame, text: str, key: str, codes: DataFrame) -> DataF
     return reduce(DataFrame.unionByName, out)
 
 
+def one_id_a_code(catalog: DataFrame) -> DataFrame:
+    """``code, id``: a row for each upper-case code that isn't empty, with its smallest id; many ids of one code would multiply its texts."""
+    known = catalog.select(F.upper("code").alias("code"), "id").where("code <> ''")
+    return known.groupBy("code").agg(F.min(F.struct("id"))["id"].alias("id"))
+
+
 def identify_by_catalog(df: DataFrame, text: str, key: str, catalog: DataFrame) -> DataFrame:
     """``key, id`` by a catalog table (``code, id``) of any size over texts of any length: the longest code that a text contains, whatever
     its case, wins (of equally long ones the smallest id); texts without one, and empty codes, give nothing."""
-    known = catalog.select(F.upper("code").alias("code"), "id").where("code <> ''")
-    rows = longest_codes(df, text, key, known.select("code").distinct()).join(known, "code")
+    known = one_id_a_code(catalog)
+    rows = longest_codes(df, text, key, known.select("code")).join(known, "code")
     return rows.groupBy(key).agg(F.min_by("id", F.struct((-F.length("code")).alias("a"), F.col("id"))).alias("id"))
 
 

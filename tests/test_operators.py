@@ -92,6 +92,14 @@ def test_longest_codes_of_a_catalog(spark, monkeypatch, bytes_):
     assert classify.identify_by_catalog(spark.createDataFrame(texts, "k long, t string"), "t", "k", spark.createDataFrame([], "code string, id long")).count() == 0
 
 
+def test_a_catalog_has_one_row_a_code(spark):
+    """Of many ids of one code only the smallest meets the texts."""
+    codes = spark.createDataFrame([("ab", i) for i in range(500, 0, -1)] + [("AB", 0), ("c", 9), ("", 1), (None, 2)], "code string, id long")
+    assert {tuple(r) for r in classify.one_id_a_code(codes).collect()} == {("AB", 0), ("C", 9)}
+    texts = spark.createDataFrame([(1, "xab"), (2, "c")], "k long, t string")
+    assert {tuple(r) for r in classify.identify_by_catalog(texts, "t", "k", codes).collect()} == {(1, 0), (2, 9)}
+
+
 def test_cascade(spark):
     rows = [("a/St.1 CNVs/x.cnv", "Santander", 43.5, -3.8, None, "cudillero", "folder"), ("a/x.cnv", "Radial Gijón", 43.5, -3.8, None, "santander", "geo"), ("a/gnov05.cnv", "", None, None, None, "gijon", "filename"), ("a/x.cnv", "RADCAN", None, None, "CO2", "coruna", "station_prefix"), ("a/x.cnv", "zz", None, None, None, None, "unknown")]
     df = spark.createDataFrame(rows, "p string, cruise string, lat double, lon double, st string, want string, rule string")
