@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,8 +59,13 @@ def _decomposed() -> tuple[str, str, dict[str, str]]:
 COMPOSED, BASES, LIGATURES = _decomposed()
 
 
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)``, with ``x`` evaluated once however often ``f`` names it (a column expression is otherwise evaluated wherever it stands)."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def blank_to_null(x: Column) -> Column:
-    return F.when(F.trim(x) != "", F.trim(x))
+    return F.nullif(F.trim(x), F.lit(""))
 
 
 def extract(x: Column, pattern: str, group: int = 1) -> Column:
@@ -84,11 +90,15 @@ def has_start_time(head: Column) -> Column:
 
 def parse_start_time(head: Column) -> Column:
     """The first start_time as an ISO string; null for unknown months."""
-    part = lambda i: F.regexp_extract(head, START_TIME, i)
     months = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
-    month = F.try_element_at(months, F.lower(F.substring(part(1), 1, 3)))
     padded = lambda x, n=2: F.lpad(x, n, "0")
-    return F.when(month.isNotNull(), F.concat(padded(part(3), 4), F.lit("-"), padded(month.cast("string")), F.lit("-"), padded(part(2)), F.lit("T"), padded(part(4)), F.lit(":"), part(5), F.lit(":"), part(6)))
+
+    def iso(line: Column) -> Column:  # the one line, so that its parts aren't searched in the whole header
+        part = lambda i: F.regexp_extract(line, START_TIME, i)
+        month = F.try_element_at(months, F.lower(F.substring(part(1), 1, 3)))
+        return F.when(month.isNotNull(), F.concat(padded(part(3), 4), F.lit("-"), padded(month.cast("string")), F.lit("-"), padded(part(2)), F.lit("T"), padded(part(4)), F.lit(":"), part(5), F.lit(":"), part(6)))
+
+    return once(F.regexp_extract(head, START_TIME, 0), iso)
 
 
 def two_digit_year(y: Column) -> Column:
@@ -116,7 +126,7 @@ def year_from_filename(stem: Column) -> Column:
 def reconcile_year(iso: Column, path: Column) -> Column:
     """The timestamp with its year replaced by the path's, else the file name's; impossible dates become null."""
     year = F.coalesce(year_from_path(path), year_from_filename(file_stem(path)))
-    spliced = F.when(year.isNull(), iso).otherwise(F.concat(F.lpad(year.cast("string"), 4, "0"), F.substring(iso, 5, 40)))
+    spliced = once(year, lambda y: F.when(y.isNull(), iso).otherwise(F.concat(F.lpad(y.cast("string"), 4, "0"), F.substring(iso, 5, 40))))
     return F.try_to_timestamp(spliced)
 
 
@@ -149,21 +159,29 @@ def dms_to_degrees(x: Column, axis: str = "NSEW") -> Column:
     """Up to three numbers as degrees, minutes and seconds, summed with their signs; S or W negates the sum. Anything but letters,
     digits, points, signs and blanks counts as a blank, a comma too, and the ``axis``' letters go; null if one of the first three
     words is then no number, or there is none."""
-    up = F.regexp_replace(F.upper(F.trim(x)), r"[^0-9A-Z\s.+-]", " ")
-    words = F.slice(F.filter(F.split(F.translate(up, axis, ""), r"\s+"), lambda w: w != ""), 1, 3)
     number = lambda w: F.when(w.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)(E[+-]?\d+)?$"), w.try_cast("double"))
-    n = F.transform(words, number)
-    at = lambda i: F.coalesce(F.get(n, F.lit(i)), F.lit(0.0))
-    sign = F.when(up.rlike("[" + "".join(c for c in axis if c in "SW") + "]"), -1.0).otherwise(1.0)
-    return F.when((F.size(n) > 0) & ~F.exists(n, lambda v: v.isNull()), sign * (at(0) + at(1) / 60 + at(2) / 3600))
+
+    def signed(up: Column) -> Column:
+        words = F.slice(F.filter(F.split(F.translate(up, axis, ""), r"\s+"), lambda w: w != ""), 1, 3)
+        sign = F.when(up.rlike("[" + "".join(c for c in axis if c in "SW") + "]"), -1.0).otherwise(1.0)
+        return once(F.transform(words, number), lambda n: degrees(n, sign))
+
+    def degrees(n: Column, sign: Column) -> Column:
+        at = lambda i: F.coalesce(F.get(n, F.lit(i)), F.lit(0.0))
+        return F.when((F.size(n) > 0) & ~F.exists(n, lambda v: v.isNull()), sign * (at(0) + at(1) / 60 + at(2) / 3600))
+
+    return once(F.regexp_replace(F.upper(F.trim(x)), r"[^0-9A-Z\s.+-]", " "), signed)
 
 
 def strip_accents(x: Column) -> Column:
     """Characters as their bases by compatibility decomposition, combining marks left out; Latin ligatures as their letters."""
-    plain = F.translate(F.regexp_replace(x, r"\p{Mn}+", ""), COMPOSED, BASES)
     letters = F.create_map(*[F.lit(y) for pair in LIGATURES.items() for y in pair])
-    whole = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(letters, c), c)), "")
-    return F.when(plain.rlike("[" + "".join(LIGATURES) + "]"), whole).otherwise(plain)
+
+    def whole(plain: Column) -> Column:
+        return F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(letters, c), c)), "")
+
+    bare = once(F.translate(F.regexp_replace(x, r"\p{Mn}+", ""), COMPOSED, BASES), lambda p: F.when(p.rlike("[" + "".join(LIGATURES) + "]"), whole(p)).otherwise(p))
+    return F.when(x.rlike(r"[^\x00-\x7F]"), bare).otherwise(x)  # plain ASCII stays
 
 
 def normalize_text(x: Column) -> Column:

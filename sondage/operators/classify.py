@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sondage.functions.text import STATION_FOLDER, explain_year, extract, normalize_text
+from sondage.functions.text import STATION_FOLDER, explain_year, extract, normalize_text, once
 from sondage.scratch import written
 
 UNKNOWN = "desconocida"
@@ -48,8 +48,7 @@ def pairs(catalog: dict[str, tuple[str, ...]] = CODES) -> list[tuple[str, str]]:
 
 def identify_by_code(text: Column, catalog: dict[str, tuple[str, ...]] = CODES) -> Column:
     """The id of the longest code that the text contains, whatever its case."""
-    up = F.upper(F.trim(text))
-    return F.coalesce(*[F.when(F.contains(up, F.lit(code)), F.lit(k)) for code, k in pairs(catalog)])
+    return once(F.upper(F.trim(text)), lambda up: F.coalesce(*[F.when(F.contains(up, F.lit(code)), F.lit(k)) for code, k in pairs(catalog)]))
 
 
 def longest_codes(df: DataFrame, text: str, key: str, codes: DataFrame) -> DataFrame:
@@ -113,9 +112,12 @@ def classify_by_position(lat: Column, lon: Column) -> Column:
 
 def classify_by_keywords(text: Column, aliases: dict[str, str] = ALIASES, keywords: tuple = KEYWORDS, normal: bool = False) -> Column:
     """The alias the normalised text contains, else the first list with a word in it; ``normal``: the text is normalised already."""
-    t = text if normal else normalize_text(text)
-    found = [F.when(F.contains(t, F.lit(a)), F.lit(k)) for a, k in aliases.items()]
-    return F.coalesce(*found, *[F.when(reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in words]), F.lit(k)) for k, words in keywords])
+
+    def found(t: Column) -> Column:
+        alias = [F.when(F.contains(t, F.lit(a)), F.lit(k)) for a, k in aliases.items()]
+        return F.coalesce(*alias, *[F.when(reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in words]), F.lit(k)) for k, words in keywords])
+
+    return once(text if normal else normalize_text(text), found)
 
 
 def campaign_flag(text: Column) -> Column:
@@ -125,9 +127,12 @@ def campaign_flag(text: Column) -> Column:
 
 def classify_by_filename(stem: Column, bare_month: str = "cudillero") -> Column:
     """By code; else campaigns are null; else by the letter before a month, a bare month being the default site."""
-    prefix = F.lower(F.regexp_extract(stem, MONTH_NAME, 1))
-    by_month = F.coalesce(*[F.when(prefix == p, F.lit(k)) for p, k in MONTH_PREFIX.items()], F.when(prefix == "", F.lit(bare_month)))
-    return F.coalesce(identify_by_code(stem), F.when(~F.lower(stem).startswith("rcan") & stem.rlike(MONTH_NAME), by_month))
+
+    def named(stem: Column) -> Column:
+        by_month = once(F.lower(F.regexp_extract(stem, MONTH_NAME, 1)), lambda prefix: F.coalesce(*[F.when(prefix == p, F.lit(k)) for p, k in MONTH_PREFIX.items()], F.when(prefix == "", F.lit(bare_month))))
+        return F.coalesce(identify_by_code(stem), F.when(~F.lower(stem).startswith("rcan") & stem.rlike(MONTH_NAME), by_month))
+
+    return once(stem, named)
 
 
 def classify_by_station_prefix(station: Column, is_campaign: Column) -> Column:
@@ -225,8 +230,7 @@ def scope_rows(rows: DataFrame, files: DataFrame, source: str = "source_file", r
 
 
 def _station_in(text: Column, codes: tuple[str, ...]) -> Column:
-    up = F.upper(text)
-    return F.coalesce(*[F.when(F.contains(up, F.lit(c)), F.lit(i)) for i, c in enumerate(codes, 1)])
+    return once(F.upper(text), lambda up: F.coalesce(*[F.when(F.contains(up, F.lit(c)), F.lit(i)) for i, c in enumerate(codes, 1)]))
 
 
 def resolve_station(codes: tuple[str, ...], hints: list[Column], folder_number: Column, header_number: Column) -> Column:

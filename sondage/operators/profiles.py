@@ -18,10 +18,9 @@ def header_facts(files: DataFrame, content: Column) -> DataFrame:
     head = T.header_part(content)
     rows = files.select("path", head.alias("_head"))
     hints = T.header_hints(F.col("_head"))
-    rows = rows.select("path", "_head", hints.alias("_h"))
     return rows.select(
         "path", T.header_columns(F.col("_head")).alias("names"), T.reconcile_year(T.parse_start_time(F.col("_head")), F.col("path")).alias("start_time"), T.station_number(F.col("_head"), F.col("path")).alias("station"),
-        F.col("_h.cruise").alias("cruise"), F.col("_h.lat_deg").alias("lat"), F.col("_h.lon_deg").alias("lon"), F.col("_h.station_field").alias("station_field"),
+        hints["cruise"].alias("cruise"), hints["lat_deg"].alias("lat"), hints["lon_deg"].alias("lon"), hints["station_field"].alias("station_field"),
     )
 
 

@@ -244,8 +244,8 @@ DETAILED_SQL = f"""{HEADERS_SQL}, {HINTS_SQL.replace("lat_deg", "_a").replace("l
 
 
 def detailed(read):
-    h = headers(read).join(positions(read), "k").withColumn("hints", T.header_hints(F.col("head")))
-    h = h.select("k", "path", F.col("hints.cruise").alias("cruise"), F.col("hints.station_field").alias("station"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+    hints = T.header_hints(F.col("head"))  # its fields as columns of their own: the others aren't evaluated
+    h = headers(read).join(positions(read), "k").select("k", "path", hints["cruise"].alias("cruise"), hints["station_field"].alias("station"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
     return C.classify_detailed(h, "path", "cruise", "lat", "lon", "station").select("k", "path", "cruise", "cls.radial_id", "cls.rule", "cls.campana", "cls.conflict")
 
 

@@ -100,6 +100,17 @@ def test_a_catalog_has_one_row_a_code(spark):
     assert {tuple(r) for r in classify.identify_by_catalog(texts, "t", "k", codes).collect()} == {(1, 0), (2, 9)}
 
 
+def test_shared_expressions_stand_once(spark):
+    """Text work is evaluated once for a classification, not once for each code, keyword or condition."""
+    x = F.regexp_replace("p", "MARK", "")
+    for made in (classify.identify_by_code(x), classify.classify_by_keywords(x), classify.classify_by_filename(x), T.dms_to_degrees(x), T.strip_accents(x)):
+        assert str(made).count("MARK") <= 3
+    head = "* x\n** Cruise: c\n** Latitude: 43 30 N\n* NMEA Longitude = 005 30 W"
+    row = spark.createDataFrame([(head, "Ǆ Gijóń ﬁ"), ("", None)], "h string, t string").select(T.header_hints(F.col("h")).alias("h"), T.strip_accents(F.col("t")).alias("t")).collect()
+    assert (row[0].h.cruise, row[0].h.lat_deg, row[0].h.lon_deg, row[0].h.station_field) == ("c", 43.5, -5.5, None) and row[0].t == "DZ Gijon fi"
+    assert (row[1].h.cruise, row[1].h.lat_deg, row[1].t) == ("", None, None)
+
+
 def test_cascade(spark):
     rows = [("a/St.1 CNVs/x.cnv", "Santander", 43.5, -3.8, None, "cudillero", "folder"), ("a/x.cnv", "Radial Gijón", 43.5, -3.8, None, "santander", "geo"), ("a/gnov05.cnv", "", None, None, None, "gijon", "filename"), ("a/x.cnv", "RADCAN", None, None, "CO2", "coruna", "station_prefix"), ("a/x.cnv", "zz", None, None, None, None, "unknown")]
     df = spark.createDataFrame(rows, "p string, cruise string, lat double, lon double, st string, want string, rule string")
