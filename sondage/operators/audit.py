@@ -12,8 +12,8 @@ from .quantiles import joined, quantiles
 
 def inventory(files: DataFrame, rid: str = "radial_id", unknown: str = "desconocida") -> DataFrame:
     """Files by class with the total, most first."""
-    by = files.groupBy(F.coalesce(F.col(rid).cast("string"), F.lit(unknown)).alias(rid)).agg(F.count(F.lit(1)).alias("n"))
-    return by.unionByName(files.agg(F.lit("total").alias(rid), F.count(F.lit(1)).alias("n"))).orderBy(F.desc("n"), rid)
+    by = written(files.groupBy(F.coalesce(F.col(rid).cast("string"), F.lit(unknown)).alias(rid)).agg(F.count(F.lit(1)).alias("n")), "inventory")  # classes, so files run once
+    return by.unionByName(by.agg(F.lit("total").alias(rid), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))).orderBy(F.desc("n"), rid)
 
 
 def top_reasons(df: DataFrame, reasons: str, n: int = 8) -> DataFrame:
@@ -51,9 +51,10 @@ def run_duration(runs: DataFrame, run: str, start: str, end: str) -> DataFrame:
 
 def geo_index(files: DataFrame, rid: str, station: str, lat: str, lon: str, classes: list[str] | None = None) -> DataFrame:
     """Median position and number of files for each class, and for each class and station."""
-    rows = files.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & F.col(rid).isNotNull())
+    # read by counts and medians alike; filtered after it is written, as a filter on a class would repeat all that makes it
+    rows = written(files.select(rid, station, lat, lon), "positions")
+    rows = rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & F.col(rid).isNotNull())
     rows = rows.where(F.col(rid).isin(*classes)) if classes else rows
-    rows = written(rows.select(rid, station, lat, lon), "positions")  # read by counts and medians alike
     counts = rows.groupingSets([[F.col(rid)], [F.col(rid), F.col(station)]], F.col(rid), F.col(station)).agg(F.grouping(station).cast("int").alias("of_class"), F.count(F.lit(1)).alias("n"))
     each = {"lat": F.col(lat), "lon": F.col(lon)}
     of_class = joined(counts.where("of_class = 1"), [rid], quantiles(rows, [rid], each, 0.5))
