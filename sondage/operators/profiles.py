@@ -27,7 +27,7 @@ def header_facts(files: DataFrame, content: Column) -> DataFrame:
 def _by_alias(aliases: tuple[str, ...]) -> Column:
     """The value of the first alias that a row's map ``values`` has."""
     found = F.get(F.filter(F.array(*map(F.lit, aliases)), lambda a: F.map_contains_key("values", a)), F.lit(0))
-    return F.when(found.isNotNull(), F.try_element_at("values", found))
+    return T.once(found, lambda a: F.when(a.isNotNull(), F.try_element_at(F.col("values"), a)))
 
 
 def load_class_profiles(files: DataFrame, target: str, content: Column | None = None, codes: dict[str, tuple[str, ...]] = C.CODES, station: int | None = None, most_files: int | None = None, years: tuple[int, int] = (1970, 2035)) -> tuple[DataFrame, DataFrame]:

@@ -39,16 +39,27 @@ def file_table(spark: SparkSession, root: str, glob: str = PROFILE_GLOB) -> Data
     )
 
 
+def _line_values(names: Column, line: Column) -> Column:
+    """The map of a body line's numbers by name; null for a line with anything that is no number (a blank or comment line too) and without names."""
+    numbers = F.transform(F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " "), lambda x: x.try_cast("double"))
+    number = lambda v: F.nanvl(v, F.lit(None).cast("double"))
+
+    def by_name(x: Column) -> Column:
+        n = F.least(F.size(names), F.size(x))
+        plain = F.map_from_arrays(F.slice(names, 1, n), F.transform(F.slice(x, 1, n), number))
+        # equal names: the last one stays, as earlier places of a name that comes again are left out
+        places = F.filter(F.sequence(F.lit(1), n), lambda i: ~F.array_contains(F.slice(names, i + 1, F.greatest(n - i, F.lit(0))), F.element_at(names, i)))
+        entries = F.transform(places, lambda i: F.struct(F.element_at(names, i).alias("key"), number(F.element_at(x, i)).alias("value")))
+        several = F.size(F.array_distinct(names)) < F.size(names)
+        return F.when(names.isNotNull() & ~F.exists(x, lambda v: v.isNull()), F.when(several, F.map_from_entries(entries)).otherwise(plain))
+
+    return T.once(numbers, by_name)
+
+
 def _values(lines: DataFrame) -> DataFrame:
     """``path, line_no, values`` of body lines (``path, names, line_no, line``) that hold nothing but numbers."""
-    lines = lines.where((F.trim("line") != "") & ~F.ltrim("line").rlike(r"^[*#]"))
-    numbers = F.transform(F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " "), lambda x: x.try_cast("double"))
-    rows = lines.withColumn("x", numbers).where(~F.exists("x", lambda v: v.isNull()))
-    n = F.least(F.size("names"), F.size("x"))
-    # equal names: the last one stays, as earlier places of a name that comes again are left out
-    places = F.filter(F.sequence(F.lit(1), n), lambda i: ~F.array_contains(F.slice(F.col("names"), i + 1, F.greatest(n - i, F.lit(0))), F.element_at("names", i)))
-    entries = F.transform(places, lambda i: F.struct(F.element_at("names", i).alias("key"), F.nanvl(F.element_at("x", i), F.lit(None).cast("double")).alias("value")))
-    return rows.select("path", "line_no", F.map_from_entries(entries).alias("values"))
+    one = F.array(F.struct("line_no", _line_values(F.col("names"), F.col("line")).alias("values")))
+    return lines.select("path", F.inline_outer(one)).where("values is not null")
 
 
 def parse_profiles(files: DataFrame, content: Column) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +72,9 @@ def parse_profiles(files: DataFrame, content: Column) -> tuple[DataFrame, DataFr
     whole = files.select("path", content.alias("_text"))
     parts = F.split("_text", r"(?im)^\*END\*[ \t]*\r?$", 2)
     whole = whole.select("path", T.header_columns(T.header_part(F.col("_text"))).alias("names"), F.element_at(parts, -1).alias("body"))
-    rows = _values(whole.where("names is not null").select("path", "names", F.posexplode(F.split("body", r"\r?\n")).alias("line_no", "line")))
+    # an outer generator's rows are made once: a filter on them, here or later, isn't pushed into what makes them
+    lines = F.transform(F.split("body", r"\r?\n"), lambda line, i: F.struct(i.alias("line_no"), _line_values(F.col("names"), line).alias("values")))
+    rows = whole.select("path", F.inline_outer(lines)).where("values is not null")
     good = rows.select("path").distinct()
     bad = whole.join(good, "path", "left_anti").select("path", F.when(F.col("names").isNull(), "no_columns").when(F.col("body").rlike(r"^\s*$"), "no_data").otherwise("no_valid_rows").alias("error"))
     return rows, bad
@@ -92,7 +105,7 @@ def read_profiles_text(spark: SparkSession, root: str, glob: str = PROFILE_GLOB)
     numbered = lines.join(blocks.select("_file", "_block", "_start"), ["_file", "_block"]).join(of_file, "_file").withColumn("_no", F.col("_id") + F.col("_start") - F.col("_stop"))
     # without an end line the whole text is the body, whose first line is number 0; after one the first line is number 1
     body = numbered.where("_no > 0").select("path", "names", F.when(F.col("_stop") < 0, F.col("_no") - 1).otherwise(F.col("_no")).cast("int").alias("line_no"), F.col("value").alias("line"))
-    rows = _values(body.where("names is not null"))
+    rows = _values(body)
     good, filled = rows.select("path").distinct(), body.where(F.trim("line") != "").select("path", F.lit(True).alias("_filled")).distinct()
     bad = of_file.join(good, "path", "left_anti").join(filled, "path", "left")
     return rows, bad.select("path", F.when(F.col("names").isNull(), "no_columns").when(F.col("_filled").isNull(), "no_data").otherwise("no_valid_rows").alias("error"))

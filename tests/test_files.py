@@ -70,3 +70,16 @@ def test_readers_never_see_half_a_manifest(spark, tmp_path):
     reader = incremental.read_snapshot(spark, root)
     incremental.commit_manifest(entry(("a", 5)), root)
     assert {r.path: r.entry for r in reader.collect()}["a"] == 1 and seen()["a"] == 5  # an older snapshot stays as it is
+
+
+def test_a_body_line_is_parsed_once(spark):
+    """Filters on parsed rows aren't pushed into the parsing, and odd lines keep their meaning."""
+    text = "# name 0 = a: x\n# name 1 = b: y\n# name 2 = a: z\n*END*\n1 2 3\n\n \t \n* 4 5 6\n#7\n\t4  5\n6 oops 7\n8\n1 2 3 4"
+    df = spark.createDataFrame([("p", text), ("q", "*END*\n1 2"), ("r", None), ("s", "# name 0 = a: x\n*END*\nnan")], "path string, content string")
+    rows, bad = files.parse_profiles(df, F.col("content"))
+    assert sorted((r.path, r.line_no, sorted(r["values"].items(), key=str)) for r in rows.collect()) == [
+        ("p", 1, [("a", 3.0), ("b", 2.0)]), ("p", 6, [("a", 4.0), ("b", 5.0)]), ("p", 8, [("a", 8.0)]), ("p", 9, [("a", 3.0), ("b", 2.0)]), ("s", 1, [("a", None)]),
+    ]
+    assert {r.path: r.error for r in bad.collect()} == {"q": "no_columns", "r": "no_columns"}
+    plan = rows.where("values['a'] > 1 and values['b'] < 9")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
