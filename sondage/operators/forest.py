@@ -49,7 +49,8 @@ def subsamples(rows: DataFrame, forest: Forest, budget: bool = False) -> DataFra
     In each round a row falls into one of n / (1.2 psi) pools by a hash, and each pool is a tree: a large stratum takes one
     hash a row, a small one as many rounds as its trees need. The draw is some 1.2 psi rows a tree before its exact cut.
     """
-    sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") >= forest.least_rows) & F.col("stratum").isNotNull())
+    # written: of few strata it is a small file, which joins the rows without a shuffle by stratum, so a large one stays spread
+    sizes = written(rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") >= forest.least_rows) & F.col("stratum").isNotNull()), "strata")
     rows = rows.select("stratum", F.xxhash64("_key").alias("_k"), "x").join(sizes, "stratum")
     trees = F.greatest(F.lit(48), F.least(F.lit(forest.trees), F.col("_n"))).cast("int") if budget else F.lit(forest.trees)
     pools = F.greatest(F.lit(1), F.floor(F.col("_n") / (1.2 * F.least(F.lit(forest.psi), F.col("_n")))))
@@ -198,7 +199,7 @@ def scored(rows: DataFrame, nodes: DataFrame, p: int, forest: Forest) -> DataFra
                 yield pa.RecordBatch.from_arrays([rb.column("_key"), rb.column("stratum"), pa.array(score, from_pandas=True)], names=["_key", "stratum", "iso_score"])
 
         return rows.select("_key", "stratum", "x").mapInArrow(run, schema)
-    sizes = rows.where("stratum is not null").groupBy("stratum").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("_groups"))
+    sizes = written(rows.where("stratum is not null").groupBy("stratum").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("_groups")), "strata")
     dealt = rows.join(sizes, "stratum", "left").withColumn("_group", F.coalesce(F.pmod(F.xxhash64("_key"), F.col("_groups")), F.lit(0)).cast("int")).drop("_groups")
     trees = nodes.join(sizes, "stratum").withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).drop("_groups")
 

@@ -432,3 +432,12 @@ def test_digests_are_taken_for_new_files_alone(spark):
 def test_days_stand_in_for_casts(spark):
     df = spark.createDataFrame([(dt.datetime(2001, 5, 1, 8), None), (dt.datetime(2001, 5, 2), "c")], "fecha timestamp_ntz, cast string")
     assert sorted(r.cast_key for r in canonical.cast_key(df, day="fecha").collect()) == ["2001-05-01", "c"]
+
+
+def test_strata_meet_their_rows_by_broadcast(spark):
+    """The sizes of strata are a small table, so no task reads all rows of a large stratum."""
+    rows = spark.range(5000).selectExpr("struct(id) AS _key", "concat('s', id div 100000) AS stratum", "array(rand(1), rand(2)) AS x")
+    got = forest.subsamples(rows, forest.Forest(trees=4, psi=64))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r["tree"]: r["count"] for r in got.groupBy("tree").count().collect()} == {t: 64 for t in range(1, 5)}
