@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import mix, run_starts, steps, utf8, word_hashes, words, written
+from .shared import frugal, mix, run_starts, steps, utf8, word_hashes, words, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -120,7 +120,7 @@ def signed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"doc_id": rb.column("doc_id"), "text_key": rb.column("text_key"), "n_shingles": pa.array(n), "bands": lists, "sketch": sketches})
 
     rows = docs.select("doc_id", "text", F.coalesce(F.sha2("text", 256), F.lit("null")).alias("text_key"))
-    return rows.mapInArrow(run, "doc_id long, text_key string, n_shingles long, bands array<long>, sketch binary")
+    return rows.mapInArrow(frugal(run), "doc_id long, text_key string, n_shingles long, bands array<long>, sketch binary")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -166,7 +166,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     b.append(max(centre, node))
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return written(rows.mapInArrow(run, "a long, b long"), "links")
+    return written(rows.mapInArrow(frugal(run), "a long, b long"), "links")
 
 
 def _multisets(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -256,7 +256,7 @@ def _candidates(members: DataFrame, signs: DataFrame) -> DataFrame:
                 same = {c: pa.array([t[c][0].as_py()] * k, t.schema.field(c).type) for c in ("bucket", "low", "high")}
                 yield pa.RecordBatch.from_pydict(same | {"node": pa.array(list(found), pa.int64()), "partners": pa.array(list(found.values()), pa.list_(pa.int64()))})
 
-    return rows.mapInArrow(run, "bucket long, low int, high int, node long, partners array<long>")
+    return rows.mapInArrow(frugal(run), "bucket long, low int, high int, node long, partners array<long>")
 
 
 def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -284,7 +284,7 @@ def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame
                         b.append(max(i, j))
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(frugal(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import before, mix, run_starts, steps, utf8
+from .shared import before, frugal, mix, run_starts, steps, utf8
 
 ORDER = 4
 UNDETERMINED = "und"
@@ -236,7 +236,7 @@ def _counts(sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
                 runs = run_starts(own)
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([x] * len(runs), pa.string()), "gram": pa.array(own[runs].view(np.int64)), "n": pa.array(np.diff(np.append(runs, len(own))))})
 
-    rows = sample.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    rows = sample.mapInArrow(frugal(run), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     out = {}
     for x, own in rows.groupby("lang"):
         keys, n = own["gram"].to_numpy().view(np.uint64), own["n"].to_numpy()
@@ -263,7 +263,7 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
             some = (letters > 0) & (lang >= 0) & (lang == _sums(rows, ends).argmax(axis=1))
             yield pa.RecordBatch.from_pydict({"lang": pa.array(lang[some], pa.int32()), "n": pa.array(n[some]), "total": pa.array(total[some]), "square": pa.array(square[some])})
 
-    rows = sample.mapInArrow(run, "lang int, n long, total double, square double").toPandas()
+    rows = sample.mapInArrow(frugal(run), "lang int, n long, total double, square double").toPandas()
     k = len(model.langs)
     model.mean, model.between, model.within, model.limit = np.full(k, 3.0), np.full(k, 0.5), np.full(k, 2.0), np.full(k, LEAST_Z)
     for j in range(k):
@@ -332,7 +332,7 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
                 {"doc_id": rb.column("doc_id"), "lang_pred": pa.array(lang.tolist(), pa.string()), "score": pa.array(score), "cross_entropy": pa.array(entropy, mask=np.isnan(entropy)), "rejected": pa.array(rejected)}
             )
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
+    rows = docs.select("doc_id", "text").mapInArrow(frugal(run), "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
     return rows.select("doc_id", F.coalesce(_fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
@@ -359,4 +359,4 @@ def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
                 rb = rb.set_column(at, rb.schema.field(at), pc.coalesce(rb.column(at), pa.array([model.langs[b] for b in best], pa.string()).cast(rb.schema.field(at).type)))
             yield rb.filter(keep)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import coded, gather, steps, utf8
+from .shared import coded, frugal, gather, steps, utf8
 
 MARK = "▁"
 #: Distinct words whose pieces one Python worker remembers; the memory is emptied when it is full.
@@ -181,7 +181,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
                 {"doc_id": rb.column("doc_id"), "n_tokens": pa.array(np.diff(at)), "ids_crc32": pa.array(crcs, pa.int64()), "exact": pa.array(exact), "ids": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))}
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, exact boolean, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), "doc_id long, n_tokens long, ids_crc32 long, exact boolean, ids array<int>")
 
 
 def decoded(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
@@ -193,4 +193,4 @@ def decoded(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
             texts = [None if x is None else lex.decode(np.array(x, np.int64)).decode("utf-8", "replace") for x in rb.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": rb.column(0), "text": pa.array(texts, pa.string())})
 
-    return df.select("doc_id", ids).mapInArrow(run, "doc_id long, text string")
+    return df.select("doc_id", ids).mapInArrow(frugal(run), "doc_id long, text string")

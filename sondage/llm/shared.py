@@ -3,7 +3,9 @@ intermediate tables, and vectorised views of Arrow text columns."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,27 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = STE
             at, done = to, int(ends[to - 1])
 
 
+def frugal(run: Callable) -> Callable:
+    """``run`` as the function of a task that leaves little behind: a worker is used again, and what its last task freed or kept for
+    its next step otherwise stays with it while later stages need the executor's memory."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
+def give_back() -> None:
+    """Powers go, and free memory returns to the system."""
+    POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def utf8(col: pa.Array, before: str = "", after: str = "") -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty. ``before`` and ``after`` go round every text."""
     col = pc.fill_null(col.cast(pa.large_string()), "")
@@ -100,6 +123,9 @@ class Powers:
     base, inverse = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
     def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -858,3 +858,15 @@ def test_queries_run(spark, name):
         pytest.skip("no test tables")
     table = "pages" if name in ("op4_warc", "op7_urlfilter") else "documents"
     assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def test_a_task_gives_its_memory_back():
+    """What the functions of a task keep for its steps goes with the task."""
+    from sondage.llm import shared
+
+    def run(batches):
+        shared.POWERS.upto(1 << 12)
+        yield from batches
+
+    assert list(shared.frugal(run)([1, 2])) == [1, 2]
+    assert len(shared.POWERS.up) == len(shared.POWERS.down) == 1
