@@ -288,30 +288,41 @@ def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, class_id`` for every node of ``a, b`` links: the smallest node it is connected to.
+    """``node, class_id`` for every node of ``a, b`` links (a written table): the smallest node it is connected to.
 
     Large-star and small-star steps in turn until nothing changes; each is an aggregation and a join on the node, so the
-    links of a node with many of them are spread, and the number of rounds grows with the logarithm of the graph.
+    links of a node with many of them are spread, and the number of rounds grows with the logarithm of the graph. A round is
+    written once: its two steps are one job, as a written table costs more than the steps of a small graph.
     """
-    now = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "star")
+    now = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")
     for _ in range(MOST_ROUNDS):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        lower = F.when(F.col("v") < F.col("u"), F.col("v"))
+        # settled when every node has one link (or that one again) and no centre has one
+        unsettled = (F.min(lower) < F.max(lower)) | (F.min(lower).isNotNull() & (F.max("v") > F.first("u")))
+        if not both.groupBy("u").agg(unsettled.alias("unsettled")).where("unsettled").limit(1).count():
+            break
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct(), "star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        joined = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
-        after = written(small.distinct(), "star")
-        now = after
-        # settled when every node has one link and no centre has one
-        several = now.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u").limit(1)
-        led = now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u").limit(1)
-        if not several.unionByName(led).count():
-            break
+        now = written(small.distinct(), "star")
     else:
         raise RuntimeError("components haven't settled")
-    out = now.select(F.col("u").alias("node"), F.col("v").alias("class_id"))
-    return written(out.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("class_id")).distinct()), "classes")
+    return written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("class_id")).withColumnRenamed("u", "node"), "classes")
+
+
+def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` (``components`` of earlier links) after more ``links``: only links between different classes are followed, from
+    class to class. The same as ``components`` of all links together."""
+    of = lambda side: classes.select(F.col("node").alias(side), F.col("class_id").alias(f"_{side}"))
+    met = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    met = written(met.where("a <> b"), "met")
+    if not met.limit(1).count():
+        return classes
+    joint = components(met)
+    moved = classes.join(joint.select(F.col("node").alias("class_id"), F.col("class_id").alias("_to")), "class_id", "left").select("node", F.coalesce("_to", "class_id").alias("class_id"))
+    return written(moved.unionByName(joint.join(classes, "node", "left_anti")), "classes")
 
 
 def _mixed(labels: DataFrame, star: int) -> DataFrame:
@@ -344,7 +355,7 @@ def classed(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("node"), "text").where("node is not null").join(need, "node", "left_semi")
     texts = written(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
 
-    links = tested = classes = None
+    tested = classes = None
     for star in range(STARS):
         if star == 0:
             met = members.where("node <> centre")
@@ -360,12 +371,11 @@ def classed(docs: DataFrame) -> DataFrame:
         if star and not pairs.limit(1).count():
             continue
         found = _verified(pairs, texts)
-        links = found if links is None else links.unionByName(found)
-        classes = components(links)
+        classes = components(found) if classes is None else merged(classes, found)
     labels = members.select("bucket", "node", "n").join(classes, "node", "left").withColumn("class_id", F.coalesce("class_id", "node"))
     rest = written(labels.join(_mixed(labels, STARS).select("bucket"), "bucket"), "mixed")
     if rest.limit(1).count():
-        classes = components(links.unionByName(written(_linked(rest, linked.select("node", "bands", "sketch"), texts), "links")))
+        classes = merged(classes, written(_linked(rest, linked.select("node", "bands", "sketch"), texts), "links"))
     out = nodes.join(classes, "node", "left").select("text_key", F.coalesce("class_id", "node").alias("class_id"), "copies", F.col("class_id").isNotNull().alias("in_links"))
     several = out.where("copies > 1 or in_links").select("text_key", "class_id")
     alone = signs.select("doc_id", "text_key", "n_shingles").join(several, "text_key", "left")

@@ -212,3 +212,29 @@ def test_paths_through_the_lattice_are_all_orders(n):
     assert len(edges) == n * 2 ** (n - 1)
     for state, f, ways, left in edges:
         assert ways * left == sum(1 for o in permutations(range(n)) if set(o[: o.index(f)]) == {i for i in range(n) if state >> i & 1})
+
+
+def test_components_write_a_round_once(spark, monkeypatch):
+    """Links that come later follow classes; links that are settled already are no round (three tables were written for each, and every call began anew)."""
+    from sondage.llm import bagminhash as B
+
+    def plain(links):
+        least = {n: n for link in links for n in link}
+        for _ in least:
+            for a, b in links:
+                least[a] = least[b] = min(least[a], least[b])
+        return least
+
+    tables = []
+    monkeypatch.setattr(B, "written", lambda df, name, own=B.written: tables.append(name) or own(df, name))
+    table = lambda links: spark.createDataFrame(links, "a long, b long")
+    read = lambda df: {r.node: r.class_id for r in df.collect()}
+    stars = [(n % 5, n) for n in range(5, 40)] * 2
+    first = B.components(table(stars))
+    assert read(first) == plain(stars) and tables == ["classes"]
+    rng = np.random.default_rng(8)
+    chain = [(n, n + 1) for n in range(100, 140)]
+    more = chain + [(7, 8), (8, 12), (130, 39), (39, 39), (200, 201)] + [tuple(map(int, x)) for x in rng.integers(300, 360, (40, 2)) if x[0] != x[1]]
+    assert read(B.merged(first, table(more))) == plain(stars + more) == read(B.components(table(stars + more)))
+    assert B.merged(first, table([(5, 10), (10, 5)])) is first
+    assert read(B.components(table([]))) == {}
