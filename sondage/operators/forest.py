@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,9 @@ TOGETHER = 64
 #: Bytes of a forest that is broadcast, and rows of a group that meets a larger forest.
 BROADCAST_BYTES = 128 << 20
 GROUP_ROWS = 50_000
+#: Rows that a task gathers before it scores them by stratum, so that each stratum's share is long; and rows that walk a tree at once.
+GATHER_ROWS = 131_072
+WALK_ROWS = 10_000
 NODES = "stratum string, tree int, node int, coef array<double>, threshold double, left int, right int, size int, depth int"
 
 
@@ -57,6 +61,8 @@ def subsamples(rows: DataFrame, forest: Forest, budget: bool = False) -> DataFra
     rounds = F.sequence(F.lit(0), (F.ceil(trees / pools) - 1).cast("int"))
     own = F.transform(rounds, lambda r: (r * pools + F.pmod(F.xxhash64(F.col("_k"), r, F.lit(forest.seed)), pools) + 1).cast("int"))
     hit = F.filter(own, lambda t: t <= trees)
+    # where one round is enough, most rows are in no tree's pool: told by the first round's hash alone
+    rows = rows.where((trees > pools) | (F.pmod(F.xxhash64("_k", F.lit(0), F.lit(forest.seed)), pools) < trees))
     rows = rows.select("stratum", F.explode(hit).alias("tree"), "_k", "x")
     order = Window.partitionBy("stratum", "tree").orderBy(F.xxhash64("_k", "tree", F.lit(forest.seed)), "_k", "x")
     return rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= forest.psi).drop("_r")
@@ -143,14 +149,14 @@ def grown(samples: DataFrame, forest: Forest) -> DataFrame:
 
 
 def _packed(own: pd.DataFrame, p: int, ndim: int) -> tuple:
-    """One tree as arrays by node: its features and their weights, the cut, both children (a leaf's are itself), the path
-    length, and the tree's depth."""
+    """One tree as arrays by node: its features and their weights (None for a single feature, whose weight is 1), the cut, both
+    children (a leaf's are itself), the path length, and the tree's depth."""
     n = len(own)
     leaf = own["left"].isna().to_numpy()
     coef = np.array([c if c is not None else np.zeros(p) for c in own["coef"]], float)
     order = np.argsort(-np.abs(coef), axis=1, kind="stable")[:, : min(ndim, p)]
     pick = [np.ascontiguousarray(order[:, j]) for j in range(order.shape[1])]
-    weight = [coef[np.arange(n), k] for k in pick]
+    weight = [coef[np.arange(n), k] for k in pick] if ndim > 1 else None
     child = np.repeat(np.arange(n), 2)
     for side, column in enumerate(("left", "right")):
         child[2 * np.flatnonzero(~leaf) + side] = own[column].to_numpy(float, na_value=-1)[~leaf].astype(np.intp)
@@ -166,14 +172,46 @@ def _packs(nodes: pd.DataFrame, p: int, ndim: int) -> tuple[list[tuple], int]:
 
 def _score(x: np.ndarray, packs: list[tuple], psi: int) -> np.ndarray:
     """Scores of rows (n x features) under one stratum's trees."""
-    flat, base, total = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
+    total = np.zeros(len(x))
+    for first in range(0, len(x), WALK_ROWS):
+        _walk(np.ascontiguousarray(x[first : first + WALK_ROWS]), packs, total[first : first + WALK_ROWS])
+    return 2.0 ** (-total / len(packs) / max(path_length(psi), 1e-12))
+
+
+def _walk(x: np.ndarray, packs: list[tuple], total: np.ndarray) -> None:
+    """Adds to ``total`` the path length of each row in every tree. Its arrays are used again at every step (with mode "clip", which
+    never applies, numpy takes into them directly)."""
+    n = len(x)
+    flat, base = x.ravel(), np.arange(n) * x.shape[1]
+    at, place, value, side, right = np.empty(n, np.intp), np.empty(n, np.intp), np.empty(n), np.empty(n), np.empty(n, bool)
+    take = lambda array, i, out: array.take(i, out=out, mode="clip")
     for pick, weight, cut, child, length, depth in packs:
-        at = np.zeros(len(x), np.intp)
+        at.fill(0)
         for _ in range(depth):
-            value = sum((flat.take(base + p.take(at)) * w.take(at) for p, w in zip(pick[1:], weight[1:], strict=True)), flat.take(base + pick[0].take(at)) * weight[0].take(at))
-            at = child.take(2 * at + (value > cut.take(at)))
+            np.add(take(pick[0], at, place), base, out=place)
+            take(flat, place, value)
+            if weight:
+                np.multiply(value, take(weight[0], at, side), out=value)
+                for p, w in zip(pick[1:], weight[1:], strict=True):
+                    np.add(value, flat.take(base + p.take(at)) * w.take(at), out=value)
+            np.greater(value, take(cut, at, side), out=right)
+            np.add(at, at, out=at)
+            np.add(at, right, out=at)
+            at, place = take(child, at, place), at
         total += length.take(at)
-    return 2.0 ** (-total / len(packs) / max(path_length(psi), 1e-12))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in batches of about ``GATHER_ROWS``."""
+    own, n = [], 0
+    for rb in batches:
+        own.append(rb)
+        n += rb.num_rows
+        if n >= GATHER_ROWS:
+            yield pa.Table.from_batches(own).combine_chunks().to_batches()[0]
+            own, n = [], 0
+    if n:
+        yield pa.Table.from_batches(own).combine_chunks().to_batches()[0]
 
 
 def scored(rows: DataFrame, nodes: DataFrame, p: int, forest: Forest) -> DataFrame:
@@ -190,12 +228,16 @@ def scored(rows: DataFrame, nodes: DataFrame, p: int, forest: Forest) -> DataFra
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packs = shared.value
-            for rb in batches:
+            for rb in _gathered(batches):
                 score = np.full(rb.num_rows, np.nan)
                 x = np.asarray(rb.column("x").flatten().to_numpy(zero_copy_only=False), float).reshape(rb.num_rows, p)
-                for s, place in pd.Series(rb.column("stratum").to_pylist()).groupby(rb.column("stratum").to_pylist(), sort=False).indices.items():
+                strata = rb.column("stratum").dictionary_encode()
+                codes = pc.fill_null(strata.indices, len(strata.dictionary)).to_numpy()
+                order = np.argsort(codes, kind="stable")
+                ends = np.searchsorted(codes[order], np.arange(len(strata.dictionary) + 1))
+                for s, a, b in zip(strata.dictionary.to_pylist(), ends[:-1], ends[1:], strict=True):
                     if s in packs:
-                        score[place] = _score(x[place], *packs[s])
+                        score[order[a:b]] = _score(x[order[a:b]], *packs[s])
                 yield pa.RecordBatch.from_arrays([rb.column("_key"), rb.column("stratum"), pa.array(score, from_pandas=True)], names=["_key", "stratum", "iso_score"])
 
         return rows.select("_key", "stratum", "x").mapInArrow(run, schema)
@@ -224,9 +266,12 @@ def narrow_features(df: DataFrame, features: list[str], stratum: Column, key: li
 
 def narrow_scores(rows: DataFrame, p: int, forest: Forest = Forest(), budget: bool = False) -> DataFrame:
     """``_key, stratum, iso_score`` of ``narrow_features`` rows, written; a missing feature takes its stratum's median (0 without
-    one), whose counts are exact (see ``quantiles``)."""
-    mid = quantiles(rows, ["stratum"], {f"m{i}": F.col(f"f{i}") for i in range(p)}, 0.5, settled=True)
-    full = joined(rows, ["stratum"], mid).select("_key", "stratum", F.array(*[F.coalesce(f"f{i}", f"m{i}", F.lit(0.0)) for i in range(p)]).alias("x"))
+    one), whose counts are exact (see ``quantiles``). Medians are counted for features that are missing somewhere, and only those."""
+    lacks = rows.agg(*[F.count_if(F.col(f"f{i}").isNull()).alias(f"f{i}") for i in range(p)]).first()
+    gaps = [i for i in range(p) if lacks[f"f{i}"]]
+    full = joined(rows, ["stratum"], quantiles(rows, ["stratum"], {f"m{i}": F.col(f"f{i}") for i in gaps}, 0.5, settled=True)) if gaps else rows
+    filled = lambda i: F.coalesce(f"f{i}", f"m{i}", F.lit(0.0)) if i in gaps else F.coalesce(f"f{i}", F.lit(0.0))
+    full = full.select("_key", "stratum", F.array(*[filled(i) for i in range(p)]).alias("x"))
     nodes = written(grown(subsamples(full, forest, budget), forest), "forest")
     return written(scored(full, nodes, p, forest), "scores")
 
@@ -237,7 +282,9 @@ def isolation_scores(df: DataFrame, features: list[str], stratum: str, key: list
 
 
 def with_scores(df: DataFrame, scores: DataFrame, key: list[str]) -> DataFrame:
-    """``df`` with the score columns of its key's row: only what is asked for of ``df`` is shuffled, and no row is lost."""
-    names = [c for c in scores.columns if c not in ("_key", "stratum")]
-    best = scores.groupBy("_key").agg(F.max_by(F.struct(*names), F.coalesce("iso_score", F.lit(-1.0))).alias("_s"))
-    return df.drop(*names).withColumn("_key", key_of(key)).join(best, "_key", "left").drop("_key").select("*", *[F.col(f"_s.{n}").alias(n) for n in names]).drop("_s")
+    """``df`` with the score columns of its key's row: only what is asked for of ``df`` is shuffled, and no row is lost. Both sides are
+    sorted by a hash of the key, a number, and by the key only where hashes agree; scores, mostly one a key, are shuffled as they are."""
+    names, hashed = [c for c in scores.columns if c not in ("_key", "stratum")], F.xxhash64("_key").alias("_h")
+    best = lambda n: F.max_by(n, F.coalesce("iso_score", F.lit(-1.0))).alias(n)
+    scores = scores.select(hashed, "_key", *names).repartition("_h", "_key").groupBy("_h", "_key").agg(*[best(n) for n in names])
+    return df.drop(*names).withColumn("_key", key_of(key)).select("*", hashed).join(scores, ["_h", "_key"], "left").drop("_h", "_key")

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -442,3 +443,21 @@ def test_strata_meet_their_rows_by_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     counts = {r["tree"]: r["count"] for r in got.groupBy("tree").count().collect()}
     assert set(counts) == {1, 2, 3, 4} and all(30 < n <= 64 for n in counts.values())
+
+
+def test_forest_rows_are_gathered_and_medians_are_for_gaps(spark, monkeypatch):
+    """Small batches of many strata are scored together (each was walked by itself), and medians are counted only where a feature is missing."""
+    from sondage.operators import forest as T
+
+    asked = []
+    monkeypatch.setattr(T, "quantiles", lambda df, by, values, *a, own=T.quantiles, **k: asked.append(sorted(values)) or own(df, by, values, *a, **k))
+    rows = spark.range(600).select("id", (F.col("id") % 3).cast("string").alias("s"), (F.col("id") * 7 % 31).cast("double").alias("a"), (F.col("id") % 13).cast("double").alias("b"))
+    whole = T.isolation_scores(rows, ["a", "b"], "s", ["id"], T.Forest(trees=20))
+    assert whole.where("iso_score > 0 and iso_score < 1").count() == 600 and asked == []
+    gaps = rows.withColumn("b", F.when(F.col("id") >= 30, F.col("b")))
+    filled = rows.withColumn("b", F.when(F.col("id") >= 30, F.col("b")).otherwise(F.lit(6.0)))
+    got, want = (T.isolation_scores(t, ["a", "b"], "s", ["id"], T.Forest(trees=20)).select("id", "iso_score") for t in (gaps, filled))
+    assert asked == [["m1"]] and got.exceptAll(want).count() == 0
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(i, i + 10))}) for i in range(0, 90, 10)]
+    monkeypatch.setattr(T, "GATHER_ROWS", 40)
+    assert [b.num_rows for b in T._gathered(iter(batches))] == [40, 40, 10] and [v for b in T._gathered(iter(batches)) for v in b.column("x").to_pylist()] == list(range(90))
