@@ -461,3 +461,13 @@ def test_forest_rows_are_gathered_and_medians_are_for_gaps(spark, monkeypatch):
     batches = [pa.RecordBatch.from_pydict({"x": list(range(i, i + 10))}) for i in range(0, 90, 10)]
     monkeypatch.setattr(T, "GATHER_ROWS", 40)
     assert [b.num_rows for b in T._gathered(iter(batches))] == [40, 40, 10] and [v for b in T._gathered(iter(batches)) for v in b.column("x").to_pylist()] == list(range(90))
+
+
+def test_depths_are_dealt_before_they_are_grouped(spark, monkeypatch):
+    df = spark.createDataFrame([(f"c{i // 3}" if i % 4 else "hot", float(i % 13), float(i % 17)) for i in range(2000)], "cast string, z double, t double")
+    run = lambda: series.interp_at_depth(df, ["cast"], "z", "t", 5.0)
+    plain = sorted(map(tuple, run().collect()))
+    monkeypatch.setattr(series, "TASK_ROWS", 100)
+    plan = run()._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")
+    assert len(plan) == 2 and "Aggregate" not in plan[1] and ", 20)" in plan[0].splitlines()[-1]  # no task groups more than its share
+    assert [r[::2] for r in sorted(map(tuple, run().collect()))] == [r[::2] for r in plain]
