@@ -471,3 +471,40 @@ def test_depths_are_dealt_before_they_are_grouped(spark, monkeypatch):
     plan = run()._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")
     assert len(plan) == 2 and "Aggregate" not in plan[1] and ", 20)" in plan[0].splitlines()[-1]  # no task groups more than its share
     assert [r[::2] for r in sorted(map(tuple, run().collect()))] == [r[::2] for r in plain]
+
+
+def test_casts_are_dealt_before_they_are_grouped(spark, monkeypatch):
+    """Nearly as many casts as rows: no group is made before rows are dealt to tasks of some rows, however large a cast is; against brute force."""
+    rng = np.random.default_rng(5)
+    rows = [("s" if i % 3 else None, "hot" if i % 4 == 0 else f"c{i // 6}", -i, dt.date(2000 + i % 9, 1 + i % 12, 9), [None, math.nan, 0.0, 5.0, -0.0][i % 5] if i % 7 == 0 else float(rng.integers(0, 12)), None if i % 11 == 0 else float(i % 17)) for i in range(2000)]
+    rows += [("s", "empty", i, dt.date(2001, 1, 1), None, 1.0) for i in range(3)]
+    df = spark.createDataFrame(rows, "st string, cast string, n int, fecha date, z double, t double")
+
+    def casts():
+        return series.casts_at_depth(df, "st", "cast", ["n"], "fecha", "z", "t", 5.0)
+
+    def shown(out):
+        return sorted(((*r[:-1], str(r[-1])) for r in out.collect()), key=str)
+
+    plain = shown(casts())
+    monkeypatch.setattr(series, "TASK_ROWS", 100)
+    dealt = casts()
+    assert [r[:2] + r[3:] for r in shown(dealt)] == [r[:2] + r[3:] for r in plain] and [r[2] for r in shown(dealt)] == pytest.approx([r[2] for r in plain])
+    for out in (casts(), casts().select("st", "value_at")):
+        below = out._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")
+        assert len(below) == 2 and "Aggregate" not in below[1] and ", 21)" in below[0].splitlines()[-1]
+    want = {}
+    for key in {r[:2] for r in rows}:
+        own = [r for r in rows if r[:2] == key]
+        at = {}
+        for r in own:
+            if r[4] is not None and not math.isnan(r[4]) and r[5] is not None:
+                at.setdefault(r[4] + 0.0, []).append(r[5])
+        low, high = max((z for z in at if z <= 5), default=None), min((z for z in at if z >= 5), default=None)
+        if at and key[0]:  # as in SQL, a cast without a station meets no first row
+            v = {z: sum(x) / len(x) for z, x in at.items()}
+            value = None if low is None or high is None else v[low] if low == high else v[low] + (v[high] - v[low]) * (5 - low) / (high - low)
+            want[key] = (value, max(at), min(own, key=lambda r: r[2])[3].replace(day=1))
+    got = {(r.st, r.cast): (r.value_at, r.z_max, r.month) for r in casts().collect()}
+    assert got.keys() == want.keys() and ("s", "empty") not in got
+    assert all(got[k][1:] == want[k][1:] and (got[k][0] is None) == (want[k][0] is None) and (want[k][0] is None or got[k][0] == pytest.approx(want[k][0])) for k in want)
