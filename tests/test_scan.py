@@ -71,3 +71,33 @@ def test_long_series_are_filled_by_pieces(spark, monkeypatch):
     want = np.interp(np.arange(2400), seen, [grid[i][2] for i in seen])
     got = {r[1]: r[3] for r in pieces}
     assert all(got[g[1]] is None if i < seen[0] else got[g[1]] == pytest.approx(want[i]) for i, g in enumerate(grid))
+
+
+def test_a_small_bound_does_not_make_ever_more_pieces(rows, monkeypatch):
+    monkeypatch.setattr(scan, "PIECES", 20)
+    out = scan.layout(rows, ["cast"], ["n"], piece_rows=10)
+    sizes = [r[0] for r in out.hot.groupBy("_piece").count().select("count").collect()]
+    assert 15 < len(sizes) <= 21 and sum(sizes) == 4000
+    got = contract.depth_segments(rows, ["cast"], ["n"], "z", piece_rows=10)
+    want = contract.depth_segments(rows, ["cast"], ["n"], "z")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_sums_of_what_the_row_before_tells(spark, monkeypatch):
+    """Pieces down to one row, sums that begin with nulls, in one pass; no task reads rows again to make the carried ones."""
+    df = spark.createDataFrame([("a" if i % 3 else None, i, None if i < 9 or i % 5 == 0 else float(i * i % 23)) for i in range(60)], "k string, n int, v double").withColumn("d", F.col("v").cast("decimal(8,2)"))
+
+    def run():
+        change = F.col("v") - F.col("_b")
+        out = scan.layout(df, ["k"], ["n"]).windowed(lag={"_b": F.col("v")}, total={"up": (change > 0).cast("int"), "all": F.col("d")}, last={"l": F.col("v")}, ahead={"a": F.col("v")}).table()
+        return out.dtypes, sorted(map(tuple, out.collect()), key=lambda r: r[1])
+
+    plain = run()
+    for most in (1, 7, 30):
+        monkeypatch.setattr(scan, "PIECE_ROWS", most)
+        kinds, got = run()
+        assert kinds == run()[0] and dict(kinds) == dict(plain[0])
+        at = [kinds.index(x) for x in plain[0]]
+        assert [tuple(r[i] for i in at) for r in got] == plain[1]
+    plan = scan.layout(df, ["k"], ["n"]).windowed(lag={"_b": F.col("v")}, total={"s": F.col("_b")}).hot._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan and "RangePartitioning" not in plan
